@@ -3,36 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.operators.joins import union_missing
 from longrec.operators.predicates import drop_all_null
-from longrec.session import collect_small
-from longrec.sources.tables import infer_types, read_text_table
+from longrec.session import broadcast_if_small, collect_small
+from longrec.sources.tables import infer_types, null_tokens_to_null
 
-#: Distinct headers a folder may have; each becomes one scan.
-MAX_HEADERS = 1_000
+#: Distinct column names a folder may have.
+MAX_COLUMNS = 10_000
 
 
-def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """(file, header): the first line of every file.
-
-    Lines are numbered inside their split; only first splits are looked at, and each file is
-    reduced to one line before the shuffle.
-    """
-    lines = (
+def _lines(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    return (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-        .where(F.col("start") == 0)
-        .withColumn("line", F.monotonically_increasing_id())
+        .select(
+            F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+        )
     )
-    header = F.regexp_replace(F.min_by("value", "line"), "^﻿|\r$", "")
-    return lines.groupBy("file").agg(header.alias("header"))
+
+
+def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(file, header): the first line of every file.
+
+    Lines are numbered inside their split, only first splits count, and each file is reduced
+    to one line before the shuffle.
+    """
+    first_splits = _lines(spark, folder, glob).where(F.col("start") == 0)
+    numbered = first_splits.withColumn("number", F.monotonically_increasing_id())
+    return numbered.groupBy("file").agg(F.min_by("line", "number").alias("header"))
 
 
 def scan_folder(
@@ -40,26 +44,37 @@ def scan_folder(
 ) -> tuple[DataFrame | None, DataFrame]:
     """(rows of all usable files with a ``file`` column, skipped files).
 
-    Files without the required column are skipped and reported.  Files that share a header are
-    one scan; the scans are united by name.  Rows without any value are dropped.
+    Files without the required column are skipped and reported.  All files are one scan: each
+    line is split once and its fields go to the columns its own file's header names.  Rows
+    without any value are dropped.  Line breaks inside quotes are not supported here.
     """
-    headers = file_headers(spark, folder, glob)
     names = F.transform(F.split(F.col("header"), sep), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    usable = F.array_contains(names, required)
-    groups = collect_small(
-        headers.where(usable).groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header"), MAX_HEADERS
-    )
-    skipped = headers.where(~F.coalesce(usable, F.lit(False))).select(
-        "file", F.concat(F.lit("no column named "), F.lit(required)).alias("reason")
+    headers = file_headers(spark, folder, glob).withColumn("names", names)
+    usable = F.coalesce(F.array_contains("names", required), F.lit(False))
+    skipped = headers.where(~usable).select("file", F.lit(f"no column named {required}").alias("reason"))
+    kept = headers.where(usable)
+    columns = collect_small(
+        kept.select(F.posexplode("names").alias("place", "name"))
+        .groupBy("name")
+        .agg(F.min("place").alias("place"))
+        .orderBy("place", "name"),
+        MAX_COLUMNS,
     )
-    parts = []
-    for group in groups:
-        rows = read_text_table(spark, group["files"], sep)
-        rows = drop_all_null(rows, rows.columns)
-        parts.append(rows.select("*", F.col("_metadata.file_path").alias("file")))
-    if not parts:
+    if not columns:
         return None, skipped
-    return infer_types(reduce(union_missing, parts)), skipped
+    width = kept.agg(F.max(F.size("names"))).first()[0]
+    fields = F.from_csv(
+        F.col("line"), F.lit(", ".join(f"f{i} string" for i in range(width))), {"sep": sep, "escape": '"'}
+    )
+    lines = _lines(spark, folder, glob).drop("start").join(broadcast_if_small(kept), "file")
+    split = lines.where(F.col("line") != F.col("header")).select(
+        "file", "names", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
+    )
+    rows = split.select(
+        *[F.get("fields", F.array_position("names", c["name"]).cast("int") - 1).alias(c["name"]) for c in columns], "file"
+    )
+    rows = null_tokens_to_null(rows)
+    return infer_types(drop_all_null(rows, [c["name"] for c in columns])), skipped
 
 
 def discover_files(

@@ -92,7 +92,7 @@ def upsert_reports(
 def labelled_cells(
     lines: DataFrame,
     keys: Sequence[str],
-    line_no: str,
+    order_by: Sequence[str],
     cells: Column,
     labels: Sequence[str],
     split_above: int | None = SPLIT_ABOVE,
@@ -106,13 +106,13 @@ def labelled_cells(
     found = F.coalesce(*[F.when(F.get("__cells", F.lit(0)).startswith(t), F.lit(t)) for t in labels])
     rest = F.filter(F.slice("__cells", 2, F.greatest(F.size("__cells") - 1, F.lit(0))), lambda c: c.isNotNull() & (c != ""))
     marked = (
-        lines.select(*keys, line_no, cells.alias("__cells"))
+        lines.select(*keys, *order_by, cells.alias("__cells"))
         .withColumn("label", found)
         .where(F.col("label").isNotNull())
         .withColumn("__rest", rest)
         .withColumn("__size", F.size("__rest"))
     )
-    placed = running_sum(marked, [*keys, "label"], "__size", [line_no], "__offset", split_above)
+    placed = running_sum(marked, [*keys, "label"], "__size", order_by, "__offset", split_above)
     return placed.select(*keys, "label", "__offset", F.posexplode("__rest").alias("__i", "cell")).select(
         *keys, "label", (F.col("__offset") + F.col("__i")).cast("int").alias("position"), "cell"
     )
@@ -140,19 +140,18 @@ def report_scores(
     )
 
 
-def read_labelled_reports(spark: SparkSession, path, split_above: int | None = None) -> DataFrame:
-    """(file, label, position, cell) of CSV score reports; a file is one split and one report."""
+def read_labelled_reports(spark: SparkSession, path, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
+    """(file, label, position, cell) of CSV score reports.
+
+    Lines are ordered by split and by number within their split, so files stay splittable.
+    """
     lines = (
-        spark.read.option("wholetext", True)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        .withColumn("number", F.monotonically_increasing_id())
     )
+    text = F.regexp_replace("value", "\r$", "")
     cells = F.transform(
-        F.split("text", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit("")))
+        F.split(text, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit("")))
     )
-    return labelled_cells(lines, ["file"], "line", cells, list(REPORT_ROWS), split_above)
-
-
-def report_schema() -> T.StructType:
-    """Columns every report row has."""
-    return T.StructType([T.StructField(k, T.StringType()) for k in (*REPORT_KEYS, "job_id")])
+    return labelled_cells(lines, ["file"], ["start", "number"], cells, list(REPORT_ROWS), split_above)
