@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from longrec.functions.values import fixed_text
+
 
 def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estimate: Column) -> Column:
     """The label of a diagnosis: one of seven sentences by date rule, then the notes.
@@ -15,7 +17,7 @@ def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estim
     chosen = F.when(F.length(estimate) > 6, estimate).when(F.length(date) > 6, date)
     day = F.try_to_timestamp(chosen, F.lit("yyyy-MM-dd"))
     year, month, number = F.date_format(day, "yyyy"), F.date_format(day, "MMMM"), F.date_format(day, "d")
-    one, two = F.format_string("%.1f", age), F.format_string("%.2f", age)
+    one, two = fixed_text(age, 1), fixed_text(age, 2)
     full = F.concat(month, F.lit(" "), number, F.lit(", "), year)
     short = F.concat(month, F.lit(" "), year)
 

@@ -112,9 +112,27 @@ def tscore_parts(text: Column) -> tuple[Column, Column, Column]:
     return score, F.contains(text, F.lit("-C")).cast("int"), F.contains(text, F.lit("-B")).cast("int")
 
 
+def fixed_text(value: Column, places: int) -> Column:
+    """Number with ``places`` decimals, rounded on its exact binary value (magnitudes below 2000).
+
+    ``format_string`` rounds the shortest decimal form instead: 40.595 would become 40.60 although
+    the number itself lies below the tie.
+    """
+    unit = 2**52
+    scaled = (F.abs(value) * float(unit)).cast("long").cast("decimal(20,0)") * F.lit(10**places).cast("decimal(8,0)")
+    digits = F.floor(F.try_divide(scaled - scaled % unit, F.lit(unit).cast("decimal(17,0)")))
+    rest = (scaled % unit).cast("long")
+    digits = digits.cast("long") + (rest >= unit // 2).cast("long")
+    whole = F.floor(digits / 10**places).cast("long").cast("string")
+    tail = F.lpad((digits % 10**places).cast("string"), places, "0")
+    return F.concat(F.when((value < 0) & (digits > 0), "-").otherwise(""), whole, F.lit("."), tail)
+
+
 def regression_label(group: Column, r: Column, p: Column) -> Column:
     """``g (R^2 = 0.00, p = 0.00)``"""
-    return F.format_string("%s (R^2 = %.2f, p = %.2f)", group, r * r, p)
+    return F.concat(
+        group, F.lit(" (R^2 = "), fixed_text(r * r, 2), F.lit(", p = "), fixed_text(p, 2), F.lit(")")
+    )
 
 
 def row_minimum(columns: Sequence[str]) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from longrec.functions.values import regression_label
 from longrec.operators.ordered import earliest
@@ -143,43 +144,61 @@ def trend_points(regressions: DataFrame, group: str, limit: float = 0.05) -> Dat
     )
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz evaluation)."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 1000):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for step in (even, odd):
-            d = 1.0 + step * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + step / c
-            c = c if abs(c) > tiny else tiny
-            h *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return h
-
-
-def two_sided_p(r: float, n: float) -> float | None:
-    """Two-sided p of a Pearson correlation: P(|T| > t) with n - 2 degrees of freedom."""
-    if r is None or n is None or math.isnan(r) or n < 2:
-        return None
-    df = n - 2
-    if df == 0:
-        return 1.0
-    x = min(max(1.0 - r * r, 0.0), 1.0)  # df / (df + t^2)
-    if x in (0.0, 1.0):
-        return x
-    a, b = df / 2.0, 0.5
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-
-
-@F.pandas_udf("double")
-def p_value(r: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([two_sided_p(a, b) for a, b in zip(r, n)], dtype="float64")
+def _t_test():
+    """The two-sided p of a Pearson correlation.
+
+    Built inside a function so that it travels to the executors by value and they need not have
+    the library installed.
+    """
+
+    def fraction(a: float, b: float, x: float) -> float:
+        """Continued fraction of the incomplete beta function (modified Lentz evaluation)."""
+        tiny = 1e-300
+        c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        h = d
+        for m in range(1, 1000):
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            for step in (even, odd):
+                d = 1.0 + step * d
+                d = 1.0 / (d if abs(d) > tiny else tiny)
+                c = 1.0 + step / c
+                c = c if abs(c) > tiny else tiny
+                h *= d * c
+            if abs(d * c - 1.0) < 1e-15:
+                break
+        return h
+
+    def two_sided_p(r: float, n: float) -> float | None:
+        """P(|T| > t) with n - 2 degrees of freedom."""
+        if r is None or n is None or math.isnan(r) or n < 2:
+            return None
+        df = n - 2
+        if df == 0:
+            return 1.0
+        x = min(max(1.0 - r * r, 0.0), 1.0)  # df / (df + t^2)
+        if x in (0.0, 1.0):
+            return x
+        a, b = df / 2.0, 0.5
+        front = math.exp(
+            math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x)
+        )
+        if x < (a + 1.0) / (a + b + 2.0):
+            return front * fraction(a, b, x) / a
+        return 1.0 - front * fraction(b, a, 1.0 - x) / b
+
+    return two_sided_p
+
+
+two_sided_p = _t_test()
+
+
+def p_value(r: Column, n: Column) -> Column:
+    """Two-sided p for a few aggregated rows: the only Python in the library's plans."""
+    test = _t_test()
+
+    def batch(rs: pd.Series, ns: pd.Series) -> pd.Series:
+        return pd.Series([test(a, b) for a, b in zip(rs, ns)], dtype="float64")
+
+    return F.pandas_udf(batch, T.DoubleType())(r, n)

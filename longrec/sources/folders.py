@@ -77,21 +77,39 @@ def scan_folder(
     return infer_types(drop_all_null(rows, [c["name"] for c in columns])), skipped
 
 
+def parse_file_names(files: DataFrame, prefix: str, subjects: Sequence[str] = ()) -> DataFrame:
+    """Add subject and visit to a (path, file) listing; other names are left out.
+
+    Names are ``<prefix><digits>_<visit>.<extension>``, in any case.
+    """
+    pattern = rf"(?i)({prefix}\d+)_(\w+)\.\w+"
+    named = files.where(F.col("file").rlike(pattern)).select(
+        "path",
+        "file",
+        F.regexp_extract("file", pattern, 1).alias("subject"),
+        F.regexp_extract("file", pattern, 2).alias("visit"),
+    )
+    return named.where(F.col("subject").isin(list(subjects))) if subjects else named
+
+
 def discover_files(
-    spark: SparkSession, folder: str, prefix: str, extension: str, subjects: Sequence[str] = (), modified_after: str | None = None
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    extension: str,
+    subjects: Sequence[str] = (),
+    modified_after: str | None = None,
 ) -> DataFrame:
-    """(path, file, subject, visit) of files named ``<prefix><digits>_<visit>.<extension>``.
+    """(path, file, subject, visit) of the files of a folder, optionally only recent ones.
 
     Listing only: file contents are never read.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").option("recursiveFileLookup", True)
+    reader = (
+        spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").option("recursiveFileLookup", True)
+    )
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    pattern = rf"(?i)({prefix}\d+)_(\w+)\.\w+"
     found = reader.load(folder).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")
     )
-    named = found.where(F.col("file").rlike(pattern)).select(
-        "path", "file", F.regexp_extract("file", pattern, 1).alias("subject"), F.regexp_extract("file", pattern, 2).alias("visit")
-    )
-    return named.where(F.col("subject").isin(list(subjects))) if subjects else named
+    return parse_file_names(found, prefix, subjects)
