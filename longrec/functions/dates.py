@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 DAYS_PER_YEAR = 365.25
 
-#: Formats tried in turn on text dates.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "M/d/yy")
+#: (shape, format) of the text dates besides ISO ones.
+DATE_SHAPES = ((r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"))
 
 
-def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Timestamp of a text date; text in none of the formats becomes null."""
-    return F.coalesce(*[F.try_to_timestamp(F.trim(value), F.lit(f)) for f in formats]).cast("timestamp_ntz")
+def parse_date(value: Column, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:
+    """Timestamp of a text date; text that is none becomes null.
+
+    The shape decides which parser runs, so that rows never fail their way through all formats.
+    """
+    text = F.trim(value)
+    parsed = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp_ntz"))
+    for shape, form in shapes:
+        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz"))
+    return parsed
 
 
 def _clock(moment: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.fixed_values import CARD_ENDINGS, MISSING_FIRST_CARD
 from longrec.functions.values import row_minimum
 
@@ -19,7 +20,7 @@ def _digits(cells: Sequence[Column]) -> Column:
 def symptom_card(columns: Sequence[str]) -> Column:
     """Answers as digits; answers counted from 1 (smallest not 0) are moved down by 1."""
     shift = F.when(row_minimum(columns) == 0, 0).otherwise(1)
-    return _digits([F.col(f"`{c}`") - shift for c in columns])
+    return _digits([col(c) - shift for c in columns])
 
 
 def competence_card(
@@ -39,7 +40,7 @@ def competence_card(
     rated = columns[: columns.index(last_rating) + 1] if last_rating in columns else []
 
     def answer(name: str) -> Column:
-        value = F.col(f"`{name}`")
+        value = col(name)
         if name.startswith(count_prefix) or name == friends:
             value = value - 1
         if name.startswith(other_prefix):

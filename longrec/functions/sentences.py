@@ -15,7 +15,7 @@ def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estim
     An unknown rule gives no sentence.
     """
     chosen = F.when(F.length(estimate) > 6, estimate).when(F.length(date) > 6, date)
-    day = F.try_to_timestamp(chosen, F.lit("yyyy-MM-dd"))
+    day = chosen.try_cast("date")
     year, month, number = F.date_format(day, "yyyy"), F.date_format(day, "MMMM"), F.date_format(day, "d")
     one, two = fixed_text(age, 1), fixed_text(age, 2)
     full = F.concat(month, F.lit(" "), number, F.lit(", "), year)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.fixed_values import BORDERLINE_T, CLINICAL_T, PERCENTILES
 
 
@@ -64,7 +65,7 @@ def recode(value: Column, mapping: dict) -> Column:
 
 def any_of(columns: Sequence[str]) -> Column:
     """1 if any value is not 0, 0 if none is, null if all are missing."""
-    values = [F.col(f"`{c}`").cast("double") for c in columns]
+    values = [col(c).cast("double") for c in columns]
     present = reduce(lambda a, b: a | b, [v.isNotNull() for v in values])
     hit = reduce(lambda a, b: a | b, [F.coalesce(v != 0, F.lit(False)) for v in values])
     return F.when(present, hit.cast("long"))
@@ -72,8 +73,8 @@ def any_of(columns: Sequence[str]) -> Column:
 
 def graded(limbs: Sequence[str], axial: str) -> Column:
     """2 if the limb values add up to more than 0, plus the axial value (null stays null)."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in limbs])
-    return (F.when(total > 0, 2).otherwise(0) + F.col(f"`{axial}`").cast("double")).cast("long")
+    total = reduce(lambda a, b: a + b, [F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in limbs])
+    return (F.when(total > 0, 2).otherwise(0) + col(axial).cast("double")).cast("long")
 
 
 def range_flag(value: Column, low: float, high: float) -> Column:
@@ -113,19 +114,23 @@ def tscore_parts(text: Column) -> tuple[Column, Column, Column]:
 
 
 def fixed_text(value: Column, places: int) -> Column:
-    """Number with ``places`` decimals, rounded on its exact binary value (magnitudes below 2000).
+    """Number with up to three decimals, rounded on its exact binary value (magnitudes below 10**15).
 
     ``format_string`` rounds the shortest decimal form instead: 40.595 would become 40.60 although
     the number itself lies below the tie.
     """
-    unit = 2**52
-    scaled = (F.abs(value) * float(unit)).cast("long").cast("decimal(20,0)") * F.lit(10**places).cast("decimal(8,0)")
-    digits = F.floor(F.try_divide(scaled - scaled % unit, F.lit(unit).cast("decimal(17,0)")))
-    rest = (scaled % unit).cast("long")
-    digits = digits.cast("long") + (rest >= unit // 2).cast("long")
-    whole = F.floor(digits / 10**places).cast("long").cast("string")
+    size = F.abs(value)
+    whole = F.floor(size)
+    # both steps are exact: the fraction of a double, and its scaling by a power of two
+    fraction = ((size - whole) * float(2**52)).cast("long")
+    digits = whole.cast("long") * 10**places + F.shiftright(fraction * 10**places + 2**51, 52)
     tail = F.lpad((digits % 10**places).cast("string"), places, "0")
-    return F.concat(F.when((value < 0) & (digits > 0), "-").otherwise(""), whole, F.lit("."), tail)
+    sign = F.when((value < 0) & (digits > 0), "-").otherwise("")
+    return F.concat(sign, _div(digits, 10**places).cast("string"), F.lit("."), tail)
+
+
+def _div(a: Column, b: int) -> Column:
+    return F.floor((a - a % b) / b).cast("long")
 
 
 def regression_label(group: Column, r: Column, p: Column) -> Column:
@@ -137,5 +142,5 @@ def regression_label(group: Column, r: Column, p: Column) -> Column:
 
 def row_minimum(columns: Sequence[str]) -> Column:
     """Smallest value of a row, nulls left out."""
-    cells = [F.col(f"`{c}`") for c in columns]
+    cells = [col(c) for c in columns]
     return F.least(*cells) if len(cells) > 1 else cells[0]

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.names import col
 from longrec.functions import dates
 from longrec.operators.columns import insert_before
 from longrec.operators.joins import subject_lookup
-from longrec.operators.ordered import first_valid
+from longrec.operators.ordered import attach, earliest, first_valid
 
 
 def _as_moment(df: DataFrame, column: str, strict: bool) -> DataFrame:
@@ -29,9 +30,43 @@ def with_age(
     The birth date is the subject's first known one, written to all of its rows.  A date that
     cannot be read is missing; a birth date that cannot be read is an error.
     """
-    parsed = _as_moment(_as_moment(df, date, strict=False), birth, strict=True)
-    filled = first_valid(parsed, [key], [birth], order_by)
-    return insert_before(filled, date, name, dates.age(F.col(birth), F.col(date)))
+    filled = first_valid(_as_moment(df, birth, strict=True), [key], [birth], order_by)
+    return insert_age(filled, birth, date, name)
+
+
+def insert_age(df: DataFrame, birth: str, date: str, name: str) -> DataFrame:
+    """The age alone, where every row already has its birth date."""
+    dated = _as_moment(_as_moment(df, date, strict=False), birth, strict=True)
+    return insert_before(dated, date, name, dates.age(F.col(birth), F.col(date)))
+
+
+def birth_dates(df: DataFrame, key: str, birth: str, order_by: Sequence[str]) -> DataFrame:
+    """(subject, first known birth date): one row per subject."""
+    return _as_moment(df, birth, strict=True).groupBy(key).agg(earliest(birth, order_by).alias(birth))
+
+
+def replace_birth(df: DataFrame, births: DataFrame, key: str, birth: str) -> DataFrame:
+    """Write the subject's birth date to all of its rows."""
+    found = births.withColumnRenamed(birth, "__birth")
+    joined = attach(df, found, [key], ["__birth"])
+    return joined.select(*[F.col("__birth").alias(birth) if c == birth else col(c) for c in df.columns])
+
+
+def with_age_and_duration(
+    df: DataFrame, key: str, session: str, birth: str, date: str, onset: str, kind: str, order_by: Sequence[str],
+    first_session: str = "s1",
+) -> DataFrame:
+    """``session_age`` and ``dx_<kind>_duration`` from one aggregate and one join per subject."""
+    dated = _as_moment(_as_moment(df, date, strict=False), birth, strict=True)
+    number = F.col(onset).cast("string").try_cast("double")
+    facts = dated.groupBy(key).agg(
+        earliest(birth, order_by).alias("__birth"),
+        F.min(F.when(F.col(session) == first_session, number)).alias("__onset"),
+    )
+    joined = attach(dated, facts, [key], ["__birth", "__onset"]).drop(birth).withColumnRenamed("__birth", birth)
+    aged = insert_before(joined, date, "session_age", dates.age(F.col(birth), F.col(date)))
+    duration = dates.duration(F.col("session_age"), F.col("__onset"))
+    return aged.withColumn(f"dx_{kind}_duration", duration).drop("__onset")
 
 
 def onset_ages(df: DataFrame, key: str, session: str, onset: str, first_session: str = "s1") -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
+
 #: Canonical names of the columns shared by the jobs, in the order renames are given.
 COMMON_COLUMNS = ("study_id", "session_year", "dob", "session_date", "session_number")
 
@@ -61,14 +63,14 @@ def resolve_variables(
 def keep_mapped(df: DataFrame, allowed: Iterable[str]) -> DataFrame:
     """Only the columns of a whitelist, in table order."""
     names = set(allowed)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in names])
+    return df.select(*[col(c) for c in df.columns if c in names])
 
 
 def extract_fields(df: DataFrame, keys: Sequence[str], patterns: Sequence[str]) -> DataFrame:
     """The keys and, request by request, the columns that match from their beginning."""
     names = [c for c in df.columns if c not in keys]
     found = dict.fromkeys(c for p in patterns for c in matching(names, p))
-    return df.select(*keys, *found)
+    return df.select(*keys, *[col(c) for c in found])
 
 
 def rename_common(df: DataFrame, names: Sequence[str | None], back: bool = False) -> DataFrame:
@@ -127,21 +129,21 @@ def insert_before(df: DataFrame, before: str, name: str, value: Column) -> DataF
             continue
         if c == before:
             columns.append(value.alias(name))
-        columns.append(F.col(f"`{c}`"))
+        columns.append(col(c))
     return df.select(*columns)
 
 
 def filled_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     """Columns with at least one value: one aggregate over all of them."""
     names = list(columns or df.columns)
-    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)]).first()
+    row = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
     return [c for i, c in enumerate(names) if row[f"n{i}"]]
 
 
 def drop_empty_columns(df: DataFrame, keep: Sequence[str] = (), filled: Sequence[str] | None = None) -> DataFrame:
     """Drop columns that are null in every row; pass ``filled`` to save the job."""
     present = set(filled if filled is not None else filled_columns(df, [c for c in df.columns if c not in keep]))
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in present or c in keep])
+    return df.select(*[col(c) for c in df.columns if c in present or c in keep])
 
 
 def drop_matching(df: DataFrame, pattern: str, unless: str | None = None) -> DataFrame:
@@ -151,7 +153,7 @@ def drop_matching(df: DataFrame, pattern: str, unless: str | None = None) -> Dat
 
 def only_where(df: DataFrame, condition: Column, columns: Sequence[str]) -> DataFrame:
     """Null ``columns`` on the rows where the condition does not hold."""
-    return df.withColumns({c: F.when(condition, F.col(f"`{c}`")) for c in columns})
+    return df.withColumns({c: F.when(condition, col(c)) for c in columns})
 
 
 def family_union(columns: Sequence[str], forms: dict[str, Sequence[str]], names: Sequence[str]) -> list[str]:

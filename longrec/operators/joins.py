@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.names import col, quoted
 from longrec.operators.ordered import same_keys
 
 ORIGINAL = "_original"
@@ -20,8 +21,8 @@ def enrich_left(
     kept = df.withColumnsRenamed({c: c + ORIGINAL for c in df.columns if c in fields and c not in left_on})
     keys = [f"__key{i}" for i in range(len(right_on))]
     # fields are copied before the keys are renamed, so that a key may be among them
-    side = other.select(*[F.col(c).alias(k) for c, k in zip(right_on, keys)], *[c for c in fields if c not in left_on])
-    on = [kept[c] == side[k] for c, k in zip(left_on, keys)]
+    side = other.select(*[col(c).alias(k) for c, k in zip(right_on, keys)], *[col(c) for c in fields if c not in left_on])
+    on = [kept[quoted(c)] == side[k] for c, k in zip(left_on, keys)]
     return kept.join(side, on, "left").drop(*keys)
 
 
@@ -89,6 +90,6 @@ def union_missing(*tables: DataFrame) -> DataFrame:
         for c in odd:
             numeric = all(isinstance(t.schema[c].dataType, T.NumericType) for t in (result, table))
             wider = "double" if numeric else "string"
-            result, table = (t.withColumn(c, F.col(c).cast(wider)) for t in (result, table))
+            result, table = (t.withColumn(c, col(c).cast(wider)) for t in (result, table))
         result = result.unionByName(table, allowMissingColumns=True)
     return result

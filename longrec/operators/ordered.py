@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.session import cut_lineage
 
 #: Keys with more rows than this are scanned in slices.
@@ -48,19 +49,26 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys])
 
 
-def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def attach(
+    df: DataFrame, per_key: DataFrame, keys: Sequence[str], columns: Sequence[str], null_keys: bool = False
+) -> DataFrame:
     """Left join one row per key back to the rows.
 
-    A sort-merge join on purpose of skew: AQE may split the row side of a hot key, which it
-    cannot do below a window.
+    Unlike below a window, AQE can split the row side of a hot key here.  Rows without a key get
+    nulls unless ``null_keys``; plain equality keeps the rows partitioned by the keys for what
+    follows.
     """
     left, right = df.alias("rows"), per_key.alias("per_key")
-    return left.join(right, same_keys("rows", "per_key", keys), "left").select("rows.*", *[F.col(f"per_key.`{c}`") for c in columns])
+    if null_keys:
+        on = same_keys("rows", "per_key", keys)
+    else:
+        on = reduce(lambda a, b: a & b, [F.col(f"rows.`{k}`") == F.col(f"per_key.`{k}`") for k in keys])
+    return left.join(right, on, "left").select("rows.*", *[F.col(f"per_key.`{c}`") for c in columns])
 
 
 def earliest(column: str | Column, order_by: Sequence[str]) -> Column:
     """Aggregate: the first non-null value of ``column`` in order."""
-    value = F.col(column) if isinstance(column, str) else column
+    value = col(column) if isinstance(column, str) else column
     if len(order_by) == 1:
         # fixed-width buffers keep this a hash aggregate
         order = F.col(order_by[0])
@@ -71,7 +79,7 @@ def earliest(column: str | Column, order_by: Sequence[str]) -> Column:
 
 def latest(column: str | Column, order_by: Sequence[str]) -> Column:
     """Aggregate: the last non-null value of ``column`` in order."""
-    value = F.col(column) if isinstance(column, str) else column
+    value = col(column) if isinstance(column, str) else column
     if len(order_by) == 1:
         order = F.col(order_by[0])
         undated = F.max(F.when(order.isNull(), value))
@@ -80,15 +88,18 @@ def latest(column: str | Column, order_by: Sequence[str]) -> Column:
 
 
 def first_valid(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Replace every value of ``columns`` by the subject's first non-null one."""
+    """Replace every value of ``columns`` by the subject's first non-null one.
+
+    Rows without a subject have no first value.
+    """
     _ordering(order_by)
     firsts = df.groupBy(*keys).agg(*[earliest(c, order_by).alias(f"__first_{c}") for c in columns])
     joined = attach(df, firsts, keys, [f"__first_{c}" for c in columns])
-    return joined.select(*[F.col(f"__first_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
+    return joined.select(*[col(f"__first_{c}").alias(c) if c in columns else col(c) for c in df.columns])
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
-    """Add the number of rows of the row's key."""
+    """Add the number of rows of the row's key; null where a key column is null."""
     return attach(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, [name])
 
 
@@ -148,7 +159,7 @@ def carry_in(
         .agg(*[e.alias(n) for n, e in summaries.items()])
         .select(*keys, SLICE, *[e.over(earlier).alias(n) for n, e in carries.items()])
     )
-    return attach(sliced, per_slice, [*keys, SLICE], list(carries))
+    return attach(sliced, per_slice, [*keys, SLICE], list(carries), null_keys=True)
 
 
 def forward_fill(
@@ -161,22 +172,22 @@ def forward_fill(
     """Fill nulls with the last earlier value of the same subject."""
     short, sliced = split_long_groups(df, keys, order_by, split_above)
     upto = W.partitionBy(*keys).orderBy(*_ordering(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    filled = short.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in columns})
+    filled = short.withColumns({c: F.last(col(c), ignorenulls=True).over(upto) for c in columns})
     if sliced is None:
         return filled
     carried = carry_in(
         sliced,
         keys,
         {f"__s_{c}": latest(c, order_by) for c in columns},
-        {f"__c_{c}": F.last(f"__s_{c}", ignorenulls=True) for c in columns},
+        {f"__c_{c}": F.last(col(f"__s_{c}"), ignorenulls=True) for c in columns},
     )
     local = (
         W.partitionBy(*keys, SLICE).orderBy(*_ordering(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     done = carried.withColumns(
-        {c: F.coalesce(F.last(c, ignorenulls=True).over(local), F.col(f"__c_{c}")) for c in columns}
+        {c: F.coalesce(F.last(col(c), ignorenulls=True).over(local), col(f"__c_{c}")) for c in columns}
     )
-    return filled.unionByName(done.select(*df.columns))
+    return filled.unionByName(done.select(*[col(c) for c in df.columns]))
 
 
 def backward_fill(
@@ -189,23 +200,23 @@ def backward_fill(
     """Fill nulls with the next later value of the same subject."""
     short, sliced = split_long_groups(df, keys, order_by, split_above)
     onward = W.partitionBy(*keys).orderBy(*_ordering(order_by)).rowsBetween(W.currentRow, W.unboundedFollowing)
-    filled = short.withColumns({c: F.first(c, ignorenulls=True).over(onward) for c in columns})
+    filled = short.withColumns({c: F.first(col(c), ignorenulls=True).over(onward) for c in columns})
     if sliced is None:
         return filled
     later = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, W.unboundedFollowing)
     per_slice = (
         sliced.groupBy(*keys, SLICE)
         .agg(*[earliest(c, order_by).alias(f"__s_{c}") for c in columns])
-        .select(*keys, SLICE, *[F.first(f"__s_{c}", ignorenulls=True).over(later).alias(f"__c_{c}") for c in columns])
+        .select(*keys, SLICE, *[F.first(col(f"__s_{c}"), ignorenulls=True).over(later).alias(f"__c_{c}") for c in columns])
     )
-    carried = attach(sliced, per_slice, [*keys, SLICE], [f"__c_{c}" for c in columns])
+    carried = attach(sliced, per_slice, [*keys, SLICE], [f"__c_{c}" for c in columns], null_keys=True)
     local = (
         W.partitionBy(*keys, SLICE).orderBy(*_ordering(order_by)).rowsBetween(W.currentRow, W.unboundedFollowing)
     )
     done = carried.withColumns(
-        {c: F.coalesce(F.first(c, ignorenulls=True).over(local), F.col(f"__c_{c}")) for c in columns}
+        {c: F.coalesce(F.first(col(c), ignorenulls=True).over(local), col(f"__c_{c}")) for c in columns}
     )
-    return filled.unionByName(done.select(*df.columns))
+    return filled.unionByName(done.select(*[col(c) for c in df.columns]))
 
 
 def running_sum(
@@ -227,7 +238,7 @@ def running_sum(
     done = carried.withColumn(
         name, F.coalesce(F.sum(column).over(local), F.lit(0)) + F.coalesce(F.col("__c"), F.lit(0))
     )
-    return summed.unionByName(done.select(*summed.columns))
+    return summed.unionByName(done.select(*[col(c) for c in summed.columns]))
 
 
 def consecutive_years(
@@ -270,7 +281,7 @@ def _year_runs(df, keys, year, order_by, n, skip):
     kept = sized.where(
         (F.col("__agnostic") & (F.col("__dated") >= n)) | (~F.col("__agnostic") & (F.col("__size") >= n))
     )
-    return kept.select(*df.columns)
+    return kept.select(*[col(c) for c in df.columns])
 
 
 def _sliced_year_runs(sliced, keys, year, order_by, n, skip):
@@ -280,7 +291,7 @@ def _sliced_year_runs(sliced, keys, year, order_by, n, skip):
 
     first_slice = sliced.groupBy(*keys).agg(F.min(SLICE).alias("__first_slice"), F.count(year).alias("__dated"))
     marked = (
-        attach(sliced, first_slice, keys, ["__first_slice", "__dated"])
+        attach(sliced, first_slice, keys, ["__first_slice", "__dated"], null_keys=True)
         .withColumn(
             "__agnostic",
             (F.col(SLICE) == F.col("__first_slice"))
@@ -295,7 +306,7 @@ def _sliced_year_runs(sliced, keys, year, order_by, n, skip):
         .withColumn("__carried", F.lag("__last").over(slice_order))
     )
     broken = (
-        attach(marked, last_years, [*keys, SLICE], ["__carried"])
+        attach(marked, last_years, [*keys, SLICE], ["__carried"], null_keys=True)
         .withColumn("__before", F.coalesce(F.lag(year).over(local), F.col("__carried")))
         .withColumn("__break", F.coalesce(F.col(year) - F.col("__before") != skip, F.lit(True)).cast("int"))
         .withColumn("__run", F.sum("__break").over(local.rowsBetween(W.unboundedPreceding, W.currentRow)))
@@ -304,8 +315,8 @@ def _sliced_year_runs(sliced, keys, year, order_by, n, skip):
         "__run", F.col("__run") + F.coalesce(F.col("__c"), F.lit(0))
     )
     sizes = numbered.groupBy(*keys, "__run").agg(F.count(F.lit(1)).alias("__size"))
-    sized = attach(numbered, sizes, [*keys, "__run"], ["__size"])
+    sized = attach(numbered, sizes, [*keys, "__run"], ["__size"], null_keys=True)
     kept = sized.where(
         (F.col("__agnostic") & (F.col("__dated") >= n)) | (~F.col("__agnostic") & (F.col("__size") >= n))
     )
-    return kept.select(*columns)
+    return kept.select(*[col(c) for c in columns])

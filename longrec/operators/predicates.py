@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.operators.columns import resolve_variables
 from longrec.operators.ordered import same_keys
 from longrec.session import SMALL_ROWS
@@ -31,7 +32,7 @@ def keep_attended(df: DataFrame, session: str, missed: str, event: str, stable:
 
 
 def _value(column: str, numeric: bool) -> Column:
-    c = F.col(f"`{column}`")
+    c = col(column)
     return c.try_cast("double") if numeric else c
 
 
@@ -92,7 +93,7 @@ def imaging_or_stable(age: str, label: str, stable: str = "0") -> Column:
 
 def answer_sum(columns: Sequence[str]) -> Column:
     """Sum of answers, nulls as 0."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in columns])
+    return reduce(lambda a, b: a + b, [F.coalesce(col(c), F.lit(0)) for c in columns])
 
 
 def non_empty_form(columns: Sequence[str]) -> Column:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.functions.values import any_of, graded, parse_choices, recode
 from longrec.operators.columns import rename_with_families, with_families
 from longrec.session import collect_small
@@ -58,7 +59,7 @@ def read_dictionary(df: DataFrame, order_by: str | None = None, header: Sequence
     """Bring a dictionary table to the driver; its size is checked."""
     short = ("name", "form", "type", "label", "choices")
     picked = df.select(
-        *[(F.col(f"`{h}`") if h in df.columns else F.lit(None)).alias(s) for h, s in zip(header, short)],
+        *[(col(h) if h in df.columns else F.lit(None)).alias(s) for h, s in zip(header, short)],
         *([F.col(order_by).alias("__order")] if order_by else []),
     )
     rows = collect_small(picked)
@@ -150,7 +151,7 @@ def dropped_columns(columns: Sequence[str], changes: ChangeMap, dictionary: Dict
 
 def recode_values(df: DataFrame, recodes: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Replace whole values of several variables in one projection."""
-    return df.withColumns({c: recode(F.col(f"`{c}`"), dict(m)) for c, m in recodes.items() if c in df.columns})
+    return df.withColumns({c: recode(col(c), dict(m)) for c, m in recodes.items() if c in df.columns})
 
 
 def graded_merge(columns: Sequence[str]) -> Column:
@@ -190,10 +191,10 @@ def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence
         return []
     aggregates = []
     for i, c in enumerate(names):
-        number = F.col(f"`{c}`").cast("string").try_cast("double")
+        number = col(c).cast("string").try_cast("double")
         number = F.when(~F.isnan(number), number)
         aggregates += [
-            F.count(F.col(f"`{c}`")).alias(f"v{i}"),
+            F.count(col(c)).alias(f"v{i}"),
             F.count(number).alias(f"n{i}"),
             F.coalesce(F.bool_and(number == F.floor(number)), F.lit(False)).alias(f"w{i}"),
         ]
@@ -208,5 +209,5 @@ def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence
 def apply_numeric_types(df: DataFrame, plan: Sequence[ColumnTyping]) -> DataFrame:
     """Cast the planned columns; values that do not parse become null."""
     return df.withColumns(
-        {t.column: F.col(f"`{t.column}`").cast("string").try_cast("double").try_cast(t.kind) for t in plan}
+        {t.column: col(t.column).cast("string").try_cast("double").try_cast(t.kind) for t in plan}
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.names import col
 from longrec.functions.values import regression_label
 from longrec.operators.ordered import earliest
 
@@ -20,7 +21,7 @@ EXACT_POINTS = 10_000_000
 def unpivot(df: DataFrame, ids: Sequence[str], variables: Sequence[str]) -> DataFrame:
     """(ids, variable, y) without null values."""
     return df.unpivot(
-        list(ids), [F.col(f"`{v}`").cast("double").alias(v) for v in variables], "variable", "y"
+        list(ids), [col(v).cast("double").alias(v) for v in variables], "variable", "y"
     ).where(F.col("y").isNotNull())
 
 
@@ -43,7 +44,7 @@ def subject_slopes(
     ids = list(dict.fromkeys([subject, x, *([group] if group else []), *order_by]))
     names = {c: f"__{i}" for i, c in enumerate(ids)}
     # ids are copied so that x or the order may also be listed as variables
-    source = df.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()], *[F.col(f"`{v}`") for v in variables])
+    source = df.select(*[col(c).alias(a) for c, a in names.items()], *[col(v) for v in variables])
     long = unpivot(source, list(names.values()), variables)
     xs, y = F.col(names[x]).cast("double"), F.col("y")
     ordered = [names[c] for c in order_by]
@@ -52,10 +53,10 @@ def subject_slopes(
         F.count(F.lit(1)).alias("points"),
         F.min("y").alias("low"),
         F.max("y").alias("high"),
-        earliest(names[x], ordered).alias("first_x"),
     ]
-    if group:
-        stats.append(earliest(names[group], ordered).alias("first_group"))
+    # x and group of the same row, the first one with a y
+    first = F.struct(F.col(names[x]).alias("x"), *([F.col(names[group]).alias("g")] if group else []))
+    stats.append(earliest(first, ordered).alias("first"))
     stats += [f.alias(a) for a, f in {"sl": F.regr_slope(y, xs), "sxx": F.regr_sxx(y, xs), "syy": F.regr_syy(y, xs), "sxy": F.regr_sxy(y, xs)}.items()]
     if decimals is not None:
         a = F.round(xs * 10 ** decimals[0]).cast("decimal(18,0)")
@@ -65,7 +66,6 @@ def subject_slopes(
         sums = {"ex": a, "ey": b, "exx": (a * a), "eyy": (b * b), "exy": (a * b)}
         stats += [F.sum(F.when(pair, e.cast(wide))).cast(wide).alias(name) for name, e in sums.items()]
     grouped = long.groupBy(names[subject], "variable").agg(*stats)
-
     slope, sse = _double_fit()
     if decimals is not None:
         exact_slope, exact_sse = _exact_fit(*decimals)
@@ -76,8 +76,8 @@ def subject_slopes(
     enough = F.col("n") > 1
     return fitted.select(
         F.col(names[subject]).alias(subject),
-        *([F.when(enough, F.col("first_group")).alias(group)] if group else []),
-        F.when(enough, F.col("first_x")).alias(f"{x}_s1"),
+        *([F.when(enough, F.col("first.g")).alias(group)] if group else []),
+        F.when(enough, F.col("first.x")).alias(f"{x}_s1"),
         "variable",
         "slope",
         rmse.alias("rmse"),
@@ -116,7 +116,7 @@ def group_regression(df: DataFrame, x: str, variables: Sequence[str], group: str
 
     Pairs with a missing value are left out.  The p-value runs on the aggregated rows only.
     """
-    source = df.select(F.col(f"`{x}`").cast("double").alias("__x"), F.col(f"`{group}`").alias("__g"), *variables)
+    source = df.select(col(x).cast("double").alias("__x"), col(group).alias("__g"), *[col(v) for v in variables])
     long = unpivot(source, ["__x", "__g"], variables).where(F.col("__x").isNotNull())
     fitted = long.groupBy("__g", "variable").agg(
         F.count(F.lit(1)).alias("n"),

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.names import col, quoted
+
 #: More sessions than this belong in long form.
 MAX_SESSIONS = 5_000
 
@@ -44,7 +46,7 @@ def profile_sessions(
     counts = (
         df.where(F.col(session).isNotNull())
         .groupBy(session)
-        .agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(variables)], F.count(F.lit(1)).alias("rows"))
+        .agg(*[F.count(col(v)).alias(f"n{i}") for i, v in enumerate(variables)], F.count(F.lit(1)).alias("rows"))
         .limit(max_sessions + 1)
         .collect()
     )
@@ -74,9 +76,9 @@ def _pivot(
     The buffers have a fixed size per key and are combined before the shuffle.
     """
     if agg is None:
-        cell = _single(F.struct(*[F.col(v) for v in variables]))
+        cell = _single(F.struct(*[col(v) for v in variables]))
     else:
-        cell = F.struct(*[agg(v).alias(v) for v in variables])
+        cell = F.struct(*[agg(quoted(v)).alias(v) for v in variables])
     wide = df.groupBy(*keys).pivot(label, list(values)).agg(cell.alias("cell"))
     return wide.toDF(*keys, *[f"__{i}" for i in range(len(values))])
 
@@ -120,7 +122,7 @@ def flatten(
         session,
         arms,
         ["__present", *dict.fromkeys([*stable, *longitudinal])],
-        agg if agg is None else (lambda v: F.max(v) if v == "__present" else agg(v)),
+        agg if agg is None else (lambda v: F.max(v) if v == quoted("__present") else agg(v)),
     ).where(F.col("__0.__present").isNotNull())
 
     def block(names: list[str], sessions: list) -> list[tuple]:
@@ -235,7 +237,7 @@ def expand(
     def row(visit: str) -> Column:
         own = cells[visit]
         fields = [
-            (F.col(f"`{own[v]}`") if v in own else F.lit(None)).cast(types[v]).alias(v) for v in variables
+            (col(own[v]) if v in own else F.lit(None)).cast(types[v]).alias(v) for v in variables
         ]
         return F.struct(F.lit(visit).alias(session), *fields)
 
@@ -247,9 +249,9 @@ def expand(
 
 
 def _any_value(columns: Sequence[str]) -> Column:
-    found = F.col(f"`{columns[0]}`").isNotNull()
+    found = col(columns[0]).isNotNull()
     for c in columns[1:]:
-        found = found | F.col(f"`{c}`").isNotNull()
+        found = found | col(c).isNotNull()
     return found
 
 
@@ -283,7 +285,7 @@ def long_transpose(df: DataFrame, key: str) -> DataFrame:
     """(variable, subject, value) as text: the transpose that stays distributed."""
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").cast("string").alias("value"))
+            F.struct(F.lit(c).alias("variable"), col(c).cast("string").alias("value"))
             for c in df.columns
             if c != key
         ]

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.functions.values import borderline_flag, clinical_flag, percentile_band, range_flag
 from longrec.operators.predicates import answer_sum
 
@@ -67,7 +68,7 @@ def with_range_flags(df: DataFrame, flags: Mapping[str, tuple[float, float]], wa
     """Add the wanted ``<score>.<flag>`` columns from inclusive ranges, in one projection."""
     wanted = set(wanted)
     columns = {
-        name: range_flag(F.col(f"`{name.split('.')[0]}`"), low, high)
+        name: range_flag(col(name.split('.')[0]), low, high)
         for name, (low, high) in flags.items()
         if name in wanted
     }

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec import fixed_values as fixed
 from longrec.functions import labels
 from longrec.operators import columns, predicates, regression, reshape
@@ -24,7 +25,7 @@ def import_blocks(df: DataFrame, key: str = "record_id", block: str = "block", m
         key,
         F.concat(F.lit("block"), F.col(block).cast("string")).alias("block"),
         labels.measure_code(F.col(measure), fixed.MEASURE_FIXES).alias("code"),
-        *[F.col(f"`{c}`").alias(side) for c, side in sides.items()],
+        *[col(c).alias(side) for c, side in sides.items()],
     )
     wide = reshape.blocks_wide(rows, key, "block", "code", list(sides.values()))
     suffix, old, new = fixed.IRREGULAR_BLOCK_SUFFIX

@@ -8,10 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec import fixed_values as fixed
 from longrec.functions import labels, values
 from longrec.operators import columns, ordered, predicates, reshape, scoring
-from longrec.session import collect_small
+from longrec.session import collect_small, cut_lineage
 
 # Battery columns -> score names, and names of the finished scores.
 BATTERY_SCORES = {
@@ -72,7 +73,7 @@ def import_battery(
     scores = list(BATTERY_SCORES.values())
     rows = ordered.keep_last(rows, dedupe, order_by)
     rows = predicates.drop_all_null(rows.select("subject", "session_number", instrument, *scores), scores)
-    wide = reshape.double_flatten(rows, "subject", "session_number", instrument, "s")
+    wide = reshape.double_flatten(cut_lineage(rows), "subject", "session_number", instrument, "s")
     named = columns.rename_by_rules(wide, _battery_rules())
     return columns.drop_matching(named, r"\w*_(raw|tscore)$", unless="neuroqol")
 
@@ -105,7 +106,7 @@ def import_scores(
     key = renames.get(id_column, id_column)
     if longitudinal:
         subject, visit = labels.split_key(F.col(key))
-        rest = [F.col(f"`{c}`") for c in scored.columns if c != key]
+        rest = [col(c) for c in scored.columns if c != key]
         scored = scored.select(subject.alias(key), visit.alias(event), *rest)
     scored = scored.withColumns({c: values.to_integer(F.col(c)) for c in integer_columns if c in scored.columns})
     return reshape.simple_flatten(scored, [key], event) if wide and longitudinal else scored
@@ -174,7 +175,7 @@ def _norm(raw: str, table: Mapping[int, int]) -> Column:
     if not table:
         return F.lit(None).cast("int")
     listed = F.array(*[F.lit(table.get(i)).cast("int") for i in range(max(table) + 1)])
-    return F.get(listed, F.col(f"`{raw}`").cast("int"))
+    return F.get(listed, col(raw).cast("int"))
 
 
 def collect_score_reports(
@@ -202,5 +203,5 @@ def collect_score_reports(
     )
     named = cells.select(key, event, F.explode(entries).alias("e")).where(F.col("e").isNotNull())
     long = named.select(key, event, F.col("e.name").alias("name"), F.col("e.value").alias("value"))
-    wide = reshape.simple_flatten(long, [key, event], "name", prefix, sort=False)
+    wide = reshape.simple_flatten(cut_lineage(long), [key, event], "name", prefix, sort=False)
     return wide.toDF(*[c.removesuffix("_value") for c in wide.columns])

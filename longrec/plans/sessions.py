@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from longrec.functions import dates, labels
 from longrec.operators import ages, columns, joins, ordered, predicates, reshape
+from longrec.session import cut_lineage
 
 
 def format_sessions(
@@ -41,13 +42,20 @@ def format_sessions(
     rows = rows.withColumn(event, labels.strip_event_tail(F.col(event)))
     if consecutive is not None:
         predicates.check_year_count(rows, event, consecutive)
-    for date, name in ((session_date, "session_age"), (imaging_date, imaging_age)):
-        if birth in rows.columns and date in rows.columns and name not in rows.columns:
-            rows = ages.with_age(rows, key, birth, date, name, order_by)
+    wanted = {
+        name: date
+        for date, name in ((session_date, "session_age"), (imaging_date, imaging_age))
+        if birth in rows.columns and date in rows.columns and name not in rows.columns
+    }
+    # birth dates come from all rows, ages are needed for the kept ones only
+    births = ages.birth_dates(rows, key, birth, order_by) if wanted else None
     rows = predicates.keep_attended(rows, session, missed, event)
     if consecutive is not None:
         rows = ordered.consecutive_years(rows, [key], year, order_by, consecutive)
-    predicates.check_not_empty(rows)
+    if births is not None:
+        rows = ages.replace_birth(rows, births, key, birth)
+        for name, date in wanted.items():
+            rows = ages.insert_age(rows, birth, date, name)
 
     rows = rows.withColumn("clinic_year", labels.clinic_label(F.col(event)))
     rows = rows.withColumnRenamed("session_age", "clinic_age")
@@ -56,8 +64,11 @@ def format_sessions(
         rows = rows.where(predicates.imaging_or_stable(imaging_age, "clinic_year"))
     if flatten_by:
         by, prefix = {"session": (session, "s"), "clinic": ("clinic_year", "c")}[flatten_by]
-        rows = rows.drop(*[c for c in order_by if c not in (key, by) and c not in df.columns])
+        # the reshape looks at the rows twice: once for its columns, once for the values
+        rows = predicates.check_not_empty(cut_lineage(rows))
         rows = reshape.flatten(rows, key, by, prefix, sort_by != "variable", bookkeeping=("clinic_year", session))
+    else:
+        predicates.check_not_empty(rows)
     return reshape.long_transpose(rows, key) if transpose else rows
 
 
@@ -107,15 +118,13 @@ def format_cohort(
     rows = rows.where(F.col(date).isNotNull())
     order = [date, session]
     if duration:
-        onset = ages.onset_ages(rows, subject, session, onset_age)
-        rows = ages.with_age(rows, subject, "dob", date, "session_age", order)
-        rows = ages.with_duration(rows, onset, subject, "session_age", kind).drop("session_age")
+        rows = ages.with_age_and_duration(rows, subject, session, "dob", date, onset_age, kind, order).drop("session_age")
     if consecutive:
         rows = rows.withColumn("session_year", F.year(date))
         rows = ordered.consecutive_years(rows, [subject], "session_year", order, consecutive).drop("session_year")
     rows = columns.rename_common(rows, names, back=True)
     if not long:
-        rows = reshape.simple_flatten(rows, [key], session)
+        rows = reshape.simple_flatten(cut_lineage(rows), [key], session)
         rows = reshape.drop_default_session(rows, prefixed)
     if fields:
         rows = joins.undo_enrich(rows, DURATION_FIELDS if long else fields)

@@ -15,6 +15,11 @@ def _purchases(spark, d):
     )
 
 
+def _sixteenth(rows):
+    """A size all of five keys exceed."""
+    return rows.count() // 16
+
+
 def _order_years(spark, d):
     """One row per customer and order year, so no customer has more rows than there are years."""
     return table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("order_year")).distinct()
@@ -91,7 +96,8 @@ def consecutive_years_long_groups(spark, d):
         "o_orderkey", "o_orderdate", "o_orderpriority", F.year("o_orderdate").alias("order_year")
     )
     return ordered.consecutive_years(
-        rows, ["o_orderpriority"], "order_year", ["o_orderdate", "o_orderkey"], 2, keep_all=True, split_above=1000
+        rows, ["o_orderpriority"], "order_year", ["o_orderdate", "o_orderkey"], 2, keep_all=True,
+        split_above=_sixteenth(rows),
     )
 
 
@@ -136,7 +142,8 @@ def _large(spark, d):
 )
 def forward_fill_long_groups(spark, d):
     """Five keys hold all rows: filled in slices with a carried value."""
-    return ordered.forward_fill(_large(spark, d), ["event_type"], ["large"], ["ts", "event_id"], split_above=1000)
+    rows = _large(spark, d)
+    return ordered.forward_fill(rows, ["event_type"], ["large"], ["ts", "event_id"], split_above=_sixteenth(rows))
 
 
 @query(
@@ -145,7 +152,8 @@ def forward_fill_long_groups(spark, d):
   partition by event_type order by ts, event_id rows between current row and unbounded following) large from events""",
 )
 def backward_fill_long_groups(spark, d):
-    return ordered.backward_fill(_large(spark, d), ["event_type"], ["large"], ["ts", "event_id"], split_above=1000)
+    rows = _large(spark, d)
+    return ordered.backward_fill(rows, ["event_type"], ["large"], ["ts", "event_id"], split_above=_sixteenth(rows))
 
 
 @query(

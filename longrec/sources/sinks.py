@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.functions.values import plain_answer
 
 
 def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """CSV folder with the key columns first."""
     rest = [c for c in df.columns if c not in keys]
-    df.select(*keys, *[F.col(f"`{c}`") for c in rest]).write.mode(mode).csv(path, header=True)
+    df.select(*keys, *[col(c) for c in rest]).write.mode(mode).csv(path, header=True)
 
 
 def answer_document(
@@ -25,7 +26,7 @@ def answer_document(
     text is cut to its integer part.  The id joins the keys with ``_``.
     """
     def answer(column: str) -> Column:
-        value = F.col(f"`{column}`").cast("string")
+        value = col(column).cast("string")
         return F.when(
             value.isNotNull(),
             F.struct(
@@ -37,7 +38,7 @@ def answer_document(
 
     asked = [c for c in df.columns if c in question_ids and c not in keys]
     answers = F.filter(F.array(*[answer(c) for c in asked]), lambda a: a.isNotNull())
-    patient = F.concat_ws("_", *[F.col(f"`{k}`").cast("string") for k in keys])
+    patient = F.concat_ws("_", *[col(k).cast("string") for k in keys])
     form = F.struct(
         F.struct(F.lit(form_id).alias("Id"), answers.alias("Answers")).alias("FormInstrument"),
         F.struct(F.lit(society_id).alias("Id")).alias("Society"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.names import col
 from longrec.fixed_values import NULL_TOKENS
 from longrec.operators.recode import apply_numeric_types
 
@@ -29,13 +30,13 @@ def _csv(spark: SparkSession, sep: str, multiline: bool):
 def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Null for every text that stands for a missing value."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(list(tokens)), F.col(f"`{c}`")) for c in texts})
+    return df.withColumns({c: F.when(~col(c).isin(list(tokens)), col(c)) for c in texts})
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN means missing: store it as null."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) for c in floats})
+    return df.withColumns({c: F.when(~F.isnan(f"`{c}`"), col(c)) for c in floats})
 
 
 def read_text_table(spark: SparkSession, path, sep: str = ",", multiline: bool = False) -> DataFrame:
@@ -51,7 +52,7 @@ def read_table(
         text = read_text_table(spark, path, sep, multiline)
         wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         return nan_to_null(
-            text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields])
+            text.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
         )
     return infer_types(read_text_table(spark, path, sep, multiline))
 
@@ -63,7 +64,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         return df
     tests: list[Column] = []
     for i, c in enumerate(texts):
-        value = F.col(f"`{c}`")
+        value = col(c)
         tests += [
             F.count(value).alias(f"v{i}"),
             F.count(value.try_cast("long")).alias(f"l{i}"),
@@ -76,7 +77,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         rows = row[f"v{i}"]
         kinds = [k for k, n in (("long", row[f"l{i}"]), ("double", row[f"d{i}"]), ("boolean", row[f"b{i}"])) if n == rows]
         if rows and kinds:
-            casts[c] = F.col(f"`{c}`").cast(kinds[0])
+            casts[c] = col(c).cast(kinds[0])
     return nan_to_null(df.withColumns(casts))
 
 
