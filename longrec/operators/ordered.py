@@ -77,6 +77,16 @@ def earliest(column: str | Column, order_by: Sequence[str]) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), F.struct(*order_by)))
 
 
+def of_first_row(column: str | Column, order_by: Sequence[str]) -> Column:
+    """Aggregate: the value of the first row in order, missing or not."""
+    value = col(column) if isinstance(column, str) else column
+    if len(order_by) == 1:
+        order = F.col(order_by[0])
+        undated = F.min(F.when(order.isNull(), value))
+        return F.when(F.count(F.when(order.isNull(), 1)) > 0, undated).otherwise(F.min_by(value, order))
+    return F.min_by(value, F.struct(*order_by))
+
+
 def latest(column: str | Column, order_by: Sequence[str]) -> Column:
     """Aggregate: the last non-null value of ``column`` in order."""
     value = col(column) if isinstance(column, str) else column

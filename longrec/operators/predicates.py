@@ -75,15 +75,19 @@ def subjects_in(df: DataFrame, key: str, subjects: Sequence[str] | DataFrame) ->
 
 
 def without_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``known``."""
+    """Rows whose key is not in ``known``.
+
+    The known keys are reduced before the shuffle: a key that fills a third of ``known`` arrives
+    once per task.
+    """
     on = same_keys("rows", "known", keys)
-    return df.alias("rows").join(known.select(*keys).alias("known"), on, "left_anti")
+    return df.alias("rows").join(known.select(*keys).distinct().alias("known"), on, "left_anti")
 
 
 def with_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``known``."""
     on = same_keys("rows", "known", keys)
-    return df.alias("rows").join(known.select(*keys).alias("known"), on, "left_semi")
+    return df.alias("rows").join(known.select(*keys).distinct().alias("known"), on, "left_semi")
 
 
 def imaging_or_stable(age: str, label: str, stable: str = "0") -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from longrec.names import col
 from longrec.functions.values import regression_label
-from longrec.operators.ordered import earliest
+from longrec.operators.ordered import of_first_row
 
 #: Exact sums stay inside decimal(38,0) up to this many points; larger groups use doubles.
 EXACT_POINTS = 10_000_000
@@ -54,9 +54,10 @@ def subject_slopes(
         F.min("y").alias("low"),
         F.max("y").alias("high"),
     ]
-    # x and group of the same row, the first one with a y
-    first = F.struct(F.col(names[x]).alias("x"), *([F.col(names[group]).alias("g")] if group else []))
-    stats.append(earliest(first, ordered).alias("first"))
+    # x and group of the first row with a y; numbers under a single order key stay hash aggregates
+    stats.append(of_first_row(names[x], ordered).alias("first_x"))
+    if group:
+        stats.append(of_first_row(names[group], ordered).alias("first_group"))
     stats += [f.alias(a) for a, f in {"sl": F.regr_slope(y, xs), "sxx": F.regr_sxx(y, xs), "syy": F.regr_syy(y, xs), "sxy": F.regr_sxy(y, xs)}.items()]
     if decimals is not None:
         a = F.round(xs * 10 ** decimals[0]).cast("decimal(18,0)")
@@ -76,8 +77,8 @@ def subject_slopes(
     enough = F.col("n") > 1
     return fitted.select(
         F.col(names[subject]).alias(subject),
-        *([F.when(enough, F.col("first.g")).alias(group)] if group else []),
-        F.when(enough, F.col("first.x")).alias(f"{x}_s1"),
+        *([F.when(enough, F.col("first_group")).alias(group)] if group else []),
+        F.when(enough, F.col("first_x")).alias(f"{x}_s1"),
         "variable",
         "slope",
         rmse.alias("rmse"),

@@ -20,6 +20,9 @@ from longrec.names import col, quoted
 #: More sessions than this belong in long form.
 MAX_SESSIONS = 5_000
 
+#: With more labels than this a pivot gathers cells instead of testing every label per row.
+MANY_LABELS = 200
+
 SESSION_PREFIX = re.compile(r"s\d+_")
 
 
@@ -73,12 +76,20 @@ def _pivot(
 ) -> DataFrame:
     """One struct column per label holding the variables: a single shuffle by ``keys``.
 
-    The buffers have a fixed size per key and are combined before the shuffle.
+    The buffers have a fixed size per key and are combined before the shuffle.  They cost one
+    test per label and row, so beyond ``MANY_LABELS`` the cells are built per key and label
+    first and then gathered: at most one entry per label, whatever the number of rows.
     """
     if agg is None:
         cell = _single(F.struct(*[col(v) for v in variables]))
     else:
         cell = F.struct(*[agg(quoted(v)).alias(v) for v in variables])
+    if len(values) > MANY_LABELS:
+        cells = df.where(F.col(label).isNotNull()).groupBy(*keys, label).agg(cell.alias("cell"))
+        gathered = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(label, "cell"))).alias("cells"))
+        return gathered.select(
+            *keys, *[F.try_element_at("cells", F.lit(v)).alias(f"__{i}") for i, v in enumerate(values)]
+        )
     wide = df.groupBy(*keys).pivot(label, list(values)).agg(cell.alias("cell"))
     return wide.toDF(*keys, *[f"__{i}" for i in range(len(values))])
 

@@ -10,22 +10,23 @@ from pyspark.sql import functions as F
 from longrec.names import col
 from longrec.functions.values import borderline_flag, clinical_flag, percentile_band, range_flag
 from longrec.operators.predicates import answer_sum
+from longrec.session import broadcast_if_small
 
 
 def raw_scores(answers: DataFrame, scales: DataFrame, keys: Sequence[str], question: str, value: str) -> DataFrame:
     """Long form: (keys, scale, raw) from answers and a (scale, question) table.
 
-    Scales are small and joined by Spark's size check; sums are combined before the shuffle.
+    The scales are counted and broadcast where they are few, so that the answers are shuffled
+    only once, as partial sums.
     """
-    return (
-        answers.join(scales, question, "inner").groupBy(*keys, "scale").agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("raw"))
-    )
+    asked = answers.join(broadcast_if_small(scales), question, "inner")
+    return asked.groupBy(*keys, "scale").agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("raw"))
 
 
 def composite_scores(raw: DataFrame, composites: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Raw scores of composites from a (composite, scale) table, added to those of the scales."""
     summed = (
-        raw.join(composites, "scale", "inner")
+        raw.join(broadcast_if_small(composites), "scale", "inner")
         .groupBy(*keys, "composite")
         .agg(F.sum("raw").alias("raw"))
         .select(*keys, F.col("composite").alias("scale"), "raw")
@@ -44,8 +45,12 @@ def raw_score_columns(df: DataFrame, scales: Mapping[str, Sequence[str]], templa
 
 
 def lookup_scores(raw: DataFrame, norms: DataFrame) -> DataFrame:
-    """Add ``tscore`` from a (scale, raw, tscore) table; raw scores outside it give null."""
-    return raw.join(norms, ["scale", "raw"], "left")
+    """Add ``tscore`` from a (scale, raw, tscore) table; raw scores outside it give null.
+
+    A raw score that most rows share cannot skew the join: norms are broadcast if they are few,
+    and the row side of a left join can be split if they are not.
+    """
+    return raw.join(broadcast_if_small(norms), ["scale", "raw"], "left")
 
 
 def unmatched_scores(scored: DataFrame) -> DataFrame:

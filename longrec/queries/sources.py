@@ -169,6 +169,9 @@ _LATEST = """select o_custkey, o_orderstatus, o_orderkey, o_totalprice from (
   from orders) where rn = 1"""
 
 
+_STORE_KEYS, _STORE_ORDER = ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"]
+
+
 def _halves(spark, d):
     rows = table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice", "o_orderdate")
     early = F.col("o_orderdate") < F.lit("1998-01-01")
@@ -177,12 +180,16 @@ def _halves(spark, d):
 
 @query("upsert_store", _LATEST)
 def upsert_store(spark, d):
-    """Two batches into the store, the second one twice."""
+    """Two batches into the store, the second one twice and once more after a compaction."""
     store = shared_dir(spark, "store")
     first, second = _halves(spark, d)
-    for batch, rows in ((0, first), (1, second), (1, second)):
-        upsert.upsert_batch(rows, store, batch, ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"], "o_orderstatus")
-    return upsert.read_store(spark, store, kind="o_orderstatus").select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
+    options = (_STORE_KEYS, _STORE_ORDER, "o_orderstatus")
+    upsert.upsert_batch(first, store, 0, *options)
+    upsert.upsert_batch(second, store, 1, *options)
+    upsert.upsert_batch(second, store, 1, *options)
+    upsert.compact(spark, store, 1, *options)
+    upsert.upsert_batch(second, store, 2, *options)
+    return upsert.read_store(spark, store, *options).select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
 
 
 @query("stream_upserts", _LATEST)
@@ -193,9 +200,9 @@ def stream_upserts(spark, d):
         rows.write.mode("append").parquet(f"{base}/in")
         new = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
         upsert.stream_upserts(
-            new, f"{base}/store", f"{base}/checkpoint", ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"], "o_orderstatus"
+            new, f"{base}/store", f"{base}/checkpoint", _STORE_KEYS, _STORE_ORDER, "o_orderstatus"
         ).awaitTermination()
-    return upsert.read_store(spark, f"{base}/store", kind="o_orderstatus").select(
+    return upsert.read_store(spark, f"{base}/store", _STORE_KEYS, _STORE_ORDER, "o_orderstatus").select(
         "o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice"
     )
 

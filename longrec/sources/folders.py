@@ -63,15 +63,18 @@ def scan_folder(
     if not columns:
         return None, skipped
     width = kept.agg(F.max(F.size("names"))).first()[0]
+    # where each column of the result stands in a file, found once per file
+    listed = F.lit([c["name"] for c in columns])
+    kept = kept.select("file", "header", F.transform(listed, lambda c: F.array_position("names", c).cast("int")).alias("places"))
     fields = F.from_csv(
         F.col("line"), F.lit(", ".join(f"f{i} string" for i in range(width))), {"sep": sep, "escape": '"'}
     )
     lines = _lines(spark, folder, glob).drop("start").join(broadcast_if_small(kept), "file")
     split = lines.where(F.col("line") != F.col("header")).select(
-        "file", "names", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
+        "file", "places", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
     )
     rows = split.select(
-        *[F.get("fields", F.array_position("names", c["name"]).cast("int") - 1).alias(c["name"]) for c in columns], "file"
+        *[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c["name"]) for i, c in enumerate(columns)], "file"
     )
     rows = null_tokens_to_null(rows)
     return infer_types(drop_all_null(rows, [c["name"] for c in columns])), skipped

@@ -1,8 +1,9 @@
-"""Incremental reports as a versioned Parquet store, for batches and for streams.
+"""Incremental reports as a Parquet store, for batches and for streams.
 
-Rows are stored by report type and version.  A batch rewrites only the types it brings rows
-for, under its own version number, so that a retried batch replaces itself and readers always
-see the last complete version of every type.
+Rows lie under ``type / level / version``.  A batch writes its own rows only, one per key, as a
+*delta* under its version number; a retried batch replaces itself.  Readers take the newest
+*full* version of a type and the deltas after it, and keep the last row per key.  Compaction
+writes a new full version beside the old ones, which readers follow from then on.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from longrec.operators.ordered import keep_last
 from longrec.session import collect_small
-from longrec.sources.reports import REPORT_KEYS, upsert_reports
+from longrec.sources.reports import REPORT_KEYS
 
-VERSION = "version"
-MAX_TYPES = 10_000
+LEVEL, VERSION = "level", "version"
+DELTA, FULL = "delta", "full"
+MAX_PARTS = 100_000
 
 
-def _versions(spark: SparkSession, store: str) -> DataFrame | None:
+def _parts(spark: SparkSession, store: str) -> DataFrame | None:
     try:
         return spark.read.option("mergeSchema", True).parquet(store)
     except AnalysisException as error:
@@ -30,18 +33,41 @@ def _versions(spark: SparkSession, store: str) -> DataFrame | None:
         raise
 
 
-def read_store(spark: SparkSession, store: str, before: int | None = None, kind: str = "type") -> DataFrame | None:
-    """The newest version of every type, optionally only versions before a batch."""
-    rows = _versions(spark, store)
+def _current(rows: DataFrame, kind: str) -> DataFrame:
+    """Literal partition filters for what is valid now, so that replaced parts are not read."""
+    newest: dict[int | None, list] = {}
+    full = F.max(F.when(F.col(LEVEL) == FULL, F.col(VERSION)))
+    for row in collect_small(rows.groupBy(kind).agg(full.alias("full")), MAX_PARTS):
+        newest.setdefault(row["full"], []).append(row[kind])
+    wanted = F.lit(False)
+    for version, kinds in newest.items():
+        of_kind = F.col(kind).isin([k for k in kinds if k is not None])
+        of_kind = F.coalesce(of_kind, F.lit(False)) | (F.col(kind).isNull() if None in kinds else F.lit(False))
+        valid = F.col(LEVEL) == DELTA
+        if version is not None:
+            valid = (valid & (F.col(VERSION) > version)) | ((F.col(LEVEL) == FULL) & (F.col(VERSION) == version))
+        wanted = wanted | (of_kind & valid)
+    return rows.where(wanted)
+
+
+def read_store(
+    spark: SparkSession, store: str, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (), kind: str = "type"
+) -> DataFrame | None:
+    """One row per key, the last one written; ``None`` for an empty store."""
+    rows = _parts(spark, store)
     if rows is None:
         return None
-    if before is not None:
-        rows = rows.where(F.col(VERSION) < before)
-    newest = collect_small(rows.groupBy(kind).agg(F.max(VERSION).alias(VERSION)), MAX_TYPES)
-    wanted = F.lit(False)
-    for row in newest:  # literal partition filters: old versions are not read
-        wanted = wanted | (F.col(kind).eqNullSafe(F.lit(row[kind])) & (F.col(VERSION) == row[VERSION]))
-    return rows.where(wanted).drop(VERSION)
+    return keep_last(_current(rows, kind), keys, [VERSION, *order_by]).drop(LEVEL, VERSION)
+
+
+def _write(rows: DataFrame, store: str, kind: str, level: str, version: int) -> None:
+    (
+        rows.withColumns({LEVEL: F.lit(level), VERSION: F.lit(version)})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(kind, LEVEL, VERSION)
+        .parquet(store)
+    )
 
 
 def upsert_batch(
@@ -53,22 +79,22 @@ def upsert_batch(
     kind: str = "type",
     redo: bool = False,
 ) -> None:
-    """Merge one batch into the store; running the same batch again changes nothing."""
-    spark = new.sparkSession
-    touched = [r[0] for r in collect_small(new.select(kind).distinct(), MAX_TYPES)]
-    if not touched:
-        return
-    old = read_store(spark, store, before=batch, kind=kind)
-    if old is not None:
-        old = old.where(F.col(kind).isin(touched))
-    merged = upsert_reports(old, new, keys, order_by, redo)
-    (
-        merged.withColumn(VERSION, F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(kind, VERSION)
-        .parquet(store)
-    )
+    """Add one batch; the same batch again changes nothing.
+
+    The cost is that of the batch, not of the store.  With ``redo`` the rows stored before for
+    the batch's types are no longer valid.
+    """
+    last = keep_last(new, keys, order_by) if order_by else new
+    _write(last, store, kind, FULL if redo else DELTA, batch)
+
+
+def compact(
+    spark: SparkSession, store: str, version: int, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (), kind: str = "type"
+) -> None:
+    """Write what is valid up to ``version`` (the newest batch) as a full version."""
+    rows = read_store(spark, store, keys, order_by, kind)
+    if rows is not None:
+        _write(rows, store, kind, FULL, version)
 
 
 def stream_upserts(
@@ -79,7 +105,7 @@ def stream_upserts(
     order_by: Sequence[str] = (),
     kind: str = "type",
 ) -> StreamingQuery:
-    """Upsert every micro-batch of a stream, then stop when the available files are done."""
+    """Add every micro-batch of a stream, then stop when the available files are done."""
     return (
         new.writeStream.foreachBatch(lambda rows, batch: upsert_batch(rows, store, batch, keys, order_by, kind))
         .option("checkpointLocation", checkpoint)

@@ -123,3 +123,15 @@ def test_too_many_sessions(spark):
 def test_long_transpose(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("b", None, "y")], "id string, n int, t string")
     assert rows(reshape.long_transpose(df, "id")) == [("n", "a", "1"), ("n", "b", None), ("t", "a", "x"), ("t", "b", "y")]
+
+
+def test_many_labels_are_gathered(spark, long, monkeypatch):
+    few = rows(reshape.flatten(long, "id", "session", "s"))
+    df = long.select("id", "session", "v")
+    plain = rows(reshape.simple_flatten(df, ["id"], "session"))
+    monkeypatch.setattr(reshape, "MANY_LABELS", 1)
+    assert rows(reshape.flatten(long, "id", "session", "s")) == few
+    assert rows(reshape.simple_flatten(df, ["id"], "session")) == plain
+    with pytest.raises(Exception, match="more than one row"):
+        reshape.simple_flatten(df.unionByName(df), ["id"], "session").collect()
+    assert rows(reshape.simple_flatten(df.unionByName(df), ["id"], "session", agg=F.max)) == plain

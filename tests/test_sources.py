@@ -154,20 +154,49 @@ def batch(spark, data):
     return spark.createDataFrame(data, "Subject string, type string, v int, i int")
 
 
-def test_store_is_idempotent_and_versioned(spark, tmp_path):
+STORE = (["Subject", "type"], ["i"])
+
+
+def stored(spark, store):
+    return {(r["Subject"], r["type"], r["v"]) for r in upsert.read_store(spark, store, *STORE).collect()}
+
+
+def test_store(spark, tmp_path):
     store = f"{tmp_path}/store"
-    assert upsert.read_store(spark, store) is None
-    upsert.upsert_batch(batch(spark, [("a", "x", 1, 1), ("b", "y", 2, 1)]), store, 0, ["Subject"], ["i"])
+    assert upsert.read_store(spark, store, *STORE) is None
+    first = batch(spark, [("a", "x", 1, 1), ("a", "x", 2, 2), ("b", "y", 2, 1)])
+    upsert.upsert_batch(first, store, 0, *STORE)
+    assert stored(spark, store) == {("a", "x", 2), ("b", "y", 2)}
     second = batch(spark, [("a", "x", 5, 1), ("c", "x", 6, 1)]).withColumn("extra", F.lit("new"))
     for _ in range(2):
-        upsert.upsert_batch(second, store, 1, ["Subject"], ["i"])
-        got = {(r["Subject"], r["type"], r["v"], r["extra"]) for r in upsert.read_store(spark, store).collect()}
-        assert got == {("a", "x", 5, "new"), ("c", "x", 6, "new"), ("b", "y", 2, None)}
-    # only the type with new rows got a new version
+        upsert.upsert_batch(second, store, 1, *STORE)
+        assert stored(spark, store) == {("a", "x", 5), ("c", "x", 6), ("b", "y", 2)}
+    assert {r["extra"] for r in upsert.read_store(spark, store, *STORE).collect()} == {"new", None}
+    # a batch writes its own types only
     versions = spark.read.parquet(store).groupBy("type").agg(F.max("version")).collect()
     assert {tuple(r) for r in versions} == {("x", 1), ("y", 0)}
-    upsert.upsert_batch(batch(spark, []), store, 2, ["Subject"], ["i"])
-    assert upsert.read_store(spark, store).count() == 3
+    upsert.upsert_batch(batch(spark, []), store, 2, *STORE)
+    upsert.compact(spark, store, 2, *STORE)
+    assert stored(spark, store) == {("a", "x", 5), ("c", "x", 6), ("b", "y", 2)}
+    # a batch that is retried after the compaction does not come back
+    upsert.upsert_batch(first, store, 0, *STORE)
+    assert stored(spark, store) == {("a", "x", 5), ("c", "x", 6), ("b", "y", 2)}
+    upsert.upsert_batch(batch(spark, [("a", "x", 7, 1), ("n", None, 8, 1)]), store, 3, *STORE)
+    assert stored(spark, store) == {("a", "x", 7), ("c", "x", 6), ("b", "y", 2), ("n", None, 8)}
+    # doing a type again forgets its earlier rows
+    upsert.upsert_batch(batch(spark, [("d", "x", 9, 1)]), store, 4, *STORE, redo=True)
+    assert stored(spark, store) == {("d", "x", 9), ("b", "y", 2), ("n", None, 8)}
+
+
+def test_compacted_store_reads_the_full_version_only(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    for version in range(3):
+        upsert.upsert_batch(batch(spark, [("a", "x", version, 1)]), store, version, *STORE)
+    upsert.compact(spark, store, 2, *STORE)
+    files = upsert._current(spark.read.parquet(store), "type").inputFiles()
+    assert stored(spark, store) == {("a", "x", 2)}
+    plan = upsert.read_store(spark, store, *STORE)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "level" in plan.split("PartitionFilters")[1][:400] and files
 
 
 def test_stream(spark, tmp_path):
@@ -176,7 +205,7 @@ def test_stream(spark, tmp_path):
         batch(spark, data).coalesce(1).write.mode("append").parquet(folder)
         new = spark.readStream.schema("Subject string, type string, v int, i int").parquet(folder)
         upsert.stream_upserts(new, store, mark, ["Subject"], ["i"]).awaitTermination()
-    assert {(r["Subject"], r["v"]) for r in upsert.read_store(spark, store).collect()} == {("a", 9), ("b", 2)}
+    assert {(r["Subject"], r["v"]) for r in upsert.read_store(spark, store, ["Subject"], ["i"]).collect()} == {("a", 9), ("b", 2)}
 
 
 def test_shared_folder_comes_from_the_session(spark):
