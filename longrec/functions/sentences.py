@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.fixed_values import DIAGNOSES
 from longrec.functions.values import fixed_text
+from longrec.names import col
 
 
 def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estimate: Column) -> Column:
@@ -47,3 +51,13 @@ def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estim
         F.lit(heading.format("Notes")),
         F.coalesce(notes, F.lit("")),
     )
+
+
+def with_diagnosis_texts(df: DataFrame, codes: Sequence[str] = DIAGNOSES) -> DataFrame:
+    """Add ``<code>_dx_label`` for every diagnosis, in one projection.
+
+    A diagnosis has the columns ``<code>_dx_date_rule``, ``_dx_age``, ``_dx_date_notes``,
+    ``_dx_date`` and ``_dx_date_est``.
+    """
+    parts = ("dx_date_rule", "dx_age", "dx_date_notes", "dx_date", "dx_date_est")
+    return df.withColumns({f"{c}_dx_label": diagnosis_text(*[col(f"{c}_{p}") for p in parts]) for c in codes})

@@ -139,16 +139,20 @@ def split_long_groups(
     if split_above is None:
         return df, None
     long_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_above)
-    found = long_keys.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("rows")).first()
-    if not found["keys"]:
+    found = long_keys.limit(MAX_LISTED_KEYS + 1).collect()
+    if not found:
         return df, None
     listed = long_keys.select(*keys)
-    if found["keys"] <= MAX_LISTED_KEYS:
-        listed = F.broadcast(df.sparkSession.createDataFrame(listed.collect(), listed.schema))
+    if len(found) <= MAX_LISTED_KEYS:
+        long_count = sum(r["__n"] for r in found)
+        short_list = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], listed.schema)
+        listed = F.broadcast(short_list)
+    else:
+        long_count = long_keys.agg(F.sum("__n")).first()[0]
     on = same_keys("rows", "listed", keys)
     rows, listed = df.alias("rows"), listed.alias("listed")
     long_rows = rows.join(listed, on, "left_semi")
-    slices = max(2, math.ceil(found["rows"] / split_above))
+    slices = max(2, math.ceil(long_count / split_above))
     sliced = long_rows.repartitionByRange(slices, *keys, *_ordering(order_by)).withColumn(
         SLICE, F.spark_partition_id()
     )

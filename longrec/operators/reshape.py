@@ -304,6 +304,14 @@ def long_transpose(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.explode(cells).alias("cell"), F.col(key)).select("cell.variable", key, "cell.value")
 
 
+def transpose_small(df: DataFrame, key: str, max_rows: int = 1_000) -> DataFrame:
+    """Subjects as columns, for a result that fits a screen; larger ones use ``long_transpose``."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows: use long_transpose")
+    texts = [col(c).cast("string").alias(c) for c in df.columns if c != key]
+    return df.select(key, *texts).transpose().withColumnRenamed("key", "variable")
+
+
 def slopes_wide(slopes: DataFrame, keys: Sequence[str], variable: str = "variable", variables: Sequence[str] | None = None) -> DataFrame:
     """``<variable>_<statistic>`` per subject, ordered by variable, then statistic."""
     stats = sorted(c for c in slopes.columns if c not in (*keys, variable))

@@ -172,6 +172,17 @@ def long_transpose(spark, d):
     return reshape.long_transpose(table(spark, d, "customer"), "c_custkey")
 
 
+@query(
+    "transpose_small",
+    "select 'n_name' variable, " + ", ".join(f"max(case when n_nationkey = {k} then n_name end) \"{k}\"" for k in range(25))
+    + " from nation union all select 'n_regionkey', "
+    + ", ".join(f"max(case when n_nationkey = {k} then cast(n_regionkey as varchar) end)" for k in range(25)) + " from nation",
+)
+def transpose_small(spark, d):
+    """Nations as columns; the number of rows is checked first."""
+    return reshape.transpose_small(table(spark, d, "nation"), "n_nationkey")
+
+
 @query(
     "drop_empty_columns",
     "select user_id, " + ", ".join(f"max(value) filter (event_type = '{t}') {t}" for t in TYPES) + " from events group by user_id",

@@ -290,6 +290,28 @@ def dx_text_unknown(spark, d):
     )
 
 
+@query(
+    "dx_texts",
+    """select p_partkey, '<span style="color:#0e1f8a;">Diagnosis:</span> <i>Estimated age</i> at dx = ' || p_size || '.0'
+  || '<br /><br /><span style="color:#0e1f8a;">Notes:</span> ' || p_name dm_dx_label,
+  '<span style="color:#0e1f8a;">Diagnosis:</span> ' || case when p_size > 20 then 'No diagnosis' else 'Diagnosis present, but age unknown' end
+  || '<br /><br /><span style="color:#0e1f8a;">Notes:</span> ' || p_type oa_dx_label from part""",
+)
+def dx_texts(spark, d):
+    """Two diagnoses of a row at once."""
+    none = F.lit("")
+    rows = table(spark, d, "part").select(
+        "p_partkey",
+        *[c.alias(n) for n, c in {
+            "dm_dx_date_rule": F.lit("Age"), "dm_dx_age": F.col("p_size").cast("double"), "dm_dx_date_notes": F.col("p_name"),
+            "dm_dx_date": none, "dm_dx_date_est": none,
+            "oa_dx_date_rule": F.when(F.col("p_size") > 20, "No dx").otherwise("Dx age unknown"), "oa_dx_age": F.lit(None).cast("double"),
+            "oa_dx_date_notes": F.col("p_type"), "oa_dx_date": none, "oa_dx_date_est": none,
+        }.items()],
+    )
+    return sentences.with_diagnosis_texts(rows, ["dm", "oa"]).select("p_partkey", "dm_dx_label", "oa_dx_label")
+
+
 _CARD = [f"q{k}" for k in range(1, 8)]
 _COUNTS = ", ".join(f"nullif(count(*) filter (l_linenumber = {k}), 0) q{k}" for k in range(1, 8))
 _DIGITS = " || ".join(f"coalesce(cast(q{k} - shift as varchar), '9')" for k in range(1, 8))

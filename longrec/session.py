@@ -49,11 +49,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
+    """``df`` written once to the shared folder and read back.
+
+    A Parquet table, so that each later pass reads its own columns only.  It outlives lost
+    executors.  Column types Parquet cannot hold make it a reliable checkpoint instead.
+    """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
+    if any("void" in kind or "interval" in kind or "variant" in kind for _, kind in df.dtypes):
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
+        return df.checkpoint(eager=True)
+    path = shared_dir(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def collect_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list:

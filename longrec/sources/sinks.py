@@ -11,10 +11,13 @@ from longrec.names import col
 from longrec.functions.values import plain_answer
 
 
-def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """CSV folder with the key columns first."""
+def write_csv(
+    df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "errorifexists", sort: bool = False
+) -> None:
+    """CSV folder with the key columns first, optionally sorted by them over all files."""
     rest = [c for c in df.columns if c not in keys]
-    df.select(*keys, *[col(c) for c in rest]).write.mode(mode).csv(path, header=True)
+    ordered = df.orderBy(*keys) if sort else df
+    ordered.select(*keys, *[col(c) for c in rest]).write.mode(mode).csv(path, header=True)
 
 
 def answer_document(

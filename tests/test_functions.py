@@ -46,15 +46,15 @@ def test_clinic_label(spark):
 
 
 def test_pins(spark):
-    data = [("NEWT001",), ("NEWT 001_s2",), ("newt001-S2",), ("NEWT012s3 parent",), ("NEWT0012",), ("abc",), (None,)]
+    data = [("SUBJ001",), ("SUBJ 001_s2",), ("subj001-S2",), ("SUBJ012s3 parent",), ("SUBJ0012",), ("abc",), (None,)]
     got = one(spark, "p string", data, labels.pin_subject(F.col("p")), labels.pin_session(F.col("p")))
     assert got == [
-        ("NEWT001", "1"), ("NEWT001", "2"), ("NEWT001", "2"), ("NEWT012", "3"), ("NEWT0012", "1"), (None, "1"), (None, None)
+        ("SUBJ001", "1"), ("SUBJ001", "2"), ("SUBJ001", "2"), ("SUBJ012", "3"), ("SUBJ0012", "1"), (None, "1"), (None, None)
     ]
 
 
 def test_instruments(spark):
-    data = [("NIH Oral Reading Test",), ("Crystallized Composite v2",), ("Other",)]
+    data = [("TB Oral Reading Test",), ("Crystallized Composite v2",), ("Other",)]
     assert one(spark, "i string", data, labels.map_instrument(F.col("i"), fixed.SUBJECT_INSTRUMENTS)) == [
         ("oral_reading",), ("crystal_cog",), ("Other",)
     ]

@@ -145,6 +145,14 @@ def test_documents(spark, tmp_path):
     assert got == {"a_s1": [(1, "1", [])], "b_s2": [(1, "x", []), (2, "2", [])]}
 
 
+def test_csv_sink_sorts(spark, tmp_path):
+    df = spark.range(0, 50, 1, 7).selectExpr("id * 7 % 50 as id", "id as v")
+    sinks.write_csv(df, f"{tmp_path}/out", ["id"], sort=True)
+    parts = sorted(p for p in os.listdir(f"{tmp_path}/out") if p.endswith(".csv"))
+    lines = [line for p in parts for line in open(f"{tmp_path}/out/{p}").read().split("\n")[1:] if line]
+    assert [int(line.split(",")[0]) for line in lines] == list(range(50))
+
+
 def test_csv_sink_puts_keys_first(spark, tmp_path):
     sinks.write_csv(spark.createDataFrame([(1, "k")], "v int, id string"), f"{tmp_path}/out", ["id"])
     assert spark.read.csv(f"{tmp_path}/out", header=True).columns == ["id", "v"]
@@ -193,10 +201,9 @@ def test_compacted_store_reads_the_full_version_only(spark, tmp_path):
     for version in range(3):
         upsert.upsert_batch(batch(spark, [("a", "x", version, 1)]), store, version, *STORE)
     upsert.compact(spark, store, 2, *STORE)
-    files = upsert._current(spark.read.parquet(store), "type").inputFiles()
     assert stored(spark, store) == {("a", "x", 2)}
     plan = upsert.read_store(spark, store, *STORE)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "level" in plan.split("PartitionFilters")[1][:400] and files
+    assert "level" in plan.split("PartitionFilters")[1][:400]
 
 
 def test_stream(spark, tmp_path):
