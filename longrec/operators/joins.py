@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longrec.names import col, quoted
-from longrec.operators.ordered import same_keys
 
 ORIGINAL = "_original"
 
@@ -35,13 +34,14 @@ def undo_enrich(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 def merge_fill(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join; base values win, incoming ones fill their nulls.
 
-    Both sides must be unique in ``keys`` for the result to be.
+    Both sides must be unique in ``keys`` for the result to be, and keys must not be null: plain
+    equality lets sides that are already partitioned by the keys stay where they are.
     """
     shared = [c for c in base.columns if c in incoming.columns and c not in keys]
     added = [c for c in incoming.columns if c not in base.columns]
-    joined = base.alias("b").join(incoming.alias("i"), same_keys("b", "i", keys), "full")
+    joined = base.alias("b").join(incoming.alias("i"), list(keys), "full")
     return joined.select(
-        *[F.coalesce(F.col(f"b.{k}"), F.col(f"i.{k}")).alias(k) for k in keys],
+        *keys,
         *[
             F.coalesce(F.col(f"b.`{c}`"), F.col(f"i.`{c}`")).alias(c) if c in shared else F.col(f"b.`{c}`")
             for c in base.columns
@@ -65,9 +65,7 @@ def densify(df: DataFrame, key: str, axis: str, values: Sequence) -> DataFrame:
     grid = df.select(key).distinct().withColumn(axis, F.explode(F.array(*[F.lit(v).cast(kind) for v in values])))
     rest = [c for c in df.columns if c not in (key, axis)]
     return (
-        grid.alias("g")
-        .join(df.alias("d"), same_keys("g", "d", [key, axis]), "left")
-        .select(f"g.{key}", f"g.{axis}", *[F.col(f"d.`{c}`") for c in rest])
+        grid.alias("g").join(df.alias("d"), [key, axis], "left").select(key, axis, *[F.col(f"d.`{c}`") for c in rest])
     )
 
 

@@ -211,24 +211,28 @@ def backward_fill(
     order_by: Sequence[str],
     split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
-    """Fill nulls with the next later value of the same subject."""
+    """Fill nulls with the next later value of the same subject.
+
+    Read in descending order: a frame that ends at the last row would be evaluated anew for
+    every row.
+    """
     short, sliced = split_long_groups(df, keys, order_by, split_above)
-    onward = W.partitionBy(*keys).orderBy(*_ordering(order_by)).rowsBetween(W.currentRow, W.unboundedFollowing)
-    filled = short.withColumns({c: F.first(col(c), ignorenulls=True).over(onward) for c in columns})
+    back = W.partitionBy(*keys).orderBy(*_descending(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = short.withColumns({c: F.last(col(c), ignorenulls=True).over(back) for c in columns})
     if sliced is None:
         return filled
-    later = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, W.unboundedFollowing)
+    later = W.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(W.unboundedPreceding, -1)
     per_slice = (
         sliced.groupBy(*keys, SLICE)
         .agg(*[earliest(c, order_by).alias(f"__s_{c}") for c in columns])
-        .select(*keys, SLICE, *[F.first(col(f"__s_{c}"), ignorenulls=True).over(later).alias(f"__c_{c}") for c in columns])
+        .select(*keys, SLICE, *[F.last(col(f"__s_{c}"), ignorenulls=True).over(later).alias(f"__c_{c}") for c in columns])
     )
     carried = attach(sliced, per_slice, [*keys, SLICE], [f"__c_{c}" for c in columns], null_keys=True)
     local = (
-        W.partitionBy(*keys, SLICE).orderBy(*_ordering(order_by)).rowsBetween(W.currentRow, W.unboundedFollowing)
+        W.partitionBy(*keys, SLICE).orderBy(*_descending(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     done = carried.withColumns(
-        {c: F.coalesce(F.first(col(c), ignorenulls=True).over(local), col(f"__c_{c}")) for c in columns}
+        {c: F.coalesce(F.last(col(c), ignorenulls=True).over(local), col(f"__c_{c}")) for c in columns}
     )
     return filled.unionByName(done.select(*[col(c) for c in df.columns]))
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from longrec.names import col
 from longrec.operators.columns import resolve_variables
-from longrec.operators.ordered import same_keys
 from longrec.session import SMALL_ROWS
 
 
@@ -75,19 +74,17 @@ def subjects_in(df: DataFrame, key: str, subjects: Sequence[str] | DataFrame) ->
 
 
 def without_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``known``.
+    """Rows whose key is not in ``known``; a null key never is.
 
     The known keys are reduced before the shuffle: a key that fills a third of ``known`` arrives
     once per task.
     """
-    on = same_keys("rows", "known", keys)
-    return df.alias("rows").join(known.select(*keys).distinct().alias("known"), on, "left_anti")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def with_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``known``."""
-    on = same_keys("rows", "known", keys)
-    return df.alias("rows").join(known.select(*keys).distinct().alias("known"), on, "left_semi")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def imaging_or_stable(age: str, label: str, stable: str = "0") -> Column:
