@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longrec.names import col
@@ -12,6 +12,7 @@ from longrec import fixed_values as fixed
 from longrec.functions import labels
 from longrec.operators import columns, predicates, regression, reshape
 from longrec.sources import reports
+from longrec.sources.folders import FILE_ORDER
 
 
 def import_blocks(df: DataFrame, key: str = "record_id", block: str = "block", measure: str = "measure") -> DataFrame:
@@ -82,3 +83,23 @@ def collect_reports(
     types = reports.classify_reports(headers, files)
     typed = fresh.join(types, "job_id", "left")
     return reports.upsert_reports(old, typed, reports.REPORT_KEYS, order_by, redo)
+
+
+def collect_report_folder(
+    spark: SparkSession,
+    folder: str,
+    old: DataFrame | None = None,
+    patient_pattern: str = r"[A-Z]+\d+_s\d",
+    redo: bool = False,
+) -> DataFrame | None:
+    """The same from a folder of unpacked jobs; ``None`` where there is nothing old or new.
+
+    Within a batch the last row in file order wins.
+    """
+    rows, _ = reports.read_reports(spark, folder, patient_pattern=patient_pattern)
+    if rows is None:
+        return old
+    collected = collect_reports(
+        rows, reports.report_headers(spark, folder), reports.job_files(spark, folder), old, FILE_ORDER, redo
+    )
+    return collected.drop(*FILE_ORDER)

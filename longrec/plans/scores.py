@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longrec.names import col
@@ -13,6 +13,7 @@ from longrec import fixed_values as fixed
 from longrec.functions import labels, values
 from longrec.operators import columns, ordered, predicates, reshape, scoring
 from longrec.session import collect_small, cut_lineage
+from longrec.sources import folders, reports
 
 # Battery columns -> score names, and names of the finished scores.
 BATTERY_SCORES = {
@@ -78,6 +79,22 @@ def import_battery(
     return columns.drop_matching(named, r"\w*_(raw|tscore)$", unless="neuroqol")
 
 
+def import_battery_folder(
+    spark: SparkSession, folder: str, subjects: Sequence[str] | None = None
+) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+    """(one row per subject, skipped files, files whose PINs lack the session in their name).
+
+    Of equal scores the last one in file order is kept.
+    """
+    rows, skipped = folders.scan_folder(spark, folder, UNADJUSTED)
+    if rows is None:
+        return None, skipped, None
+    lacking = {c: F.lit(None).cast("double") for c in BATTERY_SCORES if c not in rows.columns}
+    rows = rows.withColumns(lacking)
+    mismatches = predicates.file_mismatches(rows, "file", "PIN")
+    return import_battery(rows, folders.FILE_ORDER, subjects=subjects), skipped, mismatches
+
+
 def import_scores(
     df: DataFrame,
     mapping: DataFrame,
@@ -205,3 +222,16 @@ def collect_score_reports(
     long = named.select(key, event, F.col("e.name").alias("name"), F.col("e.value").alias("value"))
     wide = reshape.simple_flatten(cut_lineage(long), [key, event], "name", prefix, sort=False)
     return wide.toDF(*[c.removesuffix("_value") for c in wide.columns])
+
+
+def collect_score_report_folder(
+    spark: SparkSession, folder: str, prefix: str, subjects: Sequence[str] = (), modified_after: str | None = None
+) -> DataFrame:
+    """The same from a folder of ``<prefix><digits>_<visit>.csv`` reports."""
+    files = folders.discover_files(spark, folder, prefix, "csv", subjects, modified_after)
+    cells = reports.read_labelled_reports(spark, f"{folder}/*.csv")
+    named = cells.join(
+        files.select(F.col("path").alias("file"), "subject", F.col("visit").alias("event_name")), "file"
+    ).drop("file")
+    scored = reports.report_scores(named, ["subject", "event_name"])
+    return collect_score_reports(scored, "subject", "event_name")

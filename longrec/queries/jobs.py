@@ -96,13 +96,16 @@ def job_format_sessions_by_clinic(spark, d):
 # -- tracked cohort -----------------------------------------------------------------------
 
 
+_EXAMS = range(1995, 2002)
+
+
 def _cohort(spark, d):
-    """One row per customer with the first exam of three years."""
+    """One row per customer with the first exam of every year."""
     years = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
-    wide = years.groupBy("o_custkey").pivot("year", [1995, 1996, 1997]).agg(F.min("o_orderdate").alias("physicalexam_date"), F.count("o_orderkey").alias("score"))
+    wide = years.groupBy("o_custkey").pivot("year", list(_EXAMS)).agg(F.min("o_orderdate").alias("physicalexam_date"), F.count("o_orderkey").alias("score"))
     exams = wide.select(
         "o_custkey",
-        *[F.col(f"{y}_{v}").alias(f"s{y - 1994}_{v}") for y in (1995, 1996, 1997) for v in ("physicalexam_date", "score")],
+        *[F.col(f"{y}_{v}").alias(f"s{y - 1994}_{v}") for y in _EXAMS for v in ("physicalexam_date", "score")],
     )
     people = table(spark, d, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"), (F.col("c_acctbal") / 1000).alias("db_onset_age")
@@ -116,7 +119,7 @@ def _cohort(spark, d):
     "job_format_cohort",
     """with x as (select c_custkey, 'TRIAL' || c_custkey study_id, c_mktsegment segment, c_acctbal / 1000 db_onset_age,
   date '1950-01-01' + cast(c_custkey as integer) dob from customer),
-y as (select o_custkey, cast(year(o_orderdate) as integer) as year, min(o_orderdate) exam, count(*) score from orders where year(o_orderdate) < 1998 group by 1, 2),
+y as (select o_custkey, cast(year(o_orderdate) as integer) as year, min(o_orderdate) exam, count(*) score from orders group by 1, 2),
 b as (select *, case when year - lag(year) over (partition by o_custkey order by exam) = 1 then 0 else 1 end brk from y),
 r as (select *, sum(brk) over (partition by o_custkey order by exam rows unbounded preceding) run from b),
 s as (select *, count(*) over (partition by o_custkey, run) size from r),
@@ -130,13 +133,13 @@ from k join x on c_custkey = o_custkey where rn <= 2""",
 def job_format_cohort(spark, d):
     """Two consecutive years with exams, and the time since diagnosis."""
     cohort = _cohort(spark, d).withColumns(
-        {f"s{k}_score": F.nullif(F.col(f"s{k}_score"), F.lit(0)) for k in (1, 2, 3)}
+        {f"s{y - 1994}_score": F.nullif(F.col(f"s{y - 1994}_score"), F.lit(0)) for y in _EXAMS}
     )
     birthdays = table(spark, d, "customer").select(
         F.concat(F.lit("TRIAL"), F.col("c_custkey").cast("string")).alias("study_id"),
         F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_custkey").cast("int")).cast("timestamp_ntz").alias("dob"),
     )
-    enrichment = birthdays.join(cohort.select("study_id", *[f"s{k}_physicalexam_date" for k in (1, 2, 3)]), "study_id")
+    enrichment = birthdays.join(cohort.select("study_id", *[f"s{y - 1994}_physicalexam_date" for y in _EXAMS]), "study_id")
     return sessions.format_cohort(
         cohort, key_pattern=r"TRIAL\d+", require_any=["segment", "s1_"], enrichment=enrichment, duration=True, consecutive=2, long=True
     )
@@ -554,7 +557,7 @@ def job_score_questionnaire(spark, d):
 
 # -- score reports ------------------------------------------------------------------------
 
-_SHORT = ["a", "b", "c"]
+_SHORT = ["a", "b", "c", "d", "e", "f"]
 
 
 def _report_sql():
@@ -569,9 +572,9 @@ def _report_sql():
                 f"max(case when scale = '{s}' then case when tn between {low} and {high} then '1' else '0' end end) cbcl_{flag}___{i + 1}"
             )
     return (
-        "with o as (select l_orderkey, l_linenumber, cast(max(l_quantity) as integer) q from lineitem where l_linenumber <= 4 group by 1, 2), "
+        "with o as (select l_orderkey, l_linenumber, cast(max(l_quantity) as integer) q from lineitem group by 1, 2), "
         "p as (select *, row_number() over (partition by l_orderkey order by l_linenumber) place, count(*) over (partition by l_orderkey) width from o), "
-        "s as (select *, case when width = 3 then ['a', 'b', 'c'][place] else ['x', 'a', 'b', 'c'][place] end scale, "
+        f"s as (select *, case when width = {len(_SHORT)} then {_SHORT}[place] else {scales}[place] end scale, "
         "cast(q as varchar) raw, q + 30 tn, cast(q + 30 as varchar) t from p) "
         "select l_orderkey, 'visit' as event, " + ", ".join(cells) + " from s group by l_orderkey"
     )
@@ -579,10 +582,8 @@ def _report_sql():
 
 @query("job_collect_score_reports", _report_sql())
 def job_collect_score_reports(spark, d):
-    """Orders as reports of two labelled rows; three lines mean that the first scale is lacking."""
-    lines = (
-        table(spark, d, "lineitem").where("l_linenumber <= 4").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("int").alias("q"))
-    )
+    """Lines of an order as cells of a report; six of them mean that the first scale is lacking."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("int").alias("q"))
     q = F.col("q")
     t = (q + 30).cast("string")
     printed = F.when(q >= 40, F.concat(t, F.lit("-C"))).when(q >= 35, F.concat(t, F.lit("-B"))).otherwise(t)

@@ -83,13 +83,20 @@ def unmatched_scores(spark, d):
 
 @query(
     "raw_score_columns",
-    """select l_orderkey, coalesce(max(case when l_linenumber = 1 then l_quantity end), 0) + coalesce(max(case when l_linenumber = 2 then l_quantity end), 0) raw_front,
-  coalesce(max(case when l_linenumber = 3 then l_quantity end), 0) raw_back from lineitem group by 1""",
+    "select l_orderkey, "
+    + ", ".join(
+        " + ".join(f"coalesce(max(case when l_linenumber = {k} then l_quantity end), 0)" for k in ks) + f" raw_{n}"
+        for n, ks in (("front", (1, 2, 3)), ("back", (4, 5, 6, 7)))
+    )
+    + " from lineitem group by 1",
 )
 def raw_score_columns(spark, d):
-    wide = table(spark, d, "lineitem").groupBy("l_orderkey").pivot("l_linenumber", [1, 2, 3]).agg(F.max("l_quantity"))
-    named = wide.toDF("l_orderkey", "q1", "q2", "q3")
-    return scoring.raw_score_columns(named, {"front": ["q1", "q2"], "back": ["q3"]}, "raw_{}").drop("q1", "q2", "q3")
+    wide = table(spark, d, "lineitem").groupBy("l_orderkey").pivot("l_linenumber", list(range(1, 8))).agg(F.max("l_quantity"))
+    questions = [f"q{k}" for k in range(1, 8)]
+    scored = scoring.raw_score_columns(
+        wide.toDF("l_orderkey", *questions), {"front": questions[:3], "back": questions[3:]}, "raw_{}"
+    )
+    return scored.drop(*questions)
 
 
 # -- regression ---------------------------------------------------------------------------

@@ -46,19 +46,20 @@ def csv_text_scan(spark, d):
 @query(
     "semicolon_report",
     """select 'nation' || n_nationkey || '_s1' as "Patient ID", 'nation' || n_nationkey as "Subject",
-  'job' || lpad(cast(n_nationkey as varchar), 6, '0') job_id, n_name as region_name, cast(n_regionkey as varchar) volume from nation""",
+  'job' || lpad(cast(n_nationkey as varchar), 6, '0') job_id, case when n_regionkey < 2 then n_name end as region_name,
+  cast(n_regionkey as varchar) "Age", 'F' "Sex" from nation""",
 )
 def semicolon_report(spark, d):
-    """One report per nation; patient and job come from the path."""
+    """One report per nation; patient and job come from the path.  Regions get different headers."""
     patient = F.concat(F.lit("nation"), F.col("n_nationkey").cast("string"), F.lit("_s1-job"), F.lpad(F.col("n_nationkey").cast("string"), 6, "0"))
     path = shared_dir(spark, "reports")
-    (
-        table(spark, d, "nation")
-        .select(patient.alias("report"), F.col("n_name").alias("region_name"), F.col("n_regionkey").alias("volume"))
-        .write.partitionBy("report")
-        .csv(path, header=True, sep=";")
+    rows = table(spark, d, "nation").select(
+        patient.alias("report"), F.col("n_name").alias("region_name"), F.col("n_regionkey").alias("Age"), F.lit("F").alias("Sex")
     )
-    return reports.read_semicolon_report(spark, f"{path}/*/*.csv", r"nation\d+_s\d")
+    first = F.col("Age") < 2
+    rows.where(first).write.partitionBy("report").csv(f"{path}/a", header=True, sep=";")
+    rows.where(~first).drop("region_name").write.partitionBy("report").csv(f"{path}/b", header=True, sep=";")
+    return reports.read_reports(spark, path, patient_pattern=r"nation\d+_s\d")[0].drop(*folders.FILE_ORDER)
 
 
 def _folder(spark, d):
@@ -78,10 +79,10 @@ def _folder(spark, d):
 )
 def folder_scan(spark, d):
     """Files of differing headers united by name."""
-    return folders.scan_folder(spark, _folder(spark, d), "p_partkey")[0].drop("file")
+    return folders.scan_folder(spark, _folder(spark, d), "p_partkey")[0].drop(*folders.FILE_ORDER)
 
 
-@query("folder_scan_skipped", "select 'no column named p_partkey' reason, 'c' as folder from part where p_size > 40 limit 1")
+@query("folder_scan_skipped", "select distinct 'no column named p_partkey' reason, 'c' as folder from part where p_size > 40")
 def folder_scan_skipped(spark, d):
     """Files without the required column are reported."""
     skipped = folders.scan_folder(spark, _folder(spark, d), "p_partkey")[1]
@@ -90,14 +91,16 @@ def folder_scan_skipped(spark, d):
 
 @query(
     "file_names",
-    """select url as path, 'Cust' || page_id as subject, 'visit_' || length(html) % 3 as visit from pages where length(html) % 5 <> 0""",
+    """select url as path, 'Cust' || page_id as subject, 'visit_' || regexp_extract(url, '/([a-z]{2})/', 1) as visit
+  from pages where url like 'https%' and regexp_extract(url, '/([a-z]{2})/', 1) <> ''""",
 )
 def file_names(spark, d):
     """Subject and visit from file names; names of another form are left out."""
-    size = F.length("html")
     number = F.col("page_id").cast("string")
-    good = F.concat(F.lit("Cust"), number, F.lit("_visit_"), (size % 3).cast("string"), F.lit(".pdf"))
-    name = F.when(size % 5 != 0, good).otherwise(F.concat(F.lit("scan"), number, F.lit(".pdf")))
+    language = F.regexp_extract("url", "/([a-z]{2})/", 1)
+    good = F.concat(F.lit("Cust"), number, F.lit("_visit_"), language, F.lit(".pdf"))
+    named = F.col("url").startswith("https") & (language != "")
+    name = F.when(named, good).otherwise(F.concat(F.lit("scan"), number, F.lit(".pdf")))
     files = table(spark, d, "pages").select(F.col("url").alias("path"), name.alias("file"))
     return folders.parse_file_names(files, "cust").drop("file")
 

@@ -23,26 +23,30 @@ def _lines(spark: SparkSession, folder: str, glob: str) -> DataFrame:
         .select(
             F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
+            F.col("_metadata.file_block_start").alias("file_start"),
         )
+        .withColumn("file_line", F.monotonically_increasing_id())
     )
 
 
+#: Where a row came from: ordered by these columns, rows stand as in their files.
+FILE_ORDER = ["file", "file_start", "file_line"]
+
+
 def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
     """(file, header): the first line of every file.
 
     Lines are numbered inside their split, only first splits count, and each file is reduced
     to one line before the shuffle.
     """
-    first_splits = _lines(spark, folder, glob).where(F.col("start") == 0)
-    numbered = first_splits.withColumn("number", F.monotonically_increasing_id())
-    return numbered.groupBy("file").agg(F.min_by("line", "number").alias("header"))
+    first_splits = _lines(spark, folder, glob).where(F.col("file_start") == 0)
+    return first_splits.groupBy("file").agg(F.min_by("line", "file_line").alias("header"))
 
 
 def scan_folder(
     spark: SparkSession, folder: str, required: str, glob: str = "*.csv", sep: str = ","
 ) -> tuple[DataFrame | None, DataFrame]:
-    """(rows of all usable files with a ``file`` column, skipped files).
+    """(rows of all usable files with the columns of ``FILE_ORDER``, skipped files).
 
     Files without the required column are skipped and reported.  All files are one scan: each
     line is split once and its fields go to the columns its own file's header names.  Rows
@@ -69,15 +73,16 @@ def scan_folder(
     fields = F.from_csv(
         F.col("line"), F.lit(", ".join(f"f{i} string" for i in range(width))), {"sep": sep, "escape": '"'}
     )
-    lines = _lines(spark, folder, glob).drop("start").join(broadcast_if_small(kept), "file")
+    lines = _lines(spark, folder, glob).join(broadcast_if_small(kept), "file")
     split = lines.where(F.col("line") != F.col("header")).select(
-        "file", "places", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
+        *FILE_ORDER, "places", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
     )
     rows = split.select(
-        *[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c["name"]) for i, c in enumerate(columns)], "file"
+        *[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c["name"]) for i, c in enumerate(columns)], *FILE_ORDER
     )
-    rows = null_tokens_to_null(rows)
-    return infer_types(drop_all_null(rows, [c["name"] for c in columns])), skipped
+    names = [c["name"] for c in columns]
+    rows = drop_all_null(null_tokens_to_null(rows), names)
+    return infer_types(rows, names), skipped
 
 
 def parse_file_names(files: DataFrame, prefix: str, subjects: Sequence[str] = ()) -> DataFrame:

@@ -13,18 +13,46 @@ from longrec.functions.labels import patient_subject, path_job, path_patient
 from longrec.operators.joins import union_missing
 from longrec.operators.ordered import SPLIT_ABOVE, keep_last, running_sum
 from longrec.operators.predicates import without_keys
-from longrec.sources.tables import read_text_table
+from longrec.sources.folders import file_headers, scan_folder
 
 REPORT_KEYS = ("Subject", "Patient ID", "Age", "Sex", "type")
 
 
-def read_semicolon_report(spark: SparkSession, path, patient_pattern: str = r"[A-Z]+\d+_s\d") -> DataFrame:
-    """``;``-separated reports with patient, subject and job taken from the path."""
-    rows = read_text_table(spark, path, sep=";")
-    file = F.col("_metadata.file_path")
-    return (
-        rows.select("*", path_patient(file, patient_pattern).alias("Patient ID"), path_job(file).alias("job_id"))
-        .withColumn("Subject", patient_subject(F.col("Patient ID")))
+def read_reports(
+    spark: SparkSession,
+    folder: str,
+    required: str = "Age",
+    patient_pattern: str = r"[A-Z]+\d+_s\d",
+    glob: str = "*.csv",
+) -> tuple[DataFrame | None, DataFrame]:
+    """(rows of ``;``-separated reports, skipped files); headers may differ between files.
+
+    Patient, subject and job come from the path.  Keys stay text.
+    """
+    rows, skipped = scan_folder(spark, folder, required, glob, sep=";")
+    if rows is None:
+        return None, skipped
+    path = F.col("file")
+    texts = {c: F.col(c).cast("string") for c in ("Age", "Sex") if c in rows.columns}
+    return rows.withColumns(texts).withColumns(
+        {
+            "Patient ID": path_patient(path, patient_pattern),
+            "Subject": patient_subject(path_patient(path, patient_pattern)),
+            "job_id": path_job(path),
+        }
+    ), skipped
+
+
+def report_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(job_id, header) of the reports of a folder."""
+    return file_headers(spark, folder, glob).select(path_job(F.col("file")).alias("job_id"), "header")
+
+
+def job_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(job_id, file) of everything that came with a job; listing only."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return listed.select(
+        path_job(F.col("_metadata.file_path")).alias("job_id"), F.col("_metadata.file_name").alias("file")
     )
 
 

@@ -57,9 +57,10 @@ def read_table(
     return infer_types(read_text_table(spark, path, sep, multiline))
 
 
-def infer_types(df: DataFrame) -> DataFrame:
+def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Number or flag types for text columns whose values all fit: one aggregate."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    texts = [c for c in texts if columns is None or c in columns]
     if not texts:
         return df
     tests: list[Column] = []

@@ -324,3 +324,46 @@ def test_extract_and_merge(spark):
     base = spark.createDataFrame([("a", "1", None, 7)], "id string, s string, v_x int, z int")
     assert sessions.extract_and_merge(df, ["v"]).columns == ["id", "s", "v_x"]
     assert rows(sessions.extract_and_merge(df, ["v"], base)) == [("a", "1", 1, 7), ("b", "1", 3, None)]
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_report_folder(spark, tmp_path):
+    put(tmp_path / "A1_s1_job000001" / "report.csv", "Age;Sex;Brainstem\n40;F;1\n")
+    put(tmp_path / "A2_s1_job000002" / "report.csv", "Age;Sex;CA1\n41;M;2\n")
+    put(tmp_path / "A2_s1_job000002" / "native_t2.nii", "x")
+    first = measures.collect_report_folder(spark, str(tmp_path))
+    got = {(r["Subject"], r["Patient ID"], r["type"], r["job_id"]) for r in first.collect()}
+    assert got == {("A1", "A1_s1", "subcortical", "job000001"), ("A2", "A2_s1", "hips_kulaga_multicontrast", "job000002")}
+    old = spark.createDataFrame(first.collect(), first.schema)
+    put(tmp_path / "A1_s1_job000003" / "report.csv", "Age;Sex;Brainstem\n40;F;9\n")
+    put(tmp_path / "A1_s1_job000001" / "report.csv", "Age;Sex;Brainstem\n40;F;5\n")
+    again = measures.collect_report_folder(spark, str(tmp_path), old)
+    assert {(r["job_id"], r["Brainstem"]) for r in again.collect()} == {("job000003", 9), ("job000002", None)}
+
+
+def test_battery_folder(spark, tmp_path):
+    head = "PIN,Inst,RawScore,TScore,Uncorrected Standard Score,Age-Corrected Standard Score\n"
+    labels = ["Picture Vocabulary Test", "Flanker Inhibitory Control", "List Sorting", "Oral Reading", "Total Composite"]
+    put(tmp_path / "e1.csv", head + "".join(f"SUB1,{t},1,2,{i},4\n" for i, t in enumerate(labels)) + "SUB1,List Sorting,1,2,2,5\n")
+    put(tmp_path / "e2_S2.csv", head + "".join(f"SUB1,{t},1,2,{i},4\n" for i, t in enumerate(labels)).replace("SUB1", "SUB2"))
+    put(tmp_path / "notes.csv", "PIN,Inst\nSUB9,x\n")
+    wide, skipped, mismatches = scores.import_battery_folder(spark, str(tmp_path))
+    got = dicts(wide, "subject")
+    assert got["SUB1"]["s1_listsort_unadj"] == 2 and got["SUB1"]["s1_listsort_ageadj"] == 5
+    assert set(got) == {"SUB1", "SUB2"} and skipped.count() == 1
+    assert [r["file"].rsplit("/", 1)[1] for r in mismatches.collect()] == ["e2_S2.csv"]
+
+
+def test_score_report_folder(spark, tmp_path):
+    cells = ",".join(str(i) for i in range(21))
+    put(tmp_path / "NT01_base.csv", f"x,y\nTotal Score,{cells}\nT Score,{cells},\n")
+    short = ",".join(["70-C"] + [str(i) for i in range(16)])
+    put(tmp_path / "NT02_year1.csv", f"Total Score,{short}\nT Score,{short}\n")
+    got = dicts(scores.collect_score_report_folder(spark, str(tmp_path), "NT"), "subject")
+    assert got["NT01"]["event_name"] == "base" and got["NT01"]["cbcl_raw_activities"] == "0"
+    assert got["NT02"]["cbcl_raw_activities"] is None and got["NT02"]["cbcl_t_anxdepr"] == "70"
+    assert got["NT02"]["cbcl_clinical___5"] == "1" and got["NT02"]["cbcl_clinical___1"] is None

@@ -76,10 +76,16 @@ def test_file_discovery(spark, tmp_path):
 
 def test_semicolon_reports(spark, tmp_path):
     put(f"{tmp_path}/AB12_s1_job000123/report.csv", "Age;Sex;Brainstem\n40;F;1.5\n")
-    df = reports.read_semicolon_report(spark, f"{tmp_path}/*/*.csv")
-    assert df.first().asDict() == {
-        "Age": "40", "Sex": "F", "Brainstem": "1.5", "Patient ID": "AB12_s1", "job_id": "job000123", "Subject": "AB12"
+    put(f"{tmp_path}/ab13_s2_job000124/report.csv", "Sex;Age;Crus I\nM;50;2\n")
+    put(f"{tmp_path}/broken/report.csv", "x;y\n1;2\n")
+    df, skipped = reports.read_reports(spark, str(tmp_path))
+    got = {r["job_id"]: {k: v for k, v in r.asDict().items() if not k.startswith("file")} for r in df.collect()}
+    assert got == {
+        "job000123": {"Age": "40", "Sex": "F", "Brainstem": 1.5, "Crus I": None, "Patient ID": "AB12_s1", "job_id": "job000123", "Subject": "AB12"},
+        "job000124": {"Age": "50", "Sex": "M", "Brainstem": None, "Crus I": 2, "Patient ID": "ab13_s2", "job_id": "job000124", "Subject": "ab13"},
     }
+    assert skipped.count() == 1
+    assert rows(reports.report_headers(spark, f"{tmp_path}/AB12_s1_job000123")) == [("job000123", "Age;Sex;Brainstem")]
 
 
 def test_report_types(spark):
