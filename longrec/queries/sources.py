@@ -215,7 +215,7 @@ def stream_upserts(spark, d):
     """with w as (select conv_id, role, turn, list_filter(string_split(text, ' '), lambda x: x <> '') words from conversations),
 o as (select *, coalesce(sum(len(words)) over (partition by conv_id, role order by turn rows between unbounded preceding and 1 preceding), 0) start from w),
 e as (select conv_id, role as label, start, unnest(words) cell, generate_subscripts(words, 1) place from o)
-select conv_id, label, cast(start + place - 1 as integer) as position, cell from e""",
+select conv_id, label, cast(count(*) over (partition by conv_id, label) as integer) width, cast(start + place - 1 as integer) as position, cell from e""",
 )
 def labelled_cells(spark, d):
     """The words of each role of a conversation, numbered over its turns."""

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from longrec.fixed_values import COMPETENCE_SCALES, REPORT_ROWS, REPORT_SCALES
 from longrec.functions.labels import patient_subject, path_job, path_patient
 from longrec.operators.joins import union_missing
-from longrec.operators.ordered import SPLIT_ABOVE, keep_last, running_sum
+from longrec.operators.ordered import SPLIT_ABOVE, attach, keep_last, running_sum
 from longrec.operators.predicates import without_keys
 from longrec.sources.folders import file_headers, scan_folder
 
@@ -125,11 +125,11 @@ def labelled_cells(
     labels: Sequence[str],
     split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
-    """(keys, label, position, cell) of the rows whose first cell starts with a label.
+    """(keys, label, width, position, cell) of the rows whose first cell starts with a label.
 
     Non-empty cells after the first are appended line by line; ``position`` counts from 0 over
-    the report.  The offset of a line is the number of cells on the lines before it, so no
-    report is gathered into one value.
+    the report, ``width`` is the number of cells the label has there.  The offset of a line is
+    the number of cells on the lines before it, so no report is gathered into one value.
     """
     found = F.coalesce(*[F.when(F.get("__cells", F.lit(0)).startswith(t), F.lit(t)) for t in labels])
     rest = F.filter(F.slice("__cells", 2, F.greatest(F.size("__cells") - 1, F.lit(0))), lambda c: c.isNotNull() & (c != ""))
@@ -140,9 +140,12 @@ def labelled_cells(
         .withColumn("__rest", rest)
         .withColumn("__size", F.size("__rest"))
     )
+    widths = marked.groupBy(*keys, "label").agg(F.sum("__size").cast("int").alias("width"))
+    # joined first: the running sum then finds its rows in place
+    marked = attach(marked, widths, [*keys, "label"], ["width"])
     placed = running_sum(marked, [*keys, "label"], "__size", order_by, "__offset", split_above)
-    return placed.select(*keys, "label", "__offset", F.posexplode("__rest").alias("__i", "cell")).select(
-        *keys, "label", (F.col("__offset") + F.col("__i")).cast("int").alias("position"), "cell"
+    return placed.select(*keys, "label", "width", "__offset", F.posexplode("__rest").alias("__i", "cell")).select(
+        *keys, "label", "width", (F.col("__offset") + F.col("__i")).cast("int").alias("position"), "cell"
     )
 
 
@@ -155,21 +158,19 @@ def report_scores(
 ) -> DataFrame:
     """(keys, score_type, scale, cell): the position within a report names the scale.
 
-    A report with as many cells as there are scales without the optional ones is read against
-    the shorter list, report by report.
+    A row with as many cells as there are scales without the optional ones is read against the
+    shorter list, report by report.
     """
     short = [s for s in scales if s not in optional]
-    widths = cells.groupBy(*keys).agg((F.max("position") + 1).alias("__width"))
-    joined = cells.join(widths, list(keys), "inner")
-    listed = F.when(F.col("__width") == len(short), F.lit(list(short))).otherwise(F.lit(list(scales)))
+    listed = F.when(F.col("width") == len(short), F.lit(list(short))).otherwise(F.lit(list(scales)))
     kind = F.try_element_at(F.create_map(*[F.lit(x) for p in rows.items() for x in p]), F.col("label"))
-    return joined.select(
+    return cells.select(
         *keys, F.coalesce(kind, F.col("label")).alias("score_type"), F.get(listed, F.col("position")).alias("scale"), "cell"
     )
 
 
 def read_labelled_reports(spark: SparkSession, path, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
-    """(file, label, position, cell) of CSV score reports.
+    """(file, label, width, position, cell) of CSV score reports.
 
     Lines are ordered by split and by number within their split, so files stay splittable.
     """

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from longrec.session import broadcast_if_small, collect_small, shared_dir
+from longrec.session import broadcast_if_small, collect_small, cut_lineage, shared_dir
 from longrec.sources import folders, reports, sinks, tables
 from longrec.streaming import upsert
 
@@ -104,15 +104,16 @@ def test_labelled_rows(spark, split):
         "file string, line int, cells array<string>",
     )
     cells = reports.labelled_cells(lines, ["file"], ["line"], F.col("cells"), ["Total Score", "T Score", "Percentile"], split)
-    assert rows(cells) == [
+    assert {(r["file"], r["label"], r["width"]) for r in cells.collect()} == {("f", "T Score", 3), ("f", "Total Score", 3), ("g", "T Score", 1)}
+    assert rows(cells.drop("width")) == [
         ("f", "T Score", 0, "50"), ("f", "T Score", 1, "71-C"), ("f", "T Score", 2, "nc"),
         ("f", "Total Score", 0, "1"), ("f", "Total Score", 1, "2"), ("f", "Total Score", 2, "3"), ("g", "T Score", 0, "60"),
     ]
 
 
 def test_scale_count_is_per_report(spark):
-    data = [("f", "T Score", i, str(i)) for i in range(4)] + [("g", "T Score", i, str(i)) for i in range(3)]
-    cells = spark.createDataFrame(data, "file string, label string, position int, cell string")
+    data = [("f", "T Score", 4, i, str(i)) for i in range(4)] + [("g", "T Score", 3, i, str(i)) for i in range(3)]
+    cells = spark.createDataFrame(data, "file string, label string, width int, position int, cell string")
     got = reports.report_scores(cells, ["file"], ["x", "a", "b", "c"], ["x"])
     found = {(r["file"], r["cell"]): r["scale"] for r in got.collect()}
     assert [found["f", str(i)] for i in range(4)] == ["x", "a", "b", "c"]
@@ -121,7 +122,7 @@ def test_scale_count_is_per_report(spark):
 
 def test_read_labelled_reports(spark, tmp_path):
     put(f"{tmp_path}/r.csv", 'Scale,x\r\nTotal Score,1,"2, or so",\r\nT Score,50-B\r\nTotal Score,4\r\n')
-    got = rows(reports.read_labelled_reports(spark, str(tmp_path)).drop("file"))
+    got = rows(reports.read_labelled_reports(spark, str(tmp_path)).drop("file", "width"))
     assert got == [("T Score", 0, "50-B"), ("Total Score", 0, "1"), ("Total Score", 1, "2, or so"), ("Total Score", 2, "4")]
 
 
@@ -227,6 +228,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir", "") or "/")
 
 
+def test_cut_lineage_keeps_odd_columns(spark):
+    df = spark.createDataFrame([("a", 1, None)], "`a b(c)` string, `x.y=z;,` int, t timestamp_ntz").withColumn("none", F.lit(None))
+    assert cut_lineage(df).collect() == df.collect()
+    assert cut_lineage(df.drop("none")).collect() == df.drop("none").collect()
+    assert cut_lineage(df.drop("none").limit(0)).columns == df.columns[:3]
+
+
 def test_size_guards(spark):
     with pytest.raises(ValueError):
         collect_small(spark.range(11), 10)
