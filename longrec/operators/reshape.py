@@ -63,7 +63,19 @@ def _single(value: Column) -> Column:
     """The one value of a cell; a second row for the same cell is an error, never a choice."""
     return F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("more than one row for the same subject and session"))
-    ).otherwise(F.first(value))
+    ).otherwise(value)
+
+
+def _cell_value(df: DataFrame, variables: Sequence[str], labels: int) -> Column:
+    """The variables of a cell's only row, as one struct.
+
+    Few cells of fixed-width types are aggregated one by one, which keeps Spark on a hash
+    aggregate; anything else is carried as a struct, with one buffer per label.
+    """
+    narrow = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if len(variables) * labels <= MANY_LABELS and all(isinstance(df.schema[v].dataType, narrow) for v in variables):
+        return F.struct(*[F.max(col(v)).alias(v) for v in variables])
+    return F.first(F.struct(*[col(v) for v in variables]))
 
 
 def _pivot(
@@ -81,7 +93,7 @@ def _pivot(
     first and then gathered: at most one entry per label, whatever the number of rows.
     """
     if agg is None:
-        cell = _single(F.struct(*[col(v) for v in variables]))
+        cell = _single(_cell_value(df, variables, len(values)))
     else:
         cell = F.struct(*[agg(quoted(v)).alias(v) for v in variables])
     if len(values) > MANY_LABELS:

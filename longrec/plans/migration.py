@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from longrec import fixed_values as fixed
 from longrec.functions import labels
 from longrec.operators import columns, ordered, predicates, recode
+from longrec.session import cut_lineage
 
 
 def migrate(
@@ -28,7 +29,8 @@ def migrate(
 ) -> tuple[DataFrame, list[recode.ColumnTyping]]:
     """(migrated rows, chosen numeric types with the number of lost values).
 
-    One projection up to the backward fill, one window, and one aggregate that decides types.
+    One projection up to the backward fill, one window, one written table, and one aggregate
+    that decides types.
     ``order_by`` columns that are not exported must survive the drop list as keys do.
     """
     keys = [key, event]
@@ -50,6 +52,8 @@ def migrate(
     stable = [c for c in columns.family_union(rows.columns, dictionary.forms(), fixed.STABLE_FORMS) if c not in kept]
     rows = columns.only_where(rows, F.col(event) == stable_event, stable)
 
+    # types and values are two passes: the work so far is done once
+    rows = cut_lineage(rows)
     texts = [c for c in columns.with_families(rows.columns, dictionary.names("text")) if c not in kept]
     plan = recode.plan_numeric_types(rows, texts, text_prefixes)
     typed = recode.apply_numeric_types(rows, plan)

@@ -138,7 +138,7 @@ def subject_slopes(spark, d):
     _SLOPES + """ select o_custkey, case when n > 1 then n end price_count, slope price_slope, cast(case when n > 1 then fx end as integer) price_year_s1 from r""",
 )
 def subject_slopes_wide(spark, d):
-    return reshape.slopes_wide(_slopes(spark, d).select("o_custkey", "variable", "slope", "count", "year_s1"), ["o_custkey"])
+    return reshape.slopes_wide(_slopes(spark, d).select("o_custkey", "variable", "slope", "count", "year_s1"), ["o_custkey"], variables=["price"])
 
 
 def _regressions(spark, d):

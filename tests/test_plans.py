@@ -53,6 +53,14 @@ def test_pivot_shuffles_once_and_combines_first(spark):
     assert shuffles(text) == 1 and "partial_max" in text
 
 
+def test_unique_numbers_pivot_in_a_hash_aggregate(spark):
+    df = spark.read.parquet(f"{DATA}/orders.parquet").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(
+        F.max("o_totalprice").alias("top")
+    )
+    text = plan(reshape.simple_flatten(df, ["o_custkey"], "y"))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
 def test_expand_is_narrow(spark):
     df = spark.read.parquet(f"{DATA}/customer.parquet")
     assert "Exchange" not in plan(reshape.expand(df, "c_custkey")[0])
