@@ -14,8 +14,8 @@ from longrec.names import col
 from longrec.functions.values import regression_label
 from longrec.operators.ordered import of_first_row
 
-#: Exact sums stay inside decimal(38,0) up to this many points; larger groups use doubles.
-EXACT_POINTS = 10_000_000
+#: Type of exact sums.
+WIDE = "decimal(38,0)"
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], variables: Sequence[str]) -> DataFrame:
@@ -58,20 +58,17 @@ def subject_slopes(
     stats.append(of_first_row(names[x], ordered).alias("first_x"))
     if group:
         stats.append(of_first_row(names[group], ordered).alias("first_group"))
-    stats += [f.alias(a) for a, f in {"sl": F.regr_slope(y, xs), "sxx": F.regr_sxx(y, xs), "syy": F.regr_syy(y, xs), "sxy": F.regr_sxy(y, xs)}.items()]
-    if decimals is not None:
+    if decimals is None:
+        stats += [F.regr_slope(y, xs).alias("sl"), F.regr_sxx(y, xs).alias("sxx")]
+        stats += [F.regr_syy(y, xs).alias("syy"), F.regr_sxy(y, xs).alias("sxy")]
+    else:
         a = F.round(xs * 10 ** decimals[0]).cast("decimal(18,0)")
         b = F.round(y * 10 ** decimals[1]).cast("decimal(18,0)")
-        wide = "decimal(38,0)"
+        sums = {"ex": a, "ey": b, "exx": a * a, "eyy": b * b, "exy": a * b}
         pair = xs.isNotNull() & y.isNotNull()
-        sums = {"ex": a, "ey": b, "exx": (a * a), "eyy": (b * b), "exy": (a * b)}
-        stats += [F.sum(F.when(pair, e.cast(wide))).cast(wide).alias(name) for name, e in sums.items()]
+        stats += [F.sum(F.when(pair, e)).cast(WIDE).alias(name) for name, e in sums.items()]
     grouped = long.groupBy(names[subject], "variable").agg(*stats)
-    slope, sse = _double_fit()
-    if decimals is not None:
-        exact_slope, exact_sse = _exact_fit(*decimals)
-        small = F.col("n") <= EXACT_POINTS
-        slope, sse = F.when(small, exact_slope).otherwise(slope), F.when(small, exact_sse).otherwise(sse)
+    slope, sse = _double_fit() if decimals is None else _exact_fit(*decimals)
     fitted = grouped.withColumns({"slope": F.when(F.col("n") > 1, slope), "sse": F.when(F.col("n") > 1, sse)})
     rmse = F.sqrt(F.col("sse") / F.col("n"))
     enough = F.col("n") > 1
@@ -94,22 +91,27 @@ def _double_fit() -> tuple[Column, Column]:
 
 
 def _exact_fit(x_places: int, y_places: int) -> tuple[Column, Column]:
-    """Slope and squared error from integer sums: one division at the end."""
-    wide = "decimal(38,0)"
-    n = F.col("n").cast("decimal(18,0)")
-
-    def term(a: Column, b: Column) -> Column:
-        return (a * b).cast(wide)
-
-    num = (term(n, F.col("exy")) - term(F.col("ex"), F.col("ey"))).cast(wide)
-    dx = (term(n, F.col("exx")) - term(F.col("ex"), F.col("ex"))).cast(wide)
-    dy = (term(n, F.col("eyy")) - term(F.col("ey"), F.col("ey"))).cast(wide)
-    slope = num.cast("double") / F.nullif(dx.cast("double"), F.lit(0.0)) * (10.0 ** x_places) / (10.0 ** y_places)
-    # (dy*dx - num*num) / (n*dx), in doubles only where the exact products have over 38 digits
-    exact = (F.try_multiply(dy, dx) - F.try_multiply(num, num)).cast("double") / F.nullif(dx.cast("double"), F.lit(0.0))
-    rounded = dy.cast("double") - num.cast("double") * (num.cast("double") / F.nullif(dx.cast("double"), F.lit(0.0)))
-    sse = F.greatest(F.lit(0.0), F.coalesce(exact, rounded)) / F.col("n") / 10.0 ** (2 * y_places)
-    return slope, F.when(dx > 0, sse)
+    """Slope and squared error from integer sums: one division at the end.
+
+    Products of over 38 digits, which take groups of very many points, are done in doubles.
+    """
+    n = F.col("n").cast(WIDE)
+
+    def difference(a: Column, b: Column, c: Column, d: Column) -> tuple[Column, Column]:
+        exact = F.try_subtract(F.try_multiply(a, b), F.try_multiply(c, d))
+        rounded = a.cast("double") * b.cast("double") - c.cast("double") * d.cast("double")
+        return exact, F.coalesce(exact.cast("double"), rounded)
+
+    sums = {name: F.col(name) for name in ("ex", "ey", "exx", "eyy", "exy")}
+    num, num_value = difference(n, sums["exy"], sums["ex"], sums["ey"])
+    dx, dx_value = difference(n, sums["exx"], sums["ex"], sums["ex"])
+    dy, dy_value = difference(n, sums["eyy"], sums["ey"], sums["ey"])
+    divisor = F.nullif(dx_value, F.lit(0.0))
+    slope = num_value / divisor * (10.0**x_places) / (10.0**y_places)
+    residual = F.try_subtract(F.try_multiply(dy, dx), F.try_multiply(num, num)).cast("double") / divisor
+    residual = F.coalesce(residual, dy_value - num_value * (num_value / divisor))
+    sse = F.greatest(F.lit(0.0), residual) / F.col("n") / 10.0 ** (2 * y_places)
+    return slope, F.when(dx_value > 0, sse)
 
 
 def group_regression(df: DataFrame, x: str, variables: Sequence[str], group: str) -> DataFrame:
