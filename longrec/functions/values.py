@@ -120,17 +120,14 @@ def fixed_text(value: Column, places: int) -> Column:
     the number itself lies below the tie.
     """
     size = F.abs(value)
-    whole = F.floor(size)
+    whole = F.floor(size).cast("long")
     # both steps are exact: the fraction of a double, and its scaling by a power of two
-    fraction = ((size - whole) * float(2**52)).cast("long")
-    digits = whole.cast("long") * 10**places + F.shiftright(fraction * 10**places + 2**51, 52)
+    fraction = ((size - F.floor(size)) * float(2**52)).cast("long")
+    digits = F.shiftright(fraction * 10**places + 2**51, 52)
+    carried = whole + F.when(digits == 10**places, 1).otherwise(0)
     tail = F.lpad((digits % 10**places).cast("string"), places, "0")
-    sign = F.when((value < 0) & (digits > 0), "-").otherwise("")
-    return F.concat(sign, _div(digits, 10**places).cast("string"), F.lit("."), tail)
-
-
-def _div(a: Column, b: int) -> Column:
-    return F.floor((a - a % b) / b).cast("long")
+    sign = F.when((value < 0) & ((whole > 0) | (digits > 0)), "-").otherwise("")
+    return F.concat(sign, carried.cast("string"), F.lit("."), tail)
 
 
 def regression_label(group: Column, r: Column, p: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from longrec.functions import dates, labels, values
+from longrec.functions import dates, values
 from longrec.operators import ages, joins, predicates, recode
 from longrec.queries import query, table
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from longrec.fixed_values import COMPETENCE_SCALES, REPORT_ROWS, REPORT_SCALES
 from longrec.functions.labels import patient_subject, path_job, path_patient
