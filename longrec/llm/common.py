@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
+import longrec
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longrec.session import cut_lineage, shared_dir
 
-__all__ = ["cut_lineage", "free_name", "read_table", "shared_dir", "text_or_empty"]
+__all__ = ["cut_lineage", "free_name", "read_table", "shared_dir", "ship", "text_or_empty"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,3 +30,23 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this library, which the functions that run in tasks import.
+
+    Spark's own file distribution sends it once per application.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_longrec_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(longrec.__file__))
+    folder = tempfile.TemporaryDirectory(prefix="longrec-")
+    path = os.path.join(folder.name, "longrec.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for place, _, names in os.walk(root):
+            for name in (n for n in names if n.endswith(".py")):
+                full = os.path.join(place, name)
+                archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._longrec_shipped = folder

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from longrec.llm import exact_dedup
+from longrec.llm import exact_dedup, packing, token_counts
 from longrec.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op5_packing")
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_token_counts")
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), path, limit=512)
+
+
 @query(
     "op10_exact_dedup",
     """
