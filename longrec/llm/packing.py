@@ -158,7 +158,7 @@ def pack(
     def pack_task(batches):
         task = TaskContext.get().partitionId()
         packer = Packer(capacity, open_windows, _first_sequence(0, task))
-        encoder = tokens.WordIds(path)
+        encoder = tokens.word_ids(path)
         for batch in batches:
             ids, texts, first, chars = batch.column("id").to_pylist(), [], 0, 0
             for row, text in enumerate(batch.column("text")):

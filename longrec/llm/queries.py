@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from longrec.llm import exact_dedup, packing, token_counts
+from longrec.llm import exact_dedup, packing, quality, token_counts, toxicity
 from longrec.llm.common import read_table
+from longrec.llm.samples import crc32_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc32_of_id() % 3 == 1
+    model = toxicity.fit(docs, labels, learn=~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "threshold", (F.col("score") >= F.col("threshold")).alias("rejected"),
+    )
+
+
 @query("op5_packing")
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -38,6 +51,16 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), path, limit=512)
 
 
+@query("op9_quality")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc32_of_id() % 5 == 0
+    model = quality.fit(docs, labels, learn=~held_out)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 @query(
     "op10_exact_dedup",
     """

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 
-#: Words whose ids a Python worker remembers; the table starts anew beyond that.
-REMEMBERED_WORDS = 300_000
+#: Words whose ids a Python worker remembers; beyond that it keeps the half used most.
+REMEMBERED_WORDS = 600_000
+_LAST_SIGN = re.compile(r"(?<=[a-z0-9])([.,])(?=[ \n])")
 
 
 @lru_cache(maxsize=4)
@@ -42,50 +46,75 @@ def split_safely(text: str, max_chars: int) -> Iterator[str]:
 class WordIds:
     """Ids of whole texts from the ids of their words, for tokenizers that drop white space.
 
-    Such a tokenizer works on each run between blanks alone, so a run that occurs again
-    needs no second encoding.
+    Such a tokenizer works on each run between blanks alone, so a run that occurs again needs no
+    second encoding.  Where it also lower-cases and takes letters and other signs apart, runs are
+    lower-cased (ASCII) and a full stop or comma at the end of a run becomes a run of its own,
+    which leaves fewer different runs.  Use ``word_ids``: one object per Python worker.
     """
 
     def __init__(self, path: str):
         self._tokenizer = load(path)
-        self._clear()
-
-    def _clear(self) -> None:
+        described = json.loads(self._tokenizer.to_str())
+        split = str(described["pre_tokenizer"])
+        if "'behavior': 'Removed', 'invert': True" not in split:
+            raise ValueError("this tokenizer keeps white space; its words cannot be encoded alone")
+        self._simplify = "'Lowercase'" in str(described["normalizer"]) and "[\\\\p{L}]+|" in split
         self._known: dict[str, int] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._starts = [0]
-
-    def _learn(self, words: Sequence[str]) -> None:
-        if len(self._known) > REMEMBERED_WORDS:
-            self._clear()
-        new = list(dict.fromkeys(w for w in words if w not in self._known))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            begin = self._starts[-1]
-            ends = begin + np.cumsum(lengths)
-            while ends[-1] > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            self._ids[begin : ends[-1]] = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
-            base = len(self._known)
-            self._known.update(zip(some, range(base, base + len(some)), strict=True))
-            self._starts.extend(ends.tolist())
+        self._uses = np.zeros(0, np.int64)
+        self._ids, self._ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _runs(self, text: str) -> list[str]:
+        if self._simplify and "<|" not in text:
+            text = _LAST_SIGN.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+        return text.replace("\n", " ").split(" ")
+
+    def _forget(self) -> None:
+        """Keep the half of the words that was used most."""
+        keep = np.sort(np.argsort(-self._uses, kind="stable")[: REMEMBERED_WORDS // 2])
+        words = list(self._known)
+        self._known = {words[i]: at for at, i in enumerate(keep.tolist())}
+        lengths = np.diff(self._ends)[keep]
+        flat = np.repeat(self._ends[keep] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        self._ids, self._ends = self._ids[flat], np.concatenate([[0], np.cumsum(lengths)])
+        self._uses = self._uses[keep] // 2
+
+    def _learn(self, new: list[str]) -> None:
+        parts, lengths = [self._ids], []
+        for first in range(0, len(new), 20_000):
+            ids = [e.ids for e in self._tokenizer.encode_batch_fast(new[first : first + 20_000], add_special_tokens=False)]
+            lengths += map(len, ids)
+            parts.append(np.array(list(chain.from_iterable(ids)), np.uint32))
+        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
+        self._ids = np.concatenate(parts)
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
+        self._uses = np.concatenate([self._uses, np.zeros(len(new), np.int64)])
 
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text, each followed by ``end_id``."""
-        words, counts = [], []
+        if not len(texts):
+            return []
+        if len(self._known) > REMEMBERED_WORDS:
+            self._forget()
+        runs, counts = [], [0]
         for text in texts:
-            own = text.replace("\n", " ").split(" ")
-            words += own
-            counts.append(len(own))
-        self._learn(words)
-        at = np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
-        starts = np.asarray(self._starts, np.int64)
-        lengths = (starts[1:] - starts[:-1])[at]
+            runs += self._runs(text)
+            counts.append(len(runs))
+        at = np.fromiter(map(self._known.get, runs, repeat(-1)), np.int64, len(runs))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(runs[i] for i in missing)))
+            at[missing] = [self._known[runs[i]] for i in missing]
+        self._uses += np.bincount(at, minlength=len(self._uses))
+        lengths = np.diff(self._ends)[at]
         ends = np.cumsum(lengths)
-        flat = np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+        flat = np.repeat(self._ends[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]))
         ids = self._ids[flat]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])] if counts else [0]
+        bounds = np.concatenate([[0], ends])[counts]
         end = np.array([end_id], np.uint32)
         return [np.concatenate([ids[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """The words remembered in this Python worker, which later tasks find again."""
+    return WordIds(path)
