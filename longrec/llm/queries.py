@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import exact_dedup, packing, quality, token_counts, toxicity
+from longrec.llm import exact_dedup, ngram_join, packing, quality, token_counts, toxicity
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -28,6 +28,31 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+NGRAM_SQL = r"""
+with recursive words as (
+    select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) >= 5
+        then list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+    from words
+), one as (select doc_id, len(s) as n, unnest(s) as g from sets),
+pairs as (
+    select a.doc_id as x, b.doc_id as y
+    from one a join one b on a.g = b.g and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+    select doc_id as x, doc_id as y from documents
+    union select r.x, p.y from reach r join pairs p on r.y = p.x
+)
+select d.doc_id, coalesce(len(s.s), 0) as n_shingles, min(r.y) as component_id
+from documents d join sets s on d.doc_id = s.doc_id join reach r on d.doc_id = r.x
+group by d.doc_id, s.s
+"""
+
+
 @query("op2_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -51,6 +76,11 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), path, limit=512)
 
 
+@query("op7_ngram_join", NGRAM_SQL)
+def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality")
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
