@@ -8,10 +8,11 @@ a stricter test.  Each set picks its own l by the estimated cost of its candidat
 1. One scan makes each text's set size and signature, and counts shingles in a sketch of fixed
    size, from which the global order is taken.  Texts with equal sets become one class.
 2. A second scan emits prefixes; prefix shingles of one class alone are dropped at once.
-3. Each class is verified against the least and the greatest class of each of its shared prefix shingles; the
+3. Each class is verified against three classes of each of its shared prefix shingles; the
    links found so make components.  Large groups of near copies end here, at linear cost.
 4. Classes of different components that share a prefix shingle are joined with the adaptive
-   prefixes and verified.  Pairs inside one component can add nothing and are never made.
+   prefixes and verified.  Pairs inside one component can add nothing and are never made, nor
+   are pairs at crowded shingles that an exact bound by parity bits rules out.
 
 No pair is lost or capped: step 4 is complete for pairs between the components of step 3.  Sets are compared by
 64-bit shingle hashes.
@@ -35,11 +36,17 @@ from longrec.llm.shingles import distinct_sorted, shingles
 from longrec.llm.words import mix, passes
 
 #: Buckets (as a power of two) of the sketch of shingle counts, whatever the input.
-SKETCH_BITS = 16
-#: Bits (as a power of two) of the filter that names the texts whose sets are needed: 1 MB.
-FILTER_BITS = 23
+SKETCH_BITS = 17
+#: Bits (as a power of two) of the filter that names the texts whose sets are needed: 4 MB.
+FILTER_BITS = 25
 #: Largest number of shared prefix shingles that a set may ask for.
-MOST_MATCHES = 3
+MOST_MATCHES = 8
+#: A pair enters step 3 if it shares this part of the smaller set's prefix; step 4 sees the others.
+STAR_SHARE = 0.3
+#: Rows of a prefix shingle from which its classes count as crowded.
+CROWD = 64
+#: Columns of 64 parity bits of a set.
+BITS = [f"b{i}" for i in range(8)]
 #: Cost of verifying a candidate, in units of one shared prefix shingle, for each shingle of the set.
 VERIFY_COST = 0.05
 
@@ -66,8 +73,23 @@ def _classes(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     return n, mix(totals[begin[1:]] - totals[begin[:-1]] + n.astype(np.uint64)).view(np.int64)
 
 
+def _parity(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Each set's parity bits (sets x len(BITS) numbers): bit i is odd where i has an odd number of shingles."""
+    width = 64 * len(BITS)
+    bits = np.zeros((len(n), len(BITS)), np.int64)
+    rows = np.repeat(np.arange(len(n)), n)
+    places = rows * width + (mix(values) % np.uint64(width)).astype(np.int64)
+    for first in range(0, len(n), 1024):
+        last = min(first + 1024, len(n))
+        a, b = np.searchsorted(rows, [first, last])
+        odd = np.bincount(places[a:b] - first * width, minlength=(last - first) * width) & 1
+        bits[first:last] = np.packbits(odd.astype(bool).reshape(last - first, width), axis=1, bitorder="little").view(np.int64)
+    return bits
+
+
 def _signatures(rows: DataFrame, id_type: str) -> DataFrame:
-    """(id, n, c) of each text; after each task's texts its sketch as rows (bucket, seen)."""
+    """(id, n, c, parity bits) of each text; after each task's texts its sketch as rows (bucket, seen)."""
+    names = ["id", "n", "c", *BITS, "bucket", "seen"]
 
     def run(batches):
         seen = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -78,28 +100,36 @@ def _signatures(rows: DataFrame, id_type: str) -> DataFrame:
                 values, begin = distinct_sorted(*shingles(data, offsets))
                 seen += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
                 n, signature = _classes(values, begin)
+                bits = _parity(values, n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(first, end - first), pa.array(n), pa.array(signature, mask=n == 0),
-                     pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.int64())],
-                    ["id", "n", "c", "bucket", "seen"],
+                     *(pa.array(bits[:, i]) for i in range(len(BITS))), pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.int64())],
+                    names,
                 )
         if kind is not None:
             used = np.flatnonzero(seen)
             none = pa.nulls(len(used), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(used), kind), none, none, pa.array(used.astype(np.int32)), pa.array(seen[used])],
-                ["id", "n", "c", "bucket", "seen"],
+                [pa.nulls(len(used), kind), none, none, *[none] * len(BITS), pa.array(used.astype(np.int32)), pa.array(seen[used])],
+                names,
             )
 
-    return rows.mapInArrow(run, f"id {id_type}, n long, c long, bucket int, seen long")
+    longs = ", ".join(f"{name} long" for name in names[1:-2])
+    return rows.mapInArrow(run, f"id {id_type}, {longs}, bucket int, seen long")
 
 
 def _ranks(sketch: DataFrame) -> np.ndarray:
-    """0 for the buckets of rare shingles; above that the larger, the more often a bucket was seen."""
-    counts = np.ones(1 << SKETCH_BITS)
+    """0 for the buckets of rare shingles; above that the larger, the further a bucket stands out.
+
+    A shingle that many texts have lifts its bucket out of the spread of all buckets, at any size of the input.
+    """
+    counts = np.zeros(1 << SKETCH_BITS)
     for bucket, seen in sketch.groupBy("bucket").agg(F.sum("seen")).collect():  # at most 2 ** SKETCH_BITS rows
-        counts[bucket] = max(seen, 1)
-    return np.clip(np.floor(2 * np.log2(counts / (4 * counts.mean()))) + 1, 0, 63).astype(np.uint64)
+        counts[bucket] = seen
+    middle = np.median(counts)
+    spread = 1.5 * np.median(np.abs(counts - middle)) + 1
+    above = np.maximum((counts - middle) / (6 * spread), 0.5)
+    return np.clip(np.floor(2 * np.log2(above)) + 1, 0, 63).astype(np.uint64)
 
 
 def _prefixes(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -136,63 +166,65 @@ def _prefixes(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
 
 
 def _shared_prefixes(prefixes: DataFrame) -> DataFrame:
-    """Prefix rows whose shingle several classes have, with the first and last of those classes.
+    """Prefix rows whose shingle several classes have, with the number of its rows.
 
-    Shingles of often seen buckets (the upper bits of t) are surely shared: they skip the window, which would
-    bring all rows of one shingle to one task, and get their first and last class by a join.
+    Shingles of often seen buckets (the upper bits of t) skip the window, which would bring all
+    rows of one shingle to one task, and are counted by an aggregate and a join.
     """
     prefixes = cut_lineage(prefixes)
     often = F.shiftrightunsigned("t", 58) > 0
     by_class = Window.partitionBy("t").orderBy("c")
     whole = by_class.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = {"first": F.first("c").over(whole), "first_n": F.first("n").over(whole), "last": F.last("c").over(whole), "last_n": F.last("n").over(whole)}
-    rare = prefixes.where(~often).withColumns(ends | {"before": F.lag("c").over(by_class)})
-    rare = rare.where("first != last and (before is null or before != c)").drop("before")
+    rare = prefixes.where(~often).withColumns(
+        {"low": F.first("c").over(whole), "high": F.last("c").over(whole), "before": F.lag("c").over(by_class),
+         "holders": F.count(F.lit(1)).over(whole)}
+    )
+    rare = rare.where("low != high and (before is null or before != c)").drop("low", "high", "before")
     often_rows = prefixes.where(often).distinct()
-    ends = often_rows.groupBy("t").agg(F.min(F.struct("c", "n")).alias("a"), F.max(F.struct("c", "n")).alias("z")).where("a.c != z.c")
-    ends = cut_lineage(ends.select("t", F.col("a.c").alias("first"), F.col("a.n").alias("first_n"), F.col("z.c").alias("last"), F.col("z.n").alias("last_n")))
-    return cut_lineage(rare.unionByName(often_rows.join(ends, "t")))
+    counted = cut_lineage(often_rows.groupBy("t").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"))
+    return cut_lineage(rare.unionByName(often_rows.join(counted, "t")))
 
 
 def _sets(rows: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
-    """(c, shingles) of the needed classes, from the text of one member each.
+    """(c, shingles) of the classes ``needed`` (c), from the text of one member each.
 
-    A bitmap of fixed size names the members; the few texts it lets through besides are dropped
-    by an exact join.
+    A bitmap of fixed size names the members.  The few others that it lets through join with nothing, and a
+    class that several tasks send gives the same link several times.
     """
     slot = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)) + 1
     members = needed.join(classes, "c").select(F.col("rep").alias("id")).select(slot.alias("slot"))
     parts = members.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
-    bits = np.zeros(1 << FILTER_BITS, bool)
+    packed = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for part, own in parts.collect():  # at most 2 ** FILTER_BITS bits
-        bits[(part - 1) * 32768 : part * 32768] = np.unpackbits(np.frombuffer(bytes(own), np.uint8), bitorder="little")
-    packed = np.packbits(bits)
+        packed[(part - 1) * 4096 : part * 4096] = np.frombuffer(bytes(own), np.uint8)
 
     def run(batches):
-        wanted = np.unpackbits(packed).astype(bool)
+        known: set[int] = set()
         for batch in batches:
-            chosen = np.flatnonzero(wanted[batch.column("slot").to_numpy() - 1])
+            at = batch.column("slot").to_numpy() - 1
+            chosen = np.flatnonzero(packed[at >> 3] >> (at & 7).astype(np.uint8) & 1)
             if not len(chosen):
                 continue
             for _, _, data, offsets in passes(batch.column("text").take(pa.array(chosen))):
                 values, begin = distinct_sorted(*shingles(data, offsets))
                 n, signature = _classes(values, begin)
                 lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(signature, mask=n == 0), lists], ["c", "shingles"])
+                new = [i for i, c in enumerate(signature.tolist()) if n[i] and not (c in known or known.add(c))]
+                yield pa.RecordBatch.from_arrays([pa.array(signature), lists], ["c", "shingles"]).take(pa.array(new, pa.int64()))
 
-    made = rows.select(slot.alias("slot"), "text").mapInArrow(run, "c long, shingles array<long>")
-    made = made.join(needed, "c", "left_semi")
-    return cut_lineage(made.groupBy("c").agg(F.first("shingles").alias("shingles")))
+    return rows.select(slot.alias("slot"), "text").mapInArrow(run, "c long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (x, y) whose sets are similar enough."""
+    sets = _sets(rows, classes, pairs.select(F.explode(F.array("x", "y")).alias("c")).distinct())
     at_x = sets.select(F.col("c").alias("x"), F.col("shingles").alias("sx"))
     at_y = sets.select(F.col("c").alias("y"), F.col("shingles").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))
-    return pairs.join(at_x, "x").join(at_y, "y").where(both * 100 >= (F.size("sx") + F.size("sy") - both) * 80).select("x", "y")
+    similar = both * 100 >= (F.size("sx") + F.size("sy") - both) * 80
+    return cut_lineage(pairs.join(at_x, "x").join(at_y, "y").where(similar).select("x", "y").distinct())
 
 
 def _near_in_size(a: str, b: str) -> Column:
@@ -200,16 +232,31 @@ def _near_in_size(a: str, b: str) -> Column:
 
 
 def _star_pairs(shared: DataFrame) -> DataFrame:
-    """Each class with the first and the last class of each of its shared prefix shingles."""
-    ends = [
-        shared.where((F.col("c") != F.col(end)) & _near_in_size("n", f"{end}_n")).select(F.least("c", end).alias("x"), F.greatest("c", end).alias("y"))
-        for end in ("first", "last")
-    ]
-    return cut_lineage(ends[0].unionByName(ends[1]).distinct())
+    """Each class with three classes of each of its shared prefix shingles, where it shares much with them.
+
+    These are the first, the last and the most central one: the class whose whole prefix is shared most.  In
+    a group of near copies that is the text with the fewest edits, which most others link to.
+    """
+    central = cut_lineage(shared.groupBy("c").agg(F.sum("holders").alias("weight")))
+    member = F.struct("c", "n")
+    ends = shared.join(central, "c").groupBy("t").agg(
+        F.min(member).alias("first"), F.max(member).alias("last"), F.max(F.struct("weight", "c", "n")).alias("central")
+    )
+    ends = cut_lineage(ends.select("t", F.array("first", "last", F.struct("central.c", "central.n")).alias("ends")))
+    near = shared.join(ends, "t").select("c", "n", F.explode(F.array_distinct("ends")).alias("end"))
+    near = near.where((F.col("c") != F.col("end.c")) & _near_in_size("n", "end.n")).select(
+        F.least("c", "end.c").alias("x"), F.greatest("c", "end.c").alias("y"), F.least("n", "end.n").alias("n")
+    )
+    counted = near.groupBy("x", "y", "n").agg(F.count(F.lit(1)).alias("common"))
+    return cut_lineage(counted.where(F.col("common") >= STAR_SHARE * _index_prefix(F.col("n"), 1)).select("x", "y"))
+
 
+def _adaptive_pairs(classes: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of classes of different components that pass the adaptive prefix test.
 
-def _adaptive_pairs(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that pass the adaptive prefix test."""
+    At crowded shingles a pair must also pass an exact bound: the parity bits of two sets differ in no
+    more places than the sets have shingles apart, which may be a ninth of their sizes at most.
+    """
     own = shared.select("t", "c", "n", "pos").join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
     own = own.withColumn("root", F.coalesce("root", "c"))
     mixed = own.groupBy("t").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("holders")).where("low != high")
@@ -221,13 +268,23 @@ def _adaptive_pairs(shared: DataFrame, roots: DataFrame) -> DataFrame:
     picked = own.groupBy("c", "n").agg(F.array(*costs).alias("costs"))
     allowed = F.filter("costs", lambda x: x["matches"] <= F.greatest(_ceil(n * 4, 5), F.lit(1)))
     picked = cut_lineage(picked.select("c", F.array_min(allowed)["matches"].alias("matches")))
+    calm = own.where(F.col("holders") < CROWD).withColumns({b: F.lit(None).cast("long") for b in BITS})
+    own = calm.unionByName(own.where(F.col("holders") >= CROWD).join(classes.select("c", *BITS), "c"))
     probe = own.join(picked, "c").where(F.col("pos") < _probe_prefix(n, F.col("matches")))
-    probe = probe.select("t", F.col("c").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), "matches")
+    probe = probe.select(
+        "t", F.col("c").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), "matches", *(F.col(b).alias(f"x{b}") for b in BITS)
+    )
     index = own.where(F.col("pos") < _index_prefix(n, MOST_MATCHES))
-    index = index.select("t", F.col("c").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("pos").alias("yp"))
+    index = index.select(
+        "t", F.col("c").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("pos").alias("yp"),
+        *(F.col(b).alias(f"y{b}") for b in BITS),
+    )
+    apart = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
+    # null, so possible, where the shingle is not crowded
+    possible = F.coalesce(apart * 9 <= F.col("xn") + F.col("yn"), F.lit(True))
     smaller = (F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("y") < F.col("x")))
     pairs = probe.join(index, "t").where(
-        smaller & (F.col("yn") * 10 >= F.col("xn") * 8) & (F.col("xr") != F.col("yr"))
+        possible & smaller & (F.col("yn") * 10 >= F.col("xn") * 8) & (F.col("xr") != F.col("yr"))
         & (F.col("yp") < _index_prefix(F.col("yn"), F.col("matches")))
     )
     counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("common"), F.first("matches").alias("matches"))
@@ -239,14 +296,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     scanned = cut_lineage(_signatures(rows, rows.schema["id"].dataType.simpleString()))
-    own = scanned.where("bucket is null").select("id", "n", "c")
-    classes = cut_lineage(own.where("c is not null").groupBy("c").agg(F.min("id").alias("rep")))
+    own = scanned.where("bucket is null")
+    classes = own.where("c is not null").groupBy("c").agg(F.min("id").alias("rep"), *(F.min(b).alias(b) for b in BITS))
+    classes, own = cut_lineage(classes), own.select("id", "n", "c")
     shared = _shared_prefixes(_prefixes(rows, _ranks(scanned.where("bucket is not null"))))
-    sets = _sets(rows, classes, cut_lineage(shared.select("c").distinct()))
-    near = cut_lineage(_verified(_star_pairs(shared), sets))
+    near = _verified(rows, classes, _star_pairs(shared))
     first_roots = connected(near)
-    more = cut_lineage(_verified(_adaptive_pairs(shared, first_roots), sets))
+    more = _verified(rows, classes, _adaptive_pairs(classes, shared, first_roots))
     roots = connected(near.unionByName(more)) if not more.isEmpty() else first_roots
+    classes = classes.select("c", "rep")
     linked = roots.join(classes, F.col("node") == F.col("c"))
     least = cut_lineage(linked.groupBy("root").agg(F.min("rep").alias("least")))
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").join(least, "root", "left")
