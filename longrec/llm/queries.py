@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import exact_dedup, ngram_join, packing, quality, token_counts, toxicity
+from longrec.llm import exact_dedup, line_dedup, ngram_join, packing, quality, token_counts, toxicity
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -30,12 +30,12 @@ def query(name: str, sql: str | None = None):
 
 NGRAM_SQL = r"""
 with recursive words as (
-    select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                  '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    select doc_id, [x for x in string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as w
     from documents
 ), sets as (
     select doc_id, list_distinct(case when len(w) >= 5
-        then list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))
+        then [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]
         when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
     from words
 ), one as (select doc_id, len(s) as n, unnest(s) as g from sets),
@@ -53,6 +53,40 @@ group by d.doc_id, s.s
 """
 
 
+LINES_SQL = r"""
+with split as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as pos
+    from documents
+), lines as (
+    select doc_id, pos, trim(line, ' ') as line, len(regexp_extract_all(line, '\S+')) as words
+    from split where regexp_matches(line, '\S')
+), counted as (
+    select *, sum(words) over (partition by doc_id order by pos) as upto from lines
+), runs as (
+    select doc_id, 'from' as side, list(line) over w as content, list(pos) over w as places, sum(words) over w as size
+    from counted window w as (partition by doc_id order by upto - words range between current row and 49 following)
+    union all
+    select doc_id, 'to', list(line) over w, list(pos) over w, sum(words) over w
+    from counted window w as (partition by doc_id order by upto range between 49 preceding and current row)
+), ranked as (
+    select doc_id, places, row_number() over (partition by side, content order by doc_id, places[1]) as nth
+    from runs where size >= 50
+), deleted as (
+    select distinct doc_id, unnest(places) as pos from ranked where nth > 1
+)
+select s.doc_id, count(d.pos)::integer as n_deleted,
+       coalesce(string_agg(s.line, chr(10) order by s.pos) filter (where d.pos is null), '') as text
+from split s left join deleted d on s.doc_id = d.doc_id and s.pos = d.pos
+group by s.doc_id
+"""
+
+
+@query("op1_line_dedup", LINES_SQL)
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
