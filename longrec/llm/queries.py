@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import exact_dedup, line_dedup, ngram_join, packing, quality, token_counts, toxicity
+from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, quality, token_counts, toxicity, warc
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -99,6 +99,32 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WARC_SQL = """
+with payloads as (
+    select page_id, coalesce(html, '') as payload, min(page_id) over (partition by coalesce(html, '')) as first from pages
+), digests as (
+    select *, sha1(payload) as hex from payloads
+)
+select page_id, strlen(payload) as payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda j:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(hex, 5 * i + 1, 5))::integer >> (5 * (3 - j))) & 31)::integer + 1, 1)), '')), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from digests
+"""
+
+
+@query("op3_warc", WARC_SQL)
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@query("op4_decontamination")
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_packing")
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
