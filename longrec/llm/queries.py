@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, quality, token_counts, toxicity, warc
+from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, token_counts, toxicity, warc
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -141,6 +141,16 @@ def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(read_table(spark, sf_dir, "documents"))
 
 
+@query("op8_secret_scan")
+def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no labelled findings; strict rules label those of half of the documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = secret_scan.findings(docs, secret_scan.corpus_statistics(docs))
+    learn = crc32_of_id("id") % 2 == 0
+    forest = secret_scan.fit(found.where(learn).withColumn("label", F.col("rule")))
+    return secret_scan.score(found, forest)
+
+
 @query("op9_quality")
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
