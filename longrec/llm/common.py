@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from longrec.session import cut_lineage, shared_dir
 
-__all__ = ["cut_lineage", "free_name", "read_table", "shared_dir", "ship", "text_or_empty"]
+__all__ = ["cut_lineage", "free_name", "possibly_in", "read_table", "shared_dir", "ship", "text_or_empty"]
+
+#: Bits of the filters that go to all executors by broadcast: 4 MB at most, whatever the input.
+FILTER_BITS = 1 << 25
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,26 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def possibly_in(rows: DataFrame, keys: list[str], wanted: DataFrame, hit: str) -> DataFrame:
+    """``rows`` with a boolean ``hit``: false only where the keys are surely not in ``wanted``.
+
+    A bitmap of fixed size over the hashes of the wanted keys (columns in the order of ``keys``) is
+    broadcast.  It keeps wide rows that no join can change out of the shuffle; rows with ``hit`` still need the exact
+    join.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
+    slots = wanted.select((F.pmod(F.xxhash64(*wanted.columns), F.lit(FILTER_BITS)) + 1).alias("slot"))
+    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias(f"{hit}_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(f"{hit}_bits")
+    )
+    marked = rows.withColumn(f"{hit}_part", F.bitmap_bucket_number(slot)).withColumn(f"{hit}_bit", F.bitmap_bit_position(slot))
+    marked = marked.join(F.broadcast(bits), f"{hit}_part", "left")
+    place = F.floor(F.col(f"{hit}_bit") / 8).cast("int") + 1
+    byte = F.conv(F.hex(F.substring(F.col(f"{hit}_bits"), place, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.col(f"{hit}_bit") % 8) == 1, F.lit(False))
+    return marked.withColumn(hit, found).drop(f"{hit}_part", f"{hit}_bit", f"{hit}_bits")
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this library, which the functions that run in tasks import.
 

@@ -20,12 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, text_or_empty
+from longrec.llm.common import cut_lineage, possibly_in, text_or_empty
 
 #: Characters of a text that the second step hashes.
 PREFIX_CHARS = 256
-#: Bits of the filter that the second scan of ``keep_one`` gets by broadcast (1 MB).
-FILTER_BITS = 1 << 23
 
 
 def _sha(text: Column) -> Column:
@@ -104,39 +102,14 @@ def _one_kept(result: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
     return single.unionByName(several.drop("copy"))
 
 
-def _slot(*keys: str) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
-
-
-def _filter_of(keys: DataFrame) -> DataFrame:
-    """A bitmap of fixed size over the key hashes: at most FILTER_BITS / 8 bytes, whatever the input."""
-    slot = keys.select(_slot(*keys.columns).alias("slot"))
-    return slot.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-    )
-
-
-def _hash_survivors(rows: DataFrame, survivors: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with ``sha``: the full hash where (bytes, prefix) may have survived, else null.
-
-    The broadcast bitmap lets through every surviving row, and a few others that do no harm.
-    """
-    slot = _slot("bytes", "prefix")
-    rows = rows.withColumn("part", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot))
-    rows = rows.join(F.broadcast(_filter_of(survivors)), "part", "left")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.getbit(byte, F.col("bit") % 8) == 1, F.lit(False))
-    return rows.withColumn("sha", F.when(hit, _sha(text))).drop("part", "bit", "bits")
-
-
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
     """The rows of ``docs`` without the other copies; all columns stay.
 
     The first scan makes lengths and prefix hashes.  The second hashes the whole content only of
-    rows that share both with another row and groups them.  The last joins the texts with the
-    rows to drop, one row per id and text.
+    rows that share both with another row and groups them.  In the last, rows that share nothing
+    pass as they are, and only the others are joined with the decisions.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     id_name, text_name = (names[docs.columns.index(c)] for c in (id_col, text_col))
@@ -147,8 +120,8 @@ def keep_one(
     keyed = rows.withColumns(
         {"bytes": F.octet_length(text).cast("long"), "prefix": F.xxhash64(F.substring(text, 1, prefix_chars))}
     )
-    hashed = _hash_survivors(keyed, survivors, text)
-    alike = hashed.where("sha is not null").select(F.col(id_name).alias("id"), "bytes", "prefix", "sha")
+    hashed = possibly_in(keyed, ["bytes", "prefix"], survivors, "hit").withColumn("sha", F.when(F.col("hit"), _sha(text)))
+    alike = hashed.where("hit").select(F.col(id_name).alias("id"), "bytes", "prefix", "sha")
     alike = alike.join(survivors, ["bytes", "prefix"], "left_semi")
     counted = cut_lineage(alike.groupBy("id", "sha").agg(F.count(F.lit(1)).alias("times")))
     kept = cut_lineage(
@@ -157,8 +130,9 @@ def keep_one(
     keep = F.col("id").eqNullSafe(F.col("top.id"))
     decided = counted.join(kept, "sha").where(~keep | (F.col("times") > 1))
     decided = decided.select(F.col("id").alias("did"), F.col("sha").alias("dsha"), keep.alias("keep"))
-    joined = hashed.join(decided, F.col(id_name).eqNullSafe(F.col("did")) & (F.col("sha") == F.col("dsha")), "left")
-    single = joined.where("dsha is null").select(*names)
+    same = F.col(id_name).eqNullSafe(F.col("did")) & (F.col("sha") == F.col("dsha"))
+    joined = hashed.where("hit").join(cut_lineage(decided), same, "left")
+    single = hashed.where("not hit").select(*names).unionByName(joined.where("dsha is null").select(*names))
     row = F.struct(*names)
     repeated = joined.where("keep").groupBy("sha").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
     return single.unionByName(repeated).toDF(*docs.columns)

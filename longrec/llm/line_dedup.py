@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, text_or_empty
+from longrec.llm.common import cut_lineage, possibly_in, text_or_empty
 
 DOCUMENT = ("id", "text_hash")
 
@@ -89,11 +89,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at = dict(zip(docs.columns, names, strict=True))
     rows = docs.toDF(*names)
     found = deleted_lines(rows, at[id_col], at[text_col], min_words)
+    rows = rows.withColumns({"key": F.col(at[id_col]), "hash": F.xxhash64(text_or_empty(at[text_col]))})
+    rows = possibly_in(rows, ["key", "hash"], found.select(*DOCUMENT), "hit")
+    same = F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash"))
+    changed = rows.where("hit").join(found, same, "left")
     text = text_or_empty(at[text_col])
-    same = F.col(at[id_col]).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("text_hash"))
-    joined = rows.join(found, same, "left")
     lines = F.split(text, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("deleted"))
     cleaned = F.when(F.col("deleted").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    columns = [cleaned.alias(text_col) if n == at[text_col] else F.col(n).alias(c) for c, n in at.items()]
-    return joined.select(*columns, F.coalesce(F.size("deleted"), F.lit(0)).alias(counted))
+
+    def result(part: DataFrame, new_text: Column, count: Column) -> DataFrame:
+        columns = [new_text.alias(text_col) if n == at[text_col] else F.col(n).alias(c) for c, n in at.items()]
+        return part.select(*columns, count.alias(counted))
+
+    same_text = result(rows.where("not hit"), text, F.lit(0))
+    return same_text.union(result(changed, cleaned, F.coalesce(F.size("deleted"), F.lit(0))))

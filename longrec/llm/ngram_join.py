@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, ship, text_or_empty
+from longrec.llm.common import cut_lineage, possibly_in, ship, text_or_empty
 from longrec.llm.components import components as connected
 from longrec.llm.shingles import distinct_sorted, shingles
 from longrec.llm.words import mix, passes
@@ -324,4 +324,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.toDF(*names)
     found = similar_components(rows, at[id_col], at[text_col])
     dropped = found.where(F.col(at[id_col]) != F.col("component_id")).select(at[id_col]).distinct()
-    return rows.join(cut_lineage(dropped), at[id_col], "left_anti").toDF(*docs.columns)
+    dropped = cut_lineage(dropped)
+    rows = possibly_in(rows, [at[id_col]], dropped, "hit")
+    kept = rows.where("hit").join(dropped, at[id_col], "left_anti").select(*names)
+    return rows.where("not hit").select(*names).unionByName(kept).toDF(*docs.columns)
