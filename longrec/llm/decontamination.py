@@ -190,6 +190,8 @@ class ItemIndex:
                 for shift in range(int((high - low).max(initial=0))):
                     own = met[low[met] + shift < high[met]]
                     hits.append(starts[own] * len(self.words) + items[low[own] + shift])
+            if not hits:
+                continue
             for start, item, distance in self._verified(np.unique(np.concatenate(hits)), hashes, numbers, ends):
                 found.append((words.row[start], item, distance, start - words.first_word[words.row[start]]))
         if not found:
