@@ -309,7 +309,10 @@ def fetch(captures: DataFrame, payload: bool = False) -> DataFrame:
     Only the bytes of these records are read, in the order of the archives.
     """
     ship(captures.sparkSession)
-    ordered = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # a fixed number of parts: the places are few bytes, but the records behind them are not
+    parts = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = captures.select("file", "offset", "length")
+    ordered = places.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     names = ["id", "record_type", "refers_to", "payload_bytes", "payload_digest"] + ["payload"] * payload
     kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()] + [pa.binary()] * payload
 
