@@ -27,13 +27,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from longrec.llm import tokens
 from longrec.llm.common import cut_lineage, ship, text_or_empty
+from longrec.llm.words import passes
 
 #: Tasks (later: merge groups) whose open windows one merge takes: MERGE * open_windows windows.
 MERGE = 16
 #: A gap of fewer tokens is padded; a larger one is filled by a cut.
 MIN_CUT = 32
-#: Characters of text encoded at a time.
-PASS_CHARS = 1 << 20
 
 LONGS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "task"]
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -160,14 +159,10 @@ def pack(
         packer = Packer(capacity, open_windows, _first_sequence(0, task))
         encoder = tokens.word_ids(path)
         for batch in batches:
-            ids, texts, first, chars = batch.column("id").to_pylist(), [], 0, 0
-            for row, text in enumerate(batch.column("text")):
-                texts.append(text.as_py())
-                chars += len(texts[-1])
-                if chars >= PASS_CHARS or row == len(ids) - 1:
-                    for doc, own in zip(ids[first : row + 1], encoder.encode(texts, end_id), strict=True):
-                        packer.add_document(doc, own)
-                    texts, first, chars = [], row + 1, 0
+            ids = batch.column("id").to_pylist()
+            for first, end, data, offsets in passes(batch.column("text")):
+                for doc, own in zip(ids[first:end], encoder.encode(data, offsets, end_id), strict=True):
+                    packer.add_document(doc, own)
             yield pa.RecordBatch.from_pydict(_columns(packer, [], 0), kinds)
         left = [piece for window in packer.windows for piece in window]
         yield pa.RecordBatch.from_pydict(_columns(packer, left, task // MERGE), kinds)

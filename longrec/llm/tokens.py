@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import json
 import os
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 
-#: Words whose ids a Python worker remembers; beyond that it keeps the half used most.
-REMEMBERED_WORDS = 600_000
-_LAST_SIGN = re.compile(r"(?<=[a-z0-9])([.,])(?=[ \n])")
+from longrec.llm.words import SPACES, Words
+
+#: Words whose ids a Python worker remembers (about 60 bytes each); beyond that it keeps the half used most.
+REMEMBERED_WORDS = 1_500_000
+_PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
 @lru_cache(maxsize=4)
@@ -44,77 +45,111 @@ def split_safely(text: str, max_chars: int) -> Iterator[str]:
 
 
 class WordIds:
-    """Ids of whole texts from the ids of their words, for tokenizers that drop white space.
+    """Ids of whole texts from the ids of their runs, for tokenizers that drop white space.
 
     Such a tokenizer works on each run between blanks alone, so a run that occurs again needs no
-    second encoding.  Where it also lower-cases and takes letters and other signs apart, runs are
-    lower-cased (ASCII) and a full stop or comma at the end of a run becomes a run of its own,
-    which leaves fewer different runs.  Use ``word_ids``: one object per Python worker.
+    second encoding.  Where it also lower-cases and takes letters and other signs apart, runs that differ in ASCII
+    case only are the same, and a full stop or comma at the end of a run is a run of its own.  Runs are known by
+    two hashes, so a known run costs a few numbers.  Use ``word_ids``: one object per Python worker.
     """
 
     def __init__(self, path: str):
         self._tokenizer = load(path)
         described = json.loads(self._tokenizer.to_str())
-        split = str(described["pre_tokenizer"])
+        split, normalizer = str(described["pre_tokenizer"]), str(described["normalizer"])
         if "'behavior': 'Removed', 'invert': True" not in split:
             raise ValueError("this tokenizer keeps white space; its words cannot be encoded alone")
-        self._simplify = "'Lowercase'" in str(described["normalizer"]) and "[\\\\p{L}]+|" in split
-        self._known: dict[str, int] = {}
-        self._uses = np.zeros(0, np.int64)
-        self._ids, self._ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        if "'Lowercase'" not in normalizer or "[\\\\p{L}]+|" not in split:
+            raise ValueError("this tokenizer tells cases apart or joins letters and signs")
+        # sorted hashes, their check hashes and the entry of each
+        self._keys, self._checks, self._entries = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._ids, self._ends, self._uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self._keys)
 
-    def _runs(self, text: str) -> list[str]:
-        if self._simplify and "<|" not in text:
-            text = _LAST_SIGN.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-        return text.replace("\n", " ").split(" ")
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _forget(self) -> None:
-        """Keep the half of the words that was used most."""
+        """Keep the half of the runs that was used most."""
         keep = np.sort(np.argsort(-self._uses, kind="stable")[: REMEMBERED_WORDS // 2])
-        words = list(self._known)
-        self._known = {words[i]: at for at, i in enumerate(keep.tolist())}
-        lengths = np.diff(self._ends)[keep]
-        flat = np.repeat(self._ends[keep] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        self._ids, self._ends = self._ids[flat], np.concatenate([[0], np.cumsum(lengths)])
-        self._uses = self._uses[keep] // 2
-
-    def _learn(self, new: list[str]) -> None:
+        kept = np.zeros(len(self._uses), bool)
+        kept[keep] = True
+        moved = np.cumsum(kept) - 1
+        own = kept[self._entries]
+        self._keys, self._checks, self._entries = self._keys[own], self._checks[own], moved[self._entries[own]]
+        lengths = np.diff(self._ends)
+        self._ids = self._ids[np.repeat(kept, lengths)]
+        self._ends = np.concatenate([[0], np.cumsum(lengths[kept])])
+        self._uses = self._uses[kept] // 2
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The entry of each run, -1 where it is not known."""
+        if not len(self._keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where((self._keys[at] == keys) & (self._checks[at] == checks), self._entries[at], -1)
+
+    def _learn(self, runs: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
+        """Encode new runs; ``keys`` are sorted and different."""
         parts, lengths = [self._ids], []
-        for first in range(0, len(new), 20_000):
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(new[first : first + 20_000], add_special_tokens=False)]
+        for first in range(0, len(runs), 20_000):
+            ids = [e.ids for e in self._tokenizer.encode_batch_fast(runs[first : first + 20_000], add_special_tokens=False)]
             lengths += map(len, ids)
             parts.append(np.array(list(chain.from_iterable(ids)), np.uint32))
-        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
+        entries = len(self._uses) + np.arange(len(runs))
+        places = np.searchsorted(self._keys, keys)
+        # two runs of one hash: the later takes the place, and the other is learnt again if it returns
+        same = (places < len(self._keys)) & (self._keys[np.minimum(places, len(self._keys) - 1)] == keys) if len(self._keys) else np.zeros(len(keys), bool)
+        self._checks[places[same]], self._entries[places[same]] = checks[same], entries[same]
+        new = ~same
+        self._keys = np.insert(self._keys, places[new], keys[new])
+        self._checks = np.insert(self._checks, places[new], checks[new])
+        self._entries = np.insert(self._entries, places[new], entries[new])
         self._ids = np.concatenate(parts)
         self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
-        self._uses = np.concatenate([self._uses, np.zeros(len(new), np.int64)])
+        self._uses = np.concatenate([self._uses, np.zeros(len(runs), np.int64)])
 
-    def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
-        """The ids of each text, each followed by ``end_id``."""
-        if not len(texts):
-            return []
-        if len(self._known) > REMEMBERED_WORDS:
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
+        """The ids of each text of a pass (UTF-8 bytes and offsets), each followed by ``end_id``."""
+        if len(self) > REMEMBERED_WORDS:
             self._forget()
-        runs, counts = [], [0]
-        for text in texts:
-            runs += self._runs(text)
-            counts.append(len(runs))
-        at = np.fromiter(map(self._known.get, runs, repeat(-1)), np.int64, len(runs))
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            self._learn(list(dict.fromkeys(runs[i] for i in missing)))
-            at[missing] = [self._known[runs[i]] for i in missing]
-        self._uses += np.bincount(at, minlength=len(self._uses))
-        lengths = np.diff(self._ends)[at]
-        ends = np.cumsum(lengths)
-        flat = np.repeat(self._ends[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]))
-        ids = self._ids[flat]
-        bounds = np.concatenate([[0], ends])[counts]
+        words = Words(data, offsets, SPACES, latin=False)
+        n = len(words.starts)
+        sign = np.zeros(n, bool)
+        if n:
+            last, before = data[words.ends - 1], data[np.maximum(words.ends - 2, words.starts)]
+            sign = ((last == ord(".")) | (last == ord(","))) & (words.ends - words.starts > 1) & _PLAIN[before]
+        # runs and split-off signs in text order
+        place = np.arange(n) + np.cumsum(sign) - sign
+        starts, ends = np.zeros(n + int(sign.sum()), np.int64), np.zeros(n + int(sign.sum()), np.int64)
+        starts[place], ends[place] = words.starts, words.ends - sign
+        starts[place[sign] + 1], ends[place[sign] + 1] = words.ends[sign] - 1, words.ends[sign]
+        keys, checks = words.span_hash(starts, ends), words.check_hash(starts, ends)
+        entries = self._find(keys, checks)
+        while len(missing := np.flatnonzero(entries < 0)):
+            new, first = np.unique(keys[missing], return_index=True)
+            first = missing[first]
+            body = data.tobytes()
+            runs = [body[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            self._learn(runs, new, checks[first])
+            entries[missing] = self._find(keys[missing], checks[missing])
+        self._uses += np.bincount(entries, minlength=len(self._uses))
+        lengths = np.diff(self._ends)[entries]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._ids[np.repeat(self._ends[entries] - upto[:-1], lengths) + np.arange(int(upto[-1]))]
+        bounds = upto[np.append(place, len(starts))[words.first_word]]
         end = np.array([end_id], np.uint32)
-        return [np.concatenate([ids[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        result = [np.concatenate([ids[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        # texts that may hold a special token, whose case matters, are encoded whole
+        for text in np.unique(np.searchsorted(offsets, np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)), "right") - 1).tolist():
+            whole = data[offsets[text] : offsets[text + 1]].tobytes().decode("utf-8", "replace")
+            result[text] = np.concatenate([self._whole(whole), end])
+        return result
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """The words remembered in this Python worker, which later tasks find again."""
+    """The runs remembered in this Python worker, which later tasks find again."""
     return WordIds(path)

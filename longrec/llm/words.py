@@ -12,6 +12,7 @@ PASS_BYTES = 1 << 20
 
 _GENERATOR = np.random.default_rng(20240601)
 _BYTE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64)
+_CHECK_BYTE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -98,13 +99,25 @@ class Words:
         self.first_word = np.searchsorted(self.starts, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
         power, self._inverse = _power_tables(n + 1)
-        self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[fold_case(data, latin)] * power[:n], out=self._sums[1:])
+        self._folded, self._power = fold_case(data, latin), power
+        self._sums = self._prefix_sums(_BYTE)
+        self._check_sums: np.ndarray | None = None
+
+    def _prefix_sums(self, table: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(self._folded) + 1, np.uint64)
+        np.cumsum(table[self._folded] * self._power[: len(self._folded)], out=sums[1:])
+        return sums
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte spans, equal for equal lower-cased bytes."""
         return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
 
+    def check_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A second hash, independent of ``span_hash``: both agree by chance for no two spans in practice."""
+        if self._check_sums is None:
+            self._check_sums = self._prefix_sums(_CHECK_BYTE)
+        return mix((self._check_sums[ends] - self._check_sums[starts]) * self._inverse[starts])
+
     @property
     def hashes(self) -> np.ndarray:
         return self.span_hash(self.starts, self.ends)
