@@ -4,13 +4,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from longrec.llm import packing, token_counts, tokens
+from longrec.llm import packing, token_counts, tokens, words
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.01"
@@ -28,6 +29,10 @@ def whole(path, texts):
     return [e.ids for e in Tokenizer.from_file(path).encode_batch(list(texts), add_special_tokens=False)]
 
 
+def encode(encoder, texts):
+    return [x.tolist() for _, _, data, offsets in words.passes(pa.array(texts, pa.string())) for x in encoder.encode(data, offsets, 2)]
+
+
 def rows_of(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     return EDGE + [(r.doc_id + 100, r.text) for r in docs.limit(400).collect()]
@@ -55,8 +60,7 @@ def test_split_is_safe(text, size):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="aAbIİΣςé̇ .,'!\n\t é1sdt", max_size=60))
 def test_word_ids(text):
-    got = tokens.word_ids(WORDS).encode([text], 2)[0].tolist()
-    assert got == whole(WORDS, [text])[0] + [2]
+    assert encode(tokens.word_ids(WORDS), [text, "", text]) == [x + [2] for x in whole(WORDS, [text, "", text])]
 
 
 def test_word_ids_after_forgetting(monkeypatch):
@@ -64,8 +68,17 @@ def test_word_ids_after_forgetting(monkeypatch):
     encoder = tokens.WordIds(WORDS)
     for k in range(8):
         texts = [f"word{j} number {j * k}, and more. plain words" for j in range(40)]
-        assert [x.tolist() for x in encoder.encode(texts, 2)] == [x + [2] for x in whole(WORDS, texts)]
-    assert len(encoder._known) < 400
+        assert encode(encoder, texts) == [x + [2] for x in whole(WORDS, texts)]
+    assert len(encoder) < 400
+
+
+def test_word_ids_of_one_hash(monkeypatch):
+    """Runs that share their first hash are told apart by the second."""
+    monkeypatch.setattr(words.Words, "span_hash", lambda self, a, b: ((b - a) % 3).astype(np.uint64))
+    texts = ["one two three four", "six seven, two. one ten", "one two"]
+    encoder = tokens.WordIds(WORDS)
+    assert encode(encoder, texts[:1]) == [whole(WORDS, texts[:1])[0] + [2]]
+    assert encode(encoder, texts[2:]) == [whole(WORDS, texts[2:])[0] + [2]]
 
 
 def check_packing(got, rows, capacity):
