@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 DAYS_PER_YEAR = 365.25
 
 #: (shape, format) of the text dates besides ISO ones.
-DATE_SHAPES = ((r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"))
+DATE_SHAPES = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+)
 
 
 def parse_date(value: Column, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:
@@ -21,7 +32,9 @@ def parse_date(value: Column, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -
     text = F.trim(value)
     parsed = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp_ntz"))
     for shape, form in shapes:
-        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz"))
+        # month names are read in any case
+        named = F.initcap(text) if "MMM" in form else text
+        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(named, F.lit(form)).cast("timestamp_ntz"))
     return parsed
 
 

@@ -12,10 +12,29 @@ from longrec.names import col
 from longrec.fixed_values import BORDERLINE_T, CLINICAL_T, PERCENTILES
 
 
+#: What counts as a number in a text.  A cast alone would also take ``12d``, ``3F`` and ``0x1p3``.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+
+
 def to_number(value: Column) -> Column:
-    """Number of a text; anything else, and NaN, is missing."""
-    number = value.cast("string").try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Number of a text; anything else, NaN and infinity are missing."""
+    text = value.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def exact_number(value: Column) -> Column:
+    """The same, where the double holds the number as written: long integers that lose digits are missing."""
+    text, number = value.cast("string"), to_number(value)
+    changed = text.rlike(WHOLE_NUMBER) & ~text.try_cast("decimal(38,0)").eqNullSafe(number.try_cast("decimal(38,0)"))
+    return F.when(~changed, number)
+
+
+def to_long(value: Column) -> Column:
+    """Whole number of a text, digit by digit where it is written as one; other numbers are cut."""
+    text = value.cast("string")
+    whole = F.when(text.rlike(WHOLE_NUMBER), F.trim(text).try_cast("long"))
+    return F.when(text.rlike(WHOLE_NUMBER), whole).otherwise(to_number(value).try_cast("long"))
 
 
 def to_integer(value: Column) -> Column:
@@ -26,19 +45,24 @@ def to_integer(value: Column) -> Column:
 def typed_option(value: Column) -> Column:
     """A number written plainly where the text is one, else the trimmed text."""
     text = F.trim(value)
-    return F.coalesce(text.try_cast("double").cast("string"), text)
+    return F.coalesce(to_number(text).cast("string"), text)
 
 
 def plain_answer(value: Column) -> Column:
     """Numeric text cut to its integer part, any other text as it is."""
-    whole = value.try_cast("double").try_cast("long")
-    return F.coalesce(whole.cast("string"), value)
+    return F.coalesce(to_long(value).cast("string"), value)
 
 
 def parse_choices(text: str | None) -> dict[str, str]:
-    """``1, a | 2, b`` as a dict: split at bars, then at the first comma; a trailing bar is fine."""
-    pairs = [part.split(",", 1) for part in (text or "").split("|")]
-    return {p[0].strip(): p[-1].strip() for p in pairs if p != [""]}
+    """``1, a | 2, b`` as a dict: choices stand between bars, code and label around the first comma.
+
+    An empty piece, as after a trailing bar, is no choice; a piece without a comma is its own label.
+    """
+    choices = {}
+    for piece in filter(None, (text or "").split("|")):
+        code, comma, label = piece.partition(",")
+        choices[code.strip()] = (label if comma else code).strip()
+    return choices
 
 
 def choices_map(text: Column) -> Column:
@@ -82,11 +106,6 @@ def range_flag(value: Column, low: float, high: float) -> Column:
     return F.coalesce(value.between(low, high), F.lit(False)).cast("int")
 
 
-def norm_score(raw: Column, tscores: Sequence[int]) -> Column:
-    """T-score at the position of the raw score; null outside the list."""
-    return F.get(F.array(*[F.lit(int(t)) for t in tscores]), raw.cast("int"))
-
-
 def percentile_band(tscore: Column, percentiles: Sequence[int] = PERCENTILES) -> Column:
     """Percentile text of a T-score: ``<= 50`` at 50, ``> 98`` beyond the list, null below 50."""
     position = (tscore - 50).cast("int")
@@ -113,9 +132,12 @@ def tscore_parts(text: Column) -> tuple[Column, Column, Column]:
     return score, F.contains(text, F.lit("-C")).cast("int"), F.contains(text, F.lit("-B")).cast("int")
 
 
-def fixed_text(value: Column, places: int) -> Column:
+def fixed_text(value: Column, places: int, ties: str = "up") -> Column:
     """Number with up to three decimals, rounded on its exact binary value (magnitudes below 10**15).
 
+    Exact ties (such as 0.125 at two places) go away from zero with ``ties="up"`` and to the even digit with
+    ``ties="even"``.
+
     ``format_string`` rounds the shortest decimal form instead: 40.595 would become 40.60 although
     the number itself lies below the tie.
     """
@@ -123,7 +145,16 @@ def fixed_text(value: Column, places: int) -> Column:
     whole = F.floor(size).cast("long")
     # both steps are exact: the fraction of a double, and its scaling by a power of two
     fraction = ((size - F.floor(size)) * float(2**52)).cast("long")
-    digits = F.shiftright(fraction * 10**places + 2**51, 52)
+    scaled = fraction * 10**places
+    digits = F.shiftright(scaled + 2**51, 52)
+    if ties == "even":
+        tied = scaled.bitwiseAND(F.lit(2**52 - 1)) == 2**51
+        odd = digits.bitwiseAND(F.lit(1)) == 1
+        # at no places the digit before the point decides
+        odd = odd if places else (whole + digits) % 2 == 1
+        digits = digits - F.when(tied & odd, 1).otherwise(0)
+    elif ties != "up":
+        raise ValueError("ties are 'up' or 'even'")
     carried = whole + F.when(digits == 10**places, 1).otherwise(0)
     tail = F.lpad((digits % 10**places).cast("string"), places, "0")
     sign = F.when((value < 0) & ((whole > 0) | (digits > 0)), "-").otherwise("")
@@ -133,7 +164,7 @@ def fixed_text(value: Column, places: int) -> Column:
 def regression_label(group: Column, r: Column, p: Column) -> Column:
     """``g (R^2 = 0.00, p = 0.00)``"""
     return F.concat(
-        group, F.lit(" (R^2 = "), fixed_text(r * r, 2), F.lit(", p = "), fixed_text(p, 2), F.lit(")")
+        group, F.lit(" (R^2 = "), fixed_text(r * r, 2, "even"), F.lit(", p = "), fixed_text(p, 2, "even"), F.lit(")")
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from longrec.names import col
 from longrec.functions import dates
+from longrec.functions.values import to_number
 from longrec.operators.columns import insert_before
 from longrec.operators.joins import subject_lookup
 from longrec.operators.ordered import attach, earliest, first_valid
@@ -58,7 +59,7 @@ def with_age_and_duration(
 ) -> DataFrame:
     """``session_age`` and ``dx_<kind>_duration`` from one aggregate and one join per subject."""
     dated = _as_moment(_as_moment(df, date, strict=False), birth, strict=True)
-    number = F.col(onset).cast("string").try_cast("double")
+    number = to_number(F.col(onset))
     facts = dated.groupBy(key).agg(
         earliest(birth, order_by).alias("__birth"),
         F.min(F.when(F.col(session) == first_session, number)).alias("__onset"),
@@ -74,7 +75,7 @@ def onset_ages(df: DataFrame, key: str, session: str, onset: str, first_session:
     return (
         df.where(F.col(session) == first_session)
         .groupBy(key)
-        .agg(F.min(F.col(onset).cast("string").try_cast("double")).alias("dx_age"))
+        .agg(F.min(to_number(F.col(onset))).alias("dx_age"))
     )
 
 

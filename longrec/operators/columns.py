@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.names import col
+from longrec.names import col, renamed_columns
 
 #: Canonical names of the columns shared by the jobs, in the order renames are given.
 COMMON_COLUMNS = ("study_id", "session_year", "dob", "session_date", "session_number")
@@ -34,9 +34,16 @@ def searching(columns: Iterable[str], patterns: Sequence[str]) -> list[str]:
 
 
 def with_families(columns: Iterable[str], variables: Iterable[str]) -> list[str]:
-    """Each variable with its checkbox columns ``variable___<k>``."""
-    names = list(columns)
-    return list(dict.fromkeys(c for v in variables for c in names if c == v or c.startswith(v + "___")))
+    """Each variable with its checkbox columns ``variable___<k>``.
+
+    A column belongs to the family of its own name, and to those of the names before each ``___`` in it.
+    """
+    families: dict[str, list[str]] = {}
+    for c in columns:
+        parts = c.split("___")
+        for size in range(1, len(parts) + 1):
+            families.setdefault("___".join(parts[:size]), []).append(c)
+    return list(dict.fromkeys(c for v in variables for c in families.get(v, [])))
 
 
 def resolve_variables(
@@ -76,12 +83,12 @@ def extract_fields(df: DataFrame, keys: Sequence[str], patterns: Sequence[str])
 def rename_common(df: DataFrame, names: Sequence[str | None], back: bool = False) -> DataFrame:
     """Rename study columns to the canonical ones, or ``back``; ``None`` skips a position."""
     pairs = [(old, new) for old, new in zip(names, COMMON_COLUMNS) if old is not None]
-    return df.withColumnsRenamed({new: old for old, new in pairs} if back else dict(pairs))
+    return renamed_columns(df, {new: old for old, new in pairs} if back else dict(pairs))
 
 
 def rename_by_table(df: DataFrame, mapping: dict[str, str | None]) -> DataFrame:
     """Rename from a mapping; a missing target keeps the name."""
-    return df.withColumnsRenamed({old: new for old, new in mapping.items() if new})
+    return renamed_columns(df, mapping)
 
 
 def rename_with_families(df: DataFrame, mapping: dict[str, str], checkbox: Iterable[str]) -> DataFrame:
@@ -93,7 +100,7 @@ def rename_with_families(df: DataFrame, mapping: dict[str, str], checkbox: Itera
             expanded |= {c: new + c[len(old):] for c in df.columns if c.startswith(old + "___")}
         else:
             expanded[old] = new
-    return df.withColumnsRenamed(expanded)
+    return renamed_columns(df, expanded)
 
 
 Rule = tuple[Callable[[str], bool], Callable[[str], str]]
@@ -113,7 +120,7 @@ def rename_by_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def rename_from_lines(df: DataFrame, lines: Iterable[str]) -> DataFrame:
     """Rename from ``old,new`` lines; whole names only, short or broken lines are skipped."""
     pairs = [line.strip().split(",") for line in lines if len(line.strip()) >= 4]
-    return df.withColumnsRenamed({p[0]: p[1] for p in pairs if len(p) > 1 and p[1]})
+    return renamed_columns(df, {p[0]: p[1] for p in pairs if len(p) > 1})
 
 
 def with_constants(df: DataFrame, values: dict) -> DataFrame:

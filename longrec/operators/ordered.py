@@ -14,7 +14,7 @@ Spark reduces on the map side, so they need no splitting.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -259,6 +259,37 @@ def running_sum(
     return summed.unionByName(done.select(*[col(c) for c in summed.columns]))
 
 
+def previous_values(
+    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], order_by: Sequence[str], split_above: int | None = SPLIT_ABOVE
+) -> DataFrame:
+    """Add, under new names, the values of the subject's row before the current one.
+
+    ``columns`` maps columns to the names of their earlier values.  Rows are numbered slice by slice and
+    joined with their successors, so one subject may hold any share of the table.  Rows without a key
+    have no predecessor.
+    """
+    place = "__place"
+    numbered = cut_lineage(running_sum(df.withColumn("__one", F.lit(1)), keys, "__one", order_by, place, split_above).drop("__one"))
+    before = numbered.select(*keys, (F.col(place) + 1).alias(place), *[col(c).alias(new) for c, new in columns.items()])
+    return attach(numbered, before, [*keys, place], list(columns.values())).drop(place)
+
+
+def sorted_numbers(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
+    """Add the place of each row, from 1, in the order of the whole table.
+
+    The table is sorted by ranges and written out; numbers run within a range and start where the
+    ranges before it end.  Only the sizes of the ranges come together.
+    """
+    part, row = "__part", "__row"
+    placed = df.orderBy(*_ordering(order_by)).withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()})
+    placed = cut_lineage(placed)
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("__n"), F.min(row).alias("__first"))
+    before = F.coalesce(F.sum("__n").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(part, "__first", before.alias("__before"))
+    number = F.col(row) - F.col("__first") + F.col("__before") + 1
+    return placed.join(F.broadcast(starts), part).withColumn(name, number).drop(part, row, "__first", "__before")
+
+
 def consecutive_years(
     df: DataFrame,
     keys: Sequence[str],

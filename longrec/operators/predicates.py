@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longrec.functions.values import to_number
 from longrec.names import col
 from longrec.operators.columns import resolve_variables
 from longrec.session import SMALL_ROWS
@@ -32,7 +33,7 @@ def keep_attended(df: DataFrame, session: str, missed: str, event: str, stable:
 
 def _value(column: str, numeric: bool) -> Column:
     c = col(column)
-    return c.try_cast("double") if numeric else c
+    return to_number(c) if numeric else c
 
 
 def has_all(exact: Sequence[str], groups: Sequence[Sequence[str]], numeric: bool = False) -> Column:

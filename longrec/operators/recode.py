@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longrec.names import col
-from longrec.functions.values import any_of, graded, parse_choices, recode
+from longrec.functions.values import any_of, exact_number, graded, parse_choices, recode, to_long, to_number
 from longrec.operators.columns import rename_with_families, with_families
 from longrec.session import collect_small
 
@@ -173,7 +173,7 @@ def merge_columns(
 
 @dataclass(frozen=True)
 class ColumnTyping:
-    """Chosen type of a text column and the number of values that do not parse."""
+    """Chosen type of a text column and the number of values that do not parse or lose digits."""
 
     column: str
     kind: str
@@ -191,16 +191,17 @@ def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence
         return []
     aggregates = []
     for i, c in enumerate(names):
-        number = col(c).cast("string").try_cast("double")
-        number = F.when(~F.isnan(number), number)
+        number = to_number(col(c))
         aggregates += [
             F.count(col(c)).alias(f"v{i}"),
             F.count(number).alias(f"n{i}"),
+            F.count(to_long(col(c))).alias(f"l{i}"),
+            F.count(exact_number(col(c))).alias(f"e{i}"),
             F.coalesce(F.bool_and(number == F.floor(number)), F.lit(False)).alias(f"w{i}"),
         ]
     row = df.agg(*aggregates).first()
     return [
-        ColumnTyping(c, "long" if row[f"w{i}"] else "double", row[f"v{i}"] - row[f"n{i}"])
+        ColumnTyping(c, "long" if row[f"w{i}"] else "double", row[f"v{i}"] - row[f"l{i}" if row[f"w{i}"] else f"e{i}"])
         for i, c in enumerate(names)
         if row[f"n{i}"]
     ]
@@ -208,6 +209,4 @@ def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence
 
 def apply_numeric_types(df: DataFrame, plan: Sequence[ColumnTyping]) -> DataFrame:
     """Cast the planned columns; values that do not parse become null."""
-    return df.withColumns(
-        {t.column: col(t.column).cast("string").try_cast("double").try_cast(t.kind) for t in plan}
-    )
+    return df.withColumns({t.column: (to_long if t.kind == "long" else to_number)(col(t.column)) for t in plan})

@@ -12,17 +12,17 @@ from pyspark.sql import types as T
 
 from longrec.names import col
 from longrec.functions.values import regression_label
-from longrec.operators.ordered import of_first_row
+
+#: Numbers of a trend line that are made at a time.
+TREND_STEP = 100_000
 
 #: Type of exact sums.
 WIDE = "decimal(38,0)"
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """(ids, variable, y) without null values."""
-    return df.unpivot(
-        list(ids), [col(v).cast("double").alias(v) for v in variables], "variable", "y"
-    ).where(F.col("y").isNotNull())
+    """(ids, variable, y), one row per variable."""
+    return df.unpivot(list(ids), [col(v).cast("double").alias(v) for v in variables], "variable", "y")
 
 
 def subject_slopes(
@@ -38,7 +38,7 @@ def subject_slopes(
 
     Fewer than two points give nulls, a constant x has no slope.  ``decimals`` states how many
     decimal places x and y have; the sums are then exact integers and equal in any engine.
-    Rows that are null in all variables are left out.  Aggregates only, so a subject with very
+    A subject without any value of a variable has a row of nulls for it.  Aggregates only, so a subject with very
     many rows is reduced before the shuffle.
     """
     ids = list(dict.fromkeys([subject, x, *([group] if group else []), *order_by]))
@@ -50,14 +50,13 @@ def subject_slopes(
     ordered = [names[c] for c in order_by]
     stats = [
         F.count(F.when(xs.isNotNull(), y)).alias("n"),
-        F.count(F.lit(1)).alias("points"),
         F.min("y").alias("low"),
         F.max("y").alias("high"),
     ]
     # x and group of the first row with a y; numbers under a single order key stay hash aggregates
-    stats.append(of_first_row(names[x], ordered).alias("first_x"))
+    stats.append(_of_first_value(F.col(names[x]), ordered).alias("first_x"))
     if group:
-        stats.append(of_first_row(names[group], ordered).alias("first_group"))
+        stats.append(_of_first_value(F.col(names[group]), ordered).alias("first_group"))
     if decimals is None:
         stats += [F.regr_slope(y, xs).alias("sl"), F.regr_sxx(y, xs).alias("sxx")]
         stats += [F.regr_syy(y, xs).alias("syy"), F.regr_sxy(y, xs).alias("sxy")]
@@ -84,6 +83,16 @@ def subject_slopes(
     )
 
 
+def _of_first_value(value: Column, order_by: Sequence[str]) -> Column:
+    """Aggregate: ``value`` in the first row that has a y."""
+    found = F.col("y").isNotNull()
+    if len(order_by) == 1:
+        order = F.col(order_by[0])
+        undated = F.min(F.when(found & order.isNull(), value))
+        return F.when(F.count(F.when(found & order.isNull(), 1)) > 0, undated).otherwise(F.min_by(value, F.when(found, order)))
+    return F.min_by(value, F.when(found, F.struct(*order_by)))
+
+
 def _double_fit() -> tuple[Column, Column]:
     sse = F.greatest(F.lit(0.0), F.col("syy") - F.col("sxy") * F.col("sxy") / F.nullif(F.col("sxx"), F.lit(0.0)))
     has_slope = F.col("sxx") > 0
@@ -120,7 +129,7 @@ def group_regression(df: DataFrame, x: str, variables: Sequence[str], group: str
     Pairs with a missing value are left out.  The p-value runs on the aggregated rows only.
     """
     source = df.select(col(x).cast("double").alias("__x"), col(group).alias("__g"), *[col(v) for v in variables])
-    long = unpivot(source, ["__x", "__g"], variables).where(F.col("__x").isNotNull())
+    long = unpivot(source, ["__x", "__g"], variables).where("__x is not null and y is not null")
     fitted = long.groupBy("__g", "variable").agg(
         F.count(F.lit(1)).alias("n"),
         F.regr_slope("y", "__x").alias("slope"),
@@ -138,11 +147,17 @@ def group_regression(df: DataFrame, x: str, variables: Sequence[str], group: str
 
 
 def trend_points(regressions: DataFrame, group: str, limit: float = 0.05) -> DataFrame:
-    """Points of the trend line on the whole numbers of the x range, where p is below the limit."""
-    grid = F.sequence(F.col("x_min").cast("long"), F.col("x_max").cast("long"))
+    """Points of the trend line on the whole numbers of the x range, where p is below the limit.
+
+    A range is exploded in two steps, so that no array holds more than about ``TREND_STEP`` numbers or steps.
+    """
+    low, high = F.col("x_min").cast("long"), F.col("x_max").cast("long")
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((high - low) / TREND_STEP))
+    start = low + F.col("__step") * TREND_STEP
     return (
         regressions.where(F.col("p") < limit)
-        .withColumn("x", F.explode(grid))
+        .withColumn("__step", F.explode(steps))
+        .withColumn("x", F.explode(F.sequence(start, F.least(high, start + (TREND_STEP - 1)))))
         .select(group, "variable", "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
     )
 
@@ -160,7 +175,7 @@ def _t_test():
         c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
         d = 1.0 / (d if abs(d) > tiny else tiny)
         h = d
-        for m in range(1, 1000):
+        for m in range(1, 1_000_000):
             even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
             odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
             for step in (even, odd):
@@ -170,8 +185,8 @@ def _t_test():
                 c = c if abs(c) > tiny else tiny
                 h *= d * c
             if abs(d * c - 1.0) < 1e-15:
-                break
-        return h
+                return h
+        raise ArithmeticError("the p-value has not converged")
 
     def two_sided_p(r: float, n: float) -> float | None:
         """P(|T| > t) with n - 2 degrees of freedom."""
@@ -184,9 +199,9 @@ def _t_test():
         if x in (0.0, 1.0):
             return x
         a, b = df / 2.0, 0.5
-        front = math.exp(
-            math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x)
-        )
+        # for large a the difference of the log-gammas loses all its digits: its series does not
+        ratio = math.lgamma(a + b) - math.lgamma(a) if a < 1e4 else 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3)
+        front = math.exp(ratio - math.lgamma(b) + a * math.log1p(-r * r) + b * math.log(r * r))
         if x < (a + 1.0) / (a + b + 2.0):
             return front * fraction(a, b, x) / a
         return 1.0 - front * fraction(b, a, 1.0 - x) / b

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from longrec.names import col, quoted
+from longrec.names import col, quoted, renamed_columns
 
 #: More sessions than this belong in long form.
 MAX_SESSIONS = 5_000
@@ -59,10 +59,10 @@ def profile_sessions(
     return SessionProfile({label: by_label[label] for label in sorted(by_label)})
 
 
-def _single(value: Column) -> Column:
+def _single(value: Column, label: str) -> Column:
     """The one value of a cell; a second row for the same cell is an error, never a choice."""
     return F.when(
-        F.count(F.lit(1)) > 1, F.raise_error(F.lit("more than one row for the same subject and session"))
+        F.count(col(label)) > 1, F.raise_error(F.lit("more than one row for the same subject and session"))
     ).otherwise(value)
 
 
@@ -93,12 +93,14 @@ def _pivot(
     first and then gathered: at most one entry per label, whatever the number of rows.
     """
     if agg is None:
-        cell = _single(_cell_value(df, variables, len(values)))
+        cell = _single(_cell_value(df, variables, len(values)), label)
     else:
         cell = F.struct(*[agg(quoted(v)).alias(v) for v in variables])
     if len(values) > MANY_LABELS:
-        cells = df.where(F.col(label).isNotNull()).groupBy(*keys, label).agg(cell.alias("cell"))
-        gathered = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(label, "cell"))).alias("cells"))
+        cells = df.groupBy(*keys, label).agg(cell.alias("cell"))
+        # a key whose labels are all null keeps its row, with no entry
+        entry = F.when(col(label).isNotNull(), F.struct(label, "cell"))
+        gathered = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
         return gathered.select(
             *keys, *[F.try_element_at("cells", F.lit(v)).alias(f"__{i}") for i, v in enumerate(values)]
         )
@@ -120,18 +122,20 @@ def flatten(
     profile: SessionProfile | None = None,
     bookkeeping: Sequence[str] = ("clinic_year", "session_number"),
     agg: Callable[[str], Column] | None = None,
+    max_sessions: int = MAX_SESSIONS,
 ) -> DataFrame:
     """One row per subject: ``<prefix><session>_<variable>``.
 
     Session 0 (or ``'0'``) is the stable arm.  Subjects without a stable row are left out,
     subjects with nothing else are kept.  Variables without any value in an arm get no column
     there, and the ``bookkeeping`` variables get none for session 0.  Two rows for the same
-    subject and session are an error unless ``agg`` says how to combine them.
+    subject and session are an error unless ``agg`` says how to combine them.  More than
+    ``max_sessions`` sessions are refused.
     """
     variables = [c for c in df.columns if c not in (key, session)]
     numeric = isinstance(df.schema[session].dataType, T.NumericType)
     zero = 0 if numeric else "0"
-    known = profile or profile_sessions(df, session, variables)
+    known = profile or profile_sessions(df, session, variables, max_sessions)
     long_sessions = [s for s in known.sessions if (s > 0 if numeric else s != zero)]
     stable = known.variables([zero], variables) if zero in known.filled else []
     longitudinal = known.variables(long_sessions, variables)
@@ -167,10 +171,11 @@ def simple_flatten(
     sort: bool = True,
     profile: SessionProfile | None = None,
     agg: Callable[[str], Column] | None = None,
+    max_sessions: int = MAX_SESSIONS,
 ) -> DataFrame:
     """One row per ``keys``: ``<prefix><label>_<variable>``, without columns that are all null."""
     variables = [c for c in df.columns if c not in (*keys, label)]
-    known = profile or profile_sessions(df, label, variables)
+    known = profile or profile_sessions(df, label, variables, max_sessions)
     wide = _pivot(df, keys, label, known.sessions, variables, agg)
     names = wide_columns([(s, v) for v in variables for s in known.sessions], sort)
     position = {s: i for i, s in enumerate(known.sessions)}
@@ -191,6 +196,7 @@ def double_flatten(
     instrument: str,
     prefix: str = "s",
     agg: Callable[[str], Column] | None = None,
+    max_sessions: int = MAX_SESSIONS,
 ) -> DataFrame:
     """``<prefix><session>_<instrument>_<score>``: both levels in one pivot.
 
@@ -202,7 +208,7 @@ def double_flatten(
     labelled = df.where(F.col(instrument).isNotNull()).withColumn(
         cell, F.concat_ws("\u0001", F.col(session).cast("string"), F.col(instrument))
     )
-    known = profile_sessions(labelled.drop(session, instrument), cell, scores)
+    known = profile_sessions(labelled.drop(session, instrument), cell, scores, max_sessions)
     wide = _pivot(labelled, [key], cell, known.sessions, scores, agg)
     position = {s: i for i, s in enumerate(known.sessions)}
     columns = []
@@ -223,8 +229,7 @@ def prefix_default_session(columns: Sequence[str], default: str = "s1") -> dict[
 
 def drop_default_session(df: DataFrame, renamed: dict[str, str]) -> DataFrame:
     """Undo ``prefix_default_session`` after the table was reshaped back."""
-    back = {new: old for old, new in renamed.items()}
-    return df.withColumnsRenamed({c: back[c] for c in df.columns if c in back})
+    return renamed_columns(df, {new: old for old, new in renamed.items()})
 
 
 def _common_type(types: list[T.DataType]) -> T.DataType:
@@ -298,7 +303,7 @@ def reshape(df: DataFrame, direction: str | None = None, sort: bool = True, book
     key = df.columns[0]
     chosen = direction or reshape_direction(df, key)
     if chosen == "expand":
-        return expand(df.withColumnsRenamed(suffix_to_prefix(df.columns)), key)[0]
+        return expand(renamed_columns(df, suffix_to_prefix(df.columns)), key)[0]
     session = df.columns[1]
     prefix = "s" if isinstance(df.schema[session].dataType, T.IntegralType) else ""
     return flatten(df, key, session, prefix=prefix, sort=sort, bookkeeping=bookkeeping)
@@ -335,14 +340,14 @@ def slopes_wide(slopes: DataFrame, keys: Sequence[str], variable: str = "variabl
 
 
 def blocks_wide(
-    df: DataFrame, key: str, block: str, measure: str, sides: Sequence[str], blocks: Sequence[str] | None = None
+    df: DataFrame, key: str, block: str, measure: str, sides: Sequence[str], max_sessions: int = MAX_SESSIONS
 ) -> DataFrame:
     """``<block>_<measure>_<side>`` in lower case, all blocks of a subject side by side."""
     cell = "__cell"
     labelled = df.where(F.col(measure).isNotNull()).select(
         key, F.lower(F.concat_ws("_", F.col(block), F.col(measure))).alias(cell), *sides
     )
-    known = profile_sessions(labelled, cell, list(sides))
+    known = profile_sessions(labelled, cell, list(sides), max_sessions)
     wide = _pivot(labelled, [key], cell, known.sessions, list(sides), None)
     kept = {s for s in sides if any(s in filled for filled in known.filled.values())}
     return wide.select(

@@ -74,14 +74,16 @@ def collect_reports(
     old: DataFrame | None,
     order_by: Sequence[str],
     redo: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Old and new report rows with their type; jobs already reported are not taken again.
 
-    ``rows`` carry ``job_id``; ``headers`` and ``files`` say what came with each job.
+    ``rows`` carry ``job_id``; ``headers`` and ``files`` say what came with each job.  Where a job
+    has several reports, ``by`` tells them apart in ``rows`` and ``headers``.
     """
     fresh = reports.unprocessed(rows, old, "job_id", redo)
-    types = reports.classify_reports(headers, files)
-    typed = fresh.join(types, "job_id", "left")
+    types = reports.classify_reports(headers, files, by=by)
+    typed = fresh.join(types, ["job_id", *by], "left")
     return reports.upsert_reports(old, typed, reports.REPORT_KEYS, order_by, redo)
 
 
@@ -100,6 +102,6 @@ def collect_report_folder(
     if rows is None:
         return old
     collected = collect_reports(
-        rows, reports.report_headers(spark, folder), reports.job_files(spark, folder), old, FILE_ORDER, redo
+        rows, reports.report_headers(spark, folder), reports.job_files(spark, folder), old, FILE_ORDER, redo, by=["file"]
     )
     return collected.drop(*FILE_ORDER)

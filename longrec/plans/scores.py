@@ -201,9 +201,12 @@ def collect_score_reports(
     event: str,
     scales: Sequence[str] = fixed.REPORT_SCALES,
     prefix: str = "cbcl_",
+    longitudinal: bool = True,
 ) -> DataFrame:
     """One row per subject and event: ``cbcl_<type>_<scale>`` and ``cbcl_<flag>___<k>``.
 
+    Unless ``longitudinal``, one row per subject with the event before each name.
+
     ``cells`` is (key, event, score_type, scale, cell).  T-scores are split into number and
     flags; the k of a flag is the place of its scale.  Columns without a value are left out.
     """
@@ -221,11 +224,13 @@ def collect_score_reports(
     named = cells.select(key, event, F.explode(entries).alias("e")).where(F.col("e").isNotNull())
     long = named.select(key, event, F.col("e.name").alias("name"), F.col("e.value").alias("value"))
     wide = reshape.simple_flatten(cut_lineage(long), [key, event], "name", prefix, sort=False)
-    return wide.toDF(*[c.removesuffix("_value") for c in wide.columns])
+    wide = wide.toDF(*[c.removesuffix("_value") for c in wide.columns])
+    return wide if longitudinal else reshape.simple_flatten(cut_lineage(wide), [key], event, sort=False)
 
 
 def collect_score_report_folder(
-    spark: SparkSession, folder: str, prefix: str, subjects: Sequence[str] = (), modified_after: str | None = None
+    spark: SparkSession, folder: str, prefix: str, subjects: Sequence[str] = (), modified_after: str | None = None,
+    longitudinal: bool = True,
 ) -> DataFrame:
     """The same from a folder of ``<prefix><digits>_<visit>.csv`` reports."""
     files = folders.discover_files(spark, folder, prefix, "csv", subjects, modified_after)
@@ -234,4 +239,4 @@ def collect_score_report_folder(
         files.select(F.col("path").alias("file"), "subject", F.col("visit").alias("event_name")), "file"
     ).drop("file")
     scored = reports.report_scores(named, ["subject", "event_name"])
-    return collect_score_reports(scored, "subject", "event_name")
+    return collect_score_reports(scored, "subject", "event_name", longitudinal=longitudinal)

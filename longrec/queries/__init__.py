@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from longrec.queries import columns, jobs, ordered, reshape, rows, scalars, scores, sources  # noqa: F401
+    from longrec.queries import columns, jobs, ordered, reshape, rows, scalars, scores, sources, strict  # noqa: F401

@@ -189,24 +189,24 @@ def _battery_sql():
                 column = column.replace("crystal_cog_ageadj", "cog_crystal_ageadj")
                 cells.append(f"max(case when day = {i} and {who} then {score} end) \"{column}\"")
     return (
-        "with e as (select user_id, dayofweek(ts) as day, max(value) raw, min(value) unadj, cast(count(*) as double) ageadj "
-        "from events where event_type = 'purchase' group by 1, 2), g as (select *, count(*) over (partition by user_id) n from e) "
-        "select 'CUST' || user_id subject, " + ", ".join(cells) + " from g group by user_id"
+        "with e as (select user_id % 400 * 20 + hour(ts) % 20 as pin, dayofweek(ts) as day, max(value) raw, min(value) unadj, cast(count(*) as double) ageadj "
+        "from events group by 1, 2), g as (select *, count(*) over (partition by pin) n from e) "
+        "select 'CUST' || pin subject, " + ", ".join(cells) + " from g group by pin"
     )
 
 
 @query("job_import_battery", _battery_sql())
 def job_import_battery(spark, d):
-    """Weekdays as instruments; people with up to four of them are read as parents."""
-    bought = table(spark, d, "events").where("event_type = 'purchase'")
+    """Weekdays as instruments of a user and hour; those with up to four of them are read as parents."""
+    pin = (F.col("user_id") % 400 * 20 + F.hour("ts") % 20).alias("pin")
     rows = (
-        bought.groupBy("user_id", (F.dayofweek("ts") - 1).alias("day"))
+        table(spark, d, "events").groupBy(pin, (F.dayofweek("ts") - 1).alias("day"))
         .agg(
             F.max("value").alias("RawScore"), F.min("value").alias("Uncorrected Standard Score"),
             F.count(F.lit(1)).cast("double").alias("Age-Corrected Standard Score"), F.max("event_id").alias("row"),
         )
         .select(
-            F.concat(F.lit("cust "), F.col("user_id").cast("string")).alias("PIN"),
+            F.concat(F.lit("cust "), F.col("pin").cast("string")).alias("PIN"),
             F.get(F.array(*[F.lit(i) for i in _INSTRUMENTS]), F.col("day")).alias("Inst"),
             "RawScore", F.lit(None).cast("double").alias("TScore"), "Uncorrected Standard Score",
             "Age-Corrected Standard Score", "row", F.lit("export.csv").alias("file"),
@@ -575,14 +575,22 @@ def _report_sql():
         "with o as (select l_orderkey, l_linenumber, cast(max(l_quantity) as integer) q from lineitem group by 1, 2), "
         "p as (select *, row_number() over (partition by l_orderkey order by l_linenumber) place, count(*) over (partition by l_orderkey) width from o), "
         f"s as (select *, case when width = {len(_SHORT)} then {_SHORT}[place] else {scales}[place] end scale, "
-        "cast(q as varchar) raw, q + 30 tn, cast(q + 30 as varchar) t from p) "
+        "cast(q as varchar) raw, q + 30 tn, cast(q + 30 as varchar) t from p where width in (6, 7)) "
         "select l_orderkey, 'visit' as event, " + ", ".join(cells) + " from s group by l_orderkey"
     )
 
 
 @query("job_collect_score_reports", _report_sql())
 def job_collect_score_reports(spark, d):
-    """Lines of an order as cells of a report; six of them mean that the first scale is lacking."""
+    """Lines of an order as cells of a report; six of them mean that the first scale is lacking.
+
+    Orders of any other width are no reports.
+    """
+    scored = reports.report_scores(_report_cells(spark, d), ["l_orderkey"], ["x", *_SHORT], ["x"])
+    return scores.collect_score_reports(scored.withColumn("event", F.lit("visit")), "l_orderkey", "event", ["x", *_SHORT])
+
+
+def _report_cells(spark, d):
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("int").alias("q"))
     q = F.col("q")
     t = (q + 30).cast("string")
@@ -591,6 +599,33 @@ def job_collect_score_reports(spark, d):
         "l_orderkey", "l_linenumber",
         F.explode(F.array(F.array(F.lit("Total Score"), q.cast("string")), F.array(F.lit("T Score"), printed))).alias("cells"),
     )
-    cells = reports.labelled_cells(rows, ["l_orderkey"], ["l_linenumber"], F.col("cells"), ["Total Score", "T Score"])
-    scored = reports.report_scores(cells, ["l_orderkey"], ["x", *_SHORT], ["x"])
-    return scores.collect_score_reports(scored.withColumn("event", F.lit("visit")), "l_orderkey", "event", ["x", *_SHORT])
+    return reports.labelled_cells(rows, ["l_orderkey"], ["l_linenumber"], F.col("cells"), ["Total Score", "T Score"])
+
+
+@query(
+    "rejected_reports",
+    """with o as (select distinct l_orderkey, l_linenumber from lineitem), n as (select l_orderkey, count(*) width from o group by 1)
+select l_orderkey, label, cast(width as integer) width from n cross join (values ('Total Score'), ('T Score')) x(label) where width not in (6, 7)""",
+)
+def rejected_reports(spark, d):
+    """Reports that are neither of all scales nor of all but the first."""
+    return reports.rejected_reports(_report_cells(spark, d), ["l_orderkey"], ["x", *_SHORT], ["x"])
+
+
+@query(
+    "job_score_reports_by_subject",
+    """with o as (select l_orderkey, l_linenumber, cast(max(l_quantity) as integer) q from lineitem group by 1, 2),
+p as (select *, row_number() over (partition by l_orderkey order by l_linenumber) place, count(*) over (partition by l_orderkey) width from o),
+s as (select l_suppkey subject, l_orderkey, place, q from p join (select l_orderkey k, min(l_suppkey) l_suppkey from lineitem group by 1) on k = l_orderkey
+  where width = 7 and l_orderkey in (select min(l_orderkey) from (select l_orderkey, min(l_suppkey) s, count(distinct l_linenumber) w from lineitem group by 1) where w = 7 group by s))
+select subject, """
+    + ", ".join(f"max(case when place = {i + 1} then cast(q as varchar) end) first_cbcl_raw_{s}" for i, s in enumerate(["x", *_SHORT]))
+    + " from s group by subject",
+)
+def job_score_reports_by_subject(spark, d):
+    """The first whole report of each supplier, in one row with the event in the names."""
+    cells = _report_cells(spark, d).where("label = 'Total Score' and width = 7")
+    suppliers = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("subject"))
+    chosen = cells.select("l_orderkey").distinct().join(suppliers, "l_orderkey").groupBy("subject").agg(F.min("l_orderkey").alias("l_orderkey"))
+    scored = reports.report_scores(cells.join(chosen, "l_orderkey"), ["subject", "l_orderkey"], ["x", *_SHORT], ["x"]).drop("l_orderkey")
+    return scores.collect_score_reports(scored.withColumn("event", F.lit("first")), "subject", "event", ["x", *_SHORT], longitudinal=False)

@@ -113,9 +113,13 @@ def with_orders(spark, d):
     return predicates.with_keys(table(spark, d, "customer").select("c_custkey"), orders, ["c_custkey"])
 
 
-@query("without_orders", "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query(
+    "without_orders",
+    "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P')",
+)
 def without_orders(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an order in process."""
+    orders = table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return predicates.without_keys(table(spark, d, "customer").select("c_custkey"), orders, ["c_custkey"])
 
 

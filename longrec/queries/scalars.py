@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from longrec import fixed_values as fixed
 from longrec.functions import dates, labels, records, sentences, values
+from longrec.operators import ordered
 from longrec.queries import query, table
 
 
@@ -30,10 +31,8 @@ from events""",
 )
 def elapsed_days(spark, d):
     """Whole days to the user's previous event, in both directions: rounded down, also below 0."""
-    from pyspark.sql import Window as W
-
-    before = F.lag("ts").over(W.partitionBy("user_id").orderBy("event_id"))
-    return table(spark, d, "events").select("event_id", "ts", before.alias("before")).select(
+    events = table(spark, d, "events").select("event_id", "user_id", "ts")
+    return ordered.previous_values(events, ["user_id"], {"ts": "before"}, ["event_id"]).select(
         "event_id",
         dates.elapsed_days(F.col("before"), F.col("ts")).cast("long").alias("forward"),
         dates.elapsed_days(F.col("ts"), F.col("before")).cast("long").alias("backward"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from longrec.names import col
 from longrec.operators.predicates import drop_all_null
-from longrec.session import broadcast_if_small, collect_small
-from longrec.sources.tables import infer_types, null_tokens_to_null
+from longrec.session import broadcast_if_small, collect_small, cut_lineage
+from longrec.sources.tables import csv_fields, infer_types, null_tokens_to_null
 
 #: Distinct column names a folder may have.
 MAX_COLUMNS = 10_000
@@ -34,54 +35,54 @@ FILE_ORDER = ["file", "file_start", "file_line"]
 
 
 def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """(file, header): the first line of every file.
+    """(file, header, header_line): the first line of every file that is not blank, and its number.
 
     Lines are numbered inside their split, only first splits count, and each file is reduced
     to one line before the shuffle.
     """
-    first_splits = _lines(spark, folder, glob).where(F.col("file_start") == 0)
-    return first_splits.groupBy("file").agg(F.min_by("line", "file_line").alias("header"))
+    first_splits = _lines(spark, folder, glob).where((F.col("file_start") == 0) & (F.trim("line") != ""))
+    return first_splits.groupBy("file").agg(F.min_by("line", "file_line").alias("header"), F.min("file_line").alias("header_line"))
 
 
 def scan_folder(
-    spark: SparkSession, folder: str, required: str, glob: str = "*.csv", sep: str = ","
+    spark: SparkSession, folder: str, required: str, glob: str = "*.csv", sep: str = ",", types: Mapping[str, str] | None = None,
+    max_columns: int = MAX_COLUMNS,
 ) -> tuple[DataFrame | None, DataFrame]:
     """(rows of all usable files with the columns of ``FILE_ORDER``, skipped files).
 
     Files without the required column are skipped and reported.  All files are one scan: each
     line is split once and its fields go to the columns its own file's header names.  Rows
     without any value are dropped.  Line breaks inside quotes are not supported here.
+
+    The folder is read once for the headers, which are written out, once to find the types
+    unless ``types`` (column to type, text where it names none) is given, and once for the rows.
     """
-    names = F.transform(F.split(F.col("header"), sep), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    headers = file_headers(spark, folder, glob).withColumn("names", names)
+    headers = cut_lineage(file_headers(spark, folder, glob))
+    headers = headers.withColumn("names", F.transform(csv_fields(F.col("header"), sep), lambda c: F.trim(c)))
     usable = F.coalesce(F.array_contains("names", required), F.lit(False))
     skipped = headers.where(~usable).select("file", F.lit(f"no column named {required}").alias("reason"))
     kept = headers.where(usable)
     columns = collect_small(
         kept.select(F.posexplode("names").alias("place", "name"))
+        .where(F.coalesce(F.col("name"), F.lit("")) != "")
         .groupBy("name")
         .agg(F.min("place").alias("place"))
         .orderBy("place", "name"),
-        MAX_COLUMNS,
+        max_columns,
     )
     if not columns:
         return None, skipped
-    width = kept.agg(F.max(F.size("names"))).first()[0]
+    names = [c["name"] for c in columns]
     # where each column of the result stands in a file, found once per file
-    listed = F.lit([c["name"] for c in columns])
-    kept = kept.select("file", "header", F.transform(listed, lambda c: F.array_position("names", c).cast("int")).alias("places"))
-    fields = F.from_csv(
-        F.col("line"), F.lit(", ".join(f"f{i} string" for i in range(width))), {"sep": sep, "escape": '"'}
-    )
+    places = F.transform(F.lit(names), lambda c: F.array_position("names", c).cast("int"))
+    kept = kept.select("file", "header_line", places.alias("places"))
     lines = _lines(spark, folder, glob).join(broadcast_if_small(kept), "file")
-    split = lines.where(F.col("line") != F.col("header")).select(
-        *FILE_ORDER, "places", F.array(*[fields.getField(f"f{i}") for i in range(width)]).alias("fields")
-    )
-    rows = split.select(
-        *[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c["name"]) for i, c in enumerate(columns)], *FILE_ORDER
-    )
-    names = [c["name"] for c in columns]
+    rows = lines.where((F.col("file_start") > 0) | (F.col("file_line") > F.col("header_line")))
+    split = rows.select(*FILE_ORDER, "places", csv_fields(F.col("line"), sep).alias("fields"))
+    rows = split.select(*[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c) for i, c in enumerate(names)], *FILE_ORDER)
     rows = drop_all_null(null_tokens_to_null(rows), names)
+    if types is not None:
+        return rows.withColumns({c: col(c).cast(types[c]) for c in names if c in types}), skipped
     return infer_types(rows, names), skipped
 
 

@@ -13,6 +13,7 @@ from longrec.operators.joins import union_missing
 from longrec.operators.ordered import SPLIT_ABOVE, attach, keep_last, running_sum
 from longrec.operators.predicates import without_keys
 from longrec.sources.folders import file_headers, scan_folder
+from longrec.sources.tables import csv_fields
 
 REPORT_KEYS = ("Subject", "Patient ID", "Age", "Sex", "type")
 
@@ -22,10 +23,12 @@ def read_reports(
     folder: str,
     required: str = "Age",
     patient_pattern: str = r"[A-Z]+\d+_s\d",
-    glob: str = "*.csv",
+    glob: str = "report*.csv",
 ) -> tuple[DataFrame | None, DataFrame]:
     """(rows of ``;``-separated reports, skipped files); headers may differ between files.
 
+    Only files named like a report are read: a job's other tables are none.
+
     Patient, subject and job come from the path.  Keys stay text.
     """
     rows, skipped = scan_folder(spark, folder, required, glob, sep=";")
@@ -42,9 +45,9 @@ def read_reports(
     ), skipped
 
 
-def report_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """(job_id, header) of the reports of a folder."""
-    return file_headers(spark, folder, glob).select(path_job(F.col("file")).alias("job_id"), "header")
+def report_headers(spark: SparkSession, folder: str, glob: str = "report*.csv") -> DataFrame:
+    """(job_id, file, header) of the reports of a folder."""
+    return file_headers(spark, folder, glob).select(path_job(F.col("file")).alias("job_id"), "file", "header")
 
 
 def job_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,10 +81,12 @@ def classify_reports(
     stem: str = "hips",
     method: tuple[str, str, str] = METHOD_FILES,
     contrast: tuple[str, str, str] = CONTRAST_FILES,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """(job, type) from a (job, header) and a (job, file) table.
+    """(job, by, type) from a (job, by, header) and a (job, file) table.
 
-    A header without a known text is typed by the files that came with the job.
+    Each report is typed by its own header; one without a known text by the files that came with the
+    job.  ``by`` names what tells the reports of a job apart, such as their file.
     """
     seen = files.groupBy(job).agg(
         F.max(F.col("file").like(method[0])).alias("__method"),
@@ -90,7 +95,7 @@ def classify_reports(
     method_part = F.when(F.coalesce("__method", F.lit(False)), method[1]).otherwise(method[2])
     contrast_part = F.when(F.coalesce("__contrast", F.lit(False)), contrast[1]).otherwise(contrast[2])
     fallback = F.concat_ws("_", F.lit(stem), method_part, contrast_part)
-    return headers.join(seen, job, "left").select(job, report_type(F.col("header"), rules, fallback).alias("type"))
+    return headers.join(seen, job, "left").select(job, *by, report_type(F.col("header"), rules, fallback).alias("type"))
 
 
 def unprocessed(jobs: DataFrame, reports: DataFrame | None, job: str = "job_id", redo: bool = False) -> DataFrame:
@@ -157,10 +162,11 @@ def report_scores(
 ) -> DataFrame:
     """(keys, score_type, scale, cell): the position within a report names the scale.
 
-    A row with as many cells as there are scales without the optional ones is read against the
-    shorter list, report by report.
+    A report whose rows have as many cells as there are scales without the optional ones is read against the
+    shorter list.  Reports with any other width are left out; ``rejected_reports`` names them.
     """
     short = [s for s in scales if s not in optional]
+    cells = without_keys(cells, rejected_reports(cells, keys, scales, optional), keys)
     listed = F.when(F.col("width") == len(short), F.lit(list(short))).otherwise(F.lit(list(scales)))
     kind = F.try_element_at(F.create_map(*[F.lit(x) for p in rows.items() for x in p]), F.col("label"))
     return cells.select(
@@ -168,6 +174,14 @@ def report_scores(
     )
 
 
+def rejected_reports(
+    cells: DataFrame, keys: Sequence[str], scales: Sequence[str] = REPORT_SCALES, optional: Sequence[str] = COMPETENCE_SCALES
+) -> DataFrame:
+    """(keys, label, width) of the rows whose cells are neither all scales nor all but the optional ones."""
+    widths = [len(scales), len([s for s in scales if s not in optional])]
+    return cells.where(~F.col("width").isin(widths)).select(*keys, "label", "width").distinct()
+
+
 def read_labelled_reports(spark: SparkSession, path, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
     """(file, label, width, position, cell) of CSV score reports.
 
@@ -178,8 +192,5 @@ def read_labelled_reports(spark: SparkSession, path, split_above: int | None = S
         .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
         .withColumn("number", F.monotonically_increasing_id())
     )
-    text = F.regexp_replace("value", "\r$", "")
-    cells = F.transform(
-        F.split(text, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit("")))
-    )
+    cells = F.transform(csv_fields(F.regexp_replace("value", "\r$", "")), lambda c: F.trim(c))
     return labelled_cells(lines, ["file"], ["start", "number"], cells, list(REPORT_ROWS), split_above)

@@ -6,12 +6,14 @@ from a schema or from one statistics pass, never from file order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longrec.functions.values import WHOLE_NUMBER, exact_number
 from longrec.names import col
 from longrec.fixed_values import NULL_TOKENS
 from longrec.session import collect_small
@@ -58,7 +60,10 @@ def read_table(
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Number or flag types for text columns whose values all fit: one aggregate."""
+    """Number or flag types for text columns whose values all fit: one aggregate.
+
+    Whole numbers too long for either number type stay text, so that no digit is lost.
+    """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     texts = [c for c in texts if columns is None or c in columns]
     if not texts:
@@ -68,8 +73,8 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         value = col(c)
         tests += [
             F.count(value).alias(f"v{i}"),
-            F.count(value.try_cast("long")).alias(f"l{i}"),
-            F.count(value.try_cast("double")).alias(f"d{i}"),
+            F.count(F.when(value.rlike(WHOLE_NUMBER), value.try_cast("long"))).alias(f"l{i}"),
+            F.count(exact_number(value)).alias(f"d{i}"),
             F.count(F.when(value.isin("True", "False", "TRUE", "FALSE", "true", "false"), 1)).alias(f"b{i}"),
         ]
     row = df.agg(*tests).first()
@@ -82,6 +87,22 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return nan_to_null(df.withColumns(casts))
 
 
+def csv_fields(line: Column, sep: str = ",") -> Column:
+    """The fields of a CSV line as an array, of any number, without their quotes; empty ones are null.
+
+    One pass of a pattern that never looks back over the line.  ``sep`` is one character.
+    """
+    s = re.escape(sep)
+    pattern = f'("[^"]*(?:""[^"]*)*"|[^{s}]*){s}'
+    found = F.regexp_extract_all(F.concat(line, F.lit(sep)), F.lit(pattern), F.lit(1))
+
+    def bare(field: Column) -> Column:
+        inner = F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(field.rlike('^".*"$') & (F.length(field) > 1), inner).otherwise(field), F.lit(""))
+
+    return F.transform(found, bare)
+
+
 def leading_keys(df: DataFrame, count: int) -> list[str]:
     """Key columns by position."""
     return df.columns[:count]

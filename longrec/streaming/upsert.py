@@ -1,6 +1,7 @@
 """Incremental reports as a Parquet store, for batches and for streams.
 
-Rows lie under ``type / level / version``.  A batch writes its own rows only, one per key, as a
+Rows lie under ``part / level / version``.  The part is the type behind a letter, so that a reader takes none for a
+number or a date; the type itself is a column like any other.  A batch writes its own rows only, one per key, as a
 *delta* under its version number; a retried batch replaces itself.  Readers take the newest
 *full* version of a type and the deltas after it, and keep the last row per key.  Compaction
 writes a new full version beside the old ones, which readers follow from then on.
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +20,7 @@ from longrec.operators.ordered import keep_last
 from longrec.session import collect_small
 from longrec.sources.reports import REPORT_KEYS
 
-LEVEL, VERSION = "level", "version"
+PART, LEVEL, VERSION = "part", "level", "version"
 DELTA, FULL = "delta", "full"
 MAX_PARTS = 100_000
 
@@ -33,16 +34,21 @@ def _parts(spark: SparkSession, store: str) -> DataFrame | None:
         raise
 
 
-def _current(rows: DataFrame, kind: str) -> DataFrame:
+def _part(kind: str) -> Column:
+    """``t`` and the type, or ``n`` for rows without one."""
+    return F.when(F.col(kind).isNull(), F.lit("n")).otherwise(F.concat(F.lit("t"), F.col(kind).cast("string")))
+
+
+def _current(rows: DataFrame) -> DataFrame:
     """Literal partition filters for what is valid now, so that replaced parts are not read."""
     newest: dict[int | None, list] = {}
     full = F.max(F.when(F.col(LEVEL) == FULL, F.col(VERSION)))
-    for row in collect_small(rows.groupBy(kind).agg(full.alias("full")), MAX_PARTS):
-        newest.setdefault(row["full"], []).append(row[kind])
+    # partition columns only: the scan reads no data
+    for row in collect_small(rows.groupBy(PART).agg(full.alias("full")), MAX_PARTS):
+        newest.setdefault(row["full"], []).append(row[PART])
     wanted = F.lit(False)
     for version, kinds in newest.items():
-        of_kind = F.col(kind).isin([k for k in kinds if k is not None])
-        of_kind = F.coalesce(of_kind, F.lit(False)) | (F.col(kind).isNull() if None in kinds else F.lit(False))
+        of_kind = F.col(PART).isin(kinds)
         valid = F.col(LEVEL) == DELTA
         if version is not None:
             valid = (valid & (F.col(VERSION) > version)) | ((F.col(LEVEL) == FULL) & (F.col(VERSION) == version))
@@ -51,21 +57,21 @@ def _current(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def read_store(
-    spark: SparkSession, store: str, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (), kind: str = "type"
+    spark: SparkSession, store: str, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = ()
 ) -> DataFrame | None:
     """One row per key, the last one written; ``None`` for an empty store."""
     rows = _parts(spark, store)
     if rows is None:
         return None
-    return keep_last(_current(rows, kind), keys, [VERSION, *order_by]).drop(LEVEL, VERSION)
+    return keep_last(_current(rows), keys, [VERSION, *order_by]).drop(PART, LEVEL, VERSION)
 
 
-def _write(rows: DataFrame, store: str, kind: str, level: str, version: int) -> None:
+def _write(rows: DataFrame, store: str, level: str, version: int) -> None:
     (
         rows.withColumns({LEVEL: F.lit(level), VERSION: F.lit(version)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(kind, LEVEL, VERSION)
+        .partitionBy(PART, LEVEL, VERSION)
         .parquet(store)
     )
 
@@ -85,16 +91,17 @@ def upsert_batch(
     the batch's types are no longer valid.
     """
     last = keep_last(new, keys, order_by) if order_by else new
-    _write(last, store, kind, FULL if redo else DELTA, batch)
+    _write(last.withColumn(PART, _part(kind)), store, FULL if redo else DELTA, batch)
 
 
 def compact(
-    spark: SparkSession, store: str, version: int, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (), kind: str = "type"
+    spark: SparkSession, store: str, version: int, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = ()
 ) -> None:
     """Write what is valid up to ``version`` (the newest batch) as a full version."""
-    rows = read_store(spark, store, keys, order_by, kind)
+    rows = _parts(spark, store)
     if rows is not None:
-        _write(rows, store, kind, FULL, version)
+        last = keep_last(_current(rows), keys, [VERSION, *order_by])
+        _write(last.drop(LEVEL, VERSION), store, FULL, version)
 
 
 def stream_upserts(

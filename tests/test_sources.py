@@ -85,7 +85,8 @@ def test_semicolon_reports(spark, tmp_path):
         "job000124": {"Age": "50", "Sex": "M", "Brainstem": None, "Crus I": 2, "Patient ID": "ab13_s2", "job_id": "job000124", "Subject": "ab13"},
     }
     assert skipped.count() == 1
-    assert rows(reports.report_headers(spark, f"{tmp_path}/AB12_s1_job000123")) == [("job000123", "Age;Sex;Brainstem")]
+    (header,) = reports.report_headers(spark, f"{tmp_path}/AB12_s1_job000123").collect()
+    assert (header["job_id"], header["header"]) == ("job000123", "Age;Sex;Brainstem") and header["file"].endswith("/report.csv")
 
 
 def test_report_types(spark):
