@@ -83,11 +83,7 @@ PERCENTILES = [50, 54, 58, 62, 66, 69, 72, 75, 78, 81, 84, 86, 88, 90, 92, 93, 9
 BORDERLINE_T = 65
 CLINICAL_T = 70
 
-# Preschool questionnaire scales and the scales each composite adds up.
-INTERNAL_SCALES = ["emoreact", "anxdep", "somcomp", "withdrawn"]
-EXTERNAL_SCALES = ["attprob", "aggbehav"]
-OTHER_SCALES = ["sleepprob", "otherprob"]
-DIAGNOSTIC_SCALES = ["affprob", "anxprob", "pervdevprob", "adhd", "oppdef"]
+# The questionnaire scales that each composite adds up.
 COMPOSITE_SCALES = {
     "intprob": ["emoreact", "anxdep", "somcomp", "withdrawn"],
     "extprob": ["attprob", "aggbehav"],
@@ -146,3 +142,24 @@ NULL_TOKENS = [
 
 # Diagnoses whose labels carry a date sentence.
 DIAGNOSES = ["wfs", "dm", "di", "hearloss", "oa", "bladder"]
+
+# Fixed value: the form of a test PIN (key, optional separator, optional session letter and number).
+PIN_PATTERN = r"(?i)(\w{0,4} ?\d{1,4})?(?:_| |-)?(?:s?)?(\d?)"
+
+# Battery columns -> score names.
+BATTERY_SCORES = {
+    "RawScore": "raw",
+    "TScore": "tscore",
+    "Uncorrected Standard Score": "unadj",
+    "Age-Corrected Standard Score": "ageadj",
+}
+UNADJUSTED = "Uncorrected Standard Score"
+
+# Texts in the names of finished battery columns.
+PARENT, OTHER_MEASURE = "parent", "neuroqol"
+PARENT_SCORES = {"unadj": "unc", "ageadj": "ac"}
+CRYSTAL_AGE = ("crystal_cog_ageadj", "crystal_cog", "cog_crystal")
+SELF_RAW = ("self_neuroqol_raw", "_raw")
+
+# Fixed value: the heading of a part of a diagnosis label.
+LABEL_HEADING = '<span style="color:#0e1f8a;">{}:</span> '

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from longrec.fixed_values import PIN_PATTERN
+
 
 def _found(value: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
@@ -40,10 +42,6 @@ def event_year(event: Column) -> Column:
     return _found(event, r"^(\d{4})_arm_1", 1).try_cast("int")
 
 
-#: Key, optional separator, optional session letter and number.
-PIN_PATTERN = r"(?i)(\w{0,4} ?\d{1,4})?(?:_| |-)?(?:s?)?(\d?)"
-
-
 def pin_subject(pin: Column) -> Column:
     """Subject part of a test PIN, without spaces, in upper case; null where there is none."""
     return F.upper(F.replace(_found(pin, PIN_PATTERN, 1), F.lit(" "), F.lit("")))

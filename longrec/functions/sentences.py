@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.fixed_values import DIAGNOSES
+from longrec.fixed_values import DIAGNOSES, LABEL_HEADING
 from longrec.functions.values import fixed_text
 from longrec.names import col
 
@@ -43,7 +43,7 @@ def diagnosis_text(rule: Column, age: Column, notes: Column, date: Column, estim
         .when(rule == "Dx age unknown", F.lit("Diagnosis present, but age unknown"))
         .when(rule == "No dx", F.lit("No diagnosis"))
     )
-    heading = '<span style="color:#0e1f8a;">{}:</span> '
+    heading = LABEL_HEADING
     return F.concat(
         F.lit(heading.format("Diagnosis")),
         F.coalesce(sentence, F.lit("")),

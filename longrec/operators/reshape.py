@@ -222,6 +222,11 @@ def double_flatten(
     )
 
 
+def without_session(name: str) -> str:
+    """A column name without its session."""
+    return SESSION_PREFIX.sub("", name, count=1) if SESSION_PREFIX.match(name) else name
+
+
 def prefix_default_session(columns: Sequence[str], default: str = "s1") -> dict[str, str]:
     """``{name: s1_name}`` for the names that carry no session."""
     return {c: f"{default}_{c}" for c in columns if not SESSION_PREFIX.match(c)}

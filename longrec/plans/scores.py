@@ -8,30 +8,31 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.names import col
+from longrec.names import col, renamed_columns
 from longrec import fixed_values as fixed
 from longrec.functions import labels, values
 from longrec.operators import columns, ordered, predicates, reshape, scoring
 from longrec.session import collect_small, cut_lineage
 from longrec.sources import folders, reports
 
-# Battery columns -> score names, and names of the finished scores.
-BATTERY_SCORES = {
-    "RawScore": "raw",
-    "TScore": "tscore",
-    "Uncorrected Standard Score": "unadj",
-    "Age-Corrected Standard Score": "ageadj",
-}
-UNADJUSTED = "Uncorrected Standard Score"
+BATTERY_SCORES, UNADJUSTED = fixed.BATTERY_SCORES, fixed.UNADJUSTED
 
 
 def _battery_rules() -> list[columns.Rule]:
-    """Names of the finished columns."""
+    """Parents' scores lose their session and have short names; two irregular names are put right."""
+
+    def short(name: str) -> str:
+        for text, new in fixed.PARENT_SCORES.items():
+            name = name.replace(text, new)
+        return name
+
+    crystal, old, new = fixed.CRYSTAL_AGE
+    own_raw, raw = fixed.SELF_RAW
     return [
-        (lambda c: "parent" in c, lambda c: c.replace("unadj", "unc").replace("ageadj", "ac")),
-        (lambda c: "crystal_cog_ageadj" in c, lambda c: c.replace("crystal_cog", "cog_crystal")),
-        (lambda c: "parent" in c and "neuroqol" not in c, lambda c: re.sub(r"^s\d+_", "", c)),
-        (lambda c: "self_neuroqol_raw" in c, lambda c: c.removesuffix("_raw")),
+        (lambda c: fixed.PARENT in c, short),
+        (lambda c: crystal in c, lambda c: c.replace(old, new)),
+        (lambda c: fixed.PARENT in c and fixed.OTHER_MEASURE not in c, reshape.without_session),
+        (lambda c: own_raw in c, lambda c: c.removesuffix(raw)),
     ]
 
 
@@ -55,7 +56,7 @@ def battery_rows(
             "subject": labels.pin_subject(F.col(pin)),
             "session_number": labels.pin_session(F.col(pin)),
         }
-    ).drop("__rows", pin).withColumnsRenamed(BATTERY_SCORES)
+    ).drop("__rows", pin).transform(renamed_columns, BATTERY_SCORES)
 
 
 def import_battery(

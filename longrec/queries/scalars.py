@@ -77,7 +77,7 @@ def _pins(spark, d):
     return table(spark, d, "customer").select("c_custkey", pin.alias("pin"))
 
 
-_PIN = r"(?i)(\w{0,4} ?\d{1,4})?(?:_| |-)?(?:s?)?(\d?)"
+_PIN = fixed.PIN_PATTERN
 
 
 @query(

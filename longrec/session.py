@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,24 +33,43 @@ def get_session(app: str = "longrec", master: str | None = None, **conf) -> Spar
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach.
+@cache
+def _local_scratch() -> tempfile.TemporaryDirectory:
+    """A temporary folder for a local master, removed when the program ends."""
+    return tempfile.TemporaryDirectory(prefix="longrec-", ignore_cleanup_errors=True)
 
-    The cluster names the parent in ``spark.checkpoint.dir``.  Only a local master may fall
-    back to a temporary folder of its own.
-    """
+
+def _scratch(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="longrec-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        base = _local_scratch().name
+    return f"{base.rstrip('/')}/longrec-{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder every executor can reach, below one folder of the application.
+
+    The cluster names the parent in ``spark.checkpoint.dir``.  Only a local master may fall
+    back to a temporary folder of its own.
+    """
+    return f"{_scratch(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once its results are written.
+
+    DataFrames that read them cannot be used after that.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+    """``df`` written once to the shared folder and read back; ``remove_scratch`` removes it.
 
     A Parquet table, so that each later pass reads its own columns only.  It outlives lost
     executors.  Column types Parquet cannot hold make it a reliable checkpoint instead.
