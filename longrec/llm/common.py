@@ -16,6 +16,8 @@ __all__ = ["cut_lineage", "free_name", "possibly_in", "read_table", "shared_dir"
 
 #: Bits of the filters that go to all executors by broadcast: 4 MB at most, whatever the input.
 FILTER_BITS = 1 << 25
+#: Rows of text that go to a Python worker at a time.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +60,11 @@ def possibly_in(rows: DataFrame, keys: list[str], wanted: DataFrame, hit: str) -
 def ship(spark: SparkSession) -> None:
     """Give the executors this library, which the functions that run in tasks import.
 
-    Spark's own file distribution sends it once per application.
+    Spark's own file distribution sends it once per application.  Rows here are whole texts, so unless the
+    session sets it, the number of rows of an Arrow batch is lowered too: it bounds the memory of a task.
     """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_longrec_shipped", False):
         return

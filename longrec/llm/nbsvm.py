@@ -59,7 +59,7 @@ def features(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.nd
             hashed = gram % np.uint64(buckets - 1) + np.uint64(1)
             keys.append((row[: n - size + 1].astype(np.uint64) * np.uint64(buckets) + hashed)[inside])
     keys = np.unique(np.concatenate(keys))
-    return (keys // np.uint64(buckets)).astype(np.int64), (keys % np.uint64(buckets)).astype(np.int64)
+    return (keys // np.uint64(buckets)).astype(np.int32), (keys % np.uint64(buckets)).astype(np.int32)
 
 
 class NbSvm:

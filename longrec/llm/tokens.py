@@ -13,7 +13,7 @@ import numpy as np
 from longrec.llm.words import SPACES, Words
 
 #: Words whose ids a Python worker remembers (about 60 bytes each); beyond that it keeps the half used most.
-REMEMBERED_WORDS = 1_500_000
+REMEMBERED_WORDS = 1_000_000
 _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy pass takes at a time; a longer text is a pass of its own.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 19
 
 _GENERATOR = np.random.default_rng(20240601)
 _BYTE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64)
