@@ -97,19 +97,35 @@ def latest(column: str | Column, order_by: Sequence[str]) -> Column:
     return F.max_by(value, F.when(value.isNotNull(), F.struct(*order_by)))
 
 
-def first_valid(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])
+
+
+def first_valid(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], one_shuffle: bool = False
+) -> DataFrame:
     """Replace every value of ``columns`` by the subject's first non-null one.
 
-    Rows without a subject have no first value.
+    Rows without a subject have no first value.  The table is read twice and joined, which Spark can split at
+    a subject with very many rows; with ``one_shuffle`` it is read once, and a subject's rows meet in one task.
     """
-    _ordering(order_by)
+    ordering = _ordering(order_by)
+    if one_shuffle:
+        whole = W.partitionBy(*keys).orderBy(*ordering).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        first = {c: F.when(_has_key(keys), F.first(col(c), ignorenulls=True).over(whole)) for c in columns}
+        return df.select(*[first[c].alias(c) if c in columns else col(c) for c in df.columns])
     firsts = df.groupBy(*keys).agg(*[earliest(c, order_by).alias(f"__first_{c}") for c in columns])
     joined = attach(df, firsts, keys, [f"__first_{c}" for c in columns])
     return joined.select(*[col(f"__first_{c}").alias(c) if c in columns else col(c) for c in df.columns])
 
 
-def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
-    """Add the number of rows of the row's key; null where a key column is null."""
+def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size", one_shuffle: bool = False) -> DataFrame:
+    """Add the number of rows of the row's key; null where a key column is null.
+
+    ``one_shuffle`` as in ``first_valid``.
+    """
+    if one_shuffle:
+        return df.withColumn(name, F.when(_has_key(keys), F.count(F.lit(1)).over(W.partitionBy(*keys))))
     return attach(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, [name])
 
 

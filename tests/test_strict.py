@@ -178,3 +178,11 @@ def test_scratch_has_an_owner(spark):
     with pytest.raises(Exception, match="(?i)not.*exist|no such file"):
         kept.collect()
     assert session.cut_lineage(spark.range(2)).count() == 2
+
+
+def test_one_shuffle_gives_the_same(spark):
+    data = [("a", 2, 5.0), ("a", 1, None), ("a", None, None), ("b", 1, None), (None, 1, 7.0), (None, 2, 8.0)]
+    df = spark.createDataFrame(data, "id string, t int, v double")
+    for operator in (lambda **k: ordered.first_valid(df, ["id"], ["v"], ["t"], **k), lambda **k: ordered.group_size(df, ["id"], "n", **k)):
+        assert rows(operator(one_shuffle=True)) == rows(operator())
+        assert operator(one_shuffle=True)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
