@@ -90,7 +90,7 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    held_out = crc32_of_id() % 3 == 1
+    held_out = F.coalesce(crc32_of_id() % 3 == 1, F.lit(False))
     model = toxicity.fit(docs, labels, learn=~held_out)
     scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
     return scored.select(
@@ -154,7 +154,7 @@ def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality")
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    held_out = crc32_of_id() % 5 == 0
+    held_out = F.coalesce(crc32_of_id() % 5 == 0, F.lit(False))
     model = quality.fit(docs, labels, learn=~held_out)
     scored = quality.score(docs.select("doc_id", "text"), model)
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
