@@ -37,7 +37,8 @@ def subject_slopes(
     """One row per subject and variable: slope, rmse, nrmse, count, first x and first group.
 
     Fewer than two points give nulls, a constant x has no slope.  ``decimals`` states how many
-    decimal places x and y have; the sums are then exact integers and equal in any engine.
+    decimal places x and y have; the sums are then exact integers and equal in any engine, or doubles
+    where a number has more than 18 digits.
     A subject without any value of a variable has a row of nulls for it.  Aggregates only, so a subject with very
     many rows is reduced before the shuffle.
     """
@@ -57,17 +58,21 @@ def subject_slopes(
     stats.append(_of_first_value(F.col(names[x]), ordered).alias("first_x"))
     if group:
         stats.append(_of_first_value(F.col(names[group]), ordered).alias("first_group"))
-    if decimals is None:
-        stats += [F.regr_slope(y, xs).alias("sl"), F.regr_sxx(y, xs).alias("sxx")]
-        stats += [F.regr_syy(y, xs).alias("syy"), F.regr_sxy(y, xs).alias("sxy")]
-    else:
-        a = F.round(xs * 10 ** decimals[0]).cast("decimal(18,0)")
-        b = F.round(y * 10 ** decimals[1]).cast("decimal(18,0)")
+    stats += [F.regr_slope(y, xs).alias("sl"), F.regr_sxx(y, xs).alias("sxx")]
+    stats += [F.regr_syy(y, xs).alias("syy"), F.regr_sxy(y, xs).alias("sxy")]
+    if decimals is not None:
+        a = F.round(xs * 10 ** decimals[0]).try_cast("decimal(18,0)")
+        b = F.round(y * 10 ** decimals[1]).try_cast("decimal(18,0)")
         sums = {"ex": a, "ey": b, "exx": a * a, "eyy": b * b, "exy": a * b}
         pair = xs.isNotNull() & y.isNotNull()
         stats += [F.sum(F.when(pair, e)).cast(WIDE).alias(name) for name, e in sums.items()]
+        stats.append(F.count(F.when(pair, a + b)).alias("exact"))
     grouped = long.groupBy(names[subject], "variable").agg(*stats)
-    slope, sse = _double_fit() if decimals is None else _exact_fit(*decimals)
+    slope, sse = _double_fit()
+    if decimals is not None:
+        # numbers of over 18 digits have no exact sums
+        exact = F.col("exact") == F.col("n")
+        slope, sse = (F.when(exact, a).otherwise(b) for a, b in zip(_exact_fit(*decimals), (slope, sse), strict=True))
     fitted = grouped.withColumns({"slope": F.when(F.col("n") > 1, slope), "sse": F.when(F.col("n") > 1, sse)})
     rmse = F.sqrt(F.col("sse") / F.col("n"))
     enough = F.col("n") > 1

@@ -39,12 +39,12 @@ def _part(kind: str) -> Column:
     return F.when(F.col(kind).isNull(), F.lit("n")).otherwise(F.concat(F.lit("t"), F.col(kind).cast("string")))
 
 
-def _current(rows: DataFrame) -> DataFrame:
+def _current(rows: DataFrame, max_parts: int) -> DataFrame:
     """Literal partition filters for what is valid now, so that replaced parts are not read."""
     newest: dict[int | None, list] = {}
     full = F.max(F.when(F.col(LEVEL) == FULL, F.col(VERSION)))
     # partition columns only: the scan reads no data
-    for row in collect_small(rows.groupBy(PART).agg(full.alias("full")), MAX_PARTS):
+    for row in collect_small(rows.groupBy(PART).agg(full.alias("full")), max_parts):
         newest.setdefault(row["full"], []).append(row[PART])
     wanted = F.lit(False)
     for version, kinds in newest.items():
@@ -57,13 +57,16 @@ def _current(rows: DataFrame) -> DataFrame:
 
 
 def read_store(
-    spark: SparkSession, store: str, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = ()
+    spark: SparkSession, store: str, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (), max_parts: int = MAX_PARTS
 ) -> DataFrame | None:
-    """One row per key, the last one written; ``None`` for an empty store."""
+    """One row per key, the last one written; ``None`` for an empty store.
+
+    A store of more than ``max_parts`` types is refused, as their versions come to the driver.
+    """
     rows = _parts(spark, store)
     if rows is None:
         return None
-    return keep_last(_current(rows), keys, [VERSION, *order_by]).drop(PART, LEVEL, VERSION)
+    return keep_last(_current(rows, max_parts), keys, [VERSION, *order_by]).drop(PART, LEVEL, VERSION)
 
 
 def _write(rows: DataFrame, store: str, level: str, version: int) -> None:
@@ -95,12 +98,13 @@ def upsert_batch(
 
 
 def compact(
-    spark: SparkSession, store: str, version: int, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = ()
+    spark: SparkSession, store: str, version: int, keys: Sequence[str] = REPORT_KEYS, order_by: Sequence[str] = (),
+    max_parts: int = MAX_PARTS,
 ) -> None:
     """Write what is valid up to ``version`` (the newest batch) as a full version."""
     rows = _parts(spark, store)
     if rows is not None:
-        last = keep_last(_current(rows), keys, [VERSION, *order_by])
+        last = keep_last(_current(rows, max_parts), keys, [VERSION, *order_by])
         _write(last.drop(LEVEL, VERSION), store, FULL, version)
 
 

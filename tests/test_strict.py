@@ -186,3 +186,9 @@ def test_one_shuffle_gives_the_same(spark):
     for operator in (lambda **k: ordered.first_valid(df, ["id"], ["v"], ["t"], **k), lambda **k: ordered.group_size(df, ["id"], "n", **k)):
         assert rows(operator(one_shuffle=True)) == rows(operator())
         assert operator(one_shuffle=True)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_exact_slopes_of_huge_numbers(spark):
+    df = spark.createDataFrame([("a", 1, 1e20), ("a", 2, 3e20), ("b", 1, 1.25), ("b", 2, 3.75)], "id string, x int, v double")
+    got = {r["id"]: r["slope"] for r in regression.subject_slopes(df, "id", "x", ["v"], ["x"], decimals=(0, 2)).collect()}
+    assert got == {"a": pytest.approx(2e20), "b": 2.5}
