@@ -9,7 +9,8 @@ target recall, give each window several chances to meet its item.  All meetings
 exact edit distance.
 
 Windows are item-sized (items of similar length share a class) and begin at every word that some item has; a window
-that has too few words of any item cannot be within the distance, and is left out beforehand.
+that has too few words of the items, or too few of their rare words, cannot be within the distance of any, and is
+left out beforehand.
 
 Items travel with the tasks in blocks of at most ``BLOCK_WORDS`` words, one pass over the documents each; the
 documents are not shuffled.
@@ -36,11 +37,13 @@ from longrec.llm.words import NON_WORD, Words, mix, passes
 #: Words of benchmark items that travel with a task.
 BLOCK_WORDS = 500_000
 #: Bytes of text that one numpy pass takes.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 21
 #: Largest and smallest item of a length class differ by this factor at most.
 CLASS_RATIO = 1.25
 #: Bits (as a power of two) of the table of words that items have.
 VOCABULARY_BITS = 22
+#: Words that at most this part of the items have count as rare.
+RARE_SHARE = 0.05
 #: (places sampled by a hash, most walks tried with that many).
 PLANS = ((3, 24), (2, 48), (1, 96))
 
@@ -122,6 +125,7 @@ class LengthClass:
     least: int  # words of its shortest item
     span: int  # words that a window may reach
     needed: int  # words of the span that items must have
+    needed_rare: int  # the same of words that few items have
     items: np.ndarray
     walks: Walks
     keys: list[tuple[np.ndarray, np.ndarray]]  # sorted hashes, items
@@ -144,6 +148,10 @@ class ItemIndex:
         self._has = np.zeros((len(items), len(self._vocabulary) + 1), bool)
         for i in used:
             self._has[i, np.searchsorted(self._vocabulary, items[i]) + 1] = True
+        holders = self._has.sum(axis=0)
+        self._rare = holders <= max(RARE_SHARE * len(used), 1)
+        chosen = set(used.tolist())
+        rare_words = np.array([self._rare[np.searchsorted(self._vocabulary, w) + 1].sum() if i in chosen else 0 for i, w in enumerate(items)], np.int64)
         self.classes: list[LengthClass] = []
         left = used[np.argsort(sizes[used], kind="stable")]
         while len(left):
@@ -160,7 +168,7 @@ class ItemIndex:
                 order = np.argsort(key, kind="stable")
                 keys.append((key[order], own[order]))
             span = int(sizes[longest] + self.edits[longest])
-            self.classes.append(LengthClass(least, span, int((sizes[own] - self.edits[own]).min()), own, walks, keys))
+            self.classes.append(LengthClass(least, span, int((sizes[own] - self.edits[own]).min()), int((rare_words - self.edits)[own].min()), own, walks, keys))
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, distance, first word) of the best match of each pair of a pass."""
@@ -174,11 +182,14 @@ class ItemIndex:
         ends = words.first_word[1:][words.row]
         found = []
         for group in self.classes:
-            known = self._has[group.items].any(axis=0)[numbers]
-            places = np.flatnonzero(known)
-            sums = np.concatenate([[0], np.cumsum(known, dtype=np.int32)])
-            reach = np.minimum(places + group.span, ends[places])
-            starts = places[sums[reach] - sums[places] >= group.needed]
+            held = self._has[group.items].any(axis=0)
+            known = held[numbers]
+            starts = np.flatnonzero(known)
+            reach = np.minimum(starts + group.span, ends[starts])
+            for flags, needed in ((held & self._rare, group.needed_rare), (held, group.needed)):
+                sums = np.concatenate([[0], np.cumsum(flags[numbers], dtype=np.int32)])
+                enough = sums[reach] - sums[starts] >= needed
+                starts, reach = starts[enough], reach[enough]
             if not len(starts):
                 continue
             limits = np.minimum(starts + group.least, ends[starts])
