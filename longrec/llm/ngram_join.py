@@ -218,13 +218,16 @@ def _sets(rows: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
 
 
 def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sets are similar enough."""
+    """The pairs (x, y) whose sets are similar enough, some several times.
+
+    Nothing is aggregated above the joins, so Spark can split them at a class with very many pairs.
+    """
     sets = _sets(rows, classes, pairs.select(F.explode(F.array("x", "y")).alias("c")).distinct())
     at_x = sets.select(F.col("c").alias("x"), F.col("shingles").alias("sx"))
     at_y = sets.select(F.col("c").alias("y"), F.col("shingles").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))
     similar = both * 100 >= (F.size("sx") + F.size("sy") - both) * 80
-    return cut_lineage(pairs.join(at_x, "x").join(at_y, "y").where(similar).select("x", "y").distinct())
+    return cut_lineage(pairs.join(at_x, "x").join(at_y, "y").where(similar).select("x", "y"))
 
 
 def _near_in_size(a: str, b: str) -> Column:
