@@ -33,6 +33,8 @@ from longrec.llm.words import passes
 MERGE = 16
 #: A gap of fewer tokens is padded; a larger one is filled by a cut.
 MIN_CUT = 32
+#: Bytes of text encoded at a time; each time costs a merge with the remembered runs.
+PASS_BYTES = 1 << 21
 
 LONGS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "task"]
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -160,7 +162,7 @@ def pack(
         encoder = tokens.word_ids(path)
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for first, end, data, offsets in passes(batch.column("text")):
+            for first, end, data, offsets in passes(batch.column("text"), PASS_BYTES):
                 for doc, own in zip(ids[first:end], encoder.encode(data, offsets, end_id), strict=True):
                     packer.add_document(doc, own)
             yield pa.RecordBatch.from_pydict(_columns(packer, [], 0), kinds)
