@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, token_counts, toxicity, warc
+from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, warc
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -87,6 +87,11 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op1_passage_dedup")
+def passage_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.dedup_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")

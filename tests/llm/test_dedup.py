@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from longrec.llm import components, exact_dedup, line_dedup, ngram_join
+from longrec.llm import components, exact_dedup, line_dedup, ngram_join, passages
 from longrec.session import cut_lineage
 
 SF = "/root/testdata/sf0.01"
@@ -102,6 +102,70 @@ def test_lines(spark):
     assert sorted(((r.doc_id, r.n_deleted_, r.text) for r in got.collect()), key=repr) == brute_lines(LINES, 6)
 
 
+def brute_passages(rows, least):
+    """Texts without every run of words that stood earlier, by all windows of ``least`` words."""
+    documents = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
+    first, gone = {}, defaultdict(set)
+    for number, (_, text) in enumerate(documents):
+        words = text.split()
+        for at in range(len(words) - least + 1):
+            doc, start = first.setdefault(tuple(words[at : at + least]), (number, at))
+            if doc != number or at >= start + least:
+                gone[number] |= set(range(at, at + least))
+    out = {}
+    for number, (i, text) in enumerate(documents):
+        pieces, own = re.findall(r"\s*\S+", text), gone[number]
+        tail, result, at = text[len("".join(pieces)) :], "", 0
+        while at < len(pieces):
+            if at not in own:
+                result += pieces[at]
+                at += 1
+                continue
+            end = at
+            while end in own:
+                end += 1
+            before = re.match(r"\s*", pieces[at])[0]
+            after = re.match(r"\s*", pieces[end])[0] if end < len(pieces) else None
+            if after is None:
+                result += before if at == 0 else ""
+            elif at > 0 and "\n" in after:
+                result += pieces[end]
+            else:
+                result += before + pieces[end].lstrip()
+            at = end + (after is not None)
+        out[(i, text)] = (len(own), result + tail)
+    return sorted(((i, *out[(i, t or "")]) for i, t in rows), key=repr)
+
+
+RUN = " ".join(f"p{k}" for k in range(55))
+INSIDE = [
+    (1, f"It says {RUN} here.\nMore"), (2, f"Other words, {RUN.replace(' p20 ', chr(10) + 'p20 ')} end\n\nlast"), (3, f"{RUN}\nafter"),
+    (4, f"x\n{RUN}\ny"), (5, f"x {RUN}\n"), (5, f"x {RUN}\n"), (6, f"cut {RUN[8:]}"), (7, RUN[:-25]), (8, "ten words " * 4 + "make a\n" + RUN),
+    (9, "a b c d e f g h i j\n" * 12), (10, "a b c d e f g h i j\n" * 6), (None, f"{RUN} {RUN}"), (11, f"It says {RUN} here.\nMore"), (12, None), (13, "  "),
+]
+
+
+@pytest.mark.parametrize("least", [50, 7, 2, 1])
+def test_passages(spark, least):
+    got = passages.dedup_passages(frame(spark, INSIDE).withColumnRenamed("Bytes", "n_deleted"), min_words=least)
+    assert got.columns == ["doc_id", "text", "id", "n_deleted", "n_deleted_"]
+    assert sorted(((r.doc_id, r.n_deleted_, r.text) for r in got.collect()), key=repr) == brute_passages(INSIDE, least)
+    assert passages.dedup_passages(frame(spark, INSIDE).limit(0)).count() == 0
+
+
+def test_passages_inside_lines_go(spark):
+    rows = frame(spark, INSIDE[:2])
+    assert {r.doc_id: r.n_deleted for r in line_dedup.dedup_lines(rows).collect()} == {1: 0, 2: 0}
+    assert {r.doc_id: (r.n_deleted, r.text) for r in passages.dedup_passages(rows).collect()}[2] == (55, "Other words, end\n\nlast")
+
+
+def test_passages_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted(((r.doc_id, r.n_deleted, r.text) for r in passages.dedup_passages(docs).collect()), key=repr)
+    assert got == brute_passages(rows, 50) and any(n for _, n, _ in got)
+
+
 def test_lines_empty(spark):
     assert line_dedup.dedup_lines(frame(spark, LINES).limit(0)).count() == 0
 
