@@ -1,11 +1,11 @@
-"""Deletion of repeated passages by winnowing over line hashes.
+"""Deletion of repeated passages of whole lines by hashes of windows of lines.
 
 A window is the shortest run of lines with at least ``min_words`` words that begins at a line, or that ends at one.
 The least line hash of each window is its fingerprint, so two equal runs of that many words
-are sure to share fingerprints, wherever they stand.  Fingerprints that occur once are dropped;
-at the others the windows are compared whole (by a hash of all their lines in order) with the
-first window that is equal.  Windows that overlap extend a match in both directions to the whole run, and the
-lines of every run that stood earlier are deleted.
+are sure to share fingerprints, wherever they stand.  Windows whose fingerprint occurs once are dropped, which only
+saves work; the others are grouped by a hash of all their lines in order, and the lines of every window but
+the first of its group are deleted.  No positions are joined and no match is extended: a longer run is the union of its
+overlapping windows.
 
 Blank lines count for nothing and stay; lines are compared without blanks at their ends.
 "Earlier" is the order of (id, text hash, line), null ids first.
