@@ -2,12 +2,15 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longrec.llm.common import ship, text_or_empty
 from longrec.llm.words import passes
 
+#: A text above this part of a sample's bytes is not taken, so a few long texts are not the whole sample.
+LARGEST_SHARE = 1 / 4
+
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -15,8 +18,10 @@ def labelled_sample(
 ) -> pa.Table:
     """(label, text, lang) of at most ``max_rows`` rows and ``max_bytes`` of text, on the driver.
 
-    The rows with the smallest hashes of their ids are taken, so a rerun takes the same.  Rows where
-    ``learn`` does not hold, and those with a null id or label, are left out; of several labels of
+    The rows with the smallest hashes of their ids are taken, so a rerun takes the same.  They are chosen by the
+    lengths of their texts, which are read for the chosen only.  A text above ``LARGEST_SHARE`` of ``max_bytes``
+    is left out, one that does not fit any more is skipped, and the next are tried.  Rows where
+    ``learn`` does not hold, and those with a null id or label, are left out too; of several labels of
     one id the largest counts.
     """
     ids = F.col("sample_id")
@@ -30,9 +35,22 @@ def labelled_sample(
     lang = F.col(lang_col) if lang_col else F.lit(None)
     rows = docs.select(F.col(id_col).alias("sample_id"), text_or_empty(text_col).alias("text"), lang.cast("string").alias("lang"))
     # at most max_rows narrow rows
-    rows = rows.join(F.broadcast(chosen), "sample_id").orderBy(F.xxhash64(ids), ids).limit(max_rows)
-    upto = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy(F.xxhash64(ids), ids).rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("label", "text", "lang").toArrow()
+    rows = rows.join(F.broadcast(chosen), "sample_id").where(F.octet_length("text") <= int(max_bytes * LARGEST_SHARE))
+    rows = rows.withColumn("row_hash", F.xxhash64("text", "lang"))
+    narrow = rows.groupBy("sample_id", "row_hash").agg(F.max(F.octet_length("text")).alias("bytes"), F.count("*").alias("copies"))
+    left, room, taken, copies = max_rows, max_bytes, [], {}
+    for row in narrow.orderBy(F.xxhash64(ids), ids, "row_hash").limit(max_rows).collect():
+        fitting = min(row["copies"], left, room // max(row["bytes"], 1))
+        if fitting:
+            left, room = left - fitting, room - fitting * row["bytes"]
+            taken.append((row["sample_id"], row["row_hash"], len(taken)))
+            copies[len(taken) - 1] = fitting
+    id_type = rows.schema["sample_id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame(taken, f"sample_id {id_type}, row_hash long, place int")
+    texts = rows.join(F.broadcast(wanted), ["sample_id", "row_hash"]).dropDuplicates(["place"])
+    table = texts.select("place", "label", "text", "lang").toArrow().sort_by("place")
+    repeated = np.repeat(np.arange(table.num_rows), [copies[p] for p in table["place"].to_pylist()])
+    return table.drop_columns(["place"]).take(pa.array(repeated, pa.int64()))
 
 
 def score_column(docs: DataFrame, model, text_col: str = "text") -> Column:

@@ -100,6 +100,17 @@ def test_sample_is_bounded_and_repeats(spark, tables):
     assert 0 < small.num_rows < 50 and sum(len(t.as_py().encode()) for t in small["text"]) <= 5_000
 
 
+def test_sample_goes_on_after_long_texts(spark):
+    """Whatever place the long text has in the order of hashes, the others are taken."""
+    for long in range(6):
+        rows = [(k, "w " * (5_000 if k == long else 40 + k), k % 2) for k in range(6)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+        sample = labelled_sample(docs.select("doc_id", "text"), docs.drop("text"), "quality", F.lit(True), max_bytes=1_000)
+        assert sorted(len(t.as_py()) for t in sample["text"]) == [2 * (40 + k) for k in range(6) if k != long]
+    twice = docs.union(docs).select("doc_id", "text")
+    assert labelled_sample(twice, docs.drop("text"), "quality", F.lit(True), max_bytes=1 << 20).num_rows == 12
+
+
 def test_quality_held_out(spark, tables):
     docs, labels = tables
     held = crc32_of_id() % 5 == 0
