@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by patterns, false positives removed by a random forest.
 
-Candidates are runs of letters, digits and a few signs.  Each gets its length and make-up, its character
+Candidates are long runs of letters, digits and a few signs, and whatever stands after a secret's name and a sign of
+assignment or as the password of an address, of any length and with any signs.  Each gets its length and make-up, its character
 transitions under those of the whole corpus, the share that dictionary words cover, the path it was found
 under and the words and signs around it.  The forest learns from labelled findings; its score of a
 finding decides.  Transition counts and the dictionary cover every text; both have a fixed size.
@@ -8,7 +9,7 @@ finding decides.  Transition counts and the dictionary cover every text; both ha
 Defined results: null and empty texts have no finding; a null path counts as empty; repeated rows have
 their findings each; findings never overlap; without labelled findings of both kinds every score is 0.5;
 an empty table gives an empty result; other columns are ignored.  The value itself is not
-returned, only its first signs and its SHA-256.
+returned, only its first signs (four, or a third of a short one) and its SHA-256.
 """
 
 from __future__ import annotations
@@ -28,6 +29,17 @@ from longrec.llm.words import NON_WORD, Words, passes
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_/+.@-])[A-Za-z0-9_/+.@-]{12,}={0,2}")
 LEAST_LETTERS = 20
+#: A value after a secret's name: in quotes, or up to a blank or the next parameter.
+NAMED = re.compile(
+    r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)s?(?:[_-][a-z0-9]+){0,2}"
+    r"[\"']?[ \t]*(?:=>|[=:]{1,2})[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'](?:(?![&;,](?:\w+=|[\"']))\S)*))"
+)
+#: Signs at the end of a value without quotes that belong to the text around it.
+CLOSING = ".,;:)]}>\"'"
+#: The password in scheme://user:password@host.
+IN_ADDRESS = re.compile(r"://[^\s/:@]*:([^\s/\"'<>]+)@")
+#: Characters a named value without a long run needs to teach the forest.
+LEAST_TAUGHT = 8
 #: Buckets (as a power of two) of the sketch of word counts behind the dictionary.
 DICTIONARY_BITS = 16
 #: Characters on each side that the neighbouring words come from.
@@ -104,7 +116,8 @@ def features(value: str, before: str, after: str, path: str, corpus: CorpusStati
     digit, upper, lower = (data >= 48) & (data <= 57), (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
     kinds = digit + 2 * upper + 3 * lower
     shares = np.bincount(data) / n
-    steps = corpus.transitions[data[:-1], data[1:]]
+    plain = np.minimum(data, 127)
+    steps = corpus.transitions[plain[:-1], plain[1:]] if n > 1 else np.zeros(1)
     runs = _LETTERS.findall(value)
     covered = sum(len(w) for w, known in zip(runs, corpus.knows(runs), strict=True) if known)
     near = _LETTERS.findall(before) [-3:] + _LETTERS.findall(after)[:3]
@@ -129,6 +142,33 @@ def rule_label(value: str, before: str) -> int | None:
     return 1 if _ASSIGNED.search(before) else None
 
 
+def candidates(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether a long run) of the candidates of a text, in order, without overlaps.
+
+    The whole value counts where it was named, unless a long run begins with it and reaches as far.
+    """
+    runs = [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= LEAST_LETTERS or any(c.isdigit() for c in m.group())]
+    ends = dict(runs)
+    named = [m.span(1) for m in IN_ADDRESS.finditer(text)]
+    for match in NAMED.finditer(text):
+        start, end = match.span(match.lastindex)
+        if match.lastindex == 3:
+            end = start + len(text[start:end].rstrip(CLOSING))
+        if text[start:end].strip() and ends.get(start, start) < end:
+            named.append((start, end))
+    found, upto, at = [], 0, 0
+    for start, end in sorted(set(named)):
+        if start < upto:
+            continue
+        while at < len(runs) and runs[at][0] < end:
+            if runs[at][0] >= upto and runs[at][1] <= start:
+                found.append((*runs[at], True))
+            at += 1
+        found.append((start, end, False))
+        upto = end
+    return found + [(*run, True) for run in runs[at:] if run[0] >= upto]
+
+
 def findings(
     docs: DataFrame, corpus: CorpusStatistics, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source"
 ) -> DataFrame:
@@ -142,15 +182,14 @@ def findings(
             at, out = [], {"start": [], "length": [], "shown": [], "sha256": [], "features": [], "rule": []}
             for row, (text, where) in enumerate(zip(batch.column("text"), batch.column("path"), strict=True)):
                 text, where = text.as_py(), where.as_py()
-                for match in CANDIDATE.finditer(text):
-                    value = match.group()
-                    if len(value) < LEAST_LETTERS and not any(c.isdigit() for c in value):
-                        continue
-                    before = text[max(match.start() - AROUND, 0) : match.start()]
-                    after = text[match.end() : match.end() + AROUND]
+                for start, end, long in candidates(text):
+                    value, before, after = text[start:end], text[max(start - AROUND, 0) : start], text[end : end + AROUND]
+                    rule = rule_label(value, before)
+                    if not long and (rule == 0 or len(value) < LEAST_TAUGHT):
+                        rule = None
                     at.append(row)
-                    made = (match.start(), len(value), value[:4], hashlib.sha256(value.encode()).hexdigest(),
-                            features(value, before, after, where, corpus), rule_label(value, before))
+                    made = (start, len(value), value[: min(4, len(value) // 3)], hashlib.sha256(value.encode()).hexdigest(),
+                            features(value, before, after, where, corpus), rule)
                     for name, item in zip(out, made, strict=True):
                         out[name].append(item)
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.int32()]

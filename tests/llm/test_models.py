@@ -159,6 +159,26 @@ def test_forest():
     assert (forest.RandomForest().scores(x) == 0.5).all() and len(model.scores(x[:0])) == 0
 
 
+NAMED = [
+    ("password=hunter2", ["hunter2"]), ('db_password: "p!a#b$c%d"', ["p!a#b$c%d"]), ("secret = correcthorse, then", ["correcthorse"]),
+    ("open postgres://me:s3cr#t@db.example.com/x1 now", ["s3cr#t"]), ("redis://:p@ss@host-1234567890:1", ["p@ss"]),
+    ("?token=0123456789abcdef0123&user=x", ["0123456789abcdef0123"]), ("pwd='two words é'", ["two words é"]), ("pass: x", ["x"]),
+    ("token: ab!0123456789abcdef", ["ab!0123456789abcdef"]), ("secret_key => $ecret", ["$ecret"]), ("the password is long", []),
+    ('{"token":123,"secret":"x"}', ["123", "x"]), ("token=a;key=0123456789abcdef", ["a", "0123456789abcdef"]),
+    ("password=\nnext", []), ("plain 0123456789abcdef run", ["0123456789abcdef"]), ("a=b password= 'x1' 0123456789abcdef", ["x1", "0123456789abcdef"]),
+]
+
+
+def test_named_values_are_candidates(spark, tables):
+    for text, values in NAMED:
+        assert [text[a:b] for a, b, _ in secret_scan.candidates(text)] == values, text
+    own = spark.createDataFrame([(k, t, "x") for k, (t, _) in enumerate(NAMED)], "doc_id long, text string, source string")
+    corpus = secret_scan.corpus_statistics(own)
+    got = secret_scan.findings(own, corpus).collect()
+    assert sorted((r.id, r.start, r.length) for r in got) == sorted((k, t.index(v), len(v)) for k, (t, values) in enumerate(NAMED) for v in values)
+    assert all(len(r.shown) <= r.length // 3 for r in got)
+
+
 def test_secrets(spark, tables):
     docs, _ = tables
     corpus = secret_scan.corpus_statistics(docs)
