@@ -12,8 +12,9 @@ Windows are item-sized (items of similar length share a class) and begin at ever
 that has too few words of the items, or too few of their rare words, cannot be within the distance of any, and is
 left out beforehand.
 
-Items travel with the tasks in blocks of at most ``BLOCK_WORDS`` words, one pass over the documents each; the
-documents are not shuffled.
+Items travel with the tasks in blocks of at most ``BLOCK_WORDS`` words, one pass over the documents each, whose result is written
+before the next block is read; an index is as large as the words of its items.  The documents are not shuffled (with
+several blocks, those that may hold an item are joined with the hashes of those that do).
 
 Defined results: null and empty texts match nothing; items with fewer than ``min_words`` words (nulls and empty
 ones too) are too short to tell and match nothing; repeated items or documents give a match each; ids
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from longrec.llm.common import ship, text_or_empty
+from longrec.llm.common import cut_lineage, possibly_in, ship, text_or_empty
 from longrec.llm.words import NON_WORD, Words, mix, passes
 
 #: Words of benchmark items that travel with a task.
@@ -145,10 +147,10 @@ class ItemIndex:
         self._known = np.packbits(known)
         #: Words of all items, sorted; word number v is at v - 1, and 0 stands for every other word.
         self._vocabulary = np.unique(everything)
-        self._has = np.zeros((len(items), len(self._vocabulary) + 1), bool)
-        for i in used:
-            self._has[i, np.searchsorted(self._vocabulary, items[i]) + 1] = True
-        holders = self._has.sum(axis=0)
+        #: The words each item has, by number: item * (words + 1) + word number, sorted.
+        own_words = [np.unique(np.searchsorted(self._vocabulary, items[i]) + 1) + i * (len(self._vocabulary) + 1) for i in used]
+        self._has = np.concatenate([np.zeros(0, np.int64), *own_words])
+        holders = np.bincount(self._has % (len(self._vocabulary) + 1), minlength=len(self._vocabulary) + 1)
         self._rare = holders <= max(RARE_SHARE * len(used), 1)
         chosen = set(used.tolist())
         rare_words = np.array([self._rare[np.searchsorted(self._vocabulary, w) + 1].sum() if i in chosen else 0 for i, w in enumerate(items)], np.int64)
@@ -182,7 +184,7 @@ class ItemIndex:
         ends = words.first_word[1:][words.row]
         found = []
         for group in self.classes:
-            held = self._has[group.items].any(axis=0)
+            held = self._held(group.items)
             known = held[numbers]
             starts = np.flatnonzero(known)
             reach = np.minimum(starts + group.span, ends[starts])
@@ -224,13 +226,24 @@ class ItemIndex:
         numbers[-1] = 0
         return numbers
 
+    def _held(self, items: np.ndarray) -> np.ndarray:
+        """Of each word number, whether one of the items has it."""
+        held = np.zeros(len(self._vocabulary) + 1, bool)
+        held[np.searchsorted(self._vocabulary, np.concatenate([self.words[i] for i in items])) + 1] = True
+        return held
+
+    def _has_word(self, item: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Whether each item has the word of that number."""
+        wanted = item * (len(self._vocabulary) + 1) + number
+        return self._has[np.minimum(np.searchsorted(self._has, wanted), len(self._has) - 1)] == wanted
+
     def _enough_words(self, start: np.ndarray, item: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Meetings whose window has as many words of its own item as the distance asks for."""
         size = np.array([len(self.words[i]) for i in item])
         count = np.zeros(len(item), np.int32)
         for t in range(int((size + self.edits[item]).max(initial=0))):
             there = (start + t < ends[start]) & (t < size + self.edits[item])
-            count += there & self._has[item, numbers[np.minimum(start + t, len(numbers) - 1)]]
+            count += there & self._has_word(item, numbers[np.minimum(start + t, len(numbers) - 1)])
         return count >= size - self.edits[item]
 
     def _verified(
@@ -261,20 +274,21 @@ class ItemIndex:
             yield start[near], item[near], best[near]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Items in blocks of bounded size, read one partition at a time."""
-    ids, items, total = [], [], 0
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list, list[np.ndarray], bool]]:
+    """Items in blocks of bounded size, read one partition at a time, and whether the block is the only one."""
+    ids, items, total, alone = [], [], 0, True
     rows = benchmark.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     for row in rows.toLocalIterator():
         own = word_lists(pa.array([row["text"]], pa.string()))[0]
         if items and total + len(own) > BLOCK_WORDS:
-            yield ids, items
+            alone = False
+            yield ids, items, alone
             ids, items, total = [], [], 0
         ids.append(row["id"])
         items.append(own)
         total += len(own)
     if items:
-        yield ids, items
+        yield ids, items, alone
 
 
 def matches(
@@ -292,7 +306,7 @@ def matches(
     schema = f"id {id_type.simpleString()}, item {item_type.simpleString()}, distance int, item_words int, first_word long"
     item_kind = to_arrow_type(item_type)
     result = docs.sparkSession.createDataFrame([], schema)
-    for number, (ids, items) in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
+    for number, (ids, items, alone) in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
         index = ItemIndex(items, max_edit_share, target_recall, min_words, seed + number)
         item_ids, sizes = pa.array(ids, item_kind), np.array([len(w) for w in items])
 
@@ -306,7 +320,9 @@ def matches(
                         ["id", "item", "distance", "item_words", "first_word"],
                     )
 
-        result = result.unionByName(rows.mapInArrow(run, schema))
+        found = rows.mapInArrow(run, schema)
+        # the plan keeps the index until it has run
+        result = result.unionByName(found if alone else cut_lineage(found))
     names = {"id": id_col, "item": item_id_col if item_id_col != id_col else "item"}
     return result.select(*(F.col(c).alias(names.get(c, c)) for c in result.columns))
 
@@ -315,13 +331,25 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
     max_edit_share: float = 0.2, target_recall: float = 0.95, min_words: int = 5, seed: int = 17,
 ) -> DataFrame:
-    """The rows of ``docs`` in which no item occurs; all columns stay, nothing is shuffled."""
+    """The rows of ``docs`` in which no item occurs; all columns stay, nothing is shuffled.
+
+    With more than one block, the hashes of the texts that go are written for each, and rows that may have one are joined.
+    """
     ship(docs.sparkSession)
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows, text = docs.toDF(*names), names[docs.columns.index(text_col)]
-    for number, (_, items) in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
-        rows = rows.where(~_contains(ItemIndex(items, max_edit_share, target_recall, min_words, seed + number))(text_or_empty(text)))
-    return rows.toDF(*docs.columns)
+    gone = []
+    for number, (_, items, alone) in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
+        held = _contains(ItemIndex(items, max_edit_share, target_recall, min_words, seed + number))(text_or_empty(text))
+        if alone:
+            return rows.where(~held).toDF(*docs.columns)
+        gone.append(cut_lineage(rows.where(held).select(F.xxhash64(text_or_empty(text)).alias("hash")).distinct()))
+    if not gone:
+        return rows.toDF(*docs.columns)
+    found = cut_lineage(reduce(DataFrame.unionByName, gone).distinct())
+    rows = possibly_in(rows.withColumn("hash", F.xxhash64(text_or_empty(text))), ["hash"], found, "hit")
+    kept = rows.where("not hit").select(*names).unionByName(rows.where("hit").join(found, "hash", "left_anti").select(*names))
+    return kept.toDF(*docs.columns)
 
 
 def _contains(index: ItemIndex):

@@ -1,5 +1,7 @@
 """Benchmark passages in documents against the exact edit distance of all windows."""
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -71,6 +73,22 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in deco.matches(d, b, target_recall=0.99).where("distance = 0").collect()} == whole
 
 
+def test_blocks_drop_the_same(spark, monkeypatch):
+    bench, docs = planted(items=12)
+    d, b = frames(spark, bench, docs + [None])
+    whole = {r.doc_id for r in deco.drop_contaminated(d, b, max_edit_share=0.0).collect()}
+    monkeypatch.setattr(deco, "BLOCK_WORDS", 100)
+    kept = deco.drop_contaminated(d, b, max_edit_share=0.0)
+    assert kept.columns == d.columns and 0 < len(whole) < len(docs)
+    assert {r.doc_id for r in kept.collect()} == whole
+
+
+def test_an_index_is_as_large_as_its_words():
+    items = [np.arange(20 * k + 1, 20 * k + 21, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k in range(3_000)]
+    index = deco.ItemIndex(items, 0.0, 0.95, 5, 3)
+    assert sum(len(pickle.dumps(x)) for x in vars(index).values()) < 100 * 20 * len(items)
+
+
 ITEM = "One, two three FOUR five six séven eight nine ten"
 
 
