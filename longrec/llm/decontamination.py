@@ -1,6 +1,7 @@
 """Benchmark passages inside documents, allowing for edits.
 
-A text is its sequence of words (ASCII letters and U+00C0 to U+00DE in lower case, without signs).  Item and window are
+A text is its sequence of words (ASCII letters and U+00C0 to U+00DE in lower case, without signs and blanks of any script);
+in scripts without blanks between words, as Chinese, Japanese or Thai, each character is one.  Item and window are
 compared by the edit distance of their words.  A CGK random walk maps a window to a longer sequence: at
 step j it writes the word it stands on and moves on if the j-th random bit of that word says so, so sequences
 a few edits apart fall into step again and agree in most places.  Locality-sensitive hashing samples
@@ -16,8 +17,8 @@ Items travel with the tasks in blocks of at most ``BLOCK_WORDS`` words, one pass
 before the next block is read; an index is as large as the words of its items.  The documents are not shuffled (with
 several blocks, those that may hold an item are joined with the hashes of those that do).
 
-Defined results: null and empty texts match nothing; items with fewer than ``min_words`` words (nulls and empty
-ones too) are too short to tell and match nothing; repeated items or documents give a match each; ids
+Defined results: null and empty texts match nothing, also as items; items with fewer than ``min_words`` words match without
+edits only; repeated items or documents give a match each; ids
 may be null; empty tables give no match, and with no item every document stays.
 """
 
@@ -54,7 +55,7 @@ def word_lists(texts: pa.Array) -> list[np.ndarray]:
     """Hashes of the words of each text."""
     lists = []
     for _, _, data, offsets in passes(texts):
-        words = Words(data, offsets, NON_WORD)
+        words = Words(data, offsets, NON_WORD, scripts=True)
         lists += np.split(words.hashes, words.first_word[1:-1])
     return lists
 
@@ -139,8 +140,8 @@ class ItemIndex:
     def __init__(self, items: list[np.ndarray], max_edit_share: float, target: float, min_words: int, seed: int):
         self.words = items
         sizes = np.array([len(w) for w in items], np.int64)
-        self.edits = np.floor(sizes * max_edit_share + 1e-9).astype(np.int64)
-        used = np.flatnonzero(sizes >= max(min_words, 1))
+        self.edits = np.where(sizes >= min_words, np.floor(sizes * max_edit_share + 1e-9), 0).astype(np.int64)
+        used = np.flatnonzero(sizes)
         known = np.zeros(1 << VOCABULARY_BITS, bool)
         everything = np.concatenate([items[i] for i in used]) if len(used) else np.zeros(0, np.uint64)
         known[(everything & np.uint64(len(known) - 1)).astype(np.int64)] = True
@@ -160,7 +161,7 @@ class ItemIndex:
             least = int(sizes[left[0]])
             own = left[sizes[left] <= least * CLASS_RATIO]
             left = left[len(own) :]
-            longest = int(own[-1])
+            longest = int(own[np.argmax(self.edits[own])])
             walks = plan_walks(least, int(self.edits[longest]), target, seed + least)
             padded = np.append(np.concatenate([items[i] for i in own]), np.uint64(0))
             starts = np.concatenate([[0], np.cumsum(sizes[own])])[:-1]
@@ -169,13 +170,13 @@ class ItemIndex:
                 key = walks.keys(walk, padded, starts, starts + least)
                 order = np.argsort(key, kind="stable")
                 keys.append((key[order], own[order]))
-            span = int(sizes[longest] + self.edits[longest])
+            span = int((sizes + self.edits)[own].max())
             self.classes.append(LengthClass(least, span, int((sizes[own] - self.edits[own]).min()), int((rare_words - self.edits)[own].min()), own, walks, keys))
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, distance, first word) of the best match of each pair of a pass."""
         none = (np.zeros(0, np.int64),) * 4
-        words = Words(data, offsets, NON_WORD)
+        words = Words(data, offsets, NON_WORD, scripts=True)
         n = len(words.starts)
         if not n or not self.classes:
             return none

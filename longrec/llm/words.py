@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,11 @@ SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 #: Words end at every ASCII byte that is no letter and no digit.
 NON_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+#: Code points of scripts that are written without blanks between words: first and last.
+UNSEGMENTED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x323AF),
+)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -47,6 +54,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+@cache
+def _code_point_kinds() -> np.ndarray:
+    """Of each code point: 1 for punctuation, blanks and symbols, 2 for a word of its own, else 0."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for first, last in UNSEGMENTED:
+        kinds[first : last + 1] = 2
+    for point in range(128, UNSEGMENTED[-1][1] + 1):
+        kind = unicodedata.category(chr(point))
+        if kind[0] in "PZS" or kind == "Cc":
+            kinds[point] = 1
+    return kinds
+
+
+def _wide_characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, length, kind) of the characters of valid UTF-8 that are not ASCII."""
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at].astype(np.int64)
+    length = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & (0xFF >> (length + 1))
+    for k in range(1, 4):
+        after = data[np.minimum(at + k, len(data) - 1)].astype(np.int64) & 0x3F
+        point = np.where(k < length, point << 6 | after, point)
+    return at, length, _code_point_kinds()[np.minimum(point, 0x10FFFF)]
+
+
 def fold_case(data: np.ndarray, latin: bool = True) -> np.ndarray:
     """ASCII letters in lower case; with ``latin`` also the two-byte letters U+00C0 to U+00DE."""
     folded = _LOWER[data]
@@ -81,16 +113,29 @@ def passes(column: pa.Array, max_bytes: int = PASS_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """Word boundaries and hashes of the texts of one pass."""
+    """Word boundaries and hashes of the texts of one pass.
+
+    With ``scripts`` words also end at punctuation, blanks and symbols beyond ASCII, and each character of a script written without
+    blanks is a word.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, latin: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, latin: bool = True, scripts: bool = False):
         self.data, self.offsets = data, offsets
         inside = ~separators[data]
         n = len(data)
+        own = np.zeros(0, np.int64)
+        if scripts:
+            at, length, kind = _wide_characters(data)
+            signs = kind == 1
+            for k in range(4):
+                inside[at[signs & (k < length)] + k] = False
+            own = np.concatenate([at[kind == 2], (at + length)[kind == 2]])
+            own = own[own < n]
         start = inside.copy()
         start[1:] &= ~inside[:-1]
         begins = offsets[:-1][offsets[:-1] < n]
         start[begins] = inside[begins]
+        start[own] = inside[own]
         self.starts = np.flatnonzero(start)
         last = inside.copy()
         last[:-1] &= ~inside[1:] | start[1:]

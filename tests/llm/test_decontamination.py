@@ -116,3 +116,18 @@ def test_windows_stay_in_their_text(monkeypatch, pass_bytes):
     texts = [" ".join(half[:5]), " ".join(half[5:]), ITEM]
     found = [first + t for first, _, data, offsets in passes(pa.array(texts), pass_bytes) for t in index.find(data, offsets)[0]]
     assert found == [2]
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    chinese, thai = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed", "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e0a\u0e32\u0e27\u0e42\u0e25\u0e01"
+    items = [(1, chinese), (2, thai), (3, "Forty-two"), (4, "one \u201ctwo\u201d\u2014three four\u2026five"), (5, "\u3002 \u2014"), (6, "a b c d")]
+    docs = [
+        (1, f"\u6211\u8bf4{chinese}\u3002\u597d"), (2, f"abc{chinese.replace(chinese[4], '')}abc"), (3, chinese[:5]), (4, f"x {thai}\u0e01"), (5, "is forty two."),
+        (6, "forty twos, fortytwo, forty, two"), (7, "one two three four five"), (8, "a b c x d"), (9, "z A, b; c d"), (10, "\u3002 \u2014"),
+    ]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.item_words) for r in deco.matches(d, b, target_recall=0.99).collect()}
+    assert got == {
+        (1, 1): (0, 11), (2, 1): (1, 11), (4, 2): (0, len(thai)), (5, 3): (0, 2), (6, 3): (0, 2), (7, 4): (0, 5), (9, 6): (0, 4),
+    }
+    assert {r.doc_id for r in deco.drop_contaminated(d, b, target_recall=0.99).collect()} == {3, 8, 10}
