@@ -10,7 +10,8 @@ The rows of a task depend on its part of the table only and are written out befo
 a task that runs again replaces its own rows.
 
 Defined results: a null text is empty and has the end id alone; rows with the same id are documents
-of their own; a null id stays null; an empty table gives an empty result; other columns are
+of their own; a null id stays null; a long text fills whole windows first; of windows that fit equally well the oldest
+is taken, and of equally full ones the oldest is emitted; an empty table gives an empty result; other columns are
 ignored.  Each id of a document lies in exactly one piece, and a sequence has no gaps.
 """
 
@@ -27,14 +28,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from longrec.llm import tokens
 from longrec.llm.common import cut_lineage, ship, text_or_empty
-from longrec.llm.words import passes
+from longrec.llm.words import passes, release
 
 #: Tasks (later: merge groups) whose open windows one merge takes: MERGE * open_windows windows.
 MERGE = 16
 #: A gap of fewer tokens is padded; a larger one is filled by a cut.
 MIN_CUT = 32
-#: Bytes of text encoded at a time; each time costs a merge with the remembered runs.
-PASS_BYTES = 1 << 21
 
 LONGS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "task"]
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -162,12 +161,13 @@ def pack(
         encoder = tokens.word_ids(path)
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for first, end, data, offsets in passes(batch.column("text"), PASS_BYTES):
+            for first, end, data, offsets in passes(batch.column("text")):
                 for doc, own in zip(ids[first:end], encoder.encode(data, offsets, end_id), strict=True):
                     packer.add_document(doc, own)
             yield pa.RecordBatch.from_pydict(_columns(packer, [], 0), kinds)
         left = [piece for window in packer.windows for piece in window]
         yield pa.RecordBatch.from_pydict(_columns(packer, left, task // MERGE), kinds)
+        release()
 
     def merge(merge_round: int, last: bool):
         def run(key, table):

@@ -1,11 +1,11 @@
 """Token counts of whole texts: batches balanced by bytes, lengths only leave the encoder.
 
 Every text is cut at boundaries that no token crosses into pieces of bounded size; pieces
-of several rows are gathered until a batch holds about ``BATCH_CHARS``, so neither a long text nor
+of several rows are gathered until a batch holds about ``BATCH_BYTES`` of UTF-8, so neither a long text nor
 a run of short ones makes a batch large or small.
 
 Defined results: a null text counts as empty and has 0 bytes and 0 tokens; rows with the same id
-are counted each on its own; a null id stays null; an empty table gives an empty result; other
+are counted each on its own; a null id stays null; a long text without a safe boundary is one piece; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 from longrec.llm import tokens
 from longrec.llm.common import ship, text_or_empty
 
-#: Characters in one call of the encoder, and in one piece of a long text.
-BATCH_CHARS = 1 << 18
-PIECE_CHARS = 1 << 16
+#: Bytes of UTF-8 in one call of the encoder, and characters in one piece of a long text.
+BATCH_BYTES = 1 << 18
+PIECE_CHARS = 1 << 15
 
 
 def _counts(texts: Iterator[str | None], path: str, n_rows: int) -> np.ndarray:
     tokenizer = tokens.load(path)
     counts = np.zeros(n_rows, np.int64)
-    pieces, rows, chars = [], [], 0
+    pieces, rows, size = [], [], 0
 
     def encode() -> None:
         lengths = [len(e) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -40,10 +40,10 @@ def _counts(texts: Iterator[str | None], path: str, n_rows: int) -> np.ndarray:
         for piece in tokens.split_safely(text, PIECE_CHARS) if text else ():
             pieces.append(piece)
             rows.append(row)
-            chars += len(piece)
-            if chars >= BATCH_CHARS:
+            size += len(piece.encode())
+            if size >= BATCH_BYTES:
                 encode()
-                pieces, rows, chars = [], [], 0
+                pieces, rows, size = [], [], 0
     if pieces:
         encode()
     return counts

@@ -12,8 +12,8 @@ import numpy as np
 
 from longrec.llm.words import SPACES, Words
 
-#: Words whose ids a Python worker remembers (about 60 bytes each); beyond that it keeps the half used most.
-REMEMBERED_WORDS = 1_500_000
+#: Bytes of runs and their ids that a Python worker remembers; beyond that it keeps the half used most.
+REMEMBERED_BYTES = 16 << 20
 _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
@@ -65,15 +65,18 @@ class WordIds:
         self._keys, self._checks, self._entries = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self._ids, self._ends, self._uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
-    def __len__(self) -> int:
-        return len(self._keys)
+    @property
+    def nbytes(self) -> int:
+        return sum(part.nbytes for part in (self._keys, self._checks, self._entries, self._ids, self._ends, self._uses))
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _forget(self) -> None:
-        """Keep the half of the runs that was used most."""
-        keep = np.sort(np.argsort(-self._uses, kind="stable")[: REMEMBERED_WORDS // 2])
+        """Keep the runs used most, up to half of the bytes."""
+        size = 40 + 4 * np.diff(self._ends)
+        most = np.argsort(-self._uses, kind="stable")
+        keep = np.sort(most[np.cumsum(size[most]) <= REMEMBERED_BYTES // 2])
         kept = np.zeros(len(self._uses), bool)
         kept[keep] = True
         moved = np.cumsum(kept) - 1
@@ -94,8 +97,8 @@ class WordIds:
     def _learn(self, runs: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
         """Encode new runs; ``keys`` are sorted and different."""
         parts, lengths = [self._ids], []
-        for first in range(0, len(runs), 20_000):
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(runs[first : first + 20_000], add_special_tokens=False)]
+        for first in range(0, len(runs), 5_000):
+            ids = [e.ids for e in self._tokenizer.encode_batch_fast(runs[first : first + 5_000], add_special_tokens=False)]
             lengths += map(len, ids)
             parts.append(np.array(list(chain.from_iterable(ids)), np.uint32))
         entries = len(self._uses) + np.arange(len(runs))
@@ -113,7 +116,7 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
         """The ids of each text of a pass (UTF-8 bytes and offsets), each followed by ``end_id``."""
-        if len(self) > REMEMBERED_WORDS:
+        if self.nbytes > REMEMBERED_BYTES:
             self._forget()
         words = Words(data, offsets, SPACES, latin=False)
         n = len(words.starts)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +14,12 @@ import pyarrow as pa
 #: Bytes of text that one numpy pass takes at a time; a longer text is a pass of its own.
 PASS_BYTES = 1 << 19
 
-_GENERATOR = np.random.default_rng(20240601)
-_BYTE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64)
-_CHECK_BYTE = _GENERATOR.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+#: Random constants of the two hashes: start, factor for each eight bytes.
+_FIRST, _SECOND = np.random.default_rng(20240601).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Spans above this many bytes are hashed by BLAKE2, the others eight bytes at a time.
+LONG_SPAN = 64
+#: The first k bytes of eight.
+_HEADS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 #: Words end at ASCII white space only.
 SPACES = np.zeros(256, bool)
@@ -33,20 +35,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, for positions 0 to n - 1."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, PASS_BYTES + 1)
-        both = []
-        for factor in (_BASE, _INVERSE):
-            column = np.full(size, factor, np.uint64)
-            column[0] = 1
-            both.append(np.cumprod(column))
-        _powers = tuple(both)
-    return _powers
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -100,6 +88,13 @@ def passes(column: pa.Array, max_bytes: int = PASS_BYTES) -> Iterator[tuple[int,
     n = len(column)
     if not n:
         return
+    try:
+        yield from _slices(column, n, wide, max_bytes)
+    finally:
+        release()
+
+
+def _slices(column: pa.Array, n: int, wide: bool, max_bytes: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + n + 1]
     offsets = offsets.astype(np.int64)
     body = column.buffers()[2]
@@ -112,6 +107,18 @@ def passes(column: pa.Array, max_bytes: int = PASS_BYTES) -> Iterator[tuple[int,
         first = end
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system, at the end of a task.
+
+    Workers are reused, so what the allocators keep for later would add up over the stages of a pipeline.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 class Words:
     """Word boundaries and hashes of the texts of one pass.
 
@@ -143,26 +150,33 @@ class Words:
         #: The row (within the pass) of each word, and where each row's words begin.
         self.first_word = np.searchsorted(self.starts, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
-        power, self._inverse = _power_tables(n + 1)
-        self._folded, self._power = fold_case(data, latin), power
-        self._sums = self._prefix_sums(_BYTE)
-        self._check_sums: np.ndarray | None = None
-
-    def _prefix_sums(self, table: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(self._folded) + 1, np.uint64)
-        np.cumsum(table[self._folded] * self._power[: len(self._folded)], out=sums[1:])
-        return sums
+        self._folded = np.concatenate([fold_case(data, latin), np.zeros(8, np.uint8)])
+        #: The eight bytes from each place on, without a copy.
+        self._eights = np.ndarray(n + 1, "<u8", self._folded, strides=(1,))
+
+    def _spans(self, starts: np.ndarray, ends: np.ndarray, constants: np.ndarray, half: int) -> np.ndarray:
+        length = ends - starts
+        result = mix(length.astype(np.uint64) * constants[1] ^ constants[0])
+        rows = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+        at, left = starts[rows], length[rows]
+        while len(rows):
+            eight = self._eights[at] & _HEADS[np.minimum(left, 8)]
+            result[rows] = mix((result[rows] ^ eight) * constants[1])
+            more = left > 8
+            rows, at, left = rows[more], at[more] + 8, left[more] - 8
+        for row in np.flatnonzero(length > LONG_SPAN).tolist():
+            digest = hashlib.blake2b(self._folded[starts[row] : ends[row]], digest_size=16).digest()
+            result[row] = int.from_bytes(digest[8 * half : 8 * half + 8], "little")
+        return result
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte spans, equal for equal lower-cased bytes."""
-        return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
+        return self._spans(starts, ends, _FIRST, 0)
 
     def check_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A second hash, independent of ``span_hash``: both agree by chance for no two spans in practice."""
-        if self._check_sums is None:
-            self._check_sums = self._prefix_sums(_CHECK_BYTE)
-        return mix((self._check_sums[ends] - self._check_sums[starts]) * self._inverse[starts])
+        """A second hash with constants of its own; both together have 128 bits."""
+        return self._spans(starts, ends, _SECOND, 1)
 
-    @property
+    @cached_property
     def hashes(self) -> np.ndarray:
         return self.span_hash(self.starts, self.ends)

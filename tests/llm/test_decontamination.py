@@ -131,3 +131,19 @@ def test_short_items_and_scripts_without_blanks(spark):
         (1, 1): (0, 11), (2, 1): (1, 11), (4, 2): (0, len(thai)), (5, 3): (0, 2), (6, 3): (0, 2), (7, 4): (0, 5), (9, 6): (0, 4),
     }
     assert {r.doc_id for r in deco.drop_contaminated(d, b, target_recall=0.99).collect()} == {3, 8, 10}
+
+
+def test_words_alike_to_polynomials(spark):
+    """Words that collide under polynomials modulo powers of two are different words."""
+    def word(n, a, b):
+        return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+    one, other = ([word(n, *signs) for n in (1024, 2048, 1024, 2048, 4096)] for signs in ("ab", "ba"))
+    d, b = frames(spark, [" ".join(one)], [" ".join(one), " ".join(other), " ".join(one[:4])])
+    assert [(r.doc_id, r.item_id, r.distance) for r in deco.matches(d, b).orderBy("doc_id").collect()] == [(0, 100, 0), (2, 100, 1)]
+
+
+def test_target_out_of_reach(monkeypatch):
+    monkeypatch.setattr(deco, "PLANS", ((3, 1),))
+    with pytest.raises(ValueError, match="no plan"):
+        deco.plan_walks(30, 6, 0.95, 1)

@@ -262,3 +262,13 @@ def test_components(spark, links):
         met = [g for g in wanted if a in g or b in g]
         wanted = [g for g in wanted if g not in met] + [set().union({a, b}, *met)]
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted))
+
+
+def test_near_words_alike_to_polynomials(spark):
+    """Words that collide under polynomials modulo powers of two link nothing."""
+    def word(n, a, b):
+        return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+    rows = [(k, " ".join(word(n, *signs) for n in (2048, 1024))) for k, signs in enumerate(("ab", "ba"))]
+    got = ngram_join.similar_components(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(0, 0), (1, 1)}

@@ -64,12 +64,39 @@ def test_word_ids(text):
 
 
 def test_word_ids_after_forgetting(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 50)
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 2_000)
     encoder = tokens.WordIds(WORDS)
     for k in range(8):
         texts = [f"word{j} number {j * k}, and more. plain words" for j in range(40)]
         assert encode(encoder, texts) == [x + [2] for x in whole(WORDS, texts)]
-    assert len(encoder) < 400
+    assert encoder.nbytes < 20_000
+
+
+def thue_morse(length, first="a", second="b"):
+    """Texts of this kind collide under polynomials modulo powers of two."""
+    return "".join(first if bin(k).count("1") % 2 == 0 else second for k in range(length))
+
+
+def test_words_alike_to_polynomials(spark):
+    pairs = [thue_morse(n, *signs) for n in (64, 1024, 2048) for signs in ("ab", "ba")]
+    for _, _, data, offsets in words.passes(pa.array([" ".join(pairs)])):
+        own = words.Words(data, offsets, words.SPACES)
+        assert len(set(own.hashes.tolist())) == len(set(own.check_hash(own.starts, own.ends).tolist())) == len(pairs)
+    rows = list(enumerate(pairs))
+    check_packing(packing.pack(frame(spark, rows).coalesce(1), WORDS).collect(), rows, 4096)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aAbé ", max_size=150), max_size=6))
+def test_hashes_of_words(texts):
+    """Equal for equal lower-cased words, whatever their length and place; else different."""
+    seen = {}
+    for _, _, data, offsets in words.passes(pa.array(texts, pa.string())):
+        own = words.Words(data, offsets, words.SPACES, latin=False)
+        body = data.tobytes().lower()
+        for a, b, first, second in zip(own.starts, own.ends, own.hashes, own.check_hash(own.starts, own.ends), strict=True):
+            assert seen.setdefault(body[a:b], (first, second)) == (first, second)
+    assert len({h for h, _ in seen.values()}) == len({h for _, h in seen.values()}) == len(seen)
 
 
 def test_word_ids_of_one_hash(monkeypatch):
