@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, warc
+from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -176,3 +176,29 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(read_table(spark, sf_dir, "documents"))
+
+
+URL_SQL = r"""
+with parts as (
+    select page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) as path
+    from pages
+), rules (rule_host, rule_path, verdict) as (
+    values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fitting as (
+    select page_id, max_by(struct_pack(rule := rule_host || rule_path, verdict := verdict), length(rule_host || rule_path)) as best
+    from parts, rules
+    where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by page_id
+)
+select p.page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict
+from parts p left join fitting f on p.page_id = f.page_id
+"""
+
+
+@query("op11_url_filter", URL_SQL)
+def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
