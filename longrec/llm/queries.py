@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc
+from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc, whitening
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -202,3 +202,9 @@ def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
     rules = spark.createDataFrame(rules, "host string, path string, verdict string")
     return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query("op12_embedding_whitening")
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return whitening.whitened_rows(rows, whitening.fit(rows, components=4))
