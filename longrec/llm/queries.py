@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc, whitening
+from longrec.llm import decontamination, exact_dedup, line_dedup, merkle, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc, whitening
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -208,3 +208,77 @@ def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     return whitening.whitened_rows(rows, whitening.fit(rows, components=4))
+
+
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """Tables of one tree over (part, pos, node, cnt): nodes and their siblings of each level."""
+    tables = [f"{name}0 as ({leaves})"]
+    for k in range(levels):
+        tables.append(
+            f"{name}{k + 1} as (select part, pos // 16 as pos, (any_value(cnt) + 15) // 16 as cnt,"
+            f" case when any_value(cnt) > 1 then sha256(string_agg(node, '' order by pos)) else any_value(node) end as node"
+            f" from {name}{k} group by part, pos // 16)"
+        )
+        tables.append(
+            f"{name}s{k} as (select *, coalesce(string_agg(node, '') over (run rows between unbounded preceding and 1 preceding), '') as l,"
+            f" coalesce(string_agg(node, '') over (run rows between 1 following and unbounded following), '') as r"
+            f" from {name}{k} window run as (partition by part, pos // 16 order by pos))"
+        )
+    return ", ".join(tables)
+
+
+def _climb_sql(name: str, rows: str, start: str, levels: int) -> str:
+    """``rows`` (part, pos) with the siblings on the way up and the node that ``start`` leads to."""
+    tables = [f"{name}_0 as (select *, '' as proof, {start} as folded from {rows})"]
+    for k in range(levels):
+        tables.append(
+            f"{name}_{k + 1} as (select c.* exclude (proof, folded), proof || s.l || s.r as proof,"
+            f" case when s.cnt > 1 then sha256(s.l || folded || s.r) else folded end as folded"
+            f" from {name}_{k} c join {name}s{k} s on c.part = s.part and c.pos // {16**k} = s.pos)"
+        )
+    return ", ".join(tables)
+
+
+_FIELDS = " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+_LEVELS = 6
+#: Trees of up to 16 ** 6 rows a source and as many sources.
+MERKLE_SQL = f"""
+with hashed as (
+    select doc_id, coalesce('=' || source, '') as part, sha256({_FIELDS} || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+           sha256({_FIELDS} || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) as lowered,
+           xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                   lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) as crc
+    from documents
+), placed as (
+    select *, row_number() over (partition by part order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by part) as cnt,
+           case when crc % 5 = 0 then lowered else leaf end as presented
+    from hashed
+), {_tree_sql("d", "select part, pos, leaf as node, cnt from placed", _LEVELS)},
+tops as (
+    select '' as part, part as own, row_number() over (order by part) - 1 as pos, node, count(*) over () as cnt from d{_LEVELS}
+), {_tree_sql("t", "select part, pos, node, cnt from tops", _LEVELS)},
+{_climb_sql("d", "placed", "presented", _LEVELS)},
+proven as (
+    select c.doc_id, c.leaf, tops.node as subroot, tops.pos, '' as part, c.proof as below, c.folded as reached
+    from d_{_LEVELS} c join tops on c.part = tops.own
+), {_climb_sql("t", "proven", "reached", _LEVELS)}
+select doc_id, leaf, subroot, t{_LEVELS}.node as root, sha256(below || proof) as proof_sha256, folded as folded_root,
+       folded = t{_LEVELS}.node as verified
+from t_{_LEVELS}, t{_LEVELS}
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents, and which rows of a tampered copy it still verifies."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read_table(spark, sf_dir, "documents").select(*columns)
+    tampered = F.coalesce(crc32_of_id() % 5 == 0, F.lit(False)) & F.col("text").rlike("[A-Z]")
+    docs = docs.withColumn("lowered", F.when(tampered, F.translate("text", *url_filter.LOWER)))
+    presented = F.when(F.col("lowered").isNotNull(), merkle.record_hash([*columns[:-1], "lowered"]))
+    docs = docs.withColumn("presented", presented)
+    proven = merkle.manifest(docs, "source", ["doc_id"], merkle.record_hash(columns), carry=["doc_id", "presented"])
+    folded = merkle.fold(F.coalesce("presented", "leaf"), F.col("proof"))
+    proven = proven.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"))
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))

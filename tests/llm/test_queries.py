@@ -20,7 +20,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = set(entry_points.queries())
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
 
 
@@ -34,6 +34,8 @@ COLUMNS = {
     "op5_packing": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
                     "sequence_id": "bigint", "offset": "bigint"},
     "op6_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op12_embedding_whitening": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
+                                 "explained": "double", "identity_error": "double"},
     "op9_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
 }
 
@@ -43,6 +45,9 @@ def test_contract_columns(spark, name):
     df = queries.QUERIES[name](spark, SMALL)
     found = dict(df.dtypes)
     assert {c: found[c] for c in COLUMNS[name]} == COLUMNS[name]
+    if name == "op12_embedding_whitening":
+        assert df.count() == 4 * spark.read.parquet(f"{SMALL}/embeddings.parquet").count()
+        return
     ids = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert df.select("doc_id").distinct().count() == ids
     if name != "op5_packing":
