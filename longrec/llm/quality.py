@@ -4,8 +4,8 @@ Every text is scored whole, and the score depends on the text alone.  The last p
 on; it maps the margins to probabilities.
 
 Defined results: null and empty texts have no n-gram and get the score of the bare intercept;
-equal texts get equal scores; without labels of both kinds every score is 0.5.  An empty table gives
-an empty result, and other columns of ``docs`` stay as they are.
+equal texts and repeated rows get equal scores; long texts are read whole; without labels of both kinds every score is 0.5.  An empty table gives
+an empty result; a column named like the score is replaced, other columns of ``docs`` stay as they are.
 """
 
 from __future__ import annotations
@@ -44,7 +44,5 @@ def fit(
 
 
 def score(docs: DataFrame, model: NbSvm, text_col: str = "text", score_name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1; the name must be free."""
-    if score_name.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has {score_name}; pass another name")
+    """``docs`` with the probability of label 1; a column of that name is replaced."""
     return docs.withColumn(score_name, score_column(docs, model, text_col))

@@ -18,20 +18,20 @@ def labelled_sample(
 ) -> pa.Table:
     """(label, text, lang) of at most ``max_rows`` rows and ``max_bytes`` of text, on the driver.
 
-    The rows with the smallest hashes of their ids are taken, so a rerun takes the same.  They are chosen by the
+    Of the labelled ids that ``docs`` has, those with the smallest hashes are taken, so a rerun takes the same.  They are chosen by the
     lengths of their texts, which are read for the chosen only.  A text above ``LARGEST_SHARE`` of ``max_bytes``
     is left out, one that does not fit any more is skipped, and the next are tried.  Rows where
     ``learn`` does not hold, and those with a null id or label, are left out too; of several labels of
     one id the largest counts.
     """
     ids = F.col("sample_id")
-    chosen = (
+    labelled = (
         labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("sample_id"))
         .agg(F.max(label_col).cast("int").alias("label"))
-        .orderBy(F.xxhash64(ids), ids)
-        .limit(max_rows)
     )
+    present = docs.select(F.col(id_col).alias("sample_id")).join(labelled, "sample_id").groupBy("sample_id").agg(F.max("label").alias("label"))
+    chosen = present.orderBy(F.xxhash64(ids), ids).limit(max_rows)
     lang = F.col(lang_col) if lang_col else F.lit(None)
     rows = docs.select(F.col(id_col).alias("sample_id"), text_or_empty(text_col).alias("text"), lang.cast("string").alias("lang"))
     # at most max_rows narrow rows

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from longrec.llm import cnn, forest, nbsvm, quality, secret_scan, toxicity, words
+from longrec.llm import cnn, forest, nbsvm, quality, queries, secret_scan, toxicity, words
 from longrec.llm.samples import crc32_of_id, labelled_sample
 
 SF = "/root/testdata/sf0.01"
@@ -79,8 +79,19 @@ def test_toxicity(spark, tables):
     assert len({r.score for r in marked if not (r.text or "").strip()}) == 1
     kept = toxicity.drop_toxic(edge(spark), model)
     assert kept.columns == ["doc_id", "text", "c0", "lang"] and kept.count() == 6
-    with pytest.raises(ValueError):
-        toxicity.score(docs.withColumn("Score", F.lit(1)), model)
+    clashing = docs.limit(5).union(docs.limit(1)).withColumns({"Score": F.lit(5.0), "threshold": F.lit("x")})
+    replaced = toxicity.score(clashing, model)
+    assert sorted(c.lower() for c in replaced.columns) == ["doc_id", "lang", "score", "text", "threshold"]
+    assert replaced.count() == 6 and replaced.where("score between 0 and 1").count() == 6
+
+
+def test_toxicity_at_the_cut(spark):
+    """The registered query on labels that it has not seen."""
+    sf = "/root/testdata/sf0.1"
+    scored = queries.QUERIES["op2_toxicity"](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").dropna(), "doc_id")
+    found = {(r.toxic, r.predicted): r["count"] for r in scored.groupBy("toxic", "predicted").count().collect()}
+    assert found[1, 1] >= 0.85 * (found[1, 1] + found[1, 0])
+    assert found.get((0, 1), 0) < 0.01 * (found[0, 0] + found.get((0, 1), 0))
 
 
 def test_models_without_labels(spark, tables):
@@ -111,6 +122,13 @@ def test_sample_goes_on_after_long_texts(spark):
     assert labelled_sample(twice, docs.drop("text"), "quality", F.lit(True), max_bytes=1 << 20).num_rows == 12
 
 
+def test_sample_of_labels_without_documents(spark):
+    """Labels of documents that are not there take no place in the sample."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    labels = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    assert labelled_sample(docs, labels, "quality", F.lit(True), max_rows=500).num_rows == 200
+
+
 def test_quality_held_out(spark, tables):
     docs, labels = tables
     held = crc32_of_id() % 5 == 0
@@ -118,6 +136,8 @@ def test_quality_held_out(spark, tables):
     scored = quality.score(docs.select("doc_id", "text"), model).where(held).join(labels, "doc_id")
     right = scored.where((F.col("score") >= 0.3) == (F.col("quality") == 1)).count()
     assert right > 0.93 * scored.count()
+    twice = quality.score(docs.limit(3).union(docs.limit(1)).withColumn("SCORE", F.lit("x")), model)
+    assert twice.count() == 4 and twice.where("score between 0 and 1").count() == 4
     assert all(0 <= r.score <= 1 for r in quality.score(edge(spark), model).collect())
 
 
