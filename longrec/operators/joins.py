@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from longrec.names import col, quoted
+from longrec.operators.common_types import common_types
 
 ORIGINAL = "_original"
 
@@ -80,14 +80,19 @@ def subject_lookup(df: DataFrame, per_subject: DataFrame, key: str, columns: Seq
 
 
 def union_missing(*tables: DataFrame) -> DataFrame:
-    """Union by name; columns a table lacks are null in its rows."""
-    result = tables[0]
-    for table in tables[1:]:
-        shared = [c for c in result.columns if c in table.columns]
-        odd = [c for c in shared if result.schema[c].dataType != table.schema[c].dataType]
-        for c in odd:
-            numeric = all(isinstance(t.schema[c].dataType, T.NumericType) for t in (result, table))
-            wider = "double" if numeric else "string"
-            result, table = (t.withColumn(c, col(c).cast(wider)) for t in (result, table))
-        result = result.unionByName(table, allowMissingColumns=True)
+    """Union by name; columns a table lacks are null in its rows.
+
+    Columns of different types get the least type that loses no value (``common_types``): longs beside doubles stay
+    numbers only where a double holds all of them, and become text else.
+    """
+    columns: dict[str, list[tuple[int, str]]] = {}
+    for i, table in enumerate(tables):
+        for c in table.columns:
+            columns.setdefault(c, []).append((i, c))
+    kinds = common_types(tables, {c: own for c, own in columns.items() if len(own) > 1})
+    result = None
+    for table in tables:
+        odd = {c: col(c).cast(kinds[c]) for c in table.columns if c in kinds and table.schema[c].dataType != kinds[c]}
+        table = table.withColumns(odd) if odd else table
+        result = table if result is None else result.unionByName(table, allowMissingColumns=True)
     return result

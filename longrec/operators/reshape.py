@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longrec.names import col, quoted, renamed_columns
+from longrec.operators.common_types import common_types
 
 #: More sessions than this belong in long form.
 MAX_SESSIONS = 5_000
@@ -237,21 +238,14 @@ def drop_default_session(df: DataFrame, renamed: dict[str, str]) -> DataFrame:
     return renamed_columns(df, {new: old for old, new in renamed.items()})
 
 
-def _common_type(types: list[T.DataType]) -> T.DataType:
-    if all(t == types[0] for t in types):
-        return types[0]
-    if all(isinstance(t, T.NumericType) for t in types):
-        return T.DoubleType()
-    return T.StringType()
-
-
 def expand(
     df: DataFrame, key: str, session: str = "session_number", default: str = "s1"
 ) -> tuple[DataFrame, dict[str, str]]:
     """One row per subject and session from ``s<k>_<variable>`` columns.
 
     Unprefixed columns count as session ``default``.  Sessions without any value vanish.  Also
-    returns the names that were given the default prefix.  Narrow: no shuffle.
+    returns the names that were given the default prefix.  Narrow: no shuffle.  A variable whose columns have different
+    types gets the least type that loses no value.
     """
     renamed = prefix_default_session([c for c in df.columns if c != key], default)
     cells: dict[str, dict[str, str]] = {}
@@ -263,9 +257,7 @@ def expand(
             raise ValueError(f"{column} and {cells[visit][variable]} are the same variable of session {visit}")
         cells[visit][variable] = column
     variables = list(dict.fromkeys(v for visit in cells.values() for v in visit))
-    types = {
-        v: _common_type([df.schema[visit[v]].dataType for visit in cells.values() if v in visit]) for v in variables
-    }
+    types = common_types([df], {v: [(0, visit[v]) for visit in cells.values() if v in visit] for v in variables})
 
     def row(visit: str) -> Column:
         own = cells[visit]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from longrec.functions import dates, values
-from longrec.operators import columns, ordered, recode, reshape
+from longrec.operators import columns, joins, ordered, recode, reshape
 from longrec.plans import measures
 from longrec.queries import query, table
 from longrec.session import shared_dir
@@ -228,3 +228,41 @@ def sorted_csv(spark, d):
     sinks.write_csv(table(spark, d, "supplier"), path, ["s_suppkey"], sort=True)
     rows, _ = folders.scan_folder(spark, path, "s_suppkey", types={"s_suppkey": "long", "s_nationkey": "long", "s_acctbal": "double"})
     return ordered.sorted_numbers(rows, folders.FILE_ORDER, "place").drop(*folders.FILE_ORDER)
+
+
+# -- types of columns that come together -----------------------------------------------------
+
+_BIG = 9007199254740993  # the first whole number that no double holds
+
+
+@query(
+    "union_exact_numbers",
+    f"""select o_orderkey + {_BIG} as id, o_custkey::decimal(21,2) as n, o_totalprice::varchar as x, null::bigint as part from orders
+union all select l_orderkey, null, null, l_partkey from lineitem where l_linenumber = 1
+union all select c_custkey, c_acctbal::decimal(21,2), (c_custkey + {_BIG})::varchar, null from customer""",
+)
+def union_exact_numbers(spark, d):
+    """Longs with ints, longs with decimals, and longs with doubles that cannot hold them."""
+    orders = table(spark, d, "orders").select(
+        (F.col("o_orderkey") + F.lit(_BIG)).alias("id"), F.col("o_custkey").cast("long").alias("n"), F.col("o_totalprice").alias("x")
+    )
+    lines = table(spark, d, "lineitem").where("l_linenumber = 1")
+    lines = lines.select(F.col("l_orderkey").cast("int").alias("id"), F.col("l_partkey").cast("int").alias("part"))
+    people = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("int").alias("id"), F.col("c_acctbal").cast("decimal(12,2)").alias("n"), (F.col("c_custkey") + F.lit(_BIG)).alias("x")
+    )
+    return joins.union_missing(orders, lines, people).withColumn("part", F.col("part").cast("long"))
+
+
+@query(
+    "expand_exact_numbers",
+    f"""select c_custkey, 's1' session_number, c_custkey + {_BIG} as code, c_acctbal as value from customer
+union all select c_custkey, 's2', c_nationkey, c_nationkey::double from customer""",
+)
+def expand_exact_numbers(spark, d):
+    """Sessions whose columns differ in their types: ids keep every digit, small longs meet doubles as doubles."""
+    wide = table(spark, d, "customer").select(
+        "c_custkey", (F.col("c_custkey") + F.lit(_BIG)).alias("s1_code"), F.col("c_nationkey").cast("int").alias("s2_code"),
+        F.col("c_acctbal").alias("s1_value"), F.col("c_nationkey").cast("long").alias("s2_value"),
+    )
+    return reshape.expand(wide, "c_custkey")[0]
