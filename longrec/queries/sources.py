@@ -210,6 +210,30 @@ def stream_upserts(spark, d):
     )
 
 
+@query(
+    "store_writers",
+    """select o_custkey, o_orderstatus, o_orderkey, o_totalprice from (
+  select *, row_number() over (partition by o_custkey, o_orderstatus order by o_orderkey % 4 desc, o_orderdate desc, o_orderkey desc) rn from orders) where rn = 1""",
+)
+def store_writers(spark, d):
+    """Two writers and two streams with checkpoints of their own, each of which begins at batch 0; compacted and cleaned up in between."""
+    base = shared_dir(spark, "store")
+    store, options = f"{base}/store", (_STORE_KEYS, _STORE_ORDER)
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice", "o_orderdate")
+    quarters = [rows.where(F.col("o_orderkey") % 4 == k) for k in range(4)]
+    upsert.upsert_batch(quarters[0], store, 0, *options, "o_orderstatus")
+    for _ in range(2):
+        upsert.upsert_batch(quarters[1], store, 0, *options, "o_orderstatus", writer="second")
+    upsert.compact(spark, store, None, *options)
+    for k in (2, 3):
+        quarters[k].write.parquet(f"{base}/in{k}")
+        new = spark.readStream.schema(rows.schema).parquet(f"{base}/in{k}")
+        upsert.stream_upserts(new, store, f"{base}/checkpoint{k}", *options, "o_orderstatus").awaitTermination()
+        upsert.compact(spark, store, None, *options)
+        upsert.vacuum(spark, store, older_than_hours=-1)
+    return upsert.read_store(spark, store, *options).select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
+
+
 @query(
     "labelled_cells",
     """with w as (select conv_id, role, turn, list_filter(string_split(text, ' '), lambda x: x <> '') words from conversations),
