@@ -232,10 +232,16 @@ def collect_score_reports(
 def collect_score_report_folder(
     spark: SparkSession, folder: str, prefix: str, subjects: Sequence[str] = (), modified_after: str | None = None,
     longitudinal: bool = True,
-) -> DataFrame:
-    """The same from a folder of ``<prefix><digits>_<visit>.csv`` reports."""
-    files = folders.discover_files(spark, folder, prefix, "csv", subjects, modified_after)
-    cells = reports.read_labelled_reports(spark, f"{folder}/*.csv")
+) -> DataFrame | None:
+    """The same from the ``<prefix><digits>_<visit>.csv`` reports below a folder; ``None`` where no file is chosen.
+
+    Only files of the chosen subjects and times are opened.
+    """
+    files = cut_lineage(folders.discover_files(spark, folder, prefix, "csv", subjects, modified_after))
+    paths = folders.chosen_paths(files)
+    if not paths:
+        return None
+    cells = reports.read_labelled_reports(spark, paths)
     named = cells.join(
         files.select(F.col("path").alias("file"), "subject", F.col("visit").alias("event_name")), "file"
     ).drop("file")

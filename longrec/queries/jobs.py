@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from longrec import fixed_values as fixed
 from longrec.operators.recode import Change, ChangeMap, Dictionary
 from longrec.plans import exports, measures, migration, scores, sessions
 from longrec.queries import query, table
+from longrec.session import shared_dir
 from longrec.sources import reports
+from longrec.streaming.log import Files
 
 # A run of three years starts by 1999, and its first two are kept.
 YEARS = range(1995, 2001)
@@ -195,11 +198,10 @@ def _battery_sql():
     )
 
 
-@query("job_import_battery", _battery_sql())
-def job_import_battery(spark, d):
+def _battery_rows(spark, d):
     """Weekdays as instruments of a user and hour; those with up to four of them are read as parents."""
     pin = (F.col("user_id") % 400 * 20 + F.hour("ts") % 20).alias("pin")
-    rows = (
+    return (
         table(spark, d, "events").groupBy(pin, (F.dayofweek("ts") - 1).alias("day"))
         .agg(
             F.max("value").alias("RawScore"), F.min("value").alias("Uncorrected Standard Score"),
@@ -212,7 +214,11 @@ def job_import_battery(spark, d):
             "Age-Corrected Standard Score", "row", F.lit("export.csv").alias("file"),
         )
     )
-    return scores.import_battery(rows, ["row"])
+
+
+@query("job_import_battery", _battery_sql())
+def job_import_battery(spark, d):
+    return scores.import_battery(_battery_rows(spark, d), ["row"])
 
 
 # -- score import -------------------------------------------------------------------------
@@ -629,3 +635,46 @@ def job_score_reports_by_subject(spark, d):
     chosen = cells.select("l_orderkey").distinct().join(suppliers, "l_orderkey").groupBy("subject").agg(F.min("l_orderkey").alias("l_orderkey"))
     scored = reports.report_scores(cells.join(chosen, "l_orderkey"), ["subject", "l_orderkey"], ["x", *_SHORT], ["x"]).drop("l_orderkey")
     return scores.collect_score_reports(scored.withColumn("event", F.lit("first")), "subject", "event", ["x", *_SHORT], longitudinal=False)
+
+
+def _report_folder_sql():
+    short = [s for s in fixed.REPORT_SCALES if s not in fixed.COMPETENCE_SCALES]
+    columns = []
+    for k, scale in enumerate(fixed.REPORT_SCALES):
+        # subjects of region 0 have the short reports
+        value = f"n_nationkey + {k} - case when n_regionkey = 0 then {len(fixed.REPORT_SCALES) - len(short)} else 0 end"
+        there = "" if scale in short else "n_regionkey <> 0 and "
+        columns.append(f"case when {there}true then cast({value} as varchar) || chr(10) end as cbcl_raw_{scale}")
+        columns.append(f"case when {there}true then cast({value} + 40 as varchar) end as cbcl_t_{scale}")
+        columns.append(f"case when {there}true then cast(case when ({value}) % 3 = 0 then 1 else 0 end as varchar) end as cbcl_clinical___{k + 1}")
+        columns.append(f"case when {there}true then cast(case when ({value}) % 3 = 1 then 1 else 0 end as varchar) end as cbcl_borderline___{k + 1}")
+    return f"select 'NT' || n_nationkey as subject, 'year' || n_regionkey as event_name, {', '.join(columns)} from nation where n_regionkey < 2"
+
+
+@query("job_score_report_folder", _report_folder_sql())
+def job_score_report_folder(spark, d):
+    """A file for each nation, in a folder for each region; only the chosen subjects' files are opened.
+
+    Cells hold line breaks inside quotes, and of another nation's file the quote never closes.
+    """
+    path, chosen = shared_dir(spark, "scores"), []
+    files = Files(spark, path)
+    for nation, region in table(spark, d, "nation").select("n_nationkey", "n_regionkey").orderBy("n_nationkey").collect():
+        count = len(fixed.REPORT_SCALES) - (len(fixed.COMPETENCE_SCALES) if region == 0 else 0)
+        raw = [f'"{nation + k}\n"' for k in range(count)]
+        t = [f"{nation + k + 40}" + ("-C", "-B", "")[(nation + k) % 3] for k in range(count)]
+        text = f"a,b\nTotal Score,{','.join(raw)}\nT Score,{','.join(t)},\n" + ('"never' if region == 4 else "")
+        files.create(f"region{region}/NT{nation}_year{region}.csv", text)
+        if region < 2:
+            chosen.append(f"NT{nation}")
+    return scores.collect_score_report_folder(spark, path, "nt", chosen)
+
+
+@query("job_import_battery_folder", _battery_sql())
+def job_import_battery_folder(spark, d):
+    """The same rows from a folder with a file that is none of the battery."""
+    path = shared_dir(spark, "battery")
+    rows = _battery_rows(spark, d)
+    rows.drop("file").repartition(1).sortWithinPartitions("row").write.csv(f"{path}/battery", header=True)
+    rows.select("PIN", "Inst").limit(5).write.csv(f"{path}/other", header=True)
+    return scores.import_battery_folder(spark, path)[0]

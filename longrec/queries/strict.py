@@ -8,7 +8,8 @@ from longrec.plans import measures
 from longrec.queries import query, table
 from longrec.session import shared_dir
 from longrec.sources import folders, reports, sinks
-from longrec.streaming import upsert
+from longrec.streaming import jobs, upsert
+from longrec.streaming.log import Files
 
 # -- numbers and dates as text ------------------------------------------------------------
 
@@ -200,6 +201,31 @@ def folder_scan_quoted(spark, d):
     return folders.scan_folder(spark, path, "id", sep="|")[0].drop(*folders.FILE_ORDER)
 
 
+@query(
+    "folder_scan_line_breaks",
+    """select l_orderkey, l_linenumber::bigint l_linenumber, case l_linenumber % 3 when 0 then l_returnflag || chr(10) || '"' || l_linestatus || '",' || chr(10) || 'x'
+  when 1 then l_linestatus || '" pipe' else l_shipdate::date::varchar end as note, case when l_returnflag <> 'R' then l_partkey end part from lineitem""",
+)
+def folder_scan_line_breaks(spark, d):
+    """Line breaks inside quotes, in files of several splits; a third file has a quote that never closes."""
+    path, rows = shared_dir(spark, "breaks"), table(spark, d, "lineitem")
+    kind, state, day = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate").cast("date").cast("string")
+    quoted = F.concat(F.lit('"'), kind, F.lit('\n""'), state, F.lit('"",\nx"'))
+    third = F.col("l_linenumber") % 3
+    note = F.when(third == 0, quoted).when(third == 1, F.concat(state, F.lit('" pipe'))).otherwise(day)
+    key, number, pad = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.repeat(F.lit("-"), F.lit(90))
+    returned = kind == "R"
+    with_part = F.concat_ws(",", key, note, F.col("l_partkey").cast("string"), number, pad)
+    for chosen, line, header in ((~returned, with_part, "l_orderkey,note,part,l_linenumber,pad"), (returned, F.concat_ws(",", number, note, key, pad), "l_linenumber,note,l_orderkey,pad")):
+        lines = spark.range(1).select(F.lit(header).alias("line")).unionByName(rows.where(chosen).select(line.alias("line")))
+        lines.coalesce(1).write.mode("append").text(path)
+    never = spark.range(1).select(F.lit('l_orderkey,note\n1,"open\n2,x').alias("line"))
+    never.write.mode("append").text(path)
+    found, skipped = folders.scan_folder(spark, path, "l_orderkey", "part-*")
+    assert [r["reason"] for r in skipped.collect()] == ["a quoted field never ends"]
+    return found.drop("pad", *folders.FILE_ORDER)
+
+
 # -- the store ----------------------------------------------------------------------------
 
 
@@ -266,3 +292,38 @@ def expand_exact_numbers(spark, d):
         F.col("c_acctbal").alias("s1_value"), F.col("c_nationkey").cast("long").alias("s2_value"),
     )
     return reshape.expand(wide, "c_custkey")[0]
+
+
+# -- jobs as a stream ---------------------------------------------------------------------------
+
+
+@query(
+    "stream_of_jobs",
+    """select 'nat' || n_nationkey || '_s1' "Patient ID", 'nat' || n_nationkey "Subject",
+  'job' || lpad(cast(case when n_regionkey = 2 then 100 else 0 end + n_nationkey as varchar), 6, '0') job_id, cast(20 + n_regionkey as varchar) "Age", 'F' "Sex",
+  case when n_regionkey < 3 then 'subcortical' else 'hips_kulaga_multicontrast' end as type, case when n_regionkey < 3 then n_nationkey + case when n_regionkey = 2 then 200 else 100 end end::bigint "Brainstem",
+  case when n_regionkey >= 3 then n_name || chr(10) || n_regionkey end as note from nation""",
+)
+def stream_of_jobs(spark, d):
+    """Two arrivals with a restart in between: the second one sends a job of the first again, changed, and a later job of region 2's patients."""
+    base, nations = shared_dir(spark, "arrivals"), table(spark, d, "nation")
+    files, rows = Files(spark, f"{base}/in"), nations.select("n_nationkey", "n_regionkey", "n_name").collect()
+
+    def send(place, job, nation, region, header, line, *more):
+        folder = f"{place}/nat{nation}_s1-job{job:06d}"
+        files.create(f"{folder}/report.csv", f"Age;Sex;{header}\n{20 + region};F;{line}\n")
+        for name in more:
+            files.create(f"{folder}/{name}", "x")
+
+    for arrival in (1, 2):
+        for nation, region, name in rows:
+            if arrival == 1 and region < 3:
+                send("first", nation, nation, region, "Brainstem", nation + 100, "scan_t2.nii")
+            elif arrival == 2 and region >= 3:
+                send("second", nation, nation, region, "note", f'"{name}\n{region}"', "scan_t2.nii")
+            elif arrival == 2:
+                send("again", nation, nation, region, "Brainstem", -1)
+                if region == 2:
+                    send("second", nation + 100, nation, region, "Brainstem", nation + 200)
+        jobs.stream_jobs(spark, f"{base}/in", f"{base}/store", f"{base}/checkpoint", r"nat\d+_s\d", files_per_batch=40).awaitTermination()
+    return jobs.stored_reports(spark, f"{base}/store")

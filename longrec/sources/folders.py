@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,17 +11,21 @@ from pyspark.sql import functions as F
 from longrec.names import col
 from longrec.operators.predicates import drop_all_null
 from longrec.session import broadcast_if_small, collect_small, cut_lineage
+from longrec.sources.quoting import FILE_ORDER, ends_inside, whole_records
 from longrec.sources.tables import csv_fields, infer_types, null_tokens_to_null
 
 #: Distinct column names a folder may have.
 MAX_COLUMNS = 10_000
+#: Files that a scan may be given as a list.
+MAX_LISTED_FILES = 100_000
 
 
-def _lines(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+def text_lines(spark: SparkSession, source: str | Sequence[str], glob: str = "*") -> DataFrame:
+    """``FILE_ORDER`` and line of all files below a folder, or of the files of a list."""
     return (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .text(folder)
+        .text(source if isinstance(source, str) else list(source))
         .select(
             F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
             F.col("_metadata.file_path").alias("file"),
@@ -30,37 +35,58 @@ def _lines(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     )
 
 
-#: Where a row came from: ordered by these columns, rows stand as in their files.
-FILE_ORDER = ["file", "file_start", "file_line"]
+def file_headers(spark: SparkSession, source: str | Sequence[str], glob: str = "*.csv", sep: str = ",") -> DataFrame:
+    """(file, header, header_line, broken): the first line of every file that is not blank, and its number.
 
+    ``broken`` says whether any line ends inside quotes.  Lines are numbered inside their split, headers stand in first
+    splits, and each file is reduced to one row before the shuffle.
+    """
+    lines = text_lines(spark, source, glob).withColumn("__top", (F.col("file_start") == 0) & (F.trim("line") != ""))
+    top = F.when(F.col("__top"), F.col("file_line"))
+    return lines.groupBy("file").agg(
+        F.min_by("line", top).alias("header"), F.min(top).alias("header_line"), F.max(ends_inside(F.col("line"), sep)).alias("broken")
+    )
 
-def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """(file, header, header_line): the first line of every file that is not blank, and its number.
 
-    Lines are numbered inside their split, only first splits count, and each file is reduced
-    to one line before the shuffle.
+def line_records(
+    spark: SparkSession, source: str | Sequence[str], headers: DataFrame, glob: str = "*.csv", sep: str = ","
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records as ``FILE_ORDER`` and line, headers by record, files whose quotes never close).
+
+    Only files with a line that ends inside quotes are put together from their lines; all others are read line by line.
     """
-    first_splits = _lines(spark, folder, glob).where((F.col("file_start") == 0) & (F.trim("line") != ""))
-    return first_splits.groupBy("file").agg(F.min_by("line", "file_line").alias("header"), F.min("file_line").alias("header_line"))
+    lines, names = text_lines(spark, source, glob), ["file", "header", "header_line"]
+    plain, broken = headers.where("not broken").select(*names), headers.where("broken").select("file")
+    if broken.isEmpty():
+        return lines, plain.where("header is not null"), broken
+    records, unclosed = whole_records(lines.join(broadcast_if_small(broken), "file", "left_semi"), sep)
+    records, unclosed = cut_lineage(records), cut_lineage(unclosed)
+    top = F.when(F.trim("line") != "", F.struct("file_start", "file_line"))
+    joined = records.groupBy("file").agg(F.min_by("line", top).alias("header"), F.min(top)["file_line"].alias("header_line"))
+    whole = lines.join(broadcast_if_small(broken), "file", "left_anti").unionByName(records)
+    return whole, plain.unionByName(joined).where("header is not null"), unclosed
 
 
 def scan_folder(
-    spark: SparkSession, folder: str, required: str, glob: str = "*.csv", sep: str = ",", types: Mapping[str, str] | None = None,
-    max_columns: int = MAX_COLUMNS,
+    spark: SparkSession, folder: str | Sequence[str], required: str, glob: str = "*.csv", sep: str = ",",
+    types: Mapping[str, str] | None = None, max_columns: int = MAX_COLUMNS,
 ) -> tuple[DataFrame | None, DataFrame]:
     """(rows of all usable files with the columns of ``FILE_ORDER``, skipped files).
 
-    Files without the required column are skipped and reported.  All files are one scan: each
-    line is split once and its fields go to the columns its own file's header names.  Rows
-    without any value are dropped.  Line breaks inside quotes are not supported here.
+    Files without the required column, and those whose quotes never close, are skipped and reported.  All files are one scan: each
+    record is split once and its fields go to the columns its own file's header names.  Rows
+    without any value are dropped.  ``folder`` may be a list of files.
 
     The folder is read once for the headers, which are written out, once to find the types
-    unless ``types`` (column to type, text where it names none) is given, and once for the rows.
+    unless ``types`` (column to type, text where it names none) is given, and once for the rows.  Files with
+    line breaks inside quotes are read once more, and their records are written out.
     """
-    headers = cut_lineage(file_headers(spark, folder, glob))
+    found = cut_lineage(file_headers(spark, folder, glob, sep))
+    lines, headers, unclosed = line_records(spark, folder, found, glob, sep)
     headers = headers.withColumn("names", F.transform(csv_fields(F.col("header"), sep), lambda c: F.trim(c)))
     usable = F.coalesce(F.array_contains("names", required), F.lit(False))
     skipped = headers.where(~usable).select("file", F.lit(f"no column named {required}").alias("reason"))
+    skipped = skipped.unionByName(unclosed.select("file", F.lit("a quoted field never ends").alias("reason")))
     kept = headers.where(usable)
     columns = collect_small(
         kept.select(F.posexplode("names").alias("place", "name"))
@@ -76,7 +102,7 @@ def scan_folder(
     # where each column of the result stands in a file, found once per file
     places = F.transform(F.lit(names), lambda c: F.array_position("names", c).cast("int"))
     kept = kept.select("file", "header_line", places.alias("places"))
-    lines = _lines(spark, folder, glob).join(broadcast_if_small(kept), "file")
+    lines = lines.join(broadcast_if_small(kept), "file")
     rows = lines.where((F.col("file_start") > 0) | (F.col("file_line") > F.col("header_line")))
     split = rows.select(*FILE_ORDER, "places", csv_fields(F.col("line"), sep).alias("fields"))
     rows = split.select(*[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c) for i, c in enumerate(names)], *FILE_ORDER)
@@ -109,7 +135,7 @@ def discover_files(
     subjects: Sequence[str] = (),
     modified_after: str | None = None,
 ) -> DataFrame:
-    """(path, file, subject, visit) of the files of a folder, optionally only recent ones.
+    """(path, file, subject, visit) of the files below a folder, optionally only recent ones.
 
     Listing only: file contents are never read.
     """
@@ -122,3 +148,11 @@ def discover_files(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")
     )
     return parse_file_names(found, prefix, subjects)
+
+
+def chosen_paths(files: DataFrame, max_files: int = MAX_LISTED_FILES) -> list[str]:
+    """The paths of chosen files, for a scan that opens these and no others.
+
+    More than ``max_files`` are refused, as their list comes to the driver: choose fewer at a time.
+    """
+    return [unquote(r["path"]) for r in collect_small(files.select("path"), max_files)]

@@ -12,7 +12,8 @@ from longrec.functions.labels import patient_subject, path_job, path_patient
 from longrec.operators.joins import union_missing
 from longrec.operators.ordered import SPLIT_ABOVE, attach, keep_last, running_sum
 from longrec.operators.predicates import without_keys
-from longrec.sources.folders import file_headers, scan_folder
+from longrec.session import cut_lineage
+from longrec.sources.folders import FILE_ORDER, file_headers, line_records, scan_folder
 from longrec.sources.tables import csv_fields
 
 REPORT_KEYS = ("Subject", "Patient ID", "Age", "Sex", "type")
@@ -20,7 +21,7 @@ REPORT_KEYS = ("Subject", "Patient ID", "Age", "Sex", "type")
 
 def read_reports(
     spark: SparkSession,
-    folder: str,
+    folder: str | Sequence[str],
     required: str = "Age",
     patient_pattern: str = r"[A-Z]+\d+_s\d",
     glob: str = "report*.csv",
@@ -45,14 +46,14 @@ def read_reports(
     ), skipped
 
 
-def report_headers(spark: SparkSession, folder: str, glob: str = "report*.csv") -> DataFrame:
+def report_headers(spark: SparkSession, folder: str | Sequence[str], glob: str = "report*.csv") -> DataFrame:
     """(job_id, file, header) of the reports of a folder."""
-    return file_headers(spark, folder, glob).select(path_job(F.col("file")).alias("job_id"), "file", "header")
+    return file_headers(spark, folder, glob, sep=";").where("header is not null").select(path_job(F.col("file")).alias("job_id"), "file", "header")
 
 
-def job_files(spark: SparkSession, folder: str) -> DataFrame:
+def job_files(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
     """(job_id, file) of everything that came with a job; listing only."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder if isinstance(folder, str) else list(folder))
     return listed.select(
         path_job(F.col("_metadata.file_path")).alias("job_id"), F.col("_metadata.file_name").alias("file")
     )
@@ -182,15 +183,13 @@ def rejected_reports(
     return cells.where(~F.col("width").isin(widths)).select(*keys, "label", "width").distinct()
 
 
-def read_labelled_reports(spark: SparkSession, path, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
-    """(file, label, width, position, cell) of CSV score reports.
+def read_labelled_reports(spark: SparkSession, path: str | Sequence[str], split_above: int | None = SPLIT_ABOVE) -> DataFrame:
+    """(file, label, width, position, cell) of CSV score reports below a folder, or of a list of files.
 
-    Lines are ordered by split and by number within their split, so files stay splittable.
+    Lines are ordered by split and by number within their split, so files stay splittable; line breaks inside quotes are
+    part of their cell.  Files whose quotes never close are left out.
     """
-    lines = (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-        .withColumn("number", F.monotonically_increasing_id())
-    )
-    cells = F.transform(csv_fields(F.regexp_replace("value", "\r$", "")), lambda c: F.trim(c))
-    return labelled_cells(lines, ["file"], ["start", "number"], cells, list(REPORT_ROWS), split_above)
+    found = cut_lineage(file_headers(spark, path, "*"))
+    lines, _, _ = line_records(spark, path, found, "*")
+    cells = F.transform(csv_fields(F.col("line")), lambda c: F.trim(c))
+    return labelled_cells(lines, ["file"], FILE_ORDER[1:], cells, list(REPORT_ROWS), split_above)

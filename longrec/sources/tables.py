@@ -98,7 +98,8 @@ def csv_fields(line: Column, sep: str = ",") -> Column:
 
     def bare(field: Column) -> Column:
         inner = F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
-        return F.nullif(F.when(field.rlike('^".*"$') & (F.length(field) > 1), inner).otherwise(field), F.lit(""))
+        quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
+        return F.nullif(F.when(quoted, inner).otherwise(field), F.lit(""))
 
     return F.transform(found, bare)
 

@@ -52,7 +52,8 @@ def _rows(spark: SparkSession, store: str, folders: Sequence[Folder], max_parts:
     for schema, paths in by_schema.items():
         kind = T.StructType.fromJson(json.loads(schema))
         kind = kind.add(PART, "string").add(LEVEL, "string").add(VERSION, "long")
-        frames.append(spark.read.schema(kind).option("basePath", store).parquet(*paths))
+        rows = spark.read.schema(kind).option("basePath", store).parquet(*paths)
+        frames.append(rows.select(*[col(f.name) for f in kind.fields]))
     return union_missing(*frames) if frames else None
 
 

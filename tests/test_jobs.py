@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from conftest import dicts, rows
 from pyspark.sql import functions as F
@@ -5,7 +8,7 @@ from pyspark.sql import functions as F
 from longrec import fixed_values as fixed
 from longrec.operators.recode import ChangeMap, Dictionary, graded_merge, read_dictionary
 from longrec.plans import exports, measures, migration, scores, sessions
-from longrec.sources import reports
+from longrec.sources import folders, reports
 
 
 @pytest.fixture
@@ -367,3 +370,20 @@ def test_score_report_folder(spark, tmp_path):
     assert got["NT01"]["event_name"] == "base" and got["NT01"]["cbcl_raw_activities"] == "0"
     assert got["NT02"]["cbcl_raw_activities"] is None and got["NT02"]["cbcl_t_anxdepr"] == "70"
     assert got["NT02"]["cbcl_clinical___5"] == "1" and got["NT02"]["cbcl_clinical___1"] is None
+
+
+def test_only_chosen_reports_are_opened(spark, tmp_path):
+    cells = ",".join(str(i) for i in range(21))
+    for name in ("a/NT01_base.csv", "b/c/NT02_base.csv", "NT03_base.csv", "NT 04_base.csv", "other.csv"):
+        put(tmp_path / name, f"Total Score,{cells}\n")
+    os.utime(tmp_path / "NT03_base.csv", (time.time() - 86400 * 40,) * 2)
+    recent = time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(time.time() - 86400))
+    found = folders.discover_files(spark, str(tmp_path), "NT", "csv", ["NT01", "NT03"], recent)
+    paths = folders.chosen_paths(found)
+    assert [os.path.basename(p) for p in paths] == ["NT01_base.csv"]
+    assert [os.path.basename(p) for p in folders.text_lines(spark, paths).inputFiles()] == ["NT01_base.csv"]
+    got = scores.collect_score_report_folder(spark, str(tmp_path), "NT")
+    assert {r["subject"] for r in got.collect()} == {"NT01", "NT02", "NT03"}
+    assert scores.collect_score_report_folder(spark, str(tmp_path), "XX") is None
+    with pytest.raises(ValueError):
+        folders.chosen_paths(folders.discover_files(spark, str(tmp_path), "NT", "csv"), 2)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from longrec.session import broadcast_if_small, collect_small, cut_lineage, shared_dir
 from longrec.sources import folders, reports, sinks, tables
-from longrec.streaming import upsert
+from longrec.streaming import jobs, upsert
 from longrec.streaming.log import Log
 
 
@@ -328,3 +328,35 @@ def test_size_guards(spark):
     hinted = broadcast_if_small(spark.range(10), 10)._jdf.queryExecution().logical().toString()
     plain = broadcast_if_small(spark.range(11), 10)._jdf.queryExecution().logical().toString()
     assert "Hint" in hinted and "Hint" not in plain
+
+
+def job(folder, name, text, *more):
+    put(f"{folder}/{name}/report.csv", text)
+    for file in more:
+        put(f"{folder}/{name}/{file}", "x")
+
+
+def test_stream_of_jobs(spark, tmp_path):
+    folder, store, mark = (f"{tmp_path}/{n}" for n in ("in", "store", "mark"))
+
+    def run():
+        jobs.stream_jobs(spark, folder, store, mark).awaitTermination()
+        return {(r["job_id"], r["Subject"], r["type"], r["v"]) for r in jobs.stored_reports(spark, store).collect()}
+
+    job(folder, "A1_s1_job000001", 'Age;Sex;Brainstem;v\n40;F;1;"two\nlines"\n', "native_t2.nii")
+    job(folder, "A2_s1_job000002", "Age;Sex;v\n41;M;2\n", "native_t2.nii", "notes.csv")
+    first = {("job000001", "A1", "subcortical", "two\nlines"), ("job000002", "A2", "hips_kulaga_multicontrast", "2")}
+    assert run() == first
+    # the first job again under another name, a new one for a known patient, and one of the same batch twice
+    job(f"{folder}/later", "A1_s1_job000001", "Age;Sex;Brainstem;v\n40;F;1;changed\n")
+    job(f"{folder}/later", "A2_s1_job000003", "Age;Sex;v\n41;M;9\n", "native_t2.nii")
+    job(f"{folder}/x", "A4_s1_job000004", "Age;Sex;v\n50;F;first\n")
+    job(f"{folder}/y", "A4_s1_job000004", "Age;Sex;v\n50;F;second\n")
+    put(f"{folder}/none/report.csv", "Age;Sex;v\n1;F;0\n")
+    second = {("job000001", "A1", "subcortical", "two\nlines"), ("job000003", "A2", "hips_kulaga_multicontrast", "9"), ("job000004", "A4", "hips_kulaga_monocontrast", "first")}
+    assert run() == second
+    assert run() == second
+    # all of it again under a new checkpoint
+    jobs.stream_jobs(spark, folder, store, f"{tmp_path}/other").awaitTermination()
+    assert run() == second
+    assert {r["job_id"] for r in jobs.known_jobs(spark, store).collect()} == {f"job00000{k}" for k in range(1, 5)}
