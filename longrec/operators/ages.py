@@ -19,8 +19,7 @@ from longrec.operators.ordered import attach, earliest, first_valid
 def _as_moment(df: DataFrame, column: str, strict: bool) -> DataFrame:
     if not isinstance(df.schema[column].dataType, T.StringType):
         return df
-    parsed = F.col(column).cast("timestamp_ntz") if strict else dates.parse_date(F.col(column))
-    return df.withColumn(column, parsed)
+    return df.withColumn(column, F.col(column).cast("timestamp_ntz")) if strict else dates.read_dates(df, [column])
 
 
 def with_age(

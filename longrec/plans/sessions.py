@@ -113,8 +113,7 @@ def format_cohort(
     rows, prefixed = reshape.expand(rows, key, session)
     rows = columns.rename_common(rows, names)
     subject, date = columns.COMMON_COLUMNS[0], "session_date"
-    if dict(rows.dtypes)[date] == "string":
-        rows = rows.withColumn(date, dates.parse_date(F.col(date)))
+    rows = dates.read_dates(rows, [date])
     rows = rows.where(F.col(date).isNotNull())
     order = [date, session]
     if duration:

@@ -82,6 +82,57 @@ def text_dates(spark, d):
     return table(spark, d, "orders").select("o_orderkey", dates.parse_date(written).alias("moment"))
 
 
+_FORMS = ["MMM d yyyy", "d-MMM-yyyy", "MM-dd-yyyy", "M/d/yyyy 3:00 'PM'", "yyyy-MM", "d/M/yyyy", "MMM d, yyyy", "d MMMM yyyy", "yyyy.M.d", "EEEE, MMMM d, yyyy 15:30:05.25"]
+
+
+def _written_dates(spark, d):
+    """Two columns of dates in ten ways each, one with the day and one with the month first; and one that never tells."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+
+    def written(forms):
+        text = F.lit("pending")
+        for k, form in enumerate(forms):
+            text = F.when(key % 11 == k, F.date_format(day, form)).otherwise(text)
+        return text
+
+    day_forms = [f.replace("MM-dd", "dd-MM").replace("M/d", "d/M") for f in _FORMS]
+    month_forms = [f.replace("d/M", "M/d") for f in _FORMS]
+    early = F.when(F.dayofmonth(day) <= 12, F.date_format(day, "M/d/yy"))
+    return table(spark, d, "orders").select("o_orderkey", written(day_forms).alias("days"), written(month_forms).alias("months"), early.alias("open"))
+
+
+_MOMENT = """case when o_orderkey % 11 = 10 then null when o_orderkey % 11 = 3 then o_orderdate + interval 15 hour when o_orderkey % 11 = 4 then date_trunc('month', o_orderdate)
+  when o_orderkey % 11 = 9 then o_orderdate + interval '15 hours 30 minutes 5 seconds 250 milliseconds' else o_orderdate end"""
+
+
+@query(
+    "dates_by_column",
+    f"select o_orderkey, ({_MOMENT})::timestamp as days, ({_MOMENT})::timestamp as months, case when day(o_orderdate) <= 12 then o_orderdate::timestamp end as open from orders",
+)
+def dates_by_column(spark, d):
+    """The order of day and month is that of the column."""
+    return dates.read_dates(_written_dates(spark, d), ["days", "months", "open"])
+
+
+_NUMERIC = "o_orderkey % 11 in (2, 3, 5)"
+
+
+@query(
+    "date_plans",
+    f"""with o as (select *, day(o_orderdate) d, month(o_orderdate) m from orders)
+select 'days' as column_name, true as day_first, false as ambiguous, count(*) as n, count(*) filter (o_orderkey % 11 = 10) as unread,
+  count(*) filter ({_NUMERIC} and d > 12) as day_proofs, 0::bigint as month_proofs, count(*) filter ({_NUMERIC} and d <= 12 and d <> m) as open from o
+union all select 'months', false, false, count(*), count(*) filter (o_orderkey % 11 = 10), 0, count(*) filter ({_NUMERIC} and d > 12),
+  count(*) filter ({_NUMERIC} and d <= 12 and d <> m) from o
+union all select 'open', false, true, count(*) filter (d <= 12), 0, 0, 0, count(*) filter (d <= 12 and d <> m) from o""",
+)
+def date_plans(spark, d):
+    """What speaks for the order of each column; one that proves none is reported as ambiguous."""
+    plans = dates.plan_dates(_written_dates(spark, d), ["days", "months", "open"])
+    rows = [(p.column, p.day_first, p.ambiguous, p.values, p.unread, p.day_proofs, p.month_proofs, p.open) for p in plans]
+    return spark.createDataFrame(rows, "column_name string, day_first boolean, ambiguous boolean, n long, unread long, day_proofs long, month_proofs long, open long")
+
+
 # -- names --------------------------------------------------------------------------------
 
 

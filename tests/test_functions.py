@@ -33,6 +33,36 @@ def test_parse_date(spark):
     assert got == ["2015-02-03 00:00"] * 3 + [None] * 3 + ["2015-02-03 10:30"]
 
 
+DATES = {
+    "Jan 5 2019": "2019-01-05 00:00", "5-Jan-2019": "2019-01-05 00:00", "01-02-2019": "2019-01-02 00:00", "1/2/2019 3:00 PM": "2019-01-02 15:00",
+    "2019-01": "2019-01-01 00:00", "13/1/2019": "2019-01-13 00:00", "5 january 2019": "2019-01-05 00:00", "20190105": "2019-01-05 00:00",
+    "2019-01-05T10:00:00Z": "2019-01-05 10:00", "1.2.2019": "2019-01-02 00:00", "Saturday, January 5, 2019": "2019-01-05 00:00", "1/2/75": "1975-01-02 00:00",
+    "Sept 3rd,  2020 11:59:58 p.m.": "2020-09-03 23:59", "2019-Jan-05": "2019-01-05 00:00", "May 2019": "2019-05-01 00:00", "12/31/2019 12:05 am": "2019-12-31 00:05",
+    "2019-01-05 10:00:00+02:00": "2019-01-05 10:00", "31/31/2019": None, "2019-13-01": None, "29-Feb-2019": None, "1/2/2019 13:00 PM": None,
+    "123456789": None, "": None, "12:30": None, "Jun 31 2019": None, "k|2019|1|5||||": None,
+}
+
+
+def test_dates_of_many_shapes(spark):
+    texts = list(DATES)
+    got = [None if r[0] is None else r[0].isoformat(" ", "minutes") for r in one(spark, "t string", [(t,) for t in texts], dates.parse_date(F.col("t")))]
+    assert dict(zip(texts, got)) == DATES
+    swapped = one(spark, "t string", [("1/2/2019",), ("1/13/2019",)], dates.parse_date(F.col("t"), day_first=True))
+    assert [str(r[0].date()) for r in swapped] == ["2019-02-01", "2019-01-13"]
+
+
+def test_date_plans(spark):
+    df = spark.createDataFrame(
+        [("13/1/2019", "1/13/2019", "1/2/2019", "x", 1), ("2/3/2019", "2/3/2019", "2/2/2019", "13/1/2019", 2), (None, None, None, "1/13/2019", 3)],
+        "d string, m string, o string, b string, n int",
+    )
+    plans = {p.column: (p.day_first, p.ambiguous, p.values, p.unread, p.open) for p in dates.plan_dates(df, ["d", "m", "o", "b"])}
+    assert plans == {"d": (True, False, 2, 0, 1), "m": (False, False, 2, 0, 1), "o": (False, True, 2, 0, 1), "b": (False, False, 3, 1, 0)}
+    read = dates.read_dates(df, ["d", "o", "n"], day_first=True).orderBy("n").head(2)
+    assert [str(r["d"].date()) for r in read] == ["2019-01-13", "2019-03-02"] and str(read[0]["o"].date()) == "2019-02-01" and read[0]["n"] == 1
+    assert dates.plan_dates(df, []) == []
+
+
 def test_session_number(spark):
     got = one(spark, "k string, e string", [("SUB_2015_x", "2018_arm_1"), ("SUB_2019_x", "2018_arm_1")],
               dates.session_number(labels.leading_year(F.col("k")), labels.event_year(F.col("e"))))
