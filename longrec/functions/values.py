@@ -20,7 +20,9 @@ WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 def to_number(value: Column) -> Column:
     """Number of a text; anything else, NaN and infinity are missing."""
     text = value.cast("string")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    # numbers beyond the range of doubles are infinite there
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < float("inf")), number)
 
 
 def exact_number(value: Column) -> Column:

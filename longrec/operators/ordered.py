@@ -4,7 +4,8 @@ Files have an order, DataFrames do not: every function takes ``order_by``, a lis
 names sorted ascending with nulls first, which should end in a unique tiebreak.
 
 *Long groups.*  A window runs one key in one task.  Operators that need each row's
-predecessors therefore look for keys above ``split_above`` rows first.  Those rows are
+predecessors therefore look for keys above ``split_above`` rows first, by a sketch that a chain of operators
+can share (``key_sketch``).  Those rows are
 range-partitioned by key and order into contiguous slices, cut off from their lineage, scanned
 slice by slice and completed with one summary row per slice.  All other keys use one plain
 window.  Operators that only need a winner per key are aggregates or ranked windows, which
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,8 @@ from longrec.session import cut_lineage
 SPLIT_ABOVE = 2_000_000
 #: Up to this many long keys are sent to every task as a broadcast list.
 MAX_LISTED_KEYS = 10_000
+#: Buckets that the rows of keys are counted in.
+KEY_BUCKETS = 1 << 17
 
 SLICE = "__slice"
 
@@ -144,17 +148,53 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
 # -- scans over long groups ---------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class KeySketch:
+    """Which keys may have more than ``above`` rows: those of the listed buckets, no others.
+
+    Rows are counted by a hash of their key into a fixed number of buckets, so the sketch costs the same whatever the number of keys.
+    It holds for every table with the same rows of a key or fewer, so one sketch serves a chain of operators that
+    add columns or leave rows out.
+    """
+
+    keys: tuple[str, ...]
+    above: int
+    buckets: tuple[int, ...]
+
+    def suspects(self, df: DataFrame) -> DataFrame:
+        """The rows of keys in the listed buckets."""
+        if len(self.buckets) <= MAX_LISTED_KEYS:
+            return df.where(_key_bucket(self.keys).isin(list(self.buckets)))
+        listed = df.sparkSession.createDataFrame([(b,) for b in self.buckets], "__bucket long")
+        return df.withColumn("__bucket", _key_bucket(self.keys)).join(F.broadcast(listed), "__bucket", "left_semi").drop("__bucket")
+
+
+def _key_bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(KEY_BUCKETS))
+
+
+def key_sketch(df: DataFrame, keys: Sequence[str], above: int = SPLIT_ABOVE) -> KeySketch:
+    """One count by bucket, combined before the shuffle; only full buckets come to the driver."""
+    counted = df.groupBy(_key_bucket(keys).alias("__bucket")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > above)
+    return KeySketch(tuple(keys), above, tuple(sorted(r["__bucket"] for r in counted.select("__bucket").collect())))
+
+
 def split_long_groups(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], split_above: int | None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], split_above: int | None, sketch: KeySketch | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """``(short, sliced)``: rows of ordinary keys, and rows of long keys with a slice number.
 
     Slices are contiguous in (keys, order) and hold about ``split_above`` rows.  Where no key
-    is long, ``short`` is ``df`` itself and the second part is ``None``.
+    is long, ``short`` is ``df`` itself and the second part is ``None``.  Keys are counted exactly only where ``sketch``, or one
+    that is made here, suspects them.
     """
     if split_above is None:
         return df, None
-    long_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_above)
+    if sketch is None or sketch.keys != tuple(keys) or sketch.above > split_above:
+        sketch = key_sketch(df, keys, split_above)
+    if not sketch.buckets:
+        return df, None
+    long_keys = sketch.suspects(df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_above)
     found = long_keys.limit(MAX_LISTED_KEYS + 1).collect()
     if not found:
         return df, None
@@ -198,9 +238,10 @@ def forward_fill(
     columns: Sequence[str],
     order_by: Sequence[str],
     split_above: int | None = SPLIT_ABOVE,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Fill nulls with the last earlier value of the same subject."""
-    short, sliced = split_long_groups(df, keys, order_by, split_above)
+    short, sliced = split_long_groups(df, keys, order_by, split_above, sketch)
     upto = W.partitionBy(*keys).orderBy(*_ordering(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = short.withColumns({c: F.last(col(c), ignorenulls=True).over(upto) for c in columns})
     if sliced is None:
@@ -226,13 +267,14 @@ def backward_fill(
     columns: Sequence[str],
     order_by: Sequence[str],
     split_above: int | None = SPLIT_ABOVE,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Fill nulls with the next later value of the same subject.
 
     Read in descending order: a frame that ends at the last row would be evaluated anew for
     every row.
     """
-    short, sliced = split_long_groups(df, keys, order_by, split_above)
+    short, sliced = split_long_groups(df, keys, order_by, split_above, sketch)
     back = W.partitionBy(*keys).orderBy(*_descending(order_by)).rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = short.withColumns({c: F.last(col(c), ignorenulls=True).over(back) for c in columns})
     if sliced is None:
@@ -260,9 +302,10 @@ def running_sum(
     order_by: Sequence[str],
     name: str,
     split_above: int | None = SPLIT_ABOVE,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Add the sum of ``column`` over the subject's rows *before* the current one."""
-    short, sliced = split_long_groups(df, keys, order_by, split_above)
+    short, sliced = split_long_groups(df, keys, order_by, split_above, sketch)
     before = W.partitionBy(*keys).orderBy(*_ordering(order_by)).rowsBetween(W.unboundedPreceding, -1)
     summed = short.withColumn(name, F.coalesce(F.sum(column).over(before), F.lit(0)))
     if sliced is None:
@@ -276,7 +319,8 @@ def running_sum(
 
 
 def previous_values(
-    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], order_by: Sequence[str], split_above: int | None = SPLIT_ABOVE
+    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], order_by: Sequence[str], split_above: int | None = SPLIT_ABOVE,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Add, under new names, the values of the subject's row before the current one.
 
@@ -285,7 +329,7 @@ def previous_values(
     have no predecessor.
     """
     place = "__place"
-    numbered = cut_lineage(running_sum(df.withColumn("__one", F.lit(1)), keys, "__one", order_by, place, split_above).drop("__one"))
+    numbered = cut_lineage(running_sum(df.withColumn("__one", F.lit(1)), keys, "__one", order_by, place, split_above, sketch).drop("__one"))
     before = numbered.select(*keys, (F.col(place) + 1).alias(place), *[col(c).alias(new) for c, new in columns.items()])
     return attach(numbered, before, [*keys, place], list(columns.values())).drop(place)
 
@@ -315,6 +359,7 @@ def consecutive_years(
     skip: int = 1,
     keep_all: bool = False,
     split_above: int | None = SPLIT_ABOVE,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Rows of runs of at least ``n`` years that are ``skip`` apart.
 
@@ -324,7 +369,7 @@ def consecutive_years(
     """
     if n < 2:
         raise ValueError("n must be at least 2")
-    short, sliced = split_long_groups(df, keys, order_by, split_above)
+    short, sliced = split_long_groups(df, keys, order_by, split_above, sketch)
     kept = _year_runs(short, list(keys), year, order_by, n, skip)
     if sliced is not None:
         kept = kept.unionByName(_sliced_year_runs(sliced, list(keys), year, order_by, n, skip))

@@ -180,33 +180,45 @@ class ColumnTyping:
     lost: int
 
 
-def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence[str] = ()) -> list[ColumnTyping]:
-    """Which text columns become numbers: one aggregate over all of them.
+def _typed_names(columns: Sequence[str], excluded: Sequence[str]) -> list[str]:
+    return [c for c in columns if not any(c.startswith(p) for p in excluded)]
 
-    A column stays text if nothing parses or its name starts with an excluded prefix; it
-    becomes an integer if all parsed values are whole.
-    """
-    names = [c for c in columns if not any(c.startswith(p) for p in excluded)]
-    if not names:
-        return []
-    aggregates = []
-    for i, c in enumerate(names):
+
+def typing_counts(columns: Sequence[str], excluded: Sequence[str] = ()) -> dict[str, Column]:
+    """The aggregates that ``typing_plan`` needs, for a caller who gathers them while writing the table."""
+    aggregates: dict[str, Column] = {}
+    for i, c in enumerate(_typed_names(columns, excluded)):
         number = to_number(col(c))
-        aggregates += [
-            F.count(col(c)).alias(f"v{i}"),
-            F.count(number).alias(f"n{i}"),
-            F.count(to_long(col(c))).alias(f"l{i}"),
-            F.count(exact_number(col(c))).alias(f"e{i}"),
-            F.coalesce(F.bool_and(number == F.floor(number)), F.lit(False)).alias(f"w{i}"),
-        ]
-    row = df.agg(*aggregates).first()
+        aggregates |= {
+            f"v{i}": F.count(col(c)),
+            f"n{i}": F.count(number),
+            f"l{i}": F.count(to_long(col(c))),
+            f"e{i}": F.count(exact_number(col(c))),
+            f"w{i}": F.coalesce(F.bool_and(number == F.floor(number)), F.lit(False)),
+        }
+    return aggregates
+
+
+def typing_plan(columns: Sequence[str], excluded: Sequence[str], row: Mapping) -> list[ColumnTyping]:
+    """What the values of ``typing_counts`` say."""
     return [
         ColumnTyping(c, "long" if row[f"w{i}"] else "double", row[f"v{i}"] - row[f"l{i}" if row[f"w{i}"] else f"e{i}"])
-        for i, c in enumerate(names)
+        for i, c in enumerate(_typed_names(columns, excluded))
         if row[f"n{i}"]
     ]
 
 
+def plan_numeric_types(df: DataFrame, columns: Sequence[str], excluded: Sequence[str] = ()) -> list[ColumnTyping]:
+    """Which text columns become numbers: one aggregate over all of them.
+
+    A column stays text if nothing parses or its name starts with an excluded prefix; it
+    becomes an integer if all parsed values are whole.
+    """
+    aggregates = typing_counts(columns, excluded)
+    row = df.agg(*[column.alias(name) for name, column in aggregates.items()]).first().asDict() if aggregates else {}
+    return typing_plan(columns, excluded, row)
+
+
 def apply_numeric_types(df: DataFrame, plan: Sequence[ColumnTyping]) -> DataFrame:
     """Cast the planned columns; values that do not parse become null."""
     return df.withColumns({t.column: (to_long if t.kind == "long" else to_number)(col(t.column)) for t in plan})

@@ -29,8 +29,8 @@ def migrate(
 ) -> tuple[DataFrame, list[recode.ColumnTyping]]:
     """(migrated rows, chosen numeric types with the number of lost values).
 
-    One projection up to the backward fill, one window, one written table, and one aggregate
-    that decides types.
+    One projection up to the backward fill, one window, and one table, whose numeric types are
+    counted while it is written.
     ``order_by`` columns that are not exported must survive the drop list as keys do.
     """
     keys = [key, event]
@@ -52,9 +52,9 @@ def migrate(
     stable = [c for c in columns.family_union(rows.columns, dictionary.forms(), fixed.STABLE_FORMS) if c not in kept]
     rows = columns.only_where(rows, F.col(event) == stable_event, stable)
 
-    # types and values are two passes: the work so far is done once
-    rows = cut_lineage(rows)
+    # the rows are written once, and what their types depend on is counted meanwhile
     texts = [c for c in columns.with_families(rows.columns, dictionary.names("text")) if c not in kept]
-    plan = recode.plan_numeric_types(rows, texts, text_prefixes)
+    rows, counts = cut_lineage(rows, recode.typing_counts(texts, text_prefixes))
+    plan = recode.typing_plan(texts, text_prefixes, counts)
     typed = recode.apply_numeric_types(rows, plan)
     return predicates.drop_all_null(typed, [c for c in typed.columns if c not in kept]), plan

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from longrec import fixed_values as fixed
+from longrec.operators import recode
 from longrec.operators.recode import Change, ChangeMap, Dictionary
 from longrec.plans import exports, measures, migration, scores, sessions
 from longrec.queries import query, table
 from longrec.session import shared_dir
-from longrec.sources import reports
+from longrec.sources import reports, sinks, tables
 from longrec.streaming.log import Files
 
 # A run of three years starts by 1999, and its first two are kept.
@@ -379,18 +380,16 @@ _CHANGES = ChangeMap(
 )
 
 
-@query(
-    "job_migrate",
-    """with y as (select o_custkey, year(o_orderdate) as year, count(*) n, max(o_orderstatus) state, max(o_totalprice) price,
+_MIGRATE_SQL = """with y as (select o_custkey, year(o_orderdate) as year, count(*) n, max(o_orderstatus) state, max(o_totalprice) price,
   max(case when o_orderpriority = '1-URGENT' then 1 end) l, max(case when o_orderpriority = '5-LOW' then 0 end) r,
   cast(max(case when o_orderstatus = 'F' then 1 else 0 end) as integer) k1 from orders group by 1, 2)
 select 'CUST_' || c_custkey || '_x' study_id, 'stable_patient_cha_arm_1' event_name, 0::bigint as year, c_mktsegment segment, null status,
   null::bigint visits, null::double price, null::bigint paid, null kinds___1 from customer where c_custkey in (select o_custkey from y)
 union all select 'CUST_' || o_custkey || '_x', year || '_arm_1', year, null, case state when 'F' then '1' when 'O' then '2' else '3' end,
-  n, case when n > 1 then price end, case when l is null and r is null then null when l = 1 then 1 else 0 end, cast(k1 as varchar) from y""",
-)
-def job_migrate(spark, d):
-    """Renames, drops, recodes, merges, a backward fill, stable columns and types from metadata."""
+  n, case when n > 1 then price end, case when l is null and r is null then null when l = 1 then 1 else 0 end, cast(k1 as varchar) from y"""
+
+
+def _migration_rows(spark, d):
     priority = F.col("o_orderpriority")
     people = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     last = table(spark, d, "orders").groupBy("o_custkey").agg(F.max(F.year("o_orderdate")).alias("last_year"))
@@ -410,9 +409,33 @@ def job_migrate(spark, d):
     stable = last.select(
         key, F.lit("stable_patient_cha_arm_1").alias("event_name"), F.lit(0).cast("long").alias("year"), F.lit("5").alias("stray")
     )
-    rows = stable.unionByName(visits, allowMissingColumns=True)
-    migrated, _ = migration.migrate(rows, _CHANGES, _FIELDS, ["year"], key_pattern="^CUST", event_prefix="clinic_")
-    return migrated
+    return stable.unionByName(visits, allowMissingColumns=True)
+
+
+def migrated(spark, d):
+    return migration.migrate(_migration_rows(spark, d), _CHANGES, _FIELDS, ["year"], key_pattern="^CUST", event_prefix="clinic_")
+
+
+@query("job_migrate", _MIGRATE_SQL)
+def job_migrate(spark, d):
+    """Renames, drops, recodes, merges, a backward fill, stable columns and types from metadata."""
+    return migrated(spark, d)[0]
+
+
+@query("job_migrate_from_tables", _MIGRATE_SQL)
+def job_migrate_from_tables(spark, d):
+    """The same with the dictionary and the change map read from CSV tables."""
+    path = shared_dir(spark, "metadata")
+    changes = [(c.old, c.new, c.merge, "1" if c.drop else None, c.replacements) for c in _CHANGES.changes]
+    changes = spark.createDataFrame(changes, "old_var string, new_var string, merge_var string, `drop` string, opt_replacements string")
+    fields = [tuple(f[k] for k in ("name", "form", "type", "label", "choices")) for f in _FIELDS.fields]
+    fields = spark.createDataFrame(fields, ", ".join(f"`{h}` string" for h in recode.DICTIONARY_HEADER))
+    for name, metadata in (("changes", changes), ("dictionary", fields)):
+        sinks.write_csv(metadata.coalesce(1), f"{path}/{name}")
+    dictionary = recode.read_dictionary(tables.read_text_table(spark, f"{path}/dictionary"))
+    listed = ChangeMap.from_table(tables.read_text_table(spark, f"{path}/changes"))
+    rows = _migration_rows(spark, d)
+    return migration.migrate(rows, listed, dictionary, ["year"], key_pattern="^CUST", event_prefix="clinic_")[0]
 
 
 # -- measures -----------------------------------------------------------------------------

@@ -274,6 +274,25 @@ def text_sinks(spark, d):
     return written.agg(F.count(F.when(F.col("value").endswith("END"), 1)).alias("documents"))
 
 
+@query(
+    "written_texts",
+    """select 'documents' as folder, '{"PersonInformation":{"IdentificationCode":"' || c_custkey || '_' || c_nationkey
+  || '"},"Forms":[{"FormInstrument":{"Id":"form","Answers":[{"QuestionId":1,"Value":"' || cast(trunc(c_acctbal) as bigint) || '","Comments":[]}'
+  || case when c_mktsegment = 'BUILDING' then '' else ',{"QuestionId":2,"Value":"' || c_mktsegment || '","Comments":[]}' end
+  || ']},"Society":{"Id":"society"}}]}' as value from customer
+union all select 'records', lpad(c_custkey::varchar, 10, ' ') || part from customer, (values ('CBC'), ('END')) t(part)""",
+)
+def written_texts(spark, d):
+    """The text that the document and the record sinks wrote, line by line."""
+    path, documents = shared_dir(spark, "text"), json_documents(spark, d)
+    sinks.write_documents(documents, f"{path}/documents")
+    key = F.lpad(F.col("c_custkey").cast("string"), 10, " ")
+    records = table(spark, d, "customer").select(F.concat(key, F.lit("CBC\n"), key, F.lit("END")).alias("record"))
+    sinks.write_records(records, "record", f"{path}/records")
+    read = [spark.read.text(f"{path}/{name}").select(F.lit(name).alias("folder"), "value") for name in ("documents", "records")]
+    return read[0].unionByName(read[1])
+
+
 @query("job_of_path", "select o_orderkey, case when o_orderkey < 1000000 then 'job' || lpad(cast(o_orderkey as varchar), 6, '0') end job_id from orders")
 def job_of_path(spark, d):
     number = F.col("o_orderkey")

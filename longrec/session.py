@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest metadata table that may come to the driver or be broadcast.
@@ -68,13 +69,23 @@ def remove_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, observed: Mapping[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
     """``df`` written once to the shared folder and read back; ``remove_scratch`` removes it.
 
     A Parquet table, so that each later pass reads its own columns only.  It outlives lost
     executors.  Column types Parquet cannot hold make it a reliable checkpoint instead.
+
+    With ``observed`` (names and aggregates) the result is a pair: the table, and the values of the aggregates, which are
+    gathered while it is written.
     """
     spark = df.sparkSession
+    if observed is not None:
+        seen = Observation()
+        names = {f"a{i}": name for i, name in enumerate(observed)}
+        watched = df.observe(seen, *[column.alias(a) for a, column in zip(names, observed.values(), strict=True)]) if observed else df
+        table = cut_lineage(watched)
+        values = seen.get if observed else {}
+        return table, {name: values[a] for a, name in names.items()}
     if any("void" in kind or "interval" in kind or "variant" in kind for _, kind in df.dtypes):
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.operators.ordered import SPLIT_ABOVE, forward_fill, running_sum
+from longrec.operators.ordered import SPLIT_ABOVE, forward_fill, key_sketch, running_sum
 
 #: Where a row came from: ordered by these columns, rows stand as in their files.
 FILE_ORDER = ["file", "file_start", "file_line"]
@@ -39,14 +39,15 @@ def whole_records(lines: DataFrame, sep: str = ",", split_above: int | None = SP
     inside = ends_inside(F.concat(F.lit('"'), F.col("line")), sep)
     lines = lines.select(*FILE_ORDER, "line", outside.cast("int").alias("__out"), inside.cast("int").alias("__in"))
     lines = lines.withColumn("__swap", (F.col("__out") > F.col("__in")).cast("int"))
-    counted = running_sum(lines, file, "__swap", order, "__swaps", split_above)
+    sketch = key_sketch(lines, file, split_above) if split_above else None
+    counted = running_sum(lines, file, "__swap", order, "__swaps", split_above, sketch)
     swaps = F.col("__swaps") + F.col("__swap")
     # what a line leaves whatever it began with, with the swaps up to there taken back
     fixed = F.when(F.col("__out") == F.col("__in"), (F.col("__out") + swaps) % 2)
-    filled = forward_fill(counted.withColumns({"__swaps": swaps, "__fixed": fixed}), file, ["__fixed"], order, split_above)
+    filled = forward_fill(counted.withColumns({"__swaps": swaps, "__fixed": fixed}), file, ["__fixed"], order, split_above, sketch)
     open_after = (F.coalesce("__fixed", F.lit(0)) + F.col("__swaps")) % 2
     closed = filled.select(*FILE_ORDER, "line", (1 - open_after).alias("__closed"))
-    numbered = running_sum(closed, file, "__closed", order, "__record", split_above)
+    numbered = running_sum(closed, file, "__closed", order, "__record", split_above, sketch)
     last = numbered.groupBy(*file).agg(F.max_by("__closed", F.struct(*order)).alias("__closed"))
     unclosed = last.where("__closed = 0").select(*file)
     whole = numbered.join(unclosed, file, "left_anti")

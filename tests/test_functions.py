@@ -131,6 +131,10 @@ def test_text_values(spark):
     data = [("1.0",), ("2.7",), ("x",), (None,), ("NaN",)]
     assert [r[0] for r in one(spark, "v string", data, values.plain_answer(F.col("v")))] == ["1", "2", "x", None, "NaN"]
     assert [r[0] for r in one(spark, "v string", data, values.to_number(F.col("v")))] == [1.0, 2.7, None, None, None]
+    beyond = [("1e400",), ("-1e999",), ("1e308",)]
+    got = one(spark, "v string", beyond, values.to_number(F.col("v")), values.typed_option(F.col("v")), values.plain_answer(F.col("v")))
+    assert [r[0] for r in got] == [None, None, 1e308] and [r[1] for r in got] == ["1e400", "-1e999", "1.0E308"]
+    assert [r[2] for r in got] == ["1e400", "-1e999", "1e308"]
 
 
 def test_fixed_text(spark):
@@ -234,3 +238,15 @@ def test_typing(spark):
     assert [(p.column, p.kind, p.lost) for p in plan] == [("a", "long", 0), ("b", "double", 1)]
     typed = recode.apply_numeric_types(df, plan)
     assert rows(typed) == sorted([(1, 1.5, "x", "1", None), (2, None, None, "2", None)], key=repr)
+
+
+def test_p_values_as_expression(spark):
+    """The expression and the function of single numbers, which evaluates the fraction in another way."""
+    pairs = [(r, n) for n in (2, 3, 4, 7, 50, 1000, 10**6, 10**9) for r in (0.0, 1.0, -1.0, 0.5, -0.9, 0.999, 1e-3, 1e-5, float("nan"), None)]
+    pairs += [((2 * t / (n - 2)) ** 0.5, n) for n in (50, 1000, 10**6, 10**9) for t in (1e-9, 0.3, 0.74, 0.76, 1.6, 5.0)]
+    df = spark.createDataFrame(pairs, "r double, n long")
+    for r, n, p in df.select("r", "n", regression.p_value(F.col("r"), F.col("n"))).collect():
+        wanted = regression.two_sided_p(r, n)
+        assert p == (wanted if wanted is None else pytest.approx(wanted, rel=max(1e-12, 1e-16 * n), abs=1e-290))
+    plan = df.select(regression.p_value(F.col("r"), F.col("n")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -161,3 +161,30 @@ def test_every_kept_run_is_long_enough(spark, years, n, skip):
 def test_forward_fill_twice_changes_nothing(spark):
     once = ordered.forward_fill(hot_table(spark), ["id"], ["v"], ["i"])
     assert rows(ordered.forward_fill(once, ["id"], ["v"], ["i"])) == rows(once)
+
+
+def test_one_sketch_for_a_chain(spark, monkeypatch):
+    data = [(f"k{i % 7}" if i % 3 else "long", i, i if i % 5 == 0 else None, None if i % 4 else f"v{i}") for i in range(300)] + [(None, 1, 2, "n")]
+    df = spark.createDataFrame(data, "k string, o int, a int, b string")
+
+    def chain(split, sketch):
+        filled = ordered.forward_fill(df, ["k"], ["a"], ["o"], split, sketch)
+        filled = ordered.backward_fill(filled, ["k"], ["b"], ["o"], split, sketch)
+        return rows(ordered.running_sum(filled, ["k"], "o", ["o"], "s", split, sketch).select("k", "o", "a", "b", "s"))
+
+    plain = chain(None, None)
+    counted, count = [], ordered.key_sketch
+    monkeypatch.setattr(ordered, "key_sketch", lambda *a: counted.append(a) or count(*a))
+    for split in (20, 60, 1000):
+        sketch = ordered.key_sketch(df, ["k"], split)
+        counted.clear()
+        assert chain(split, sketch) == plain and not counted
+        assert chain(split, None) == plain and len(counted) == 3
+        # one made for a smaller bound serves too, one for a larger bound or other keys does not
+        assert chain(split, count(df, ["k"], 5)) == plain and len(counted) == 3
+        assert chain(split, count(df, ["o"], 1)) == plain and len(counted) == 6
+    # keys of one bucket are told apart by exact counts
+    monkeypatch.setattr(ordered, "KEY_BUCKETS", 1)
+    assert count(df, ["k"], 60).buckets == (0,) and chain(60, None) == plain
+    monkeypatch.setattr(ordered, "MAX_LISTED_KEYS", 0)
+    assert chain(20, None) == plain
