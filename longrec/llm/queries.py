@@ -70,10 +70,10 @@ with split as (
     select doc_id, 'to', list(line) over w, list(pos) over w, sum(words) over w
     from counted window w as (partition by doc_id order by upto range between 49 preceding and current row)
 ), ranked as (
-    select doc_id, places, row_number() over (partition by side, content order by doc_id, places[1]) as nth
-    from runs where size >= 50
+    select doc_id, places, row_number() over same as nth, first_value(doc_id) over same as first_id, first_value(places) over same as first_places
+    from runs where size >= 50 window same as (partition by side, content order by doc_id, places[1])
 ), deleted as (
-    select distinct doc_id, unnest(places) as pos from ranked where nth > 1
+    select distinct doc_id, unnest(places) as pos from ranked where nth > 1 and (doc_id <> first_id or places[1] > first_places[-1])
 )
 select s.doc_id, count(d.pos)::integer as n_deleted,
        coalesce(string_agg(s.line, chr(10) order by s.pos) filter (where d.pos is null), '') as text

@@ -82,9 +82,14 @@ def brute_lines(rows, least):
     first = {}
     for key, place in seen:
         first[key] = min(first.get(key, place), place)
+    ends = {(key, place): max(own) for found in result.values() for key, place, own in found}
     out = []
     for i, text in rows:
-        gone = {p for key, place, own in result.get((i, text or ""), []) if place > first[key] for p in own}
+        gone = set()
+        for key, place, own in result.get((i, text or ""), []):
+            # in the same text the first one must have ended
+            if place[:2] != first[key][:2] or min(own) > ends[key, first[key]]:
+                gone |= set(own) if place > first[key] else set()
         out.append((i, len(gone), "\n".join(x for p, x in enumerate((text or "").split("\n")) if p not in gone)))
     return sorted(out, key=repr)
 
@@ -166,6 +171,13 @@ def test_passages_whole_table(spark):
     assert got == brute_passages(rows, 50) and any(n for _, n, _ in got)
 
 
+def test_lines_that_overlap_themselves(spark):
+    line = "a b c d e f g h i j"
+    rows = [(1, "\n".join([line] * 10)), (2, "\n".join([line] * 5)), (3, "\n".join([line] * 12))]
+    got = {r.doc_id: (r.n_deleted, r.text) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert got == {1: (5, "\n".join([line] * 5)), 2: (5, ""), 3: (12, "")}
+
+
 def test_lines_empty(spark):
     assert line_dedup.dedup_lines(frame(spark, LINES).limit(0)).count() == 0
 
