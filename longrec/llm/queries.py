@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longrec.llm import decontamination, exact_dedup, line_dedup, merkle, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, url_filter, warc, whitening
+from longrec.llm import decontamination, exact_dedup, line_dedup, merkle, ngram_join, packing, passages, planted, quality, secret_scan, token_counts, toxicity, url_filter, warc, whitening
 from longrec.llm.common import read_table
 from longrec.llm.samples import crc32_of_id
 
@@ -148,12 +148,11 @@ def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_secret_scan")
 def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables have no labelled findings; strict rules label those of half of the documents."""
+    """The tables have no labelled findings: the forest learns from half of those planted into pieces of the documents."""
     docs = read_table(spark, sf_dir, "documents")
-    found = secret_scan.findings(docs, secret_scan.corpus_statistics(docs))
-    learn = crc32_of_id("id") % 2 == 0
-    forest = secret_scan.fit(found.where(learn).withColumn("label", F.col("rule")))
-    return secret_scan.score(found, forest)
+    corpus = secret_scan.corpus_statistics(docs)
+    taught = planted.labelled_findings(docs, corpus)
+    return secret_scan.score(secret_scan.findings(docs, corpus), secret_scan.fit(taught.where("id div 2 % 2 = 0")))
 
 
 @query("op9_quality")
