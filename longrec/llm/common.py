@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterable
 
 import longrec
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from longrec.session import cut_lineage, shared_dir
 
-__all__ = ["cut_lineage", "free_name", "possibly_in", "read_table", "shared_dir", "ship", "text_or_empty"]
+__all__ = ["apart_from", "cut_lineage", "free_name", "possibly_in", "read_table", "shared_dir", "ship", "text_or_empty"]
 
 #: Bits of the filters that go to all executors by broadcast: 4 MB at most, whatever the input.
 FILTER_BITS = 1 << 25
@@ -31,10 +32,15 @@ def text_or_empty(name: str) -> Column:
 
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores added until no column of ``df`` has that name (case aside)."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
+    return apart_from(wanted, df.columns)
+
+
+def apart_from(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores added where a column of a result has it already (case aside)."""
+    names = {c.lower() for c in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
 
 
 def possibly_in(rows: DataFrame, keys: list[str], wanted: DataFrame, hit: str) -> DataFrame:

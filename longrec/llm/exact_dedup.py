@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, possibly_in, text_or_empty
+from longrec.llm.common import apart_from, cut_lineage, possibly_in, text_or_empty
 
 #: Characters of a text that the second step hashes.
 PREFIX_CHARS = 256
@@ -65,10 +65,12 @@ def classify(
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
     As every row is to carry its digest, the one scan of the texts makes all three keys and
-    writes them out; the steps then refine the groups on that narrow table.
+    writes them out; the steps then refine the groups on that narrow table.  An id column named like one
+    of the result gets underscores.
     """
     sha = _sha(text_or_empty(text_col)).alias("sha")
     rows = cut_lineage(_keys(docs, id_col, text_col, prefix_chars, sha))
+    id_col = apart_from(id_col, ("keep_id", "group_size", "kept", "text_sha256"))
     survivors = surviving_keys(rows.select("bytes", "prefix"))
     groups = shared_texts(rows.join(survivors, ["bytes", "prefix"], "left_semi"))
     joined = rows.join(groups, ["bytes", "prefix", "sha"], "left")

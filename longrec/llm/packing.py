@@ -12,7 +12,7 @@ a task that runs again replaces its own rows.
 Defined results: a null text is empty and has the end id alone; rows with the same id are documents
 of their own; a null id stays null; a long text fills whole windows first; of windows that fit equally well the oldest
 is taken, and of equally full ones the oldest is emitted; an empty table gives an empty result; other columns are
-ignored.  Each id of a document lies in exactly one piece, and a sequence has no gaps.
+ignored; an id column named like one of the result gets underscores.  Each id of a document lies in exactly one piece, and a sequence has no gaps.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from longrec.llm import tokens
-from longrec.llm.common import cut_lineage, ship, text_or_empty
+from longrec.llm.common import apart_from, cut_lineage, ship, text_or_empty
 from longrec.llm.words import passes, release
 
 #: Tasks (later: merge groups) whose open windows one merge takes: MERGE * open_windows windows.
@@ -195,4 +195,5 @@ def pack(
     pieces = written[0]
     for more in written[1:]:
         pieces = pieces.unionByName(more)
-    return pieces.where("task is null").drop("task", "ids").withColumnRenamed("id", id_col)
+    pieces = pieces.where("task is null").drop("task", "ids")
+    return pieces.withColumnRenamed("id", apart_from(id_col, pieces.columns[1:]))

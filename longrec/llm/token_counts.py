@@ -6,7 +6,7 @@ a run of short ones makes a batch large or small.
 
 Defined results: a null text counts as empty and has 0 bytes and 0 tokens; rows with the same id
 are counted each on its own; a null id stays null; a long text without a safe boundary is one piece; an empty table gives an empty result; other
-columns are ignored.
+columns are ignored; an id column named like one of the result gets underscores.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from longrec.llm import tokens
-from longrec.llm.common import ship, text_or_empty
+from longrec.llm.common import apart_from, ship, text_or_empty
 
 #: Bytes of UTF-8 in one call of the encoder, and characters in one piece of a long text.
 BATCH_BYTES = 1 << 18
@@ -71,4 +71,4 @@ def count_tokens(
             )
 
     counted = rows.mapInArrow(run, f"id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
-    return counted.withColumnRenamed("id", id_col)
+    return counted.withColumnRenamed("id", apart_from(id_col, counted.columns[1:]))

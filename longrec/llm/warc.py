@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, shared_dir, ship
+from longrec.llm.common import cut_lineage, possibly_in, shared_dir, ship
 
 #: Captures of an index block, and bytes after which an archive is closed and the next begun.
 BLOCK_ROWS = 1_000
@@ -167,7 +167,11 @@ def write_archives(
     ship(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     digest = F.sha1(F.coalesce("html", F.lit("")).cast("binary"))
-    rows = rows.withColumn("digest", digest).join(_first_of_equal(rows, least_shared), "digest", "left")
+    shared = _first_of_equal(rows, least_shared)
+    # payloads that surely occur once stay where they are
+    rows = possibly_in(rows.withColumn("digest", digest), ["digest"], shared.select("digest"), "hit")
+    alone = rows.where("not hit").withColumn("first", F.lit(None).cast(rows.schema["page"].dataType))
+    rows = alone.drop("hit").unionByName(rows.where("hit").drop("hit").join(shared, "digest", "left"))
     revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     rows = rows.select(
         url_key(F.col("url")).alias("key"), F.col("page").cast("string").alias("id"), "url",

@@ -2,6 +2,7 @@
 
 import re
 
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from test_dedup import brute_near
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from check_queries import compare, connect
-from longrec.llm import queries
+from longrec.llm import exact_dedup, packing, queries, token_counts
 from longrec.llm.decontamination import word_lists
 from longrec.session import cut_lineage
 
@@ -89,3 +90,41 @@ def test_pipeline_on_empty_documents(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_ids_named_like_results(spark):
+    """The id of a row keeps its name, or gets underscores where the result has a column of that name."""
+    for name, run in (
+        ("start", lambda df, c: packing.pack(df, public_tokenizers.path("word_bpe_49k.json"), c)),
+        ("N_tokens", lambda df, c: token_counts.count_tokens(df, public_tokenizers.path("byte_bpe_50k.json"), c)),
+        ("kept", lambda df, c: exact_dedup.classify(df, c)),
+    ):
+        docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (2, None), (None, "x")], f"{name} long, text string")
+        got = run(docs, name)
+        assert sorted(map(repr, (r[f"{name}_"] for r in got.collect()))) == ["1", "2", "2", "None"]
+        assert len({c.lower() for c in got.columns}) == len(got.columns)
+
+
+ODD = [
+    (1, None, "en", None, None), (2, "", None, "x", 0), (None, "some words of a text", "de", "x", 1), (3, "long text " * 40_000, "en", "x", 5),
+    (4, "a b c d e f", "fr", "y", 6), (4, "a b c d e f", "fr", "y", 6), (5, "A b c  d e f", "en", "y", 7), (6, "z " * 30, "xx", "y", 8),
+]
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and columns named like those of the stages."""
+    docs = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({"score": F.lit("own"), "id": F.col("doc_id"), "kept": F.lit(False), "component_id": F.lit(1)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, k % 2, k % 2) for k in range(7)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    bench = spark.createDataFrame([(1, "z z z z z z z z z"), (2, None), (3, "")], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows, gone = docs, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = cut_lineage(stage(spark, rows, str(tmp_path)))
+        assert after.columns == docs.columns
+        gone[name], rows = rows.count() - after.count(), after
+    # of rows 1 and 2, and of the copies 4, one stays; 5 is a near copy of 4; 6 holds the benchmark item
+    assert gone["exact_dedup"] == 2 and gone["ngram_join"] == 1 and gone["decontamination"] == 1
+    pieces = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in rows.collect()} == {2, None, 3, 4}
