@@ -3,6 +3,11 @@
 Each stage gets the documents its predecessor kept and returns the columns of documents; the
 last returns the pieces of packed sequences.  The toxicity classifier learns from the labels of documents
 whose crc32(doc_id) mod 3 is not 1, so the others can judge it.
+
+Defined results: a null text counts as empty everywhere, is an exact copy of other empty ones, and is packed as the end id
+alone; of repeated rows one stays; long texts are read whole; null ids and languages stay as they are; columns
+beyond those of documents, whatever their names, stay up to the last stage; empty documents, labels or benchmark tables leave their
+stage without effect.
 """
 
 from __future__ import annotations
