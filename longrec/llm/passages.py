@@ -3,7 +3,7 @@
 A text is its sequence of words (runs without blanks).  A passage is a run of at least ``min_words`` words; it repeats
 if the same words stood earlier.  Words are grouped into short runs, and of each window of ``min_words`` words the run
 with the least hash is the seed (winnowing): equal windows have equal seeds, so each repeat has a seed that
-occurs at two places.  Windows around shared seeds are compared whole, by a hash of their words, with the first equal
+occurs at two places.  Windows around shared seeds are compared whole, by two hashes of their words, with the first equal
 one; the windows of a match that is longer overlap, so it is extended word by word in both directions, past the ends of lines,
 and the words of all windows that stood earlier are deleted.
 
@@ -16,17 +16,24 @@ break or the text ends there; else those after go.
 
 Defined results: null texts count as empty and come back as empty; a text that loses every word keeps the blanks at its
 ends; rows with the same id and text are one document: each of them gets its result; texts of fewer words
-than ``min_words`` never change; an empty table gives an empty result; other columns stay as they are.
+than ``min_words`` never change; long texts are read whole; an empty table gives an empty result; other columns stay as they are.
+
+Hashes of words and their minima over windows are numpy arrays inside tasks: with DataFrame functions alone they took more than twice
+the CPU time allowed (README).  All joins, groups and deletions are DataFrame functions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longrec.llm.common import cut_lineage, free_name, possibly_in, text_or_empty
+from longrec.llm.common import cut_lineage, free_name, possibly_in, ship, text_or_empty
+from longrec.llm.words import SPACES, Words, mix, passes
 
 DOCUMENT = ("id", "text_hash")
 #: Words of a seed; less if ``min_words`` is below twice that.
@@ -35,39 +42,58 @@ SEED_WORDS = 8
 PLACE_BITS = 30
 
 
-def _sliding(rows: DataFrame, name: str, size: int, combine: Callable[[Column, Column], Column]) -> DataFrame:
-    """``rows`` with each element of an array combined with the ``size - 1`` after it; the last ``size - 1`` are wrong.
+def _sliding(values: np.ndarray, size: int, combine: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Each element combined with the ``size - 1`` after it; the last ``size - 1`` are left out.
 
-    Spans are doubled, so a text takes log2(size) passes.  The two halves of the last step overlap.
+    Spans are doubled, so it takes log2(size) passes.  The two halves of the last step overlap.
     """
     span = 1
     while span < size:
         step = min(span, size - span)
-        rows = rows.withColumn(name, F.zip_with(name, F.slice(name, 1 + step, F.size(name)), combine))
+        values = combine(values[:-step], values[step:])
         span += step
-    return rows
+    return values
+
+
+def _spread(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+
 
+def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    return Words(data, offsets, SPACES, fold=False)
 
-def _hashed(rows: DataFrame) -> DataFrame:
-    """``h``: the hashes of the words of each text, instead of the text."""
-    rows = rows.withColumn("h", F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))).drop("text")
-    return rows.withColumn("h", F.transform("h", lambda word: F.xxhash64(word)))
+
+def _own_seeds(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, seed) of each window's seed, each once."""
+    size, place_mask = min(SEED_WORDS, (min_words + 1) // 2), np.uint64((1 << PLACE_BITS) - 1)
+    if len(words.starts) < min_words:
+        return (np.zeros(0, np.int64),) * 3
+    runs = _sliding(words.hashes, size, _spread)
+    place = np.arange(len(words.starts)) - words.first_word[words.row]
+    both = runs & ~place_mask | place[: len(runs)].astype(np.uint64)
+    least = _sliding(both, min_words - size + 1, np.minimum)
+    # a window lies in one text; neighbours mostly share their seed
+    inside = words.row[: len(least)] == words.row[min_words - 1 :]
+    row, least = words.row[: len(least)][inside], least[inside]
+    new = np.ones(len(row), bool)
+    new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+    row, least = row[new], least[new]
+    return row, (least & place_mask).astype(np.int64), (least >> np.uint64(PLACE_BITS)).astype(np.int64)
 
 
 def _seeds(rows: DataFrame, min_words: int) -> DataFrame:
     """(text_hash, place, seed) of each window's seed, each once."""
-    words = min(SEED_WORDS, (min_words + 1) // 2)
-    low = F.lit((1 << PLACE_BITS) - 1).cast("long")
-    rows = _hashed(rows.select("text_hash", "text")).withColumn("n", F.size("h"))
-    rows = _sliding(rows, "h", words, lambda a, b: F.xxhash64(a, b))
-    high = F.lit(-(1 << PLACE_BITS)).cast("long")
-    rows = rows.withColumn("h", F.transform("h", lambda x, i: x.bitwiseAND(high).bitwiseOR(i.cast("long"))))
-    rows = rows.withColumn("h", F.slice("h", 1, F.greatest(F.col("n") - (words - 1), F.lit(0))))
-    rows = _sliding(rows, "h", min_words - words + 1, lambda a, b: F.least(a, b))
-    rows = rows.withColumn("h", F.array_distinct(F.slice("h", 1, F.greatest(F.col("n") - (min_words - 1), F.lit(0)))))
-    # explode would have the optimizer filter by its input, with the passes above spelled out twice in each other
-    rows = rows.select("text_hash", F.explode_outer("h").alias("both")).where("both is not null")
-    return rows.select("text_hash", F.col("both").bitwiseAND(low).cast("int").alias("place"), F.shiftright("both", PLACE_BITS).alias("seed")).distinct()
+    ship(rows.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for first, _, data, offsets in passes(batch.column("text")):
+                row, place, seed = _own_seeds(_words(data, offsets), min_words)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("text_hash").take(pa.array(first + row)), pa.array(place.astype(np.int32)), pa.array(seed)], ["text_hash", "place", "seed"]
+                )
+
+    return rows.select("text_hash", "text").mapInArrow(run, "text_hash long, place int, seed long").distinct()
 
 
 def _lowest_and_highest(rows: DataFrame, keys: list[str], place: Column) -> DataFrame:
@@ -76,7 +102,7 @@ def _lowest_and_highest(rows: DataFrame, keys: list[str], place: Column) -> Data
 
 
 def _windows(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
-    """(id, text_hash, start, k): the windows around shared seeds and the hash of their words."""
+    """(id, text_hash, start, k, k2): the windows around shared seeds and two hashes of their words."""
     seeds = cut_lineage(_seeds(rows, min_words))
     shared = cut_lineage(_lowest_and_highest(seeds, ["seed"], F.struct("text_hash", "place")).select("seed"))
     near = cut_lineage(seeds.join(shared, "seed", "left_semi").groupBy("text_hash").agg(F.collect_list("place").alias("places")))
@@ -84,17 +110,36 @@ def _windows(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
     wanted = near.select(F.col("id").alias("near_id"), F.col("text_hash").alias("near_hash"), "places")
     texts = possibly_in(rows, [*DOCUMENT], near.select(*DOCUMENT), "hit").where("hit")
     same = F.col("id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash"))
-    texts = _hashed(texts.join(wanted, same).select(*DOCUMENT, "places", "text"))
-    texts = _sliding(texts, "h", min_words, lambda a, b: F.xxhash64(a, b))
-    last = F.size("h") - min_words
+    texts = texts.join(wanted, same).select(*DOCUMENT, "places", "text")
     before = min_words - min(SEED_WORDS, (min_words + 1) // 2)
-    starts = F.array_distinct(F.flatten(F.transform(
-        "places", lambda p: F.sequence(F.greatest(p - before, F.lit(0)), F.least(p, last))
-    )))
-    texts = texts.withColumn("starts", starts)
-    found = F.transform("starts", lambda s: F.struct(s.alias("start"), F.get("h", s).alias("k")))
-    texts = texts.select(*DOCUMENT, F.explode_outer(found).alias("w")).where("w is not null")
-    return cut_lineage(texts.select(*DOCUMENT, "w.start", "w.k"))
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            places = batch.column("places")
+            for first, end, data, offsets in passes(batch.column("text")):
+                words = _words(data, offsets)
+                if len(words.starts) < min_words:
+                    continue
+                own = places.slice(first, end - first)
+                row = np.repeat(np.arange(end - first), pc.list_value_length(own).to_numpy())
+                at = own.flatten().to_numpy().astype(np.int64)
+                begin = words.first_word[row]
+                low = begin + np.maximum(at - before, 0)
+                high = np.minimum(begin + at, words.first_word[row + 1] - min_words)
+                # the starts from low to high, each once
+                many = np.maximum(high - low + 1, 0)
+                shift = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                starts = np.unique(np.repeat(low, many) + shift)
+                owner = words.row[starts]
+                hashed = [_sliding(h, min_words, _spread)[starts].view(np.int64) for h in (words.hashes, words.check_hash(words.starts, words.ends))]
+                took = pa.array(first + owner)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(took), batch.column("text_hash").take(took), pa.array((starts - words.first_word[owner]).astype(np.int32)), *map(pa.array, hashed)],
+                    [*DOCUMENT, "start", "k", "k2"],
+                )
+
+    return cut_lineage(texts.mapInArrow(run, f"id {id_type}, text_hash long, start int, k long, k2 long"))
 
 
 def _runs(repeated: DataFrame, min_words: int) -> DataFrame:
@@ -114,10 +159,10 @@ def deleted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = F.struct("id")
     holders = cut_lineage(documents.groupBy("text_hash").agg(F.min(own).alias("low"), F.max(own).alias("high")))
     windows = _windows(rows, holders.select("text_hash", F.col("low.id").alias("id")), min_words)
-    first = cut_lineage(_lowest_and_highest(windows, ["k"], F.struct(*DOCUMENT, "start")).select("k", "low"))
+    first = cut_lineage(_lowest_and_highest(windows, ["k", "k2"], F.struct(*DOCUMENT, "start")).select("k", "k2", "low"))
     elsewhere = ~(F.col("id").eqNullSafe(F.col("low.id")) & (F.col("text_hash") == F.col("low.text_hash")))
     later = F.struct(*DOCUMENT, "start") > F.col("low")
-    repeated = windows.join(first, "k").where(later & (elsewhere | (F.col("start") >= F.col("low.start") + min_words)))
+    repeated = windows.join(first, ["k", "k2"]).where(later & (elsewhere | (F.col("start") >= F.col("low.start") + min_words)))
     found = _runs(repeated.select(*DOCUMENT, "start").distinct(), min_words)
     copies = holders.where("low != high").select("text_hash", "low")
     whole = documents.join(copies, "text_hash").where(own != F.col("low"))

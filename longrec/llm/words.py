@@ -122,11 +122,11 @@ def release() -> None:
 class Words:
     """Word boundaries and hashes of the texts of one pass.
 
-    With ``scripts`` words also end at punctuation, blanks and symbols beyond ASCII, and each character of a script written without
+    Unless ``fold``, letters of both cases differ.  With ``scripts`` words also end at punctuation, blanks and symbols beyond ASCII, and each character of a script written without
     blanks is a word.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, latin: bool = True, scripts: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, latin: bool = True, scripts: bool = False, fold: bool = True):
         self.data, self.offsets = data, offsets
         inside = ~separators[data]
         n = len(data)
@@ -150,7 +150,7 @@ class Words:
         #: The row (within the pass) of each word, and where each row's words begin.
         self.first_word = np.searchsorted(self.starts, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
-        self._folded = np.concatenate([fold_case(data, latin), np.zeros(8, np.uint8)])
+        self._folded = np.concatenate([fold_case(data, latin) if fold else data, np.zeros(8, np.uint8)])
         #: The eight bytes from each place on, without a copy.
         self._eights = np.ndarray(n + 1, "<u8", self._folded, strides=(1,))
 
