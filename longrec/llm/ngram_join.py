@@ -12,7 +12,9 @@ a stricter test.  Each set picks its own l by the estimated cost of its candidat
    links found so make components.  Large groups of near copies end here, at linear cost.
 4. Classes of different components that share a prefix shingle are joined with the adaptive
    prefixes and verified.  Pairs inside one component can add nothing and are never made, nor
-   are pairs at crowded shingles that an exact bound by parity bits rules out.
+   are pairs at crowded shingles that an exact bound by parity bits rules out.  A sketch of fixed size cannot tell all common
+   shingles from rare ones in a large input.  So where shingles of many components would make many pairs, those, now
+   counted exactly, move to the end of the order and the prefixes are taken again (``_reordered``).
 
 No pair is lost or capped: step 4 is complete for pairs between the components of step 3.  Sets are compared by
 64-bit shingle hashes.
@@ -45,6 +47,12 @@ MOST_MATCHES = 8
 STAR_SHARE = 0.3
 #: Rows of a prefix shingle from which its classes count as crowded.
 CROWD = 64
+#: Pairs at crowded shingles for each prefix row from which the order is mended, and how often it may be.
+MANY_PAIRS, MOST_ORDERS = 100, 3
+#: Rows of a prefix shingle from which it counts as common: shingles of more levels come later in the order.
+LEVELS = (64, 1 << 10, 1 << 14)
+#: Bits (as a power of two) of the filters that name common shingles: 2 MB a level.
+LEVEL_BITS = 24
 #: Columns of 64 parity bits of a set.
 BITS = [f"b{i}" for i in range(8)]
 #: Cost of verifying a candidate, in units of one shared prefix shingle, for each shingle of the set.
@@ -132,7 +140,18 @@ def _ranks(sketch: DataFrame) -> np.ndarray:
     return np.clip(np.floor(2 * np.log2(above)) + 1, 0, 63).astype(np.uint64)
 
 
-def _prefixes(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
+def _order(values: np.ndarray, ranks: np.ndarray, common: list[np.ndarray]) -> np.ndarray:
+    """Numbers in the global order: six bits of rank, then the upper bits of the shingle.  Common ones come last, by level."""
+    rank = np.minimum(ranks[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], np.uint64(63 - len(LEVELS)))
+    upper = values >> np.uint64(6)
+    slot = (upper & np.uint64((1 << LEVEL_BITS) - 1)).astype(np.int64)
+    for level, bits in enumerate(common, 1):
+        in_level = bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+        rank = np.where(in_level > 0, np.uint64(63 - len(LEVELS) + level), rank)
+    return rank << np.uint64(58) | upper
+
+
+def _prefixes(rows: DataFrame, ranks: np.ndarray, common: list[np.ndarray]) -> DataFrame:
     """(t, c, n, pos): the prefix shingles of each class, each class once a task."""
 
     def run(batches):
@@ -141,7 +160,7 @@ def _prefixes(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
             for _, _, data, offsets in passes(batch.column("text")):
                 values, begin = distinct_sorted(*shingles(data, offsets))
                 n, signature = _classes(values, begin)
-                ordered = ranks[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(58) | values >> np.uint64(6)
+                ordered = _order(values, ranks, common)
                 length = np.minimum(n, n - -(-4 * n // 5) + MOST_MATCHES)
                 parts, owners = [], []
                 for text, key in enumerate(signature.tolist()):
@@ -254,16 +273,42 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     return cut_lineage(counted.where(F.col("common") >= STAR_SHARE * _index_prefix(F.col("n"), 1)).select("x", "y"))
 
 
-def _adaptive_pairs(classes: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
+def _between(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Prefix rows of shingles that classes of several components have, with their component and the number of rows."""
+    own = shared.select("t", "c", "n", "pos").join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
+    own = own.withColumn("root", F.coalesce("root", "c"))
+    mixed = own.groupBy("t").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("holders")).where("low != high")
+    return cut_lineage(own.join(cut_lineage(mixed.select("t", "holders")), "t"))
+
+
+def _reordered(rows: DataFrame, ranks: np.ndarray, shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``_between`` of prefixes in an order whose common shingles, where they would make many pairs, were counted exactly.
+
+    Any order gives the same links.  A common shingle is named by filters of fixed size, which may name others too.
+    """
+    own, common = _between(shared, roots), [np.zeros(1 << (LEVEL_BITS - 3), np.uint8) for _ in LEVELS]
+    for _ in range(MOST_ORDERS - 1):
+        crowd = F.col("holders") >= LEVELS[0]
+        # each row of a shingle meets all its rows
+        row = own.agg(F.sum(F.when(crowd, F.col("holders"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
+        if (row["pairs"] or 0) <= MANY_PAIRS * row["rows"]:
+            break
+        slot = F.col("t").bitwiseAND((1 << LEVEL_BITS) - 1) + 1
+        for bits, least in zip(common, LEVELS, strict=True):
+            slots = own.where(F.col("holders") >= least).select(slot.alias("slot"))
+            parts = slots.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+            for part, own_bits in parts.collect():  # at most 2 ** LEVEL_BITS bits
+                bits[(part - 1) * 4096 : part * 4096] |= np.frombuffer(bytes(own_bits), np.uint8)
+        own = _between(_shared_prefixes(_prefixes(rows, ranks, common)), roots)
+    return own
+
+
+def _adaptive_pairs(classes: DataFrame, own: DataFrame) -> DataFrame:
     """Pairs of classes of different components that pass the adaptive prefix test.
 
     At crowded shingles a pair must also pass an exact bound: the parity bits of two sets differ in no
     more places than the sets have shingles apart, which may be a ninth of their sizes at most.
     """
-    own = shared.select("t", "c", "n", "pos").join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
-    own = own.withColumn("root", F.coalesce("root", "c"))
-    mixed = own.groupBy("t").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("holders")).where("low != high")
-    own = cut_lineage(own.join(cut_lineage(mixed.select("t", "holders")), "t"))
     n, costs = F.col("n"), []
     for matches in range(1, MOST_MATCHES + 1):
         inside = F.sum(F.when(F.col("pos") < _probe_prefix(n, matches), F.col("holders")).otherwise(0))
@@ -302,10 +347,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = scanned.where("bucket is null")
     classes = own.where("c is not null").groupBy("c").agg(F.min("id").alias("rep"), *(F.min(b).alias(b) for b in BITS))
     classes, own = cut_lineage(classes), own.select("id", "n", "c")
-    shared = _shared_prefixes(_prefixes(rows, _ranks(scanned.where("bucket is not null"))))
+    ranks = _ranks(scanned.where("bucket is not null"))
+    shared = _shared_prefixes(_prefixes(rows, ranks, []))
     near = _verified(rows, classes, _star_pairs(shared))
     first_roots = connected(near)
-    more = _verified(rows, classes, _adaptive_pairs(classes, shared, first_roots))
+    more = _verified(rows, classes, _adaptive_pairs(classes, _reordered(rows, ranks, shared, first_roots)))
     roots = connected(near.unionByName(more)) if not more.isEmpty() else first_roots
     classes = classes.select("c", "rep")
     linked = roots.join(classes, F.col("node") == F.col("c"))

@@ -230,6 +230,23 @@ def test_near(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_near(NEAR)
 
 
+def test_near_in_a_mended_order(spark, monkeypatch):
+    """Common shingles that the sketch takes for rare ones move back; the links are those of any order."""
+    common = "this line stands in very many of the texts and links none of them"
+    rows = [(k, f"{common} {' '.join(f'w{k // 2}x{j}' for j in range(14 + k % 2))}") for k in range(60)]
+    rows += [(100 + k, " ".join(f"w{k}x{j}" for j in range(14))) for k in range(20)] + NEAR
+    rows = [(i if i is None else i + 1000 * (n >= 80), t) for n, (i, t) in enumerate(rows)]
+    orders, taken = [], ngram_join._prefixes
+    monkeypatch.setattr(ngram_join, "_prefixes", lambda rows, ranks, common: orders.append(len(common)) or taken(rows, ranks, common))
+    for most, levels in ((100, (64,)), (0, (2, 8, 32)), (1, (4,))):
+        monkeypatch.setattr(ngram_join, "MANY_PAIRS", most)
+        monkeypatch.setattr(ngram_join, "LEVELS", levels)
+        orders.clear()
+        got = ngram_join.similar_components(frame(spark, rows))
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_near(rows)
+        assert len(orders) == 1 if most == 100 else len(orders) > 1
+
+
 def test_near_empty(spark):
     docs = frame(spark, NEAR).limit(0)
     assert ngram_join.similar_components(docs).count() == 0 and ngram_join.keep_one(docs).count() == 0
