@@ -14,6 +14,8 @@ from longrec.llm.words import SPACES, Words
 
 #: Bytes of runs and their ids that a Python worker remembers; beyond that it keeps the half used most.
 REMEMBERED_BYTES = 16 << 20
+#: New runs in one call of the encoder.
+RUNS_AT_ONCE = 500
 _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
@@ -94,13 +96,27 @@ class WordIds:
         at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
         return np.where((self._keys[at] == keys) & (self._checks[at] == checks), self._entries[at], -1)
 
+    def _encoded(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs, number of ids of each).
+
+        The runs are encoded as one text, and the places of its tokens tell whose they are; special tokens may hold blanks.
+        """
+        text = " ".join(runs)
+        if "<|" in text:
+            own = [e.ids for e in self._tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+            return np.array(list(chain.from_iterable(own)), np.uint32), np.fromiter(map(len, own), np.int64, len(own))
+        encoded = self._tokenizer.encode(text, add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)) + 1)
+        begins = np.fromiter((begin for begin, _ in encoded.offsets), np.int64, len(encoded))
+        return np.array(encoded.ids, np.uint32), np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(runs))
+
     def _learn(self, runs: list[str], keys: np.ndarray, checks: np.ndarray) -> None:
         """Encode new runs; ``keys`` are sorted and different."""
         parts, lengths = [self._ids], []
-        for first in range(0, len(runs), 5_000):
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(runs[first : first + 5_000], add_special_tokens=False)]
-            lengths += map(len, ids)
-            parts.append(np.array(list(chain.from_iterable(ids)), np.uint32))
+        for first in range(0, len(runs), RUNS_AT_ONCE):
+            ids, counts = self._encoded(runs[first : first + RUNS_AT_ONCE])
+            parts.append(ids)
+            lengths.append(counts)
         entries = len(self._uses) + np.arange(len(runs))
         places = np.searchsorted(self._keys, keys)
         # two runs of one hash: the later takes the place, and the other is learnt again if it returns
@@ -111,7 +127,7 @@ class WordIds:
         self._checks = np.insert(self._checks, places[new], checks[new])
         self._entries = np.insert(self._entries, places[new], entries[new])
         self._ids = np.concatenate(parts)
-        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.array(lengths, np.int64))])
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.concatenate(lengths))])
         self._uses = np.concatenate([self._uses, np.zeros(len(runs), np.int64)])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
