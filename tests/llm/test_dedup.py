@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from longrec.llm import components, exact_dedup, line_dedup, ngram_join, passages
@@ -237,6 +238,7 @@ def test_near_in_a_mended_order(spark, monkeypatch):
     rows += [(100 + k, " ".join(f"w{k}x{j}" for j in range(14))) for k in range(20)] + NEAR
     rows = [(i if i is None else i + 1000 * (n >= 80), t) for n, (i, t) in enumerate(rows)]
     orders, taken = [], ngram_join._prefixes
+    monkeypatch.setattr(ngram_join, "_ranks", lambda sketch: np.zeros(1 << ngram_join.SKETCH_BITS, np.uint64))
     monkeypatch.setattr(ngram_join, "_prefixes", lambda rows, ranks, common: orders.append(len(common)) or taken(rows, ranks, common))
     for most, levels in ((100, (64,)), (0, (2, 8, 32)), (1, (4,))):
         monkeypatch.setattr(ngram_join, "MANY_PAIRS", most)
