@@ -168,15 +168,15 @@ def job_extract_and_merge(spark, d):
 
 # -- test battery -------------------------------------------------------------------------
 
-_INSTRUMENTS = (
-    "Picture Vocabulary Test", "Oral Reading Test", "Flanker Inhibitory Control Test", "List Sorting Test",
-    "Pattern Comparison Test", "Crystallized Composite", "Neuro-QoL Summary",
-)
+_SUBJECT_NAMES = ("vocab", "oral_reading", "flanker", "listsort", "pattern", "crystal_cog", "self_neuroqol")
+_LABEL_OF = {name: text for text, name in fixed.SUBJECT_INSTRUMENTS.items()}
+#: Labels as they stand in exports: the known text and some more.
+_INSTRUMENTS = tuple(f"{_LABEL_OF[name]} {k}" for k, name in enumerate(_SUBJECT_NAMES))
 
 
 def _battery_sql():
-    subject = ("vocab", "oral_reading", "flanker", "listsort", "pattern", "crystal_cog", "self_neuroqol")
-    parent = ("parent_pic_vocab", "parent_oral_reading", None, None, None, "parent_verbal_iq", "parent_neuroqol")
+    subject = _SUBJECT_NAMES
+    parent = [fixed.PARENT_INSTRUMENTS.get(_LABEL_OF[name]) for name in subject]
     cells = []
     for i, label in enumerate(_INSTRUMENTS):
         for who, names in (("n > 4", subject), ("n <= 4", parent)):
@@ -301,20 +301,21 @@ def job_export_answers(spark, d):
 
 
 _RADIO = [f"cbcl_q{k}" for k in range(1, 8)]
+_CARD_TEXT = {name: text for text, name in fixed.CARD_LABELS.items()}
 _RECORD_FIELDS = Dictionary(
     tuple(
         {"name": n, "form": "cbcl", "type": t, "label": label, "choices": c}
         for n, t, label, c in (
             ("gender", "radio", "Gender", "1, Female | 2, Male"),
             ("age", "text", "Age", None),
-            ("cbcl_q1", "radio", "1. Acts too young for his/her age", None),
+            ("cbcl_q1", "radio", _CARD_TEXT["q1"], None),
             ("cbcl_q2", "radio", "2.", None),
-            ("cbcl_q3", "radio", "58. Picks nose, skin, or other parts of body", None),
+            ("cbcl_q3", "radio", _CARD_TEXT["q58"], None),
             ("cbcl_note", "text", "Describe", None),
-            ("cbcl_q4", "radio", "59. Plays with own sex parts in public", None),
+            ("cbcl_q4", "radio", _CARD_TEXT["q59"], None),
             ("cbcl_q5", "radio", "60.", None),
             ("cbcl_q6", "radio", "61.", None),
-            ("cbcl_q7", "radio", "113. Other", None),
+            ("cbcl_q7", "radio", _CARD_TEXT["q113"] + ". Other", None),
         )
     )
 )
