@@ -102,7 +102,7 @@ def _lowest_and_highest(rows: DataFrame, keys: list[str], place: Column) -> Data
 
 
 def _windows(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
-    """(id, text_hash, start, k, k2): the windows around shared seeds and two hashes of their words."""
+    """(id, text_hash, start, k, k2): the windows around shared seeds and two hashes of their words, 96 bits in all."""
     seeds = cut_lineage(_seeds(rows, min_words))
     shared = cut_lineage(_lowest_and_highest(seeds, ["seed"], F.struct("text_hash", "place")).select("seed"))
     near = cut_lineage(seeds.join(shared, "seed", "left_semi").groupBy("text_hash").agg(F.collect_list("place").alias("places")))
@@ -132,14 +132,14 @@ def _windows(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
                 shift = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
                 starts = np.unique(np.repeat(low, many) + shift)
                 owner = words.row[starts]
-                hashed = [_sliding(h, min_words, _spread)[starts].view(np.int64) for h in (words.hashes, words.check_hash(words.starts, words.ends))]
+                k, k2 = (_sliding(h, min_words, _spread)[starts].view(np.int64) for h in (words.hashes, words.check_hash(words.starts, words.ends)))
                 took = pa.array(first + owner)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(took), batch.column("text_hash").take(took), pa.array((starts - words.first_word[owner]).astype(np.int32)), *map(pa.array, hashed)],
+                    [batch.column("id").take(took), batch.column("text_hash").take(took), pa.array((starts - words.first_word[owner]).astype(np.int32)), pa.array(k), pa.array((k2 >> 32).astype(np.int32))],
                     [*DOCUMENT, "start", "k", "k2"],
                 )
 
-    return cut_lineage(texts.mapInArrow(run, f"id {id_type}, text_hash long, start int, k long, k2 long"))
+    return cut_lineage(texts.mapInArrow(run, f"id {id_type}, text_hash long, start int, k long, k2 int"))
 
 
 def _runs(repeated: DataFrame, min_words: int) -> DataFrame:
