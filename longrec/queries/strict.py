@@ -252,6 +252,15 @@ def folder_scan_quoted(spark, d):
     return folders.scan_folder(spark, path, "id", sep="|")[0].drop(*folders.FILE_ORDER)
 
 
+def _write_headed(lines, header, path, files):
+    """Lines as this number of text files, each below a first line of its own."""
+    number = (F.monotonically_increasing_id() % files).alias("part")
+    first = lines.sparkSession.range(files).select(F.lit(header).alias("line"), F.col("id").alias("part"), F.lit(0).alias("place"))
+    headed = first.unionByName(lines.select("line", number, F.lit(1).alias("place")))
+    headed = headed.repartition(files, "part").sortWithinPartitions("part", "place").drop("place")
+    headed.write.mode("append").partitionBy("part").text(path)
+
+
 @query(
     "folder_scan_line_breaks",
     """select l_orderkey, l_linenumber::bigint l_linenumber, case l_linenumber % 3 when 0 then l_returnflag || chr(10) || '"' || l_linestatus || '",' || chr(10) || 'x'
@@ -268,8 +277,7 @@ def folder_scan_line_breaks(spark, d):
     returned = kind == "R"
     with_part = F.concat_ws(",", key, note, F.col("l_partkey").cast("string"), number, pad)
     for chosen, line, header in ((~returned, with_part, "l_orderkey,note,part,l_linenumber,pad"), (returned, F.concat_ws(",", number, note, key, pad), "l_linenumber,note,l_orderkey,pad")):
-        lines = spark.range(1).select(F.lit(header).alias("line")).unionByName(rows.where(chosen).select(line.alias("line")))
-        lines.coalesce(1).write.mode("append").text(path)
+        _write_headed(rows.where(chosen).select(line.alias("line")), header, path, -(-rows.count() // 2_000_000))
     never = spark.range(1).select(F.lit('l_orderkey,note\n1,"open\n2,x').alias("line"))
     never.write.mode("append").text(path)
     found, skipped = folders.scan_folder(spark, path, "l_orderkey", "part-*")

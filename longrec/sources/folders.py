@@ -22,12 +22,14 @@ MAX_LISTED_FILES = 100_000
 
 def text_lines(spark: SparkSession, source: str | Sequence[str], glob: str = "*") -> DataFrame:
     """``FILE_ORDER`` and line of all files below a folder, or of the files of a list."""
+    marked = F.col("value").startswith("\ufeff") | F.col("value").contains("\r")
     return (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .text(source if isinstance(source, str) else list(source))
         .select(
-            F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
+            # most lines need no pattern
+            F.when(marked, F.regexp_replace("value", "^\ufeff|\r$", "")).otherwise(F.col("value")).alias("line"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("file_start"),
         )
@@ -77,8 +79,8 @@ def scan_folder(
     record is split once and its fields go to the columns its own file's header names.  Rows
     without any value are dropped.  ``folder`` may be a list of files.
 
-    The folder is read once for the headers, which are written out, once to find the types
-    unless ``types`` (column to type, text where it names none) is given, and once for the rows.  Files with
+    The folder is read once for the headers and once for the rows; both are written out, and the types are found from the rows
+    unless ``types`` (column to type, text where it names none) is given.  Files with
     line breaks inside quotes are read once more, and their records are written out.
     """
     found = cut_lineage(file_headers(spark, folder, glob, sep))
@@ -105,7 +107,10 @@ def scan_folder(
     lines = lines.join(broadcast_if_small(kept), "file")
     rows = lines.where((F.col("file_start") > 0) | (F.col("file_line") > F.col("header_line")))
     split = rows.select(*FILE_ORDER, "places", csv_fields(F.col("line"), sep).alias("fields"))
-    rows = split.select(*[F.get("fields", F.get("places", F.lit(i)) - 1).alias(c) for i, c in enumerate(names)], *FILE_ORDER)
+    # written out, as the filters and types below would else split each line again for every column
+    own = F.array(*[F.get("fields", F.get("places", F.lit(i)) - 1) for i in range(len(names))])
+    split = cut_lineage(split.select(*FILE_ORDER, own.alias("fields")))
+    rows = split.select(*[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(names)], *FILE_ORDER)
     rows = drop_all_null(null_tokens_to_null(rows), names)
     if types is not None:
         return rows.withColumns({c: col(c).cast(types[c]) for c in names if c in types}), skipped

@@ -92,3 +92,23 @@ def test_states_of_a_line(spark):
     cases = {"a,b": 0, 'a,"b': 1, '"a"': 0, '"a""': 1, 'a"b': 0, '"a"x"y,"b': 1, "": 0, '"': 1, '""': 0, '"""': 1, 'a,"b,c",d': 0, None: 0}
     df = spark.createDataFrame([(t, v) for t, v in cases.items()], "line string, wanted int")
     assert df.where(quoting.ends_inside(F.col("line")).cast("int") != F.col("wanted")).count() == 0
+
+
+def test_lines_are_split_once(spark, tmp_path):
+    """Types and filters read the fields as they were written, however many columns there are."""
+    put(f"{tmp_path}/a.csv", 'id,note,n\n1,"two\nlines",5\n2,x,6\n')
+    df, _ = folders.scan_folder(spark, str(tmp_path), "id")
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in df.orderBy("id").drop(*folders.FILE_ORDER).collect()] == [(1, "two\nlines", 5), (2, "x", 6)]
+
+
+def test_many_blocks_and_splits(spark, tmp_path, small_splits):
+    """Records that begin blocks and splits earlier keep all of their lines."""
+    rows = [[f"r{i}", "\n".join(f"{i} {k}" for k in range(i % 37))] for i in range(120)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    put(f"{tmp_path}/a.csv", out.getvalue())
+    for block in (None, 1, 3, 50):
+        records, unclosed = quoting.whole_records(folders.text_lines(spark, str(tmp_path)), ",", block)
+        got = [next(csv.reader(io.StringIO(r["line"]))) for r in records.orderBy(*quoting.FILE_ORDER).collect()]
+        assert got == rows and unclosed.count() == 0
