@@ -14,6 +14,8 @@ from longrec.llm.words import NON_WORD, Words, mix
 PREFIXES = (4, 5, 6)
 #: Word positions that one matrix product takes at a time.
 BLOCK = 1 << 15
+#: What squared gradients begin with.
+START = np.float32(1e-2)
 
 
 def word_features(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,6 +38,29 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def bucket_counts(texts: list[np.ndarray], labels: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts, and in how many with label 1, each bucket occurs."""
+    seen, positive = np.zeros(buckets), np.zeros(buckets)
+    for numbers, label in zip(texts, labels, strict=True):
+        own = np.unique(numbers)
+        seen[own] += 1
+        positive[own] += label
+    return seen, positive
+
+
+class Adagrad:
+    """Squared gradients so far, and the order of the texts."""
+
+    def __init__(self, model: TextCnn, seed: int = 11):
+        self.rng = np.random.default_rng(seed)
+        self.dense = [np.full_like(p, START) for p in model.dense]
+        self.table = np.full(model.table.shape, START, np.float32)
+
+    def touched(self) -> np.ndarray:
+        """The buckets whose vectors were moved."""
+        return np.flatnonzero((self.table > START).any(axis=1))
+
+
 class TextCnn:
     """Parameters and the forward pass; small enough to travel with a task (buckets x size floats)."""
 
@@ -94,12 +119,11 @@ class TextCnn:
 
         Training moves on from there; from random vectors alone max pooling finds rare signs slowly.
         """
-        share = (labels.sum() + 1) / (len(labels) + 2)
-        seen, positive = np.zeros(self.buckets), np.zeros(self.buckets)
-        for numbers, label in zip(texts, labels, strict=True):
-            own = np.unique(numbers)
-            seen[own] += 1
-            positive[own] += label
+        self.start(*bucket_counts(texts, labels, self.buckets), len(labels), float(labels.sum()), prior)
+
+    def start(self, seen: np.ndarray, positive: np.ndarray, texts: int, ones: float, prior: float = 10) -> None:
+        """The same from the texts, and those with label 1, that each bucket occurs in."""
+        share = (ones + 1) / (texts + 2)
         odds = np.log((positive + prior * share) / (seen - positive + prior * (1 - share)) * (1 - share) / share)
         self.table[1:, 0] = odds[1:]
         self.kernels[0][0, :, 0] = 0
@@ -109,14 +133,20 @@ class TextCnn:
 
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, steps: int = 2_500, batch: int = 32, rate: float = 0.05, seed: int = 11) -> TextCnn:
         """About ``steps`` steps of Adagrad on the log loss; ``texts`` are the bucket numbers of each text."""
-        rng = np.random.default_rng(seed)
         self.start_from_counts(texts, labels)
-        dense = [*self.kernels, *self.bias, self.out, self.shift]
-        seen = [np.full_like(p, 1e-2) for p in dense]
-        seen_table = np.full(self.table.shape, 1e-2, np.float32)
+        return self.train(texts, labels, Adagrad(self, seed), -(-steps * batch // len(texts)), batch, rate)
+
+    @property
+    def dense(self) -> list[np.ndarray]:
+        """All parameters but the table."""
+        return [*self.kernels, *self.bias, self.out, self.shift]
+
+    def train(self, texts: list[np.ndarray], labels: np.ndarray, state: Adagrad, rounds: int, batch: int = 32, rate: float = 0.05) -> TextCnn:
+        """Some rounds over these texts; ``state`` goes on to the next ones."""
+        rng, seen, seen_table, dense = state.rng, state.dense, state.table, self.dense
         reach = max(self.widths) - 1
         pad = np.zeros((reach, len(PREFIXES) + 1), np.int32)
-        for _ in range(-(-steps * batch // len(texts))):
+        for _ in range(rounds):
             order = rng.permutation(len(texts))
             for first in range(0, len(order), batch):
                 rows = order[first : first + batch]

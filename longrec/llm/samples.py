@@ -1,17 +1,32 @@
-"""Bounded samples of labelled texts, and columns of scores by a model fitted on one."""
+"""Labelled texts, all of them or bounded samples, and columns of scores by a model fitted on one."""
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longrec.llm.common import ship, text_or_empty
+from longrec.llm.common import possibly_in, ship, text_or_empty
 from longrec.llm.words import passes
 
 #: A text above this part of a sample's bytes is not taken, so a few long texts are not the whole sample.
 LARGEST_SHARE = 1 / 4
 
 
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """(place, label 0 or 1, text, lang) of every row of ``docs`` with a label; ``place`` is a hash of id and text.
+
+    Labels are left out and combined as in ``labelled_sample``.  Texts without a label stay out of the shuffle.
+    """
+    own_id = F.col(id_col).cast(docs.schema[id_col].dataType).alias("sample_id")
+    labelled = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    labelled = labelled.groupBy(own_id).agg((F.max(label_col) > 0).cast("int").alias("label")).where("sample_id is not null")
+    rows = docs.select(F.col(id_col).alias("sample_id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = possibly_in(rows, ["sample_id"], labelled.select("sample_id"), "hit").where("hit").drop("hit")
+    return rows.join(labelled, "sample_id").select(F.xxhash64("sample_id", "text").alias("place"), "label", "text", "lang")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text",
     lang_col: str | None = None, max_rows: int = 10_000, max_bytes: int = 64 << 20,

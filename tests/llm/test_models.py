@@ -94,6 +94,25 @@ def test_toxicity_at_the_cut(spark):
     assert found.get((0, 1), 0) < 0.01 * (found[0, 0] + found.get((0, 1), 0))
 
 
+def test_toxicity_learns_from_all_rows(spark, monkeypatch):
+    """With more rows than the driver takes, tasks learn from all of them, and all others give the thresholds."""
+    texts, y = toy(1500)
+    docs = spark.createDataFrame([(k, t, "en" if k // 4 % 2 else "de") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(v)) for k, v in enumerate(y)] + [(None, 1), (7, None), (9_999, 1)], "doc_id long, toxic int")
+    counted, counts = [], toxicity.counted_odds
+    monkeypatch.setattr(toxicity, "counted_odds", lambda rows, c: counted.append(rows.count()) or counts(rows, c))
+    trained, train = [], toxicity.trained
+    monkeypatch.setattr(toxicity, "trained", lambda rows, n, ones: trained.append((n, rows.count())) or train(rows, n, ones))
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 500)
+    model = toxicity.fit(docs.union(docs.where("doc_id < 10")), labels, F.lit(True), max_rows=100)
+    # (7, null) and (null, 1) say nothing, but 7 has a label too
+    assert trained[0][0] == trained[0][1] and trained[0][0] + counted[0] == 1510 and set(model.thresholds) == {"en", "de"}
+    scored = toxicity.score(docs, model).join(labels.dropna(), "doc_id")
+    assert scored.where((F.col("score") >= F.col("threshold")) == (F.col("toxic") == 1)).count() > 0.95 * 1500
+    again = toxicity.fit(docs.union(docs.where("doc_id < 10")).repartition(3), labels, F.lit(True), max_rows=100)
+    assert np.allclose(model.classifier.table, again.classifier.table, atol=1e-6)
+
+
 def test_models_without_labels(spark, tables):
     docs, labels = tables
     model = toxicity.fit(docs, labels.limit(0), F.lit(True))
