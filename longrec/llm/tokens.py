@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -17,6 +19,16 @@ REMEMBERED_BYTES = 16 << 20
 #: New runs in one call of the encoder.
 RUNS_AT_ONCE = 500
 _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+#: Bytes of runs and their lengths in each of the two generations that a Python worker remembers.
+GENERATION_BYTES = 32 << 20
+#: Characters of the longest run that is remembered.
+LONGEST_RUN = 64
+#: Letters after a blank or at the beginning, up to a blank or an ASCII sign other than the apostrophe; else all up to the next blank that
+#: follows a non-blank.  Blanks of other kinds end no run, since libraries differ in what they take for one.
+_SIGNS = r"!-&(-/:-@\[-`{-~"
+_RUNS = re.compile(
+    rf"[ \t\n\r]?[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[ \t\n\r{_SIGNS}])|\s*+\S++(?:(?![ \t\n\r])\s++\S*+)*+|\s++"
+)
 
 
 @lru_cache(maxsize=4)
@@ -172,3 +184,62 @@ class WordIds:
 def word_ids(path: str) -> WordIds:
     """The runs remembered in this Python worker, which later tasks find again."""
     return WordIds(path)
+
+
+def _known_words(tokenizer) -> bool:
+    """Whether a word of this tokenizer never goes on over the end of one of ``_RUNS``."""
+    described = json.loads(tokenizer.to_str())
+    splits = described["pre_tokenizer"] or {}
+    if splits.get("type") != "ByteLevel" or not splits.get("use_regex") or splits.get("add_prefix_space"):
+        return False
+    if any(described[part] is not None for part in ("normalizer", "truncation", "padding")) or described["model"].get("dropout"):
+        return False
+    return all(
+        re.fullmatch(rf"[{_SIGNS}]\S*", token["content"]) and not (token["lstrip"] or token["rstrip"] or token["single_word"])
+        for token in described["added_tokens"]
+    )
+
+
+class RunLengths:
+    """Numbers of tokens of texts from those of their runs, for byte-level tokenizers.
+
+    Where a tokenizer splits words by the pattern of the library's byte level, a word ends before a blank that follows a non-blank, and
+    letters end before a sign.  So the tokens of a run do not depend on what stands around it, and a run that occurs again
+    needs no second encoding.  For other tokenizers a text is one run.  Runs are kept whole, so none is taken for
+    another.  Use ``run_lengths``: one object per Python worker.
+    """
+
+    def __init__(self, path: str):
+        self._tokenizer = load(path)
+        self._runs = _RUNS.findall if _known_words(self._tokenizer) else lambda text: [text]
+        # the runs met since the generation began, and those of the generation before
+        self._recent: dict[str, int] = {}
+        self._before: dict[str, int] = {}
+        self.nbytes = 0
+
+    def count(self, texts: list[str]) -> list[int]:
+        """The number of tokens of each text; the new runs of all texts go to the encoder in one call."""
+        runs = [self._runs(text) for text in texts]
+        absent = set().union(*runs).difference(self._recent)
+        unknown = absent.difference(self._before)
+        absent -= unknown
+        new = list(unknown)
+        self._recent.update((run, self._before[run]) for run in absent)
+        self._recent.update(zip(new, map(len, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        counts = [sum(map(self._recent.__getitem__, own)) for own in runs]
+        for run in new:
+            if len(run) > LONGEST_RUN:
+                del self._recent[run]
+            else:
+                absent.add(run)
+        # an entry of a dictionary takes some 100 bytes beside the run
+        self.nbytes += sum(map(sys.getsizeof, absent)) + 100 * len(absent)
+        if self.nbytes > GENERATION_BYTES:
+            self._recent, self._before, self.nbytes = {}, self._recent, 0
+        return counts
+
+
+@lru_cache(maxsize=2)
+def run_lengths(path: str) -> RunLengths:
+    """The runs remembered in this Python worker, which later tasks find again."""
+    return RunLengths(path)

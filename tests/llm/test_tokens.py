@@ -1,5 +1,7 @@
 """Token counts and packing against the tokenizers on whole texts."""
 
+import json
+import random
 import zlib
 from collections import defaultdict
 
@@ -57,6 +59,69 @@ def test_split_is_safe(text, size):
     assert sum(whole(BYTES, pieces), []) == whole(BYTES, [text])[0]
 
 
+def test_words_are_encoded_once(monkeypatch, tmp_path):
+    own = tmp_path / "own.json"
+    with open(BYTES) as file:
+        own.write_text(file.read())
+    tokenizer, encoded = Tokenizer.from_file(str(own)), []
+
+    class Recorder:
+        def to_str(self):
+            return tokenizer.to_str()
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            encoded.extend(texts)
+            return tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    monkeypatch.setattr(tokens, "load", lambda path: Recorder())
+    order = random.Random(3)
+    texts = [" ".join(order.choices([f"word{k}" for k in range(50)] + ["été.", "fin,\n", "Ende"], k=400)) for _ in range(20)]
+    counts = [token_counts._counts(iter(texts), str(own), len(texts)).tolist() for _ in range(2)]
+    assert counts == [[len(ids) for ids in whole(BYTES, texts)]] * 2
+    assert 0 < sum(map(len, encoded)) < sum(map(len, texts)) / 20
+
+
+ODD = "aZéÿß.,'-_(<|>*09 \n\t\r\x0b\x1c\x85\xa0\u3000\u2009\u200b\u0301ªµ×÷中ا한😀"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ODD, "'s", "'ll", "<|endoftext|>", "  ", "the", "don't"]), max_size=20).map("".join), max_size=4))
+def test_run_lengths(texts):
+    tokenizer = tokens.load(BYTES)
+    wanted = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert tokens.run_lengths(BYTES).count(texts) == list(map(len, wanted))
+    for text, ids in zip(texts, wanted, strict=True):
+        runs = tokens._RUNS.findall(text)
+        assert "".join(runs) == text and [i for run in runs for i in tokenizer.encode(run, add_special_tokens=False).ids] == ids
+
+
+def test_run_lengths_after_forgetting(monkeypatch):
+    monkeypatch.setattr(tokens, "GENERATION_BYTES", 20_000)
+    lengths = tokens.RunLengths(BYTES)
+    for k in range(12):
+        texts = [f"plain words, word{j} number {j * k}. {'long' * 40 * j}" for j in range(40)] + ["", "plain"]
+        assert lengths.count(texts) == [len(ids) for ids in whole(BYTES, texts)]
+        assert lengths.nbytes <= 20_000 and max(map(len, lengths._recent | lengths._before)) <= tokens.LONGEST_RUN
+
+
+@pytest.mark.parametrize("change", [
+    lambda described: described["pre_tokenizer"].update(add_prefix_space=True),
+    lambda described: described["pre_tokenizer"].update(use_regex=False),
+    lambda described: described["added_tokens"][0].update(content="two words"),
+    lambda described: described["added_tokens"][0].update(content="ends."),
+    lambda described: described["added_tokens"][0].update(rstrip=True),
+    lambda described: described.update(normalizer={"type": "Replace", "pattern": {"String": "s\n"}, "content": "z"}),
+])
+def test_run_lengths_of_other_tokenizers(tmp_path, change):
+    with open(BYTES) as file:
+        described = json.load(file)
+    change(described)
+    own = tmp_path / "own.json"
+    own.write_text(json.dumps(described))
+    texts = ["two words\nends.\nand two words, ends.", "\nwords\n\n<|endoftext|> \n after", "that ends. "]
+    assert tokens.RunLengths(str(own)).count(texts) == [len(ids) for ids in whole(str(own), texts)]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="aAbIİΣςé̇ .,'!\n\t é1sdt", max_size=60))
 def test_word_ids(text):
